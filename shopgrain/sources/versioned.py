@@ -1,0 +1,148 @@
+"""Parquet tables that can be replaced while they are read.
+
+Plain parquet cannot overwrite its own input, so every write goes to a new
+``v=N`` folder and becomes visible by one appended commit file. A run that died
+half-way leaves an uncommitted folder that the next run overwrites. A commit
+names the run that made it; repeating that run changes nothing.
+
+A table is a set of slices. With a small-domain ``slice_column`` such as a month,
+a commit replaces only the slices it wrote and the rest stay where they are.
+Without one, each commit is a slice of its own, so appending rewrites nothing.
+One writer at a time.
+"""
+
+from __future__ import annotations
+
+import json
+from collections.abc import Iterable
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+NO_SLICE = -2
+
+_COMMIT = T.StructType(
+    [
+        T.StructField("version", T.LongType(), False),
+        T.StructField("run_id", T.StringType(), False),
+        T.StructField("slice", T.IntegerType(), False),
+        T.StructField("filled", T.BooleanType(), False),
+        T.StructField("table_schema", T.StringType(), False),
+    ]
+)
+
+
+class VersionedTable:
+    """``slice_column`` must be an integer column of the stored frame."""
+
+    def __init__(self, spark: SparkSession, path: str, slice_column: str | None = None):
+        self.spark = spark
+        self.path = path.rstrip("/")
+        self.slice_column = slice_column
+
+    # -- commits ---------------------------------------------------------
+
+    def _commits(self) -> DataFrame | None:
+        try:
+            return self.spark.read.schema(_COMMIT).json(f"{self.path}/commits")
+        except AnalysisException as missing:
+            if missing.getCondition() == "PATH_NOT_FOUND":
+                return None
+            raise
+
+    def _state(self) -> tuple[int, set[str], dict[int, tuple[int, bool]], T.StructType | None]:
+        """Latest version, known runs, slice -> (version, filled), schema.
+
+        The log holds one row per slice a run replaced; slices are few (months),
+        never rows of the table.
+        """
+        commits = self._commits()
+        rows = [] if commits is None else commits.collect()
+        latest, current, schema_version, schema = 0, {}, 0, None
+        for row in rows:
+            latest = max(latest, row.version)
+            if row.slice not in current or current[row.slice][0] < row.version:
+                current[row.slice] = (row.version, row.filled)
+            if row.version > schema_version:
+                schema_version = row.version
+                schema = T.StructType.fromJson(json.loads(row.table_schema))
+        return latest, {row.run_id for row in rows}, current, schema
+
+    def has_run(self, run_id: str) -> bool:
+        return run_id in self._state()[1]
+
+    # -- reading ---------------------------------------------------------
+
+    def read(self, slices: Iterable[int] | None = None) -> DataFrame | None:
+        """The current rows, or None before the first commit."""
+        _, _, current, schema = self._state()
+        if schema is None:
+            return None
+        wanted = None if slices is None else set(slices)
+        paths = [
+            self._folder(version, number)
+            for number, (version, filled) in sorted(current.items())
+            if filled and (wanted is None or number in wanted)
+        ]
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        reader = self.spark.read.schema(schema)
+        if self.slice_column:
+            reader = reader.option("basePath", f"{self.path}/data")
+        return reader.parquet(*paths).select(*schema.fieldNames())
+
+    def _folder(self, version: int, number: int) -> str:
+        folder = f"{self.path}/data/v={version}"
+        return f"{folder}/{self.slice_column}={number}" if self.slice_column else folder
+
+    # -- writing ---------------------------------------------------------
+
+    def replace(self, df: DataFrame, run_id: str) -> bool:
+        """Make ``df`` the whole content. False when this run was done before."""
+        return self._commit(df, run_id, drop_all=True)
+
+    def replace_slices(self, df: DataFrame, run_id: str, slices: Iterable[int]) -> bool:
+        """Make ``df`` the content of ``slices`` (and of any other slice it holds)."""
+        if not self.slice_column:
+            raise ValueError("the table has no slice column")
+        return self._commit(df, run_id, drop=set(slices))
+
+    def append(self, df: DataFrame, run_id: str) -> bool:
+        """Add ``df`` next to what is stored."""
+        if self.slice_column:
+            raise ValueError("a sliced table is written by replacing slices")
+        return self._commit(df, run_id)
+
+    def _commit(self, df: DataFrame, run_id: str, drop: set[int] = frozenset(), drop_all: bool = False) -> bool:
+        latest, runs, current, _ = self._state()
+        if run_id in runs:
+            return False
+        version = latest + 1
+        folder = f"{self.path}/data/v={version}"
+        writer = df.write.mode("overwrite")
+        if self.slice_column:
+            writer = writer.partitionBy(self.slice_column)
+        writer.parquet(folder)
+        filled = self._slices_in(version, folder, df.schema)
+        dropped = {number for number, (_, held) in current.items() if held} if drop_all else set(drop)
+        schema = df.schema.json()
+        rows = [(version, run_id, number, number in filled, schema) for number in sorted(dropped | filled)]
+        if not rows:  # an empty run still counts as done, and gives a new table its schema
+            rows = [(version, run_id, NO_SLICE, False, schema)]
+        log = self.spark.createDataFrame(rows, _COMMIT).coalesce(1)
+        log.write.mode("append").json(f"{self.path}/commits")
+        return True
+
+    def _slices_in(self, version: int, folder: str, schema: T.StructType) -> set[int]:
+        if not self.slice_column:
+            return {version}
+        written = self.spark.read.schema(schema).parquet(folder)
+        return {row[0] for row in written.select(self.slice_column).distinct().collect()}
+
+
+def month_number(column: str) -> F.Column:
+    """Slice number of a timestamp: 202401 for January 2024, -1 for NULL."""
+    moment = F.col(column)
+    return F.coalesce(F.year(moment) * 100 + F.month(moment), F.lit(-1)).cast("int")
