@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,6 +59,6 @@ def ingest_folder(
                 df = spark.read.option("header", True).option("escape", '"').csv(path)
             df.write.mode("ignore").saveAsTable(table)
             report.append((name, "created", None))
-        except PySparkException as failure:
-            report.append((name, "failed", failure.getCondition() or type(failure).__name__))
+        except (PySparkException, Py4JJavaError) as failure:
+            report.append((name, "failed", str(failure).strip()[:500]))
     return spark.createDataFrame(report, REPORT)
