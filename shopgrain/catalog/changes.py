@@ -6,7 +6,6 @@ states the outcome in closed form.
 
 from __future__ import annotations
 
-from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -98,7 +97,7 @@ def _drift(raw: RawTables) -> DataFrame:
         {"order_date": F.col("order_date").cast("date"), "coupon": F.lit("none")}
     )
     rows = incremental.schema_drift(raw.orders.schema, changed.schema)
-    spark = raw.orders.sparkSession
+    spark = raw.spark
     held = changed.agg(F.count("*").alias("batch_rows"))
     return spark.createDataFrame(rows, incremental.DRIFT).withColumn("batch_rows", held.scalar())
 
@@ -119,7 +118,7 @@ add(
 
 def _rebuild_orders(raw: RawTables) -> DataFrame:
     """A full refresh after increments: the table is as after a first run."""
-    spark = raw.orders.sparkSession
+    spark = raw.spark
     table = VersionedTable(spark, fresh_folder(spark, "orders"))
     table.replace(increments.orders_batch(_early_orders(raw), raw.users, raw.locations), "first")
     table.replace(increments.orders_batch(raw.orders, raw.users, raw.locations), "refresh")
@@ -133,8 +132,8 @@ add("i8_full_refresh", _rebuild_orders, "SELECT * FROM orders_incr")
 
 
 def _orders_model(raw: RawTables) -> DataFrame:
-    table = increments.orders_table(raw.orders.sparkSession, fresh_folder(raw.orders.sparkSession, "orders"))
-    increments.run_orders(table, replace(raw, orders=_early_orders(raw)), "first")
+    table = increments.orders_table(raw.spark, fresh_folder(raw.spark, "orders"))
+    increments.run_orders(table, raw.replace(orders=_early_orders(raw)), "first")
     increments.run_orders(table, raw, "second")
     increments.run_orders(table, raw, "second")  # a repeated run changes nothing
     return table.read().drop(increments.SLICE)
@@ -144,9 +143,9 @@ add("m7_stg_orders_incr", _orders_model, _ORDERS_AFTER)
 
 
 def _items_model(raw: RawTables) -> DataFrame:
-    spark = raw.order_items.sparkSession
+    spark = raw.spark
     table = increments.order_items_table(spark, fresh_folder(spark, "items"))
-    increments.run_order_items(table, replace(raw, order_items=_delivered_first(raw)), "first", RUN_TIME)
+    increments.run_order_items(table, raw.replace(order_items=_delivered_first(raw)), "first", RUN_TIME)
     increments.run_order_items(table, raw, "second", SECOND_RUN)
     return table.read()
 
@@ -161,10 +160,10 @@ add(
 
 
 def _events_model(raw: RawTables) -> DataFrame:
-    spark = raw.user_events.sparkSession
+    spark = raw.spark
     table = increments.user_events_table(spark, fresh_folder(spark, "events"))
     early = raw.user_events.where(_before("event_timestamp", EVENTS_CUT))
-    increments.run_user_events(table, replace(raw, user_events=early), "first")
+    increments.run_user_events(table, raw.replace(user_events=early), "first")
     increments.run_user_events(table, raw, "second")
     return table.read().drop(increments.SLICE)
 
@@ -185,7 +184,7 @@ def _moved(raw: RawTables) -> DataFrame:
 
 def _history(strategy: str):
     def build(raw: RawTables) -> DataFrame:
-        spark = raw.locations.sparkSession
+        spark = raw.spark
         table = VersionedTable(spark, fresh_folder(spark, "location-history"))
         location_history.run_snapshot(table, raw.locations, raw.exchange_rates, RUN_TIME, "first", strategy)
         location_history.run_snapshot(table, _moved(raw), raw.exchange_rates, SECOND_RUN, "second", strategy)
@@ -248,7 +247,7 @@ def _streamed_events(spark: SparkSession, folder: str) -> DataFrame:
     work = fresh_folder(spark, "event-stream")
     table = increments.user_events_table(spark, f"{work}/table")
     early = raw.user_events.where(_before("event_timestamp", EVENTS_CUT))
-    increments.run_user_events(table, replace(raw, user_events=early), "first")
+    increments.run_user_events(table, raw.replace(user_events=early), "first")
     query = stream_user_events(
         _event_stream(spark, folder), raw.users, raw.locations, table, f"{work}/checkpoint", "stream"
     )

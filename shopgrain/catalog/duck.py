@@ -53,7 +53,7 @@ FRAGMENTS: dict[str, str] = {
         SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) || '-'
                    || CAST(l_partkey AS VARCHAR) || '-' || CAST(l_suppkey AS VARCHAR) || '-'
                    || CAST(CAST(round(l_extendedprice * 100) AS BIGINT) AS VARCHAR) || '-'
-                   || strftime(l_shipdate, '%Y%m%d') AS order_item_id,
+                   || CAST(date_diff('day', DATE '1970-01-01', CAST(l_shipdate AS DATE)) AS VARCHAR) AS order_item_id,
                CAST(l_orderkey AS VARCHAR) AS order_id, CAST(l_partkey AS VARCHAR) AS product_id,
                CAST(l_quantity AS INTEGER) AS quantity, l_extendedprice AS unit_price, l_discount AS discount,
                CAST(round(CAST(l_quantity AS DECIMAL(10,0)) * CAST(l_extendedprice AS DECIMAL(12,2))

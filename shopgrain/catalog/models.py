@@ -46,7 +46,7 @@ def _place(build):
 
 def _csv_round_trip(table: str):
     def build(raw: RawTables) -> DataFrame:
-        df = raw.as_dict()[table]
+        df = raw[table]
         path = fresh_folder(df.sparkSession, f"csv-{table}")
         write_csv(df, path)
         return read_csv(df.sparkSession, path, schemas.RAW[table])
@@ -81,7 +81,7 @@ def _ingest(spark, folder: str) -> DataFrame:
     database = f"landing_{uuid.uuid4().hex}"
     spark.sql(f"CREATE DATABASE {database} LOCATION '{fresh_folder(spark, 'ingested')}'")
     for name in schemas.RAW:
-        write_csv(raw.as_dict()[name], f"{landing}/{name}")
+        write_csv(raw[name], f"{landing}/{name}")
     write_csv(raw.users.select("user_id"), f"{landing}/exchange_rates")  # lacks the seed's columns
     first = ingest_folder(spark, landing, database).withColumn("pass_no", F.lit(1))
     again = ingest_folder(spark, landing, database).withColumn("pass_no", F.lit(2))
@@ -104,7 +104,7 @@ add_on_folder(
 
 
 def _views(raw: RawTables) -> DataFrame:
-    spark = raw.users.sparkSession
+    spark = raw.spark
     create_views(staging.build_staging(raw))
     return spark.sql(
         "SELECT u.is_duplicate_email, l.marketing_language_requirement, count(*) AS users"
@@ -122,7 +122,7 @@ add(
 
 def _full_refresh(raw: RawTables) -> DataFrame:
     """Two refreshes of one table; the second replaces the first."""
-    spark = raw.users.sparkSession
+    spark = raw.spark
     path = fresh_folder(spark, "fct-orders")
     pending = mart.fct_orders(staging.stg_orders(raw.orders), staging.stg_order_items(raw.order_items))
     refresh_table(spark, pending.where("order_status = 'pending'"), path, "first")

@@ -145,9 +145,9 @@ def _suite_sql(layer: str | None = None) -> str:
     )
 
 
-add("q10_check_suite", lambda raw: checks.run_suite(raw.users.sparkSession, raw, RUN_TIME), _suite_sql())
+add("q10_check_suite", lambda raw: checks.run_suite(raw.spark, raw, RUN_TIME), _suite_sql())
 add(
     "q11_staging_checks",
-    lambda raw: checks.run_suite(raw.users.sparkSession, raw, RUN_TIME, layer=checks.STAGING),
+    lambda raw: checks.run_suite(raw.spark, raw, RUN_TIME, layer=checks.STAGING),
     _suite_sql(checks.STAGING),
 )

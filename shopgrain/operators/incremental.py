@@ -95,15 +95,16 @@ def upsert_into(
     says that a key never changes its slice, which saves that lookup. Returns
     False when this run was committed before.
     """
-    if table.has_run(run_id):
+    snapshot = table.snapshot()
+    if run_id in snapshot.runs:
         return False
-    target = table.read()
+    target = snapshot.read()
     if target is None:
-        return table.replace(batch, run_id)
+        return snapshot.replace(batch, run_id)
     require_same_schema(target.schema, batch.schema)
     batch = durable(batch)  # read several times below; the increment is the small side
     if not table.slice_column:
-        return table.replace(upsert(target, batch, key), run_id)
+        return snapshot.replace(upsert(target, batch, key), run_id)
     slice_of = table.slice_column
     touched = batch.select(slice_of)
     if slices_may_move:
@@ -112,13 +113,13 @@ def upsert_into(
     # Slices are months: few, whatever the number of rows.
     numbers = [row[0] for row in touched.distinct().collect()]
     if not numbers:
-        return table.replace_slices(batch, run_id, [])
-    return table.replace_slices(upsert(table.read(numbers), batch, key), run_id, numbers)
+        return snapshot.replace_slices(batch, run_id, [])
+    return snapshot.replace_slices(upsert(snapshot.read(numbers), batch, key), run_id, numbers)
 
 
 def append_into(table: VersionedTable, batch: DataFrame, run_id: str) -> bool:
-    """Append rows; nothing stored is rewritten."""
-    current = table.read()
-    if current is not None:
-        require_same_schema(current.schema, batch.schema)
-    return table.append(batch, run_id)
+    """Append rows; nothing stored is rewritten. False when this run was done before."""
+    snapshot = table.snapshot()
+    if snapshot.schema is not None:
+        require_same_schema(snapshot.schema, batch.schema)
+    return snapshot.append(batch, run_id)

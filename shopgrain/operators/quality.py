@@ -110,14 +110,13 @@ def select_layer(report: DataFrame, layer: str) -> DataFrame:
 
 
 def _row_check_counts(df: DataFrame, checks: Sequence[tuple[int, Check]]) -> DataFrame:
-    def failing(check: Check) -> Column:
+    def failing(check: Check) -> str:
         if check.test == NOT_NULL:
-            return F.col(check.column).isNull()
-        return _unaccepted(check.column, check.values)
+            return f"`{check.column}` IS NULL"
+        return f"`{check.column}` NOT IN ({_literals(check.values)})"
 
-    wide = df.agg(*[F.count_if(failing(c)).alias(f"c{i}") for i, c in checks])
-    pairs = F.array(*[F.struct(F.lit(i).alias("check_no"), F.col(f"c{i}").alias("failures")) for i, _ in checks])
-    return wide.select(F.inline(pairs))
+    wide = df.selectExpr(*[f"count_if({failing(c)}) AS c{i}" for i, c in checks])
+    return wide.selectExpr(_stack([(str(i), f"c{i}") for i, _ in checks], "check_no, failures"))
 
 
 def _key_check_counts(
@@ -128,43 +127,46 @@ def _key_check_counts(
     A key domain is an owning (layer, table, column). Slot 0 holds the owner's
     values, the other slots the columns that refer to it. Counting per
     (domain, value, slot) answers all of them: an owner count above one is a
-    repeat, a referring count without an owner is a set of orphans. Counts
-    combine before the shuffle, so a frequent value costs one row per task.
+    repeat, a referring count without an owner is a set of orphans. Each table
+    is scanned once for all its keys, and counts combine before the shuffle, so
+    a frequent value costs one row per task.
     """
     domains: dict[tuple[str, str, str], list[tuple[int, Check]]] = {}
     for number, check in checks:
         owner = check.parent if check.test == RELATIONSHIP else (*check.source, check.column)
         domains.setdefault(owner, []).append((number, check))
 
-    parts, answers = [], []
+    keys: dict[tuple[str, str], list[tuple[str, str, str]]] = {}  # table -> (domain, slot, value)
+    answers = []
     for domain, (owner, members) in enumerate(domains.items()):
-        parts.append(_values(tables[owner[:2]], owner[2], domain, 0))
-        references = [(n, c) for n, c in members if c.test == RELATIONSHIP]
-        answers += [(domain, 0, n) for n, c in members if c.test == UNIQUE]
+        keys.setdefault(owner[:2], []).append((str(domain), "0", f"CAST(`{owner[2]}` AS STRING)"))
+        answers += [(domain, 0, number) for number, c in members if c.test == UNIQUE]
+        references = [(number, c) for number, c in members if c.test == RELATIONSHIP]
         for slot, (number, check) in enumerate(references, start=1):
-            parts.append(_values(tables[check.source], check.column, domain, slot))
+            keys.setdefault(check.source, []).append((str(domain), str(slot), f"CAST(`{check.column}` AS STRING)"))
             answers.append((domain, slot, number))
-    slots = range(1, 1 + max((slot for _, slot, _ in answers), default=0))
+    slots = range(1 + max(slot for _, slot, _ in answers))
 
+    parts = [tables[source].selectExpr(_stack(rows, "domain, slot, value")) for source, rows in keys.items()]
     per_value = (
         reduce(DataFrame.unionAll, parts)
+        .where("value IS NOT NULL")
         .groupBy("domain", "value")
-        .agg(
-            F.count_if(F.col("slot") == 0).alias("owned"),
-            *[F.count_if(F.col("slot") == s).alias(f"s{s}") for s in slots],
-        )
+        .agg(*[F.expr(f"count_if(slot = {s}) AS n{s}") for s in slots])
     )
     per_domain = per_value.groupBy("domain").agg(
-        F.count_if(F.col("owned") > 1).alias("s0"),
-        *[F.sum(F.when(F.col("owned") == 0, F.col(f"s{s}")).otherwise(0)).alias(f"s{s}") for s in slots],
+        F.expr("count_if(n0 > 1) AS s0"),
+        *[F.expr(f"sum(IF(n0 = 0, n{s}, 0)) AS s{s}") for s in slots[1:]],
     )
-    pairs = F.array(*[F.struct(F.lit(s).alias("slot"), F.col(f"s{s}").alias("failures")) for s in (0, *slots)])
-    tall = per_domain.select("domain", F.inline(pairs))
+    tall = per_domain.selectExpr("domain", _stack([(str(s), f"s{s}") for s in slots], "slot, failures"))
     wanted = spark.createDataFrame(answers, "domain int, slot int, check_no int")
     return tall.join(wanted, ["domain", "slot"]).select("check_no", "failures")
 
 
-def _values(df: DataFrame, column: str, domain: int, slot: int) -> DataFrame:
-    return df.where(F.col(column).isNotNull()).select(
-        F.lit(domain).alias("domain"), F.lit(slot).alias("slot"), F.col(column).cast("string").alias("value")
-    )
+def _stack(rows: Sequence[tuple[str, ...]], names: str) -> str:
+    """SQL that turns one row into ``rows``, each a tuple of expressions."""
+    return f"stack({len(rows)}, {', '.join(', '.join(row) for row in rows)}) AS ({names})"
+
+
+def _literals(values: Sequence[str]) -> str:
+    return ", ".join("'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'" for value in values)

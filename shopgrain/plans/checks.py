@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopgrain.functions import money
+from shopgrain import schemas
 from shopgrain.operators.quality import ACCEPTED, NOT_NULL, RELATIONSHIP, UNIQUE, Check, run_checks
 from shopgrain.plans.increments import build_increments
 from shopgrain.plans.staging import build_staging
@@ -237,25 +237,34 @@ def orphan_items(order_items: DataFrame, orders: DataFrame) -> DataFrame:
     return items.join(orders.select("order_id"), "order_id", "left_anti").select("order_item_id", "order_id")
 
 
-def business_rules(raw: RawTables, stg_locations: DataFrame) -> dict[tuple[str, str, str], DataFrame]:
-    return {
-        (STAGING, "stg_locations", "quebec_language_requirements"): quebec_language_gaps(stg_locations),
-        (STAGING, "stg_locations", "quebec_transparent_pricing"): quebec_pricing_gaps(stg_locations),
-        (SOURCE, "order_items", "line_total_integrity"): line_total_gaps(raw.order_items),
-        (SOURCE, "order_items", "no_negative_financials"): financial_bound_gaps(raw.order_items),
-        (SOURCE, "order_items", "no_orphan_order_items"): orphan_items(raw.order_items, raw.orders),
-    }
+def business_rules(
+    raw: RawTables, stg_locations: DataFrame | None, layer: str | None = None
+) -> dict[tuple[str, str, str], DataFrame]:
+    """Failing rows by (layer, table, rule)."""
+    rules = {}
+    if layer in (None, STAGING):
+        rules[STAGING, "stg_locations", "quebec_language_requirements"] = quebec_language_gaps(stg_locations)
+        rules[STAGING, "stg_locations", "quebec_transparent_pricing"] = quebec_pricing_gaps(stg_locations)
+    if layer in (None, SOURCE):
+        items = raw.order_items
+        rules[SOURCE, "order_items", "line_total_integrity"] = line_total_gaps(items)
+        rules[SOURCE, "order_items", "no_negative_financials"] = financial_bound_gaps(items)
+        rules[SOURCE, "order_items", "no_orphan_order_items"] = orphan_items(items, raw.orders)
+    return rules
 
 
-def layer_tables(raw: RawTables, run_time: datetime) -> dict[tuple[str, str], DataFrame]:
+def layer_tables(
+    raw: RawTables, run_time: datetime, layers: Collection[str] = (SOURCE, STAGING, INCREMENTAL)
+) -> dict[tuple[str, str], DataFrame]:
     """Every checked table; the incremental ones with their first-run content."""
-    staging = build_staging(raw)
-    increments = build_increments(raw, run_time)
-    return {
-        **{(SOURCE, name): df for name, df in raw.as_dict().items()},
-        **{(STAGING, name): df for name, df in staging.items()},
-        **{(INCREMENTAL, name): df for name, df in increments.items()},
-    }
+    tables: dict[tuple[str, str], DataFrame] = {}
+    if SOURCE in layers:
+        tables |= {(SOURCE, name): raw[name] for name in schemas.RAW}
+    if STAGING in layers:
+        tables |= {(STAGING, name): df for name, df in build_staging(raw).items()}
+    if INCREMENTAL in layers:
+        tables |= {(INCREMENTAL, name): df for name, df in build_increments(raw, run_time).items()}
+    return tables
 
 
 def run_suite(
@@ -265,9 +274,13 @@ def run_suite(
     tables: Mapping[tuple[str, str], DataFrame] | None = None,
     layer: str | None = None,
 ) -> DataFrame:
-    """The report of all 153 checks, or of those of one layer; only these are run."""
-    tables = {**layer_tables(raw, run_time), **(tables or {})}
+    """The report of all 153 checks, or of those of one layer; only these are run.
+
+    ``tables`` replaces frames by (layer, name), for example the incremental
+    models by their stored tables.
+    """
     checks = [c for c in CHECKS if layer in (None, c.layer)]
-    rules = business_rules(raw, tables[STAGING, "stg_locations"])
-    rules = {key: df for key, df in rules.items() if layer in (None, key[0])}
-    return run_checks(spark, tables, checks, rules)
+    needed = {c.layer for c in checks} | {c.parent[0] for c in checks if c.parent}
+    found = {**layer_tables(raw, run_time, needed), **(tables or {})}
+    rules = business_rules(raw, found.get((STAGING, "stg_locations")), layer)
+    return run_checks(spark, found, checks, rules)

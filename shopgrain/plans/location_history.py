@@ -49,6 +49,7 @@ def run_snapshot(
     run_id: str,
     strategy: str = "timestamp",
 ) -> bool:
-    if table.has_run(run_id):
+    snapshot = table.snapshot()
+    if run_id in snapshot.runs:
         return False
-    return table.replace(snap_locations(table.read(), locations, exchange_rates, run_time, strategy), run_id)
+    return snapshot.replace(snap_locations(snapshot.read(), locations, exchange_rates, run_time, strategy), run_id)

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-from dataclasses import dataclass, fields
+from collections.abc import Callable, Mapping
+from functools import partial
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,20 +15,39 @@ SEED_FOLDER = Path(__file__).resolve().parent.parent / "seeds"
 _TIMESTAMP_FORMAT = "yyyy-MM-dd[ ]['T']HH:mm:ss[.SSSSSS]"
 
 
-@dataclass(frozen=True)
 class RawTables:
-    """The six raw tables and the exchange-rate seed, all lazy."""
+    """The six raw tables and the exchange-rate seed.
 
-    users: DataFrame
-    locations: DataFrame
-    products: DataFrame
-    orders: DataFrame
-    order_items: DataFrame
-    user_events: DataFrame
-    exchange_rates: DataFrame
+    A table is given as a frame or as a function that makes it; a function runs
+    at first use, so a query builds only the tables it reads.
+    """
+
+    NAMES = (*schemas.RAW, *schemas.SEEDS)
+
+    def __init__(self, spark: SparkSession, **tables: DataFrame | Callable[[], DataFrame]):
+        unknown = set(tables) ^ set(self.NAMES)
+        if unknown:
+            raise ValueError(f"unknown or missing raw tables: {sorted(unknown)}")
+        self.spark = spark
+        self._tables = tables
+
+    def __getitem__(self, name: str) -> DataFrame:
+        table = self._tables[name]
+        if not isinstance(table, DataFrame):
+            table = self._tables[name] = table()
+        return table
+
+    users = property(lambda self: self["users"])
+    locations = property(lambda self: self["locations"])
+    products = property(lambda self: self["products"])
+    orders = property(lambda self: self["orders"])
+    order_items = property(lambda self: self["order_items"])
+    user_events = property(lambda self: self["user_events"])
+    exchange_rates = property(lambda self: self["exchange_rates"])
 
-    def as_dict(self) -> dict[str, DataFrame]:
-        return {field.name: getattr(self, field.name) for field in fields(self)}
+    def replace(self, **tables: DataFrame | Callable[[], DataFrame]) -> RawTables:
+        """The same tables with some exchanged."""
+        return RawTables(self.spark, **{**self._tables, **tables})
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -69,10 +88,9 @@ def write_raw_csv(tables: Mapping[str, DataFrame], folder: str) -> None:
 def read_raw_csv(spark: SparkSession, folder: str, suffix: str = "") -> RawTables:
     """Scan the six raw tables; each is a CSV file or a folder of CSV files."""
     tables = {
-        name: read_csv(spark, f"{folder}/{name}{suffix}", schema)
-        for name, schema in schemas.RAW.items()
+        name: partial(read_csv, spark, f"{folder}/{name}{suffix}", schema) for name, schema in schemas.RAW.items()
     }
-    return RawTables(exchange_rates=exchange_rates(spark), **tables)
+    return RawTables(spark, exchange_rates=partial(exchange_rates, spark), **tables)
 
 
 def exchange_rates(spark: SparkSession, path: str | None = None) -> DataFrame:

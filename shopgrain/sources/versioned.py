@@ -14,10 +14,11 @@ One writer at a time.
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable
+import re
+from collections.abc import Iterable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,112 +35,113 @@ _COMMIT = T.StructType(
 )
 
 
-class VersionedTable:
-    """``slice_column`` must be an integer column of the stored frame."""
-
-    def __init__(self, spark: SparkSession, path: str, slice_column: str | None = None):
-        self.spark = spark
-        self.path = path.rstrip("/")
-        self.slice_column = slice_column
-
-    # -- commits ---------------------------------------------------------
-
-    def _commits(self) -> DataFrame | None:
-        try:
-            return self.spark.read.schema(_COMMIT).json(f"{self.path}/commits")
-        except AnalysisException as missing:
-            if missing.getCondition() == "PATH_NOT_FOUND":
-                return None
-            raise
+class Snapshot:
+    """The committed state of a table at one moment; also the base of one commit."""
 
-    def _state(self) -> tuple[int, set[str], dict[int, tuple[int, bool]], T.StructType | None]:
-        """Latest version, known runs, slice -> (version, filled), schema.
-
-        The log holds one row per slice a run replaced; slices are few (months),
-        never rows of the table.
-        """
-        commits = self._commits()
-        rows = [] if commits is None else commits.collect()
-        latest, current, schema_version, schema = 0, {}, 0, None
-        for row in rows:
-            latest = max(latest, row.version)
-            if row.slice not in current or current[row.slice][0] < row.version:
-                current[row.slice] = (row.version, row.filled)
-            if row.version > schema_version:
-                schema_version = row.version
-                schema = T.StructType.fromJson(json.loads(row.table_schema))
-        return latest, {row.run_id for row in rows}, current, schema
-
-    def has_run(self, run_id: str) -> bool:
-        return run_id in self._state()[1]
-
-    # -- reading ---------------------------------------------------------
+    def __init__(self, table: VersionedTable, commits: Sequence[Row]):
+        self.table = table
+        self.runs = {row.run_id for row in commits}
+        self.version = max((row.version for row in commits), default=0)
+        self.schema: T.StructType | None = None
+        self._current: dict[int, tuple[int, bool]] = {}  # slice -> (version, holds rows)
+        for row in sorted(commits, key=lambda row: row.version):
+            self._current[row.slice] = (row.version, row.filled)
+            self.schema = T.StructType.fromJson(json.loads(row.table_schema))
 
     def read(self, slices: Iterable[int] | None = None) -> DataFrame | None:
-        """The current rows, or None before the first commit."""
-        _, _, current, schema = self._state()
-        if schema is None:
+        """The rows, or None before the first commit."""
+        if self.schema is None:
             return None
         wanted = None if slices is None else set(slices)
         paths = [
-            self._folder(version, number)
-            for number, (version, filled) in sorted(current.items())
+            self.table.folder(version, number)
+            for number, (version, filled) in sorted(self._current.items())
             if filled and (wanted is None or number in wanted)
         ]
+        spark = self.table.spark
         if not paths:
-            return self.spark.createDataFrame([], schema)
-        reader = self.spark.read.schema(schema)
-        if self.slice_column:
-            reader = reader.option("basePath", f"{self.path}/data")
-        return reader.parquet(*paths).select(*schema.fieldNames())
-
-    def _folder(self, version: int, number: int) -> str:
-        folder = f"{self.path}/data/v={version}"
-        return f"{folder}/{self.slice_column}={number}" if self.slice_column else folder
-
-    # -- writing ---------------------------------------------------------
+            return spark.createDataFrame([], self.schema)
+        reader = spark.read.schema(self.schema)
+        if self.table.slice_column:
+            reader = reader.option("basePath", f"{self.table.path}/data")
+        return reader.parquet(*paths).select(*self.schema.fieldNames())
 
     def replace(self, df: DataFrame, run_id: str) -> bool:
         """Make ``df`` the whole content. False when this run was done before."""
-        return self._commit(df, run_id, drop_all=True)
+        return self._commit(df, run_id, {number for number, (_, filled) in self._current.items() if filled})
 
     def replace_slices(self, df: DataFrame, run_id: str, slices: Iterable[int]) -> bool:
         """Make ``df`` the content of ``slices`` (and of any other slice it holds)."""
-        if not self.slice_column:
+        if not self.table.slice_column:
             raise ValueError("the table has no slice column")
-        return self._commit(df, run_id, drop=set(slices))
+        return self._commit(df, run_id, set(slices))
 
     def append(self, df: DataFrame, run_id: str) -> bool:
         """Add ``df`` next to what is stored."""
-        if self.slice_column:
+        if self.table.slice_column:
             raise ValueError("a sliced table is written by replacing slices")
-        return self._commit(df, run_id)
+        return self._commit(df, run_id, set())
 
-    def _commit(self, df: DataFrame, run_id: str, drop: set[int] = frozenset(), drop_all: bool = False) -> bool:
-        latest, runs, current, _ = self._state()
-        if run_id in runs:
+    def _commit(self, df: DataFrame, run_id: str, dropped: set[int]) -> bool:
+        if run_id in self.runs:
             return False
-        version = latest + 1
-        folder = f"{self.path}/data/v={version}"
-        writer = df.write.mode("overwrite")
-        if self.slice_column:
-            writer = writer.partitionBy(self.slice_column)
-        writer.parquet(folder)
-        filled = self._slices_in(version, folder, df.schema)
-        dropped = {number for number, (_, held) in current.items() if held} if drop_all else set(drop)
+        version = self.version + 1
+        filled = self.table.write(df, version)
         schema = df.schema.json()
         rows = [(version, run_id, number, number in filled, schema) for number in sorted(dropped | filled)]
         if not rows:  # an empty run still counts as done, and gives a new table its schema
             rows = [(version, run_id, NO_SLICE, False, schema)]
-        log = self.spark.createDataFrame(rows, _COMMIT).coalesce(1)
-        log.write.mode("append").json(f"{self.path}/commits")
+        log = self.table.spark.createDataFrame(rows, _COMMIT).coalesce(1)
+        log.write.mode("append").json(f"{self.table.path}/commits")
         return True
 
-    def _slices_in(self, version: int, folder: str, schema: T.StructType) -> set[int]:
+
+class VersionedTable:
+    """``slice_column`` must be an integer column of the stored frame."""
+
+    def __init__(self, spark: SparkSession, path: str, slice_column: str | None = None):
+        self.spark = spark
+        self.path = path.rstrip("/")
+        self.slice_column = slice_column
+
+    def snapshot(self) -> Snapshot:
+        """Read the commit log: one row per slice a run replaced, never a row of the table."""
+        log = self.spark.read.schema(_COMMIT).json
+        try:
+            return Snapshot(self, log(f"{self.path}/commits").collect())
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return Snapshot(self, [])
+
+    def read(self) -> DataFrame | None:
+        """The current rows, or None before the first commit."""
+        return self.snapshot().read()
+
+    def replace(self, df: DataFrame, run_id: str) -> bool:
+        return self.snapshot().replace(df, run_id)
+
+    def append(self, df: DataFrame, run_id: str) -> bool:
+        return self.snapshot().append(df, run_id)
+
+    def folder(self, version: int, number: int) -> str:
+        folder = f"{self.path}/data/v={version}"
+        return f"{folder}/{self.slice_column}={number}" if self.slice_column else folder
+
+    def write(self, df: DataFrame, version: int) -> set[int]:
+        """Write the rows of a version that is not committed yet; returns its slices.
+
+        Rows are first brought together by slice, so a task writes few files;
+        the rebalance splits a large slice over several tasks.
+        """
+        folder = f"{self.path}/data/v={version}"
         if not self.slice_column:
+            df.write.mode("overwrite").parquet(folder)
             return {version}
-        written = self.spark.read.schema(schema).parquet(folder)
-        return {row[0] for row in written.select(self.slice_column).distinct().collect()}
+        by_slice = df.hint("rebalance", F.col(self.slice_column))
+        by_slice.write.mode("overwrite").partitionBy(self.slice_column).parquet(folder)
+        files = self.spark.read.schema(df.schema).parquet(folder).inputFiles()
+        return {int(number) for file in files for number in re.findall(rf"/{self.slice_column}=(-?\d+)/", file)}
 
 
 def month_number(column: str) -> F.Column:

@@ -7,11 +7,13 @@ shuffle, and unused columns never leave the parquet scan.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shopgrain.functions import money
 from shopgrain.sources.raw import RawTables, exchange_rates
 
 _L, _S, _D, _I, _TS = (
@@ -66,151 +68,114 @@ def read_file(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(file_schema(name)).parquet(f"{folder}/{name}.parquet")
 
 
-def _text(column: str) -> F.Column:
-    return F.col(column).cast("string")
-
-
-def _choose(index: F.Column, values: tuple[str, ...]) -> F.Column:
-    chosen = F.lit(values[-1])
-    for position, value in reversed(list(enumerate(values[:-1]))):
-        chosen = F.when(index == position, value).otherwise(chosen)
-    return chosen
+def _case(subject: str, values: Mapping[int, str], otherwise: str) -> str:
+    branches = " ".join(f"WHEN {key} THEN '{value}'" for key, value in values.items())
+    return f"CASE {subject} {branches} ELSE '{otherwise}' END"
 
 
 def users(customer: DataFrame) -> DataFrame:
-    key = F.col("c_custkey")
-    mailbox = F.when(key % 10 == 9, key - 1).otherwise(key)
-    hours = (key % 17520).cast("int")
-    return customer.select(
-        _text("c_custkey").alias("user_id"),
-        F.substring_index("c_name", "#", 1).alias("first_name"),
-        F.substring_index("c_name", "#", -1).alias("last_name"),
-        F.concat(F.lit("user"), mailbox.cast("string"), F.lit("@example.com")).alias("email"),
-        (F.lit("2023-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), hours)).alias(
-            "created_at"
-        ),
-        F.concat(F.lit("L"), _text("c_custkey")).alias("location_id"),
+    """Every tenth user registers with the email of the one before."""
+    return customer.selectExpr(
+        "CAST(c_custkey AS STRING) AS user_id",
+        "substring_index(c_name, '#', 1) AS first_name",
+        "substring_index(c_name, '#', -1) AS last_name",
+        "concat('user', CAST(IF(c_custkey % 10 = 9, c_custkey - 1, c_custkey) AS STRING), '@example.com') AS email",
+        "TIMESTAMP_NTZ'2023-01-01 00:00:00' + make_dt_interval(0, CAST(c_custkey % 17520 AS INT)) AS created_at",
+        "concat('L', CAST(c_custkey AS STRING)) AS location_id",
     )
 
 
 def locations(customer: DataFrame, nation: DataFrame) -> DataFrame:
-    key, nation_key, region = F.col("c_custkey"), F.col("n_nationkey"), F.col("n_regionkey")
-    country = F.when(region <= 2, "US").when(region == 3, "CA").otherwise("MX")
-    state = F.lit("WA")
-    for number, code in STATE_BY_NATION.items():
-        state = F.when(nation_key == number, code).otherwise(state)
-    zip_code = F.when(
-        nation_key == PUERTO_RICO_NATION,
-        F.concat(F.lit("009"), F.lpad((key % 100).cast("string"), 2, "0")),
-    ).otherwise((F.lit(10000) + key % 90000).cast("string"))
-    return customer.join(nation, customer.c_nationkey == nation.n_nationkey).select(
-        F.concat(F.lit("L"), _text("c_custkey")).alias("location_id"),
-        country.alias("country_code"),
-        F.when(region <= 2, "United States")
-        .when(region == 3, "Canada")
-        .otherwise("Mexico")
-        .alias("country_full_name"),
-        F.concat(F.lit("City "), nation_key.cast("string")).alias("city"),
-        F.concat(_text("c_custkey"), F.lit(" Main Street")).alias("address"),
-        zip_code.alias("zip_code"),
-        state.alias("state"),
+    return customer.join(nation, F.expr("c_nationkey = n_nationkey")).selectExpr(
+        "concat('L', CAST(c_custkey AS STRING)) AS location_id",
+        "CASE WHEN n_regionkey <= 2 THEN 'US' WHEN n_regionkey = 3 THEN 'CA' ELSE 'MX' END AS country_code",
+        "CASE WHEN n_regionkey <= 2 THEN 'United States' WHEN n_regionkey = 3 THEN 'Canada' ELSE 'Mexico' END"
+        " AS country_full_name",
+        "concat('City ', CAST(n_nationkey AS STRING)) AS city",
+        "concat(CAST(c_custkey AS STRING), ' Main Street') AS address",
+        f"IF(n_nationkey = {PUERTO_RICO_NATION}, concat('009', lpad(CAST(c_custkey % 100 AS STRING), 2, '0')),"
+        " CAST(10000 + c_custkey % 90000 AS STRING)) AS zip_code",
+        f"{_case('n_nationkey', STATE_BY_NATION, 'WA')} AS state",
     )
 
 
 def orders(source: DataFrame) -> DataFrame:
-    priority = F.col("o_orderpriority")
-    status = (
-        F.when(F.col("o_orderstatus") == "F", "delivered")
-        .when(F.col("o_orderstatus") == "O", "shipped")
-        .when(priority == "1-URGENT", "cancelled")
-        .when(priority == "2-HIGH", "pending_refund")
-        .otherwise("pending")
-    )
-    lag_days = (F.col("o_orderkey") % 30).cast("int")
-    return source.select(
-        _text("o_orderkey").alias("order_id"),
-        _text("o_custkey").alias("user_id"),
-        F.col("o_orderdate").alias("order_date"),
-        status.alias("order_status"),
-        _choose(F.col("o_orderkey") % 3, PAYMENT_METHODS).alias("payment_method"),
-        (F.col("o_orderdate") + F.make_dt_interval(lag_days)).alias("updated_at"),
+    return source.selectExpr(
+        "CAST(o_orderkey AS STRING) AS order_id",
+        "CAST(o_custkey AS STRING) AS user_id",
+        "o_orderdate AS order_date",
+        "CASE WHEN o_orderstatus = 'F' THEN 'delivered' WHEN o_orderstatus = 'O' THEN 'shipped'"
+        " WHEN o_orderpriority = '1-URGENT' THEN 'cancelled' WHEN o_orderpriority = '2-HIGH' THEN 'pending_refund'"
+        " ELSE 'pending' END AS order_status",
+        f"{_case('o_orderkey % 3', dict(enumerate(PAYMENT_METHODS[:-1])), PAYMENT_METHODS[-1])} AS payment_method",
+        "o_orderdate + make_dt_interval(CAST(o_orderkey % 30 AS INT)) AS updated_at",
     )
 
 
 def order_items(lineitem: DataFrame) -> DataFrame:
-    """The line number repeats within an order, so the key joins six columns."""
-    quantity = F.rint("l_quantity").cast("int")
-    price_cents = F.rint(F.col("l_extendedprice") * 100.0).cast("bigint")
-    kept = F.lit(money.UNITS) - money.to_units(F.col("l_discount"))
-    total_cents = money.divide_half_up(quantity * price_cents * kept, money.UNITS)
-    fault = F.when(F.col("l_orderkey") % 1000 == 0, 100).otherwise(0)
-    return lineitem.select(
-        F.concat_ws(
-            "-",
-            _text("l_orderkey"),
-            _text("l_linenumber"),
-            _text("l_partkey"),
-            _text("l_suppkey"),
-            price_cents.cast("string"),
-            F.date_format("l_shipdate", "yyyyMMdd"),
-        ).alias("order_item_id"),
-        _text("l_orderkey").alias("order_id"),
-        _text("l_partkey").alias("product_id"),
-        quantity.alias("quantity"),
-        F.col("l_extendedprice").alias("unit_price"),
-        F.col("l_discount").alias("discount"),
-        money.from_cents(total_cents + fault).alias("line_total"),
+    """The line number repeats within an order, so the key joins six columns.
+
+    The total is computed in whole cents; every thousandth order is a unit off.
+    """
+    return (
+        lineitem.selectExpr(
+            "*",
+            "CAST(rint(l_quantity) AS INT) AS quantity",
+            "CAST(rint(l_extendedprice * 100) AS BIGINT) AS price_cents",
+            "10000 - CAST(rint(l_discount * 10000) AS BIGINT) AS kept",
+        )
+        .selectExpr(
+            "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, price_cents,"
+            " unix_date(CAST(l_shipdate AS DATE))) AS order_item_id",
+            "CAST(l_orderkey AS STRING) AS order_id",
+            "CAST(l_partkey AS STRING) AS product_id",
+            "quantity",
+            "l_extendedprice AS unit_price",
+            "l_discount AS discount",
+            "((quantity * price_cents * kept + 5000) DIV 10000 + IF(l_orderkey % 1000 = 0, 100, 0)) / 100.0D AS line_total",
+        )
     )
 
 
 def products(part: DataFrame) -> DataFrame:
-    nothing = F.lit(None).cast("string")
-    return part.select(
-        F.col("p_name").alias("name"),
-        _choose(F.col("p_size") % 3, CATEGORIES).alias("category"),
-        nothing.alias("description"),
-        F.col("p_retailprice").alias("price"),
-        nothing.alias("dimensions"),
-        F.col("p_brand").alias("material"),
-        F.col("p_size").alias("stock"),
-        _text("p_partkey").alias("id"),
+    return part.selectExpr(
+        "p_name AS name",
+        f"{_case('p_size % 3', dict(enumerate(CATEGORIES[:-1])), CATEGORIES[-1])} AS category",
+        "CAST(NULL AS STRING) AS description",
+        "p_retailprice AS price",
+        "CAST(NULL AS STRING) AS dimensions",
+        "p_brand AS material",
+        "p_size AS stock",
+        "CAST(p_partkey AS STRING) AS id",
     )
 
 
 def user_events(events: DataFrame) -> DataFrame:
-    kind, key = F.col("event_type"), F.col("event_id")
-    on_product = ((kind == "view") & (key % 2 == 1)) | (kind == "click")
-    page = (
-        F.when(kind == "signup", "/signup")
-        .when(kind == "click", "/product/add_to_cart")
-        .when(kind == "purchase", "/checkout")
-        .when(on_product, "/product")
-        .when(kind == "view", "/catalog")
-        .otherwise("/error")
-    )
-    return events.select(
-        _text("event_id").alias("event_id"),
-        _text("user_id").alias("user_id"),
-        F.when(kind == "signup", "user_sign_up")
-        .when(kind == "view", "page_view")
-        .when(kind == "click", "add_to_cart")
-        .otherwise(kind)
-        .alias("event_type"),
-        F.col("ts").alias("event_timestamp"),
-        page.alias("page_url"),
-        F.when(on_product, (key % 200).cast("string")).alias("product_id"),
-        F.col("props").alias("additional_details"),
+    """Purchases and errors keep their type, which the accepted values do not know."""
+    return events.selectExpr(
+        "CAST(event_id AS STRING) AS event_id",
+        "CAST(user_id AS STRING) AS user_id",
+        "CASE event_type WHEN 'signup' THEN 'user_sign_up' WHEN 'view' THEN 'page_view' WHEN 'click' THEN 'add_to_cart'"
+        " ELSE event_type END AS event_type",
+        "ts AS event_timestamp",
+        "CASE WHEN event_type = 'signup' THEN '/signup' WHEN event_type = 'click' THEN '/product/add_to_cart'"
+        " WHEN event_type = 'purchase' THEN '/checkout' WHEN event_type = 'view' AND event_id % 2 = 1 THEN '/product'"
+        " WHEN event_type = 'view' THEN '/catalog' ELSE '/error' END AS page_url",
+        "IF(event_type = 'click' OR (event_type = 'view' AND event_id % 2 = 1), CAST(event_id % 200 AS STRING), NULL)"
+        " AS product_id",
+        "props AS additional_details",
     )
 
 
 def raw_tables(spark: SparkSession, folder: str) -> RawTables:
-    customer = read_file(spark, folder, "customer")
+    read = partial(read_file, spark, folder)
     return RawTables(
-        users=users(customer),
-        locations=locations(customer, read_file(spark, folder, "nation")),
-        products=products(read_file(spark, folder, "part")),
-        orders=orders(read_file(spark, folder, "orders")),
-        order_items=order_items(read_file(spark, folder, "lineitem")),
-        user_events=user_events(read_file(spark, folder, "events")),
-        exchange_rates=exchange_rates(spark),
+        spark,
+        users=lambda: users(read("customer")),
+        locations=lambda: locations(read("customer"), read("nation")),
+        products=lambda: products(read("part")),
+        orders=lambda: orders(read("orders")),
+        order_items=lambda: order_items(read("lineitem")),
+        user_events=lambda: user_events(read("events")),
+        exchange_rates=lambda: exchange_rates(spark),
     )
