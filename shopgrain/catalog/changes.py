@@ -185,10 +185,10 @@ def _moved(raw: RawTables) -> DataFrame:
 def _history(strategy: str):
     def build(raw: RawTables) -> DataFrame:
         spark = raw.spark
-        table = VersionedTable(spark, fresh_folder(spark, "location-history"))
+        table = location_history.history_table(spark, fresh_folder(spark, "location-history"))
         location_history.run_snapshot(table, raw.locations, raw.exchange_rates, RUN_TIME, "first", strategy)
         location_history.run_snapshot(table, _moved(raw), raw.exchange_rates, SECOND_RUN, "second", strategy)
-        return table.read()
+        return location_history.read_history(table)
 
     return build
 

@@ -310,7 +310,7 @@ def _scalar_functions(raw: RawTables) -> DataFrame:
         half_even_int(halves, "half_quantity").alias("half_even"),
         F.abs(F.col("discount") - 0.05).alias("distance"),
         F.lower("order_item_id").alias("lowered"),
-        money.rounded(money.to_units(F.col("unit_price") / 4.0)).alias("quarter"),
+        money.rounded(money.to_units(F.col("unit_price") / 4.0).cast("decimal(18,0)")).alias("quarter"),
         F.coalesce(F.when(F.col("discount") > 0, F.col("discount")), F.lit(1.0)).alias("discount_or_one"),
     )
 

@@ -1,8 +1,9 @@
 """Exact money arithmetic in whole-number units.
 
 Amounts arrive as doubles. A double sum depends on the order in which tasks
-deliver their rows, so sums run over 64-bit integers of 1/10000 of a currency
-unit: exact, order-free, and cheaper than wide decimals inside codegen.
+deliver their rows, so sums run over whole units of 1/10000 of a currency unit.
+A row's units fit 64 bits; totals are decimals of 28 and more digits, so that
+even the grand total of a very large table cannot overflow.
 """
 
 from __future__ import annotations
@@ -15,9 +16,20 @@ UNITS_PER_CENT = UNITS // 100
 
 
 def to_units(amount: Column) -> Column:
+    """Units of one row, 64 bits; a row beyond 10^14 currency units fails the query."""
     return F.rint(amount * F.lit(float(UNITS))).cast("bigint")
 
 
+def total_units(amount: Column) -> Column:
+    """Aggregate: the exact sum of amounts, as a decimal number of units."""
+    return F.sum(to_units(amount).cast("decimal(18,0)"))
+
+
+def units_to_cents(units: Column) -> Column:
+    """Decimal units to decimal cents, rounded half away from zero."""
+    return F.round(units / F.lit(UNITS_PER_CENT).cast("decimal(3,0)"), 0)
+
+
 def from_units(units: Column) -> Column:
     return units.cast("double") / F.lit(float(UNITS))
 
@@ -26,26 +38,17 @@ def from_cents(cents: Column) -> Column:
     return cents.cast("double") / F.lit(100.0)
 
 
-def whole_div(numerator: Column, denominator: Column) -> Column:
-    """64-bit integer division that truncates."""
-    return F.call_function("div", numerator, denominator)
+def rounded(units: Column) -> Column:
+    """Units as a double rounded to cents."""
+    return from_cents(units_to_cents(units))
 
 
 def divide_half_up(numerator: Column, denominator: Column | int) -> Column:
-    """Integer division rounded half away from zero; the denominator is positive."""
+    """Integer division rounded half away from zero, for whole numbers of any
+    width. The denominator is positive and the quotient fits 64 bits."""
     denominator = F.lit(denominator).cast("bigint") if isinstance(denominator, int) else denominator
-    return F.signum(numerator).cast("bigint") * whole_div(
-        F.abs(numerator) * 2 + denominator, denominator * 2
-    )
-
-
-def units_to_cents(units: Column) -> Column:
-    return divide_half_up(units, UNITS_PER_CENT)
-
-
-def rounded(units: Column) -> Column:
-    """Units as a double rounded to cents."""
-    return from_cents(units_to_cents(units))
+    quotient = F.call_function("div", F.abs(numerator) * 2 + denominator, denominator * 2)
+    return F.signum(numerator).cast("bigint") * quotient
 
 
 def share(part: Column, whole: Column) -> Column:

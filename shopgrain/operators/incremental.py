@@ -11,6 +11,8 @@ from pyspark.sql import types as T
 from shopgrain.session import durable
 from shopgrain.sources.versioned import VersionedTable
 
+BROADCAST_KEYS = 500_000  # ids of some 40 bytes: tens of MB per executor
+
 DRIFT = T.StructType(
     [
         T.StructField("column_name", T.StringType(), False),
@@ -48,12 +50,22 @@ def absent_from_target(source: DataFrame, target: DataFrame | None, key: str) ->
     return source.join(target.select(key), key, "left_anti")
 
 
-def upsert(target: DataFrame | None, batch: DataFrame, key: str) -> DataFrame:
+def upsert(target: DataFrame | None, batch: DataFrame, key: str, batch_keys: DataFrame | None = None) -> DataFrame:
     """The batch replaces target rows of the same key; repeats inside the batch stay."""
     if target is None:
         return batch
-    kept = target.join(batch.select(key), key, "left_anti")
-    return kept.unionByName(batch)
+    keys = batch.select(key) if batch_keys is None else batch_keys
+    return target.join(keys, key, "left_anti").unionByName(batch)
+
+
+def small_keys(batch: DataFrame, key: str, limit: int = BROADCAST_KEYS) -> DataFrame:
+    """The distinct keys of a stored batch, marked for broadcast when they are few.
+
+    The count decides: up to ``limit`` keys the large target is not shuffled to
+    find its matches; beyond that the join is left to Spark.
+    """
+    keys = batch.select(key).where(F.col(key).isNotNull()).distinct()
+    return F.broadcast(keys) if keys.count() <= limit else keys
 
 
 def latest_per_key(df: DataFrame, key: str, order: list[str]) -> DataFrame:
@@ -103,18 +115,19 @@ def upsert_into(
         return snapshot.replace(batch, run_id)
     require_same_schema(target.schema, batch.schema)
     batch = durable(batch)  # read several times below; the increment is the small side
+    keys = small_keys(batch, key)
     if not table.slice_column:
-        return snapshot.replace(upsert(target, batch, key), run_id)
+        return snapshot.replace(upsert(target, batch, key, keys), run_id)
     slice_of = table.slice_column
     touched = batch.select(slice_of)
     if slices_may_move:
-        held = target.select(key, slice_of).join(batch.select(key), key, "left_semi")
+        held = target.select(key, slice_of).join(keys, key, "left_semi")
         touched = touched.unionAll(held.select(slice_of))
     # Slices are months: few, whatever the number of rows.
     numbers = [row[0] for row in touched.distinct().collect()]
     if not numbers:
         return snapshot.replace_slices(batch, run_id, [])
-    return snapshot.replace_slices(upsert(snapshot.read(numbers), batch, key), run_id, numbers)
+    return snapshot.replace_slices(upsert(snapshot.read(numbers), batch, key, keys), run_id, numbers)
 
 
 def append_into(table: VersionedTable, batch: DataFrame, run_id: str) -> bool:

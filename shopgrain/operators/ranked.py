@@ -21,7 +21,7 @@ def running_totals(
     """Add ``position``, ``rows_total`` and, per measure, ``<m>_running`` and ``<m>_total``.
 
     ``order`` must be a total order: ties would let the range bounds cut a
-    group of equal rows arbitrarily. Measures are integers.
+    group of equal rows arbitrarily. Measures are whole numbers, so sums are exact.
 
     The slice number is a property of one execution's range bounds, so the
     sliced rows are written out once before they are used twice.
@@ -87,7 +87,12 @@ def histogram(df: DataFrame, column: str, bins: int = 40, half_unit: int = 50) -
     The last bin is closed on the right. When all values are equal, the range
     is widened by ``half_unit`` on both sides, as the usual plotting rule does.
     """
-    values = df.where(F.col(column).isNotNull()).select(F.col(column).cast("bigint").alias("value"))
+    # One pass over the source: the value frequencies are kept and read twice.
+    values = durable(
+        df.where(F.col(column).isNotNull())
+        .groupBy(F.col(column).cast("decimal(28,0)").alias("value"))
+        .agg(F.count("*").alias("n"))
+    )
     same = F.min("value") == F.max("value")
     span = values.agg(
         (F.min("value") - F.when(same, half_unit).otherwise(0)).alias("low"),
@@ -95,9 +100,7 @@ def histogram(df: DataFrame, column: str, bins: int = 40, half_unit: int = 50) -
     )
     low, high = span.select("low").scalar(), span.select("high").scalar()
     position = F.call_function("div", (F.col("value") - low) * bins, high - low)
-    counts = (
-        values.select(F.least(position, F.lit(bins - 1)).alias("bin")).groupBy("bin").agg(F.count("*").alias("n"))
-    )
+    counts = values.groupBy(F.least(position, F.lit(bins - 1)).alias("bin")).agg(F.sum("n").alias("n"))
     edges = (
         df.sparkSession.range(bins)
         .select(F.col("id").alias("bin"))

@@ -38,7 +38,7 @@ def order_revenue_in_usd(raw: RawTables, amounts_in: str = "local") -> DataFrame
         .join(places.select("location_id", "currency_code", "exchange_rate_to_usd"), "location_id", "left")
         .drop("location_id")
     )
-    amount = F.col("units").cast("decimal(18,0)")
+    amount = F.col("units").cast("decimal(28,0)")
     rate = F.col("exchange_rate_to_usd").cast("decimal(10,6)")
     if amounts_in == "local":
         converted, name = amount * rate, "revenue_usd"
@@ -46,14 +46,13 @@ def order_revenue_in_usd(raw: RawTables, amounts_in: str = "local") -> DataFrame
         converted, name = F.try_divide(amount, rate), "revenue_local"
     else:
         raise ValueError(f"unknown currency side {amounts_in!r}")
-    cents = F.round(converted / F.lit(money.UNITS_PER_CENT).cast("decimal(3,0)"), 0).cast("bigint")
     return order_values(raw).join(buyers, "user_id", "left").select(
         "order_id",
         "user_id",
         "currency_code",
         "exchange_rate_to_usd",
         money.rounded(F.col("units")).alias("revenue"),
-        money.from_cents(cents).alias(name),
+        money.rounded(converted).alias(name),
     )
 
 

@@ -75,7 +75,15 @@ def run_order_items(table: VersionedTable, raw: RawTables, run_id: str, run_time
 
 
 def run_user_events(table: VersionedTable, raw: RawTables, run_id: str) -> bool:
-    batch = user_events_batch(raw.user_events, raw.users, raw.locations, table.read())
+    return add_user_events(table, raw.user_events, raw.users, raw.locations, run_id)
+
+
+def add_user_events(
+    table: VersionedTable, user_events: DataFrame, users: DataFrame, locations: DataFrame, run_id: str
+) -> bool:
+    """One run of the events increment. The slices are event months, so the
+    newest event is in the last slice, and only that one is searched."""
+    batch = user_events_batch(user_events, users, locations, table.snapshot().read_newest_slice())
     return upsert_into(table, batch.withColumn(SLICE, month_number("event_timestamp")), EVENTS_KEY, run_id)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopgrain.functions import region
@@ -13,6 +13,7 @@ from shopgrain.plans.staging import with_currency
 from shopgrain.sources.versioned import VersionedTable
 
 KEY, MOMENT = "location_id", "snapshot_timestamp"
+SLICE, OPEN = "slice_closed", 0
 
 
 def location_snapshot(locations: DataFrame, exchange_rates: DataFrame, run_time: datetime) -> DataFrame:
@@ -41,6 +42,12 @@ def snap_locations(
     return next_versions(history, location_snapshot(locations, exchange_rates, run_time), KEY, MOMENT, strategy)
 
 
+def history_table(spark: SparkSession, path: str) -> VersionedTable:
+    """Open versions share one slice; the versions a run closes get a slice of
+    their own, which no later run reads or rewrites."""
+    return VersionedTable(spark, path, SLICE)
+
+
 def run_snapshot(
     table: VersionedTable,
     locations: DataFrame,
@@ -49,7 +56,18 @@ def run_snapshot(
     run_id: str,
     strategy: str = "timestamp",
 ) -> bool:
+    """One snapshot run. False when this run was done before."""
     snapshot = table.snapshot()
     if run_id in snapshot.runs:
         return False
-    return snapshot.replace(snap_locations(snapshot.read(), locations, exchange_rates, run_time, strategy), run_id)
+    still_open = snapshot.read([OPEN])
+    still_open = None if still_open is None else still_open.drop(SLICE)
+    after = snap_locations(still_open, locations, exchange_rates, run_time, strategy)
+    closed_here = OPEN + snapshot.version + 1
+    sliced = after.withColumn(SLICE, F.when(F.col("is_current"), OPEN).otherwise(closed_here))
+    return snapshot.replace_slices(sliced, run_id, [OPEN])
+
+
+def read_history(table: VersionedTable) -> DataFrame | None:
+    history = table.read()
+    return None if history is None else history.drop(SLICE)

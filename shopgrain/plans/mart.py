@@ -39,7 +39,7 @@ def dim_users(stg_users: DataFrame, stg_locations: DataFrame) -> DataFrame:
 def order_totals(stg_order_items: DataFrame) -> DataFrame:
     """Per order: amount in money units, pieces and lines."""
     return stg_order_items.groupBy("order_id").agg(
-        F.sum(money.to_units(F.col("line_total"))).alias("total_units"),
+        money.total_units(F.col("line_total")).alias("total_units"),
         F.sum(F.col("quantity").cast("bigint")).alias("total_items"),
         F.count("*").alias("num_line_items"),
     )

@@ -24,7 +24,7 @@ TOP_STATES = 15
 def order_values(raw: RawTables) -> DataFrame:
     """Orders that have items, with their value in money units."""
     per_order = raw.order_items.groupBy("order_id").agg(
-        F.sum(money.to_units(F.col("line_total"))).alias("units")
+        money.total_units(F.col("line_total")).alias("units")
     )
     return raw.orders.join(per_order, "order_id")
 
@@ -212,13 +212,12 @@ def category_performance(raw: RawTables) -> DataFrame:
     Items are summed per product before the join, so the join moves one row per
     product and a best-seller is one row per task.
     """
-    price, discount = money.to_units(F.col("unit_price")), money.to_units(F.col("discount"))
     per_product = raw.order_items.groupBy("product_id").agg(
         F.count("order_item_id").alias("items"),
-        F.sum(money.to_units(F.col("line_total"))).alias("units"),
-        F.sum(price).alias("price_units"),
+        money.total_units(F.col("line_total")).alias("units"),
+        money.total_units(F.col("unit_price")).alias("price_units"),
         F.count("unit_price").alias("prices"),
-        F.sum(discount).alias("discount_units"),
+        money.total_units(F.col("discount")).alias("discount_units"),
         F.count("discount").alias("discounts"),
     )
     products = raw.products.select(F.col("id").alias("product_id"), "category")

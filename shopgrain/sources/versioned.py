@@ -66,6 +66,10 @@ class Snapshot:
             reader = reader.option("basePath", f"{self.table.path}/data")
         return reader.parquet(*paths).select(*self.schema.fieldNames())
 
+    def read_newest_slice(self) -> DataFrame | None:
+        """Only the slice with the highest number, such as the last month."""
+        return self.read([max((n for n, (_, filled) in self._current.items() if filled), default=NO_SLICE)])
+
     def replace(self, df: DataFrame, run_id: str) -> bool:
         """Make ``df`` the whole content. False when this run was done before."""
         return self._commit(df, run_id, {number for number, (_, filled) in self._current.items() if filled})

@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from shopgrain.operators.incremental import newer_than_target, upsert_into
-from shopgrain.plans.increments import EVENTS_KEY, SLICE
-from shopgrain.plans.staging import flag_quebec_events
-from shopgrain.sources.versioned import VersionedTable, month_number
+from shopgrain.plans.increments import EVENTS_KEY, add_user_events
+from shopgrain.sources.versioned import VersionedTable
+
+SALTS = 16
 
 
 def file_stream(
@@ -39,34 +39,43 @@ def stream_user_events(
 ) -> StreamingQuery:
     """Keep the incremental event table up to date from a stream of raw events.
 
-    The Quebec flag is a stream-static join. Each micro-batch takes only events
-    newer than the table's newest (late ones are dropped, as in the batch
-    model), and is committed under its own id, so a batch that is replayed
+    Each micro-batch is one run of the batch model: events newer than the
+    table's newest (late ones are dropped) are joined with the static users and
+    locations. It is committed under its own id, so a batch that is replayed
     after a failure changes nothing.
     """
-    flagged = flag_quebec_events(events, users, locations).withColumn(SLICE, month_number("event_timestamp"))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        new = newer_than_target(batch, table.read(), "event_timestamp")
-        upsert_into(table, new, EVENTS_KEY, f"{run_name}-{batch_id}")
+        add_user_events(table, batch, users, locations, f"{run_name}-{batch_id}")
 
     return (
-        flagged.writeStream.foreachBatch(write)
+        events.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
 
 
-def deduplicated(events: DataFrame, lateness: str = "1 hour") -> DataFrame:
+def deduplicated(events: DataFrame, lateness: str = "1 hour", salts: int = SALTS) -> DataFrame:
     """One row per event_id among copies that arrive within ``lateness``.
 
+    Two steps: the first drops copies within (event_id, salt), so an event that
+    is sent over and over is spread over ``salts`` tasks and at most that many
+    copies reach the second. The salt only spreads work; which copy survives
+    may differ, and copies are equal. ``salts=1`` leaves the first step out.
+
     The watermark needs a zoned timestamp, so the event time is cast under the
     session zone (UTC) for the watermark and given back unchanged.
     """
     marked = events.withColumn("__event_time", F.col("event_timestamp").cast("timestamp")).withWatermark(
         "__event_time", lateness
     )
+    if salts > 1:
+        marked = (
+            marked.withColumn("__salt", F.pmod(F.monotonically_increasing_id(), F.lit(salts)))
+            .dropDuplicatesWithinWatermark([EVENTS_KEY, "__salt"])
+            .drop("__salt")
+        )
     return marked.dropDuplicatesWithinWatermark([EVENTS_KEY]).drop("__event_time")
 
 

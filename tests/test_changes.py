@@ -234,8 +234,24 @@ def test_unknown_strategy(frame, rates):
         location_history.snap_locations(first, places(frame, a="NY"), rates, at(2), "guess")
 
 
-def test_stored_snapshot_runs_once(spark, frame, rates, folder):
-    table = VersionedTable(spark, folder)
-    for run, day in (("r1", 1), ("r2", 2), ("r2", 3)):
+def test_stored_snapshot_runs_once_and_leaves_closed_versions_alone(spark, frame, rates, folder):
+    table = location_history.history_table(spark, folder)
+    assert location_history.read_history(table) is None
+    closed = set()
+    for run, day in (("r1", 1), ("r2", 2), ("r2", 3), ("r3", 3)):
         location_history.run_snapshot(table, places(frame, a="NY"), rates, at(day), run)
-    assert rows(table.read(), "valid_from", "valid_to") == [(at(1), at(2)), (at(2), None)]
+        files = set(table.read().inputFiles())
+        assert closed <= files
+        closed = {f for f in files if f"{location_history.SLICE}=0" not in f}
+    stored = location_history.read_history(table)
+    assert rows(stored, "valid_from", "valid_to") == [(at(1), at(2)), (at(2), at(3)), (at(3), None)]
+    whole = None
+    for day in (1, 2, 3):
+        whole = location_history.snap_locations(whole, places(frame, a="NY"), rates, at(day))
+    assert rows(stored) == rows(whole)
+
+
+def test_upsert_of_many_keys_is_not_forced_into_a_broadcast(spark):
+    batch = spark.range(50).select(F.col("id").cast("string").alias("k"))
+    few, many = (incremental.small_keys(batch, "k", limit)._jdf.queryExecution().analyzed().toString() for limit in (50, 49))
+    assert "strategy=broadcast" in few and "broadcast" not in many

@@ -1,5 +1,6 @@
 from decimal import ROUND_HALF_UP, Decimal
 
+import pytest
 from conftest import rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -24,13 +25,13 @@ def test_divide_half_up_agrees_with_decimal(spark, pairs):
 @given(st.lists(st.integers(-(10**9), 10**9), min_size=1, max_size=200))
 def test_sums_are_exact_and_order_free(spark, cents):
     df = spark.createDataFrame([(c / 100,) for c in cents], "x double").repartition(7)
-    units = df.agg(F.sum(money.to_units(F.col("x"))).alias("u"))
+    units = df.agg(money.total_units(F.col("x")).alias("u"))
     assert units.select(money.rounded(F.col("u"))).first()[0] == sum(cents) / 100
 
 
 def test_rounding_goes_up_at_the_half_cent(spark):
     df = spark.createDataFrame([(1.005,), (2.675,), (-1.005,)], "x double")
-    out = df.select(money.rounded(money.to_units(F.col("x"))).alias("r"))
+    out = df.select(money.rounded(money.to_units(F.col("x")).cast("decimal(18,0)")).alias("r"))
     assert sorted(r.r for r in out.collect()) == [-1.01, 1.01, 2.68]
 
 
@@ -44,3 +45,10 @@ def test_integer_cast_rounds_half_to_even(spark):
     assert rows(df.select(half_even_int(df, "quantity"))) == [(2,), (2,), (4,), (None,)]
     text = spark.createDataFrame([("1.5",)], "quantity string")
     assert rows(text.select(half_even_int(text, "quantity"))) == [(2,)]
+
+
+def test_totals_beyond_64_bits(spark):
+    df = spark.range(30).select((F.lit(9.0e13) + F.col("id") * 0.01).alias("x"))
+    total = df.groupBy().agg(money.total_units(F.col("x")).alias("u"))
+    assert total.first().u == sum(Decimal(9 * 10**17 + i * 100) for i in range(30))
+    assert total.select(money.rounded(F.col("u"))).first()[0] == pytest.approx(2.7e15)
