@@ -72,7 +72,7 @@ def deduplicated(events: DataFrame, lateness: str = "1 hour", salts: int = SALTS
     )
     if salts > 1:
         marked = (
-            marked.withColumn("__salt", F.pmod(F.monotonically_increasing_id(), F.lit(salts)))
+            marked.withColumn("__salt", F.floor(F.rand() * salts))
             .dropDuplicatesWithinWatermark([EVENTS_KEY, "__salt"])
             .drop("__salt")
         )

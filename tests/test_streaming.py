@@ -1,5 +1,6 @@
 from datetime import datetime
 
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -51,11 +52,12 @@ def test_a_replayed_batch_changes_nothing(spark, frame, folder):
     assert rows(table.read(), "event_id") == [("1",)]
 
 
-def test_deduplication_within_the_watermark(spark, frame, folder):
+@pytest.mark.parametrize("salts", [1, 4])
+def test_deduplication_within_the_watermark(spark, frame, folder, salts):
     def run(*given):
         events(frame, *given).coalesce(1).write.mode("append").parquet(f"{folder}/in")
         source = file_stream(spark, f"{folder}/in", schemas.USER_EVENTS)
-        write_stream(deduplicated(source, "1 hour"), f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
+        write_stream(deduplicated(source, "1 hour", salts), f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
         return rows(spark.read.schema(schemas.USER_EVENTS).parquet(f"{folder}/out"), "event_id", "event_timestamp")
 
     assert run(("1", "q", at(1)), ("1", "q", at(1)), ("2", "q", at(1, 1))) == [("1", at(1)), ("2", at(1, 1))]
@@ -63,6 +65,15 @@ def test_deduplication_within_the_watermark(spark, frame, folder):
     assert len(run(("4", "q", at(2)))) == 3  # far behind the watermark: dropped
 
 
+def test_a_much_repeated_event_comes_out_once(spark, frame, folder):
+    one = events(frame, ("1", "q", at(1)))
+    many = one.crossJoin(spark.range(5000)).drop("id").unionByName(events(frame, ("2", "q", at(1))))
+    many.repartition(4).write.parquet(f"{folder}/in")
+    source = file_stream(spark, f"{folder}/in", schemas.USER_EVENTS)
+    write_stream(deduplicated(source), f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
+    assert rows(spark.read.schema(schemas.USER_EVENTS).parquet(f"{folder}/out"), "event_id") == [("1",), ("2",)]
+
+
 def test_order_stream_keeps_the_newest_version(spark, frame, folder):
     users, places = people(frame)
     table = increments.orders_table(spark, f"{folder}/table")
