@@ -163,7 +163,7 @@ add(
 )
 add(
     "m14_fct_user_events",
-    lambda raw: mart.fct_user_events(staging.stg_user_events(raw), staging.stg_products(raw.products)),
+    lambda raw: mart.fct_user_events(staging.typed_user_events(raw.user_events), staging.stg_products(raw.products)),
     "SELECT e.event_id, e.user_id, e.event_type, e.event_timestamp, e.page_url, e.product_id, p.product_name,"
     " p.category, e.additional_details"
     " FROM stg_user_events e LEFT JOIN stg_products p ON e.product_id = p.product_id",

@@ -50,7 +50,7 @@ add(
 
 
 def _event_products(raw: RawTables) -> DataFrame:
-    facts = mart.fct_user_events(staging.stg_user_events(raw), staging.stg_products(raw.products))
+    facts = mart.fct_user_events(staging.typed_user_events(raw.user_events), staging.stg_products(raw.products))
     return facts.select("event_id", "product_id", "product_name")
 
 

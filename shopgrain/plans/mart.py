@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from shopgrain.functions import money
 from shopgrain.operators.keyed import lookup
+from shopgrain.plans.staging import build_staging, typed_user_events
+from shopgrain.sources.raw import RawTables
 
 
 def dim_products(stg_products: DataFrame) -> DataFrame:
@@ -71,10 +73,14 @@ def fct_order_items(stg_order_items: DataFrame, stg_orders: DataFrame, stg_produ
     )
 
 
-def fct_user_events(stg_user_events: DataFrame, stg_products: DataFrame) -> DataFrame:
-    """Events with their product; most events have none and keep NULLs."""
+def fct_user_events(user_events: DataFrame, stg_products: DataFrame) -> DataFrame:
+    """Events with their product; most events have none and keep NULLs.
+
+    The fact drops the Quebec flag, so it is best given the typed events: the
+    join with users, keyed by their unique id, would only cost a shuffle.
+    """
     named = stg_products.select("product_id", "product_name", "category")
-    return lookup(stg_user_events, named, "product_id", "product_id", spread_by="event_id").select(
+    return lookup(user_events, named, "product_id", "product_id", spread_by="event_id").select(
         "event_id",
         "user_id",
         "event_type",
@@ -87,8 +93,9 @@ def fct_user_events(stg_user_events: DataFrame, stg_products: DataFrame) -> Data
     )
 
 
-def build_mart(staging: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+def build_mart(raw: RawTables, staging: Mapping[str, DataFrame] | None = None) -> dict[str, DataFrame]:
     """All mart models, lazy. They read the staging views, not the incremental tables."""
+    staging = staging or build_staging(raw)
     return {
         "dim_products": dim_products(staging["stg_products"]),
         "dim_users": dim_users(staging["stg_users"], staging["stg_locations"]),
@@ -96,5 +103,5 @@ def build_mart(staging: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
         "fct_order_items": fct_order_items(
             staging["stg_order_items"], staging["stg_orders"], staging["stg_products"]
         ),
-        "fct_user_events": fct_user_events(staging["stg_user_events"], staging["stg_products"]),
+        "fct_user_events": fct_user_events(typed_user_events(raw.user_events), staging["stg_products"]),
     }

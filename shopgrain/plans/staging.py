@@ -129,8 +129,9 @@ def flag_quebec_events(events: DataFrame, users: DataFrame, locations: DataFrame
     )
 
 
-def stg_user_events(raw: RawTables) -> DataFrame:
-    events = raw.user_events.select(
+def typed_user_events(user_events: DataFrame) -> DataFrame:
+    """Events with their time cast, before the Quebec flag."""
+    return user_events.select(
         "event_id",
         "user_id",
         "event_type",
@@ -139,7 +140,10 @@ def stg_user_events(raw: RawTables) -> DataFrame:
         "product_id",
         "additional_details",
     )
-    return flag_quebec_events(events, raw.users, raw.locations)
+
+
+def stg_user_events(raw: RawTables) -> DataFrame:
+    return flag_quebec_events(typed_user_events(raw.user_events), raw.users, raw.locations)
 
 
 def build_staging(raw: RawTables) -> dict[str, DataFrame]:

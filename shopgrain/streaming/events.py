@@ -14,19 +14,14 @@ SALTS = 16
 
 
 def file_stream(
-    spark: SparkSession,
-    folder: str,
-    schema: StructType,
-    pattern: str | None = None,
-    files_per_batch: int | None = None,
+    spark: SparkSession, path: str, schema: StructType, files_per_batch: int | None = None
 ) -> DataFrame:
-    """A stream over the parquet files of a folder, oldest first."""
+    """A stream over parquet files, oldest first. ``path`` is a folder or a glob;
+    a glob such as ``events.parquet*`` takes a single file as well as a folder of parts."""
     reader = spark.readStream.schema(schema)
-    if pattern:
-        reader = reader.option("pathGlobFilter", pattern)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(folder)
+    return reader.parquet(path)
 
 
 def stream_user_events(

@@ -95,8 +95,9 @@ def test_event_facts_keep_events_without_product(spark, frame, rates):
         user_events=frame("user_events", dict(event_id="1", product_id="p"), dict(event_id="2"), dict(event_id="3", product_id="x")),
         products=frame("products", dict(id="p", name="Lamp"), dict(id=None, name="Nothing")),
     )
-    out = mart.fct_user_events(staging.stg_user_events(tables), staging.stg_products(tables.products))
-    assert rows(out, "event_id", "product_name") == [("1", "Lamp"), ("2", None), ("3", None)]
+    for events in (staging.typed_user_events(tables.user_events), staging.stg_user_events(tables)):
+        out = mart.fct_user_events(events, staging.stg_products(tables.products))
+        assert rows(out, "event_id", "product_name") == [("1", "Lamp"), ("2", None), ("3", None)]
     assert out.columns == [
         "event_id", "user_id", "event_type", "event_timestamp", "page_url", "product_id", "product_name", "category",
         "additional_details",
@@ -105,7 +106,7 @@ def test_event_facts_keep_events_without_product(spark, frame, rates):
 
 def test_timestamps_stay_without_zone(spark, frame, rates):
     tables = raw(spark, frame, rates)
-    for name, df in {**staging.build_staging(tables), **mart.build_mart(staging.build_staging(tables))}.items():
+    for name, df in {**staging.build_staging(tables), **mart.build_mart(tables)}.items():
         assert "timestamp" not in {kind for _, kind in df.dtypes}, name
 
 

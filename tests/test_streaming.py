@@ -2,8 +2,6 @@ from datetime import datetime
 
 import pytest
 from conftest import rows
-from pyspark.sql import functions as F
-
 from shopgrain import schemas
 from shopgrain.plans import increments
 from shopgrain.streaming.events import deduplicated, file_stream, stream_user_events, write_stream
@@ -91,7 +89,11 @@ def test_order_stream_keeps_the_newest_version(spark, frame, folder):
     assert run(("2", at(4), "delivered"), ("1", at(2), "stale")) == [("1", "shipped", "QC"), ("2", "delivered", "QC")]
 
 
-def test_streams_are_not_collected(spark, frame, folder):
-    events(frame, ("1", "q", at(1))).write.parquet(f"{folder}/in")
-    source = file_stream(spark, f"{folder}/in", schemas.USER_EVENTS, pattern="*.parquet")
-    assert source.isStreaming and deduplicated(source).where(F.lit(True)).isStreaming
+def test_a_glob_takes_a_file_or_a_folder(spark, frame, folder):
+    events(frame, ("1", "q", at(1))).coalesce(1).write.parquet(f"{folder}/events.parquet")
+    file = spark.read.parquet(f"{folder}/events.parquet").inputFiles()[0]
+    for n, path in enumerate((f"{folder}/events.parquet*", file.replace(".snappy.parquet", "*"))):
+        source = file_stream(spark, path, schemas.USER_EVENTS)
+        assert source.isStreaming
+        write_stream(source, f"{folder}/out{n}", f"{folder}/checkpoint{n}").awaitTermination()
+        assert spark.read.parquet(f"{folder}/out{n}").count() == 1
