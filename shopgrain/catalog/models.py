@@ -13,7 +13,7 @@ from shopgrain.catalog.registry import add, add_on_folder
 from shopgrain.functions import money, region
 from shopgrain.functions.numeric import half_even_int
 from shopgrain.plans import mart, staging
-from shopgrain.plans.checks import quebec_language_gaps
+from shopgrain.plans.checks import expected_line_total, quebec_language_gaps
 from shopgrain.session import fresh_folder
 from shopgrain.sources import warehouse
 from shopgrain.sources.ingest import ingest_folder
@@ -240,15 +240,13 @@ add(
 )
 add(
     "e14_all_location_columns",
-    lambda raw: _locations(raw).where("is_quebec_compliant_required OR is_excluded_supply_chain").select("*"),
-    "SELECT * FROM stg_locations WHERE is_quebec_compliant_required OR is_excluded_supply_chain",
+    lambda raw: _locations(raw).select("*"),
+    "SELECT * FROM stg_locations",
 )
 
 
 def _expected_totals(raw: RawTables) -> DataFrame:
-    from shopgrain.plans.checks import _expected_line_total
-
-    expected = _expected_line_total()
+    expected = expected_line_total()
     return raw.order_items.select(
         "order_item_id",
         expected.alias("expected_line_total"),

@@ -98,6 +98,7 @@ add(
     "SELECT order_id, user_id FROM raw_orders o WHERE NOT EXISTS"
     " (SELECT 1 FROM raw_order_items i WHERE i.order_id = o.order_id)",
 )
+# The test tables have no orphans, so j11 and f8 check against a parent that lacks some rows.
 add(
     "j11_referential",
     lambda raw: quality.orphan_rows(

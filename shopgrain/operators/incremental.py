@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shopgrain.session import durable
-from shopgrain.sources.versioned import VersionedTable
+from shopgrain.sources.versioned import Snapshot, VersionedTable
 
 BROADCAST_KEYS = 500_000  # ids of some 40 bytes: tens of MB per executor
 
@@ -98,7 +98,7 @@ def require_same_schema(expected: T.StructType, actual: T.StructType) -> None:
 
 
 def upsert_into(
-    table: VersionedTable, batch: DataFrame, key: str, run_id: str, slices_may_move: bool = True
+    table: VersionedTable | Snapshot, batch: DataFrame, key: str, run_id: str, slices_may_move: bool = True
 ) -> bool:
     """Upsert a batch into a stored table, rewriting only the slices it touches.
 
@@ -107,7 +107,7 @@ def upsert_into(
     says that a key never changes its slice, which saves that lookup. Returns
     False when this run was committed before.
     """
-    snapshot = table.snapshot()
+    snapshot = table.snapshot() if isinstance(table, VersionedTable) else table
     if run_id in snapshot.runs:
         return False
     target = snapshot.read()
@@ -116,9 +116,9 @@ def upsert_into(
     require_same_schema(target.schema, batch.schema)
     batch = durable(batch)  # read several times below; the increment is the small side
     keys = small_keys(batch, key)
-    if not table.slice_column:
+    if not snapshot.table.slice_column:
         return snapshot.replace(upsert(target, batch, key, keys), run_id)
-    slice_of = table.slice_column
+    slice_of = snapshot.table.slice_column
     touched = batch.select(slice_of)
     if slices_may_move:
         held = target.select(key, slice_of).join(keys, key, "left_semi")
@@ -130,9 +130,9 @@ def upsert_into(
     return snapshot.replace_slices(upsert(snapshot.read(numbers), batch, key, keys), run_id, numbers)
 
 
-def append_into(table: VersionedTable, batch: DataFrame, run_id: str) -> bool:
+def append_into(table: VersionedTable | Snapshot, batch: DataFrame, run_id: str) -> bool:
     """Append rows; nothing stored is rewritten. False when this run was done before."""
-    snapshot = table.snapshot()
+    snapshot = table.snapshot() if isinstance(table, VersionedTable) else table
     if snapshot.schema is not None:
         require_same_schema(snapshot.schema, batch.schema)
     return snapshot.append(batch, run_id)

@@ -65,7 +65,11 @@ def next_in_group(
     between already know their successor and stay in their bucket's group.
     ``order`` must start with ``moment``, and ``value`` must not be NULL.
     """
-    seconds = F.unix_timestamp(F.col(moment).cast("timestamp"))
+    # Taken from the fields of the zoneless time: a cast to a zoned one would
+    # put the hour that summer time skips out of order.
+    at = F.col(moment)
+    day = F.unix_date(at.cast("date")).cast("bigint")
+    seconds = day * 86400 + F.hour(at) * 3600 + F.minute(at) * 60 + F.second(at)
     bucketed = df.withColumn("__bucket", F.floor(seconds / F.lit(bucket_seconds)))
     inside = Window.partitionBy(key, "__bucket").orderBy(*order)
     edged = bucketed.withColumn("__next", F.lead(value).over(inside)).withColumn(

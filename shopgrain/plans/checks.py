@@ -194,7 +194,7 @@ def quebec_pricing_gaps(stg_locations: DataFrame) -> DataFrame:
     )
 
 
-def _expected_line_total() -> Column:
+def expected_line_total() -> Column:
     """quantity x unit_price x (1 - discount) to the cent, in decimal; in double
     where a value is too large for the decimal, so that no row escapes."""
     quantity, price, discount = F.col("quantity"), F.col("unit_price"), F.col("discount")
@@ -207,7 +207,7 @@ def line_total_gaps(order_items: DataFrame) -> DataFrame:
     """Items whose total is more than a cent off the formula."""
     checked = order_items.select(
         "order_item_id", "order_id", "quantity", "unit_price", "discount", "line_total",
-        _expected_line_total().alias("expected_line_total"),
+        expected_line_total().alias("expected_line_total"),
     )
     difference = F.abs(F.col("line_total") - F.col("expected_line_total"))
     # Rounded to 1/10000, so that exactly one cent never lands above the tolerance.

@@ -65,13 +65,19 @@ def user_events_table(spark, path: str) -> VersionedTable:
 
 def run_orders(table: VersionedTable, raw: RawTables, run_id: str) -> bool:
     """One run of the orders increment. False when this run was done before."""
-    batch = orders_batch(raw.orders, raw.users, raw.locations, table.read())
-    return upsert_into(table, batch.withColumn(SLICE, month_number("order_date")), ORDERS_KEY, run_id)
+    snapshot = table.snapshot()
+    if run_id in snapshot.runs:
+        return False
+    batch = orders_batch(raw.orders, raw.users, raw.locations, snapshot.read())
+    return upsert_into(snapshot, batch.withColumn(SLICE, month_number("order_date")), ORDERS_KEY, run_id)
 
 
 def run_order_items(table: VersionedTable, raw: RawTables, run_id: str, run_time: datetime) -> bool:
     """One run of the items increment: the keys are new, so it only appends."""
-    return append_into(table, order_items_batch(raw.order_items, run_time, table.read()), run_id)
+    snapshot = table.snapshot()
+    if run_id in snapshot.runs:
+        return False
+    return append_into(snapshot, order_items_batch(raw.order_items, run_time, snapshot.read()), run_id)
 
 
 def run_user_events(table: VersionedTable, raw: RawTables, run_id: str) -> bool:
@@ -83,8 +89,11 @@ def add_user_events(
 ) -> bool:
     """One run of the events increment. The slices are event months, so the
     newest event is in the last slice, and only that one is searched."""
-    batch = user_events_batch(user_events, users, locations, table.snapshot().read_newest_slice())
-    return upsert_into(table, batch.withColumn(SLICE, month_number("event_timestamp")), EVENTS_KEY, run_id)
+    snapshot = table.snapshot()
+    if run_id in snapshot.runs:
+        return False
+    batch = user_events_batch(user_events, users, locations, snapshot.read_newest_slice())
+    return upsert_into(snapshot, batch.withColumn(SLICE, month_number("event_timestamp")), EVENTS_KEY, run_id)
 
 
 def build_increments(raw: RawTables, run_time: datetime) -> dict[str, DataFrame]:

@@ -41,7 +41,6 @@ def durable_root(spark: SparkSession) -> str:
         if not context.master.startswith("local"):
             raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder every executor can reach")
         named = tempfile.mkdtemp(prefix="shopgrain-")
-        spark.conf.set(CHECKPOINT_CONF, named)
     if not context.getCheckpointDir():
         context.setCheckpointDir(named)
     return named

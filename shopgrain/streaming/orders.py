@@ -25,10 +25,10 @@ def stream_orders(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        target = table.read()
-        new = latest_per_key(newer_than_target(batch, target, "updated_at"), ORDERS_KEY, ["updated_at"])
+        snapshot = table.snapshot()
+        new = latest_per_key(newer_than_target(batch, snapshot.read(), "updated_at"), ORDERS_KEY, ["updated_at"])
         rows = orders_batch(new, users, locations).withColumn(SLICE, month_number("order_date"))
-        upsert_into(table, rows, ORDERS_KEY, f"{run_name}-{batch_id}")
+        upsert_into(snapshot, rows, ORDERS_KEY, f"{run_name}-{batch_id}")
 
     return (
         changes.writeStream.foreachBatch(write)
