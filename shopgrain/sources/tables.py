@@ -15,12 +15,15 @@ def create_views(models: Mapping[str, DataFrame]) -> None:
         df.createOrReplaceTempView(name)
 
 
-def refresh_table(spark: SparkSession, df: DataFrame, path: str, run_id: str) -> DataFrame:
+def refresh_table(
+    spark: SparkSession, df: DataFrame, path: str, run_id: str, slice_column: str | None = None
+) -> DataFrame:
     """Full refresh: write the whole result as a new version and make it current.
 
     The old version stays readable until the new one is complete, so a lost
-    job leaves the table as it was.
+    job leaves the table as it was. With a slice column the files are laid out
+    by it, and a filter on it skips the others.
     """
-    table = VersionedTable(spark, path)
+    table = VersionedTable(spark, path, slice_column)
     table.replace(df, run_id)
     return table.read()

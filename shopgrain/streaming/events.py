@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from typing import Any
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -11,6 +14,7 @@ from shopgrain.plans.increments import EVENTS_KEY, add_user_events
 from shopgrain.sources.versioned import VersionedTable
 
 SALTS = 16
+AVAILABLE_NOW = {"availableNow": True}  # or, for a stream that stays up, {"processingTime": "1 minute"}
 
 
 def file_stream(
@@ -31,6 +35,7 @@ def stream_user_events(
     table: VersionedTable,
     checkpoint: str,
     run_name: str,
+    trigger: Mapping[str, Any] = AVAILABLE_NOW,
 ) -> StreamingQuery:
     """Keep the incremental event table up to date from a stream of raw events.
 
@@ -46,7 +51,7 @@ def stream_user_events(
     return (
         events.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**trigger)
         .start()
     )
 
@@ -74,13 +79,15 @@ def deduplicated(events: DataFrame, lateness: str = "1 hour", salts: int = SALTS
     return marked.dropDuplicatesWithinWatermark([EVENTS_KEY]).drop("__event_time")
 
 
-def write_stream(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+def write_stream(
+    df: DataFrame, path: str, checkpoint: str, trigger: Mapping[str, Any] = AVAILABLE_NOW
+) -> StreamingQuery:
     """Append a stream to a parquet folder; the file log makes each batch count once."""
     return (
         df.writeStream.format("parquet")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
         .outputMode("append")
-        .trigger(availableNow=True)
+        .trigger(**trigger)
         .start()
     )

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from typing import Any
+
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from shopgrain.operators.incremental import latest_per_key, newer_than_target, upsert_into
 from shopgrain.plans.increments import ORDERS_KEY, SLICE, orders_batch
 from shopgrain.sources.versioned import VersionedTable, month_number
+from shopgrain.streaming.events import AVAILABLE_NOW
 
 
 def stream_orders(
@@ -17,6 +21,7 @@ def stream_orders(
     table: VersionedTable,
     checkpoint: str,
     run_name: str,
+    trigger: Mapping[str, Any] = AVAILABLE_NOW,
 ) -> StreamingQuery:
     """Apply a stream of order versions: the newest version per order wins.
 
@@ -33,6 +38,6 @@ def stream_orders(
     return (
         changes.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**trigger)
         .start()
     )
