@@ -283,7 +283,7 @@ add(
 
 # -- sort and limit ----------------------------------------------------------------------------
 
-add("l1_order_by_month", lambda raw: reports.monthly_totals(raw).select("month", "orders").orderBy("month"),
+add("l1_order_by_month", lambda raw: reports.monthly_totals(raw).select("month", "orders").orderBy(F.asc_nulls_last("month")),
     "SELECT month, orders FROM months ORDER BY 1")
 add(
     "l2_order_by_revenue",

@@ -55,7 +55,7 @@ def monthly_rolling(raw: RawTables) -> DataFrame:
 
     The window spans all months, which are few, not all orders.
     """
-    trailing = Window.orderBy("month").rowsBetween(-2, Window.currentRow)
+    trailing = Window.orderBy(F.asc_nulls_last("month")).rowsBetween(-2, Window.currentRow)
     mean = money.from_cents(F.sum("cents").over(trailing)) / F.count("cents").over(trailing)
     return monthly_totals(raw).withColumn("rolling", mean)
 

@@ -23,7 +23,7 @@ def stg_users(users: DataFrame) -> DataFrame:
         "location_id",
     )
     order = [F.asc_nulls_last("created_at"), F.asc_nulls_last("user_id")]
-    return flag_repeats(typed, "email", order, ["user_id"], "is_duplicate_email")
+    return flag_repeats(typed, "email", order, ["user_id", "created_at"], "is_duplicate_email")
 
 
 def with_currency(locations: DataFrame, exchange_rates: DataFrame) -> DataFrame:

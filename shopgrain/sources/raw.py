@@ -50,17 +50,19 @@ class RawTables:
         return RawTables(self.spark, **{**self._tables, **tables})
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: StructType, multi_line: bool = False) -> DataFrame:
     """CSV with a header and RFC-style doubled quotes, read with a fixed schema.
 
-    A value that does not fit its column fails the read, as a cast would.
+    A value that does not fit its column fails the read, as a cast would. Set
+    ``multi_line`` only for files with line breaks inside quotes: such a file is
+    read by one task.
     """
     return (
         spark.read.schema(schema)
         .option("header", True)
         .option("quote", '"')
         .option("escape", '"')
-        .option("multiLine", False)
+        .option("multiLine", multi_line)
         .option("enforceSchema", False)
         .option("timestampNTZFormat", _TIMESTAMP_FORMAT)
         .option("mode", "FAILFAST")
@@ -68,14 +70,14 @@ def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     )
 
 
-def write_csv(df: DataFrame, path: str) -> None:
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """CSV sink: header, no index, doubled quotes, one file per task."""
     (
         df.write.option("header", True)
         .option("quote", '"')
         .option("escape", '"')
         .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]")
-        .mode("errorifexists")
+        .mode(mode)
         .csv(path)
     )
 

@@ -62,6 +62,14 @@ def test_monthly_trend_rolls_over_rows_and_drops_the_last_month(shop):
     assert rows(reports.revenue_summary(raw)) == [(70.0, 3, date(2024, 2, 1), 30.0)]
 
 
+def test_orders_without_a_date_do_not_disturb_the_trend(shop):
+    raw = shop(
+        ("0", "u", None, "x", "m", [500.0]), ("1", "u", month(1), "x", "m", [10.0]), ("2", "u", month(2), "x", "m", [20.0]),
+        ("3", "u", month(3), "x", "m", [1.0]),
+    )
+    assert [(r.month.month, r.rolling) for r in reports.monthly_revenue(raw).collect()] == [(1, 10.0), (2, 15.0)]
+
+
 def test_status_impact(shop):
     raw = shop(
         ("1", "u", month(1), "delivered", "m", [50.0]),

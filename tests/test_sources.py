@@ -31,6 +31,13 @@ def test_csv_keeps_microseconds_and_reads_foreign_times(frame, spark, folder):
     ]
 
 
+def test_line_breaks_inside_quotes(frame, spark, folder):
+    places = frame("locations", dict(location_id="1", address="first\nsecond"))
+    raw.write_csv(frame("locations"), folder)
+    raw.write_csv(places, folder)  # the sink replaces what was there
+    assert rows(raw.read_csv(spark, folder, schemas.LOCATIONS, multi_line=True)) == rows(places)
+
+
 def test_bad_values_and_headers_fail(spark, folder):
     path = Path(folder + ".csv")
     path.write_text("currency_code,exchange_rate_to_usd,rate_date,notes\nUSD,one,2024-01-01,x\n")
