@@ -1,6 +1,6 @@
 """All registered queries of this package."""
 
-from shopgrain.llm import secrets, sharding  # noqa: F401
+from shopgrain.llm import html, language, secrets, sharding, toxicity  # noqa: F401
 from shopgrain.llm.registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]
