@@ -1,6 +1,14 @@
 """All registered queries of this package."""
 
-from shopgrain.llm import html, language, secrets, sharding, toxicity  # noqa: F401
+from shopgrain.llm import (  # noqa: F401
+    decontamination,
+    html,
+    language,
+    neighbours,
+    secrets,
+    sharding,
+    toxicity,
+)
 from shopgrain.llm.registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]

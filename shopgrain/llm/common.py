@@ -82,3 +82,21 @@ def arrow_schema(spark: SparkSession, schema: str | StructType) -> pa.Schema:
 
 def as_batch(columns: dict, schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[f.name], type=f.type) for f in schema], schema=schema)
+
+
+def by_group(df: DataFrame, keys: list[str], work: Callable, schema: str) -> DataFrame:
+    """Stream each group's record batches through ``work(batches)``, which yields batches."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from work(batches)
+
+    return df.groupBy(*keys).applyInArrow(run, schema)
+
+
+def by_group_key(df: DataFrame, keys: list[str], work: Callable, schema: str) -> DataFrame:
+    """The same with the key's values: ``work(values, batches)``."""
+
+    def run(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from work(tuple(x.as_py() for x in key), batches)
+
+    return df.groupBy(*keys).applyInArrow(run, schema)
