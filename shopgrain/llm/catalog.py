@@ -5,6 +5,7 @@ from shopgrain.llm import (  # noqa: F401
     html,
     language,
     neighbours,
+    packing,
     secrets,
     sharding,
     toxicity,
