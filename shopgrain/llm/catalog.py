@@ -6,6 +6,7 @@ from shopgrain.llm import (  # noqa: F401
     language,
     neighbours,
     packing,
+    scoring,
     secrets,
     sharding,
     toxicity,
