@@ -3,6 +3,7 @@
 from shopgrain.llm import (  # noqa: F401
     decontamination,
     html,
+    jaccard,
     language,
     neighbours,
     packing,
