@@ -25,10 +25,16 @@ def pick(df: DataFrame, *names: str) -> DataFrame:
     missing = [name for name in names if name not in df.columns]
     if missing:
         raise ValueError(f"columns {missing} are not in {df.columns}")
-    plain = df.toDF(*[f"_{i}" for i in range(len(df.columns))])
+    plain = numbered(df)
     return plain.select(*[plain[f"_{df.columns.index(name)}"].alias(name) for name in names])
 
 
+def numbered(df: DataFrame) -> DataFrame:
+    """``df`` with its columns named by their places (``_0``, ``_1``, ...), so that no name clashes
+    with another or with an operator's own; ``toDF(*df.columns)`` gives the names back."""
+    return df.toDF(*[f"_{i}" for i in range(len(df.columns))])
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: computed once, and never
     again from its lineage when executors are lost."""

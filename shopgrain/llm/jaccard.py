@@ -36,6 +36,7 @@ from shopgrain.llm.common import (
     bounded_broadcast,
     by_group_key,
     map_steps,
+    numbered,
     pick,
     steps,
     written,
@@ -392,14 +393,17 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     gone = bounded_broadcast(state.where("stays is null").select("doc_id", "digest"))
     repeated = bounded_broadcast(state.where("stays and copies > 1").select("doc_id", "digest"))
 
-    own = docs.withColumn("_digest", _digest(docs["text"]))
+    names = docs.columns
+    plain = numbered(docs)
+    doc_id, text = (f"_{names.index(x)}" for x in ("doc_id", "text"))
+    own = plain.withColumn("own_digest", _digest(F.col(text)))
 
     def matches(other: DataFrame) -> Column:
-        return own["doc_id"].cast("long").eqNullSafe(other["doc_id"]) & (own["_digest"] == other["digest"])
+        return own[doc_id].cast("long").eqNullSafe(other["doc_id"]) & (own["own_digest"] == other["digest"])
 
     once = own.join(gone, matches(gone), "left_anti").join(repeated, matches(repeated), "left_anti")
-    first = own.join(repeated, matches(repeated), "left_semi").dropDuplicates(["doc_id", "_digest"])
-    return once.unionByName(first).select(*docs.columns)
+    first = own.join(repeated, matches(repeated), "left_semi").dropDuplicates([doc_id, "own_digest"])
+    return once.unionAll(first).select(*plain.columns).toDF(*names)
 
 
 def _digest(text: Column) -> Column:

@@ -164,7 +164,7 @@ def keep_accepted(docs: DataFrame, dictionaries: dict[str, bytes], least_margin:
 
 def training_rows(docs: DataFrame) -> DataFrame:
     """The documents that may be learned from: crc32 of the id modulo 5 is not 0."""
-    return docs.where(crc_mod(docs["doc_id"], HELD_OUT_OF) != 0)
+    return pick(docs, "doc_id", "text", "lang").where(crc_mod(F.col("doc_id"), HELD_OUT_OF) != 0)
 
 
 @register("op3_language_id")

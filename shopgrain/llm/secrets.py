@@ -20,7 +20,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopgrain.llm.common import pick
+from shopgrain.llm.common import numbered, pick
 from shopgrain.llm.registry import register, table
 
 # Kinds in the order of ties, patterns and least lengths of the base spans.
@@ -218,11 +218,14 @@ def masked(text: Column, spans: Column, mask: str = MASK) -> Column:
 def mask_secrets(docs: DataFrame, rules: Entropy | None = None) -> DataFrame:
     """The documents with secrets masked in ``text`` and ``n_chars`` counted again.
     No row goes; a null text stays null."""
-    spanned = with_spans(docs, docs["text"], rules).withColumn("text", masked(F.col("text"), F.col("_spans")))
-    if "n_chars" in docs.columns:
-        counted = F.when(F.size("_spans") > 0, F.length("text")).otherwise(F.col("n_chars"))
-        spanned = spanned.withColumn("n_chars", counted.cast("long"))
-    return spanned.select(*docs.columns)
+    names = docs.columns
+    text = f"_{names.index('text')}"
+    plain = numbered(docs)
+    spanned = with_spans(plain, F.col(text), rules).withColumn(text, masked(F.col(text), F.col("_spans")))
+    if "n_chars" in names:
+        count = f"_{names.index('n_chars')}"
+        spanned = spanned.withColumn(count, F.when(F.size("_spans") > 0, F.length(text)).otherwise(F.col(count)).cast("long"))
+    return spanned.select(*plain.columns).toDF(*names)
 
 
 @register("op10_secret_scan")

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from shopgrain.llm.common import pick, written
+from shopgrain.llm.common import numbered, pick, written
 from shopgrain.llm.registry import register, table
 
 SHARDS = 40
@@ -156,13 +156,11 @@ def write_shards(docs: DataFrame, folder: str, shards: int = SHARDS, files_per_s
     are dealt over ``files_per_shard`` tasks, so a large shard is many files."""
     if "shard" in docs.columns:
         raise ValueError("the documents already have a column named shard")
-    spread = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(files_per_shard))
-    (
-        docs.withColumn("shard", shard_of(docs["doc_id"], default_tree(shards)))
-        .repartition(shards * files_per_shard, "shard", spread)
-        .write.partitionBy("shard")
-        .parquet(folder)
-    )
+    key = F.col(f"_{docs.columns.index('doc_id')}")
+    dealt = numbered(docs).withColumn("shard", shard_of(key, default_tree(shards)))
+    spread = F.pmod(F.xxhash64(*dealt.columns), F.lit(files_per_shard))
+    dealt = dealt.repartition(shards * files_per_shard, "shard", spread)
+    dealt.toDF(*docs.columns, "shard").write.partitionBy("shard").parquet(folder)
 
 
 @register("op9_sharding")

@@ -3,7 +3,8 @@
 The tokenizer works inside pieces between spaces and line feeds: its normaliser, its
 pre-tokenizer and its special tokens never reach across one. So the ids of a text are
 the ids of its pieces one after another, and a piece that has been seen needs no second
-run. The memory is bounded; when full, it starts again.
+run. The memory is bounded: when it is full it becomes the older one, from which pieces that
+are met again are taken over, and the older one before it goes.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ import sys
 
 import numpy as np
 
-REMEMBERED = 400_000
+REMEMBERED = 300_000
 #: Pieces that are encoded in one run.
 BATCH = 20_000
 SIGNS = ",."
@@ -25,9 +26,13 @@ _OTHERS = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b
 BYTE_CHARS = {b: 256 + n for n, b in enumerate(_OTHERS)}
 
 
-def _is_word(piece: str) -> bool:
-    """Letters up to U+00FF only: one pre-token, and lower case changes nothing else."""
-    return piece.isalpha() and (piece.isascii() or max(piece) <= "\xff")
+def _latin(text: str) -> bool:
+    """Characters up to U+00FF only: lower case and composition change nothing but A-Z and À-Þ."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
 
 
 class Encoder:
@@ -48,6 +53,7 @@ class Encoder:
             for x in probes
         )
         self._known: dict[str, bytes] = {"": b""}
+        self._older: dict[str, bytes] = {}
 
     def _word_ids(self, word: str) -> list[int]:
         if not word.isascii():
@@ -55,22 +61,26 @@ class Encoder:
         return [token.id for token in self._model.tokenize(word)]
 
     def _learn(self, pieces: list[str]) -> None:
-        """Ids of new pieces. A word with a comma or full stop behind it has the ids of the
-        word in lower case and of the sign, for the pre-tokenizer splits letters from signs."""
-        known = self._known
-        words, others, joined = {}, [], []
+        """Ids of new pieces. A word with a comma or full stop behind it has the ids of the word
+        in lower case and of the sign, for the pre-tokenizer splits letters from signs."""
+        known, older = self._known, self._older
+        others, joined = [], []
         for piece in pieces:
-            sign = piece[-1] if piece[-1] in SIGNS else ""
-            word = piece[:-1] if sign else piece
-            if self._direct and _is_word(word):
-                joined.append((piece, word.lower(), sign))
-                words[word.lower()] = None
-            else:
+            if piece in older:
+                known[piece] = older[piece]
+                continue
+            sign = piece[-1]
+            word = piece[:-1] if sign in SIGNS else piece
+            if not (self._direct and word.isalpha() and (word.isascii() or _latin(word))):
                 others.append(piece)
-        others += [sign for sign in SIGNS if sign not in known]
-        for word in words:
+                continue
+            word = word.lower()
             if word not in known:
-                known[word] = struct.pack(f"<{len(ids := self._word_ids(word))}I", *ids)
+                ids = self._word_ids(word)
+                known[word] = struct.pack(f"<{len(ids)}I", *ids)
+            if word != piece:
+                joined.append((piece, word, sign if sign in SIGNS else ""))
+        others += [sign for sign in SIGNS if sign not in known]
         for at in range(0, len(others), BATCH):
             part = others[at : at + BATCH]
             for piece, found in zip(part, self._tokenizer.encode_batch_fast(part, add_special_tokens=False)):
@@ -88,21 +98,25 @@ class Encoder:
                 return self._text(pieces[:middle]) + self._text(pieces[middle:])
             wanted = dict.fromkeys(pieces)
             if len(known) + 2 * len(wanted) > REMEMBERED:
-                known.clear()
-                known[""] = b""
+                self._known, self._older = {"": b""}, known
+                known = self._known
             self._learn([piece for piece in wanted if piece not in known])
             return b"".join([known[piece] for piece in pieces])
 
+    def _pieces(self, text: str | None) -> list[str]:
+        if not text:
+            return [""]
+        if "<|" not in text and _latin(text):  # special tokens are looked for before lower case
+            text = text.lower()
+        return text.replace("\n", " ").split(" ")
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of every text; null is empty. New pieces of all texts are learned at once."""
-        split = [text.replace("\n", " ").split(" ") if text else [""] for text in texts]
+        split = [self._pieces(text) for text in texts]
         known = self._known
-        new: dict[str, None] = {}
-        for pieces in split:
-            for piece in set(pieces).difference(known):
-                new[piece] = None
+        new = list(dict.fromkeys(piece for pieces in split for piece in set(pieces).difference(known)))
         if new and len(known) + 2 * len(new) <= REMEMBERED:
-            self._learn(list(new))
+            self._learn(new)
         return [self._text(pieces) for pieces in split]
 
 

@@ -1,0 +1,41 @@
+from conftest import rows
+from llm.conftest import AWKWARD, prose
+
+from shopgrain.llm import language
+
+
+def labelled(n):
+    return [(i, prose(lang, 60, i), lang) for i, lang in enumerate(["en", "de"] * n)]
+
+
+def test_held_out_accuracy_and_margins(documents):
+    docs = documents(*labelled(60))
+    found = {r["doc_id"]: r for r in language.identify(docs, language.fit(language.training_rows(docs))).collect()}
+    truth = {i: lang for i, _, lang in labelled(60)}
+    assert all(found[i]["lang_pred"] == lang for i, lang in truth.items())
+    assert all(0 <= r["score"] <= 1 and r["accepted"] for r in found.values())
+
+
+def test_the_smallest_encoding_wins(documents):
+    dictionaries = language.fit(documents(*labelled(40)))
+    model = language.Model(dictionaries)
+    text = prose("de", 80, 999)
+    sizes = [len(c.compress(language.plain(text))) for c in model._looks[0]]
+    assert model.languages[sizes.index(min(sizes))] == model.predict(text)[0] == "de"
+
+
+def test_awkward_documents(documents, awkward):
+    dictionaries = language.fit(documents(*labelled(40)))
+    found = language.identify(awkward, dictionaries).collect()
+    assert len(found) == len(AWKWARD)
+    assert {r["lang_pred"] for r in found if r["doc_id"] in (1, 2, 3)} == {"und"}
+    assert all(r["lang_pred"] == "en" for r in found if r["doc_id"] in (6, 7))
+    kept = language.keep_accepted(awkward, dictionaries)
+    assert kept.columns == awkward.columns
+    assert rows(kept, "doc_id") == [(6,), (6,), (7,)]
+
+
+def test_without_labels_or_rows(spark, documents, awkward):
+    assert language.fit(awkward) == {}
+    assert all(r["lang_pred"] == "und" for r in language.identify(awkward, {}).collect())
+    assert language.identify(awkward.limit(0), {"en": b"the and"}).collect() == []
