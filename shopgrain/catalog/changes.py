@@ -237,7 +237,7 @@ add(
 
 
 def _event_stream(spark: SparkSession, folder: str) -> DataFrame:
-    files = file_stream(spark, f"{folder}/events.parquet*", warehouse.file_schema("events"))
+    files = file_stream(spark, f"{folder}/events.parque[t]", warehouse.file_schema("events"))
     return warehouse.user_events(files)
 
 
@@ -274,7 +274,7 @@ def _streamed_orders(spark: SparkSession, folder: str) -> DataFrame:
     raw = warehouse.raw_tables(spark, folder)
     work = fresh_folder(spark, "order-stream")
     table = increments.orders_table(spark, f"{work}/table")
-    files = file_stream(spark, f"{folder}/orders.parquet*", warehouse.file_schema("orders"))
+    files = file_stream(spark, f"{folder}/orders.parque[t]", warehouse.file_schema("orders"))
     updated = warehouse.orders(files)
     placed = updated.withColumns({"order_status": F.lit("pending"), "updated_at": F.col("order_date") - F.expr("INTERVAL 1 DAY")})
     query = stream_orders(

@@ -1,9 +1,10 @@
 """Exact money arithmetic in whole-number units.
 
 Amounts arrive as doubles. A double sum depends on the order in which tasks
-deliver their rows, so sums run over whole units of 1/10000 of a currency unit.
-A row's units fit 64 bits; totals are decimals of 28 and more digits, so that
-even the grand total of a very large table cannot overflow.
+deliver their rows, so sums run over decimal units of 1/10000 of a currency unit.
+A row keeps ten decimals of its amount and may reach 10^18; totals are decimals of
+38 digits, so that even the grand total of a very large table cannot overflow.
+Nothing is rounded before the output column.
 """
 
 from __future__ import annotations
@@ -16,13 +17,13 @@ UNITS_PER_CENT = UNITS // 100
 
 
 def to_units(amount: Column) -> Column:
-    """Units of one row, 64 bits; a row beyond 10^14 currency units fails the query."""
-    return F.rint(amount * F.lit(float(UNITS))).cast("bigint")
+    """Units of one row, with fractions; a row beyond 10^18 currency units fails the query."""
+    return amount.cast("decimal(28,10)") * F.lit(UNITS).cast("decimal(5,0)")
 
 
 def total_units(amount: Column) -> Column:
     """Aggregate: the exact sum of amounts, as a decimal number of units."""
-    return F.sum(to_units(amount).cast("decimal(18,0)"))
+    return F.sum(to_units(amount))
 
 
 def units_to_cents(units: Column) -> Column:

@@ -22,6 +22,18 @@ def first_versions(source: DataFrame, moment: str) -> DataFrame:
     )
 
 
+class RepeatedKey(ValueError):
+    """A source row's key is there more than once, so its versions can't be told apart."""
+
+
+def require_unique(source: DataFrame, key: str) -> None:
+    """Refuse a source in which a key is repeated; NULL keys are always new rows."""
+    again = source.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n")).where("n > 1")
+    found = [row[0] for row in again.select(key).limit(5).collect()]
+    if found:
+        raise RepeatedKey(f"{key} is repeated, for example {found}")
+
+
 def _spread(key: str, columns: Sequence[str]) -> Column:
     """The key, or for a NULL key a number that spreads such rows over tasks."""
     return F.when(F.col(key).isNotNull(), F.xxhash64(key)).otherwise(F.xxhash64(*columns)).alias("__spread")

@@ -11,8 +11,6 @@ from pyspark.sql import types as T
 from shopgrain.session import durable
 from shopgrain.sources.versioned import Snapshot, VersionedTable
 
-BROADCAST_KEYS = 500_000  # ids of some 40 bytes: tens of MB per executor
-
 DRIFT = T.StructType(
     [
         T.StructField("column_name", T.StringType(), False),
@@ -58,22 +56,32 @@ def upsert(target: DataFrame | None, batch: DataFrame, key: str, batch_keys: Dat
     return target.join(keys, key, "left_anti").unionByName(batch)
 
 
-def small_keys(batch: DataFrame, key: str, limit: int = BROADCAST_KEYS) -> DataFrame:
-    """The distinct keys of a stored batch, marked for broadcast when they are few.
+def distinct_keys(batch: DataFrame, key: str) -> DataFrame:
+    """The keys of a stored batch; Spark picks the join by their size."""
+    return batch.select(key).where(F.col(key).isNotNull()).distinct()
 
-    The count decides: up to ``limit`` keys the large target is not shuffled to
-    find its matches; beyond that the join is left to Spark.
-    """
-    keys = batch.select(key).where(F.col(key).isNotNull()).distinct()
-    return F.broadcast(keys) if keys.count() <= limit else keys
 
+def latest_per_key(df: DataFrame, key: str, moment: str) -> DataFrame:
+    """One row per key: the one of the newest ``moment``. A NULL key never matches, so all
+    its rows pass.
+
+    The newest moment per key is a hash aggregate that combines before the shuffle; only
+    rows at that moment go on, and of equal ones the greatest by all columns stays."""
+    newest = df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("__key")).agg(F.max(moment).alias("__newest"))
+    at_newest = (F.col(key) == F.col("__key")) & F.col(moment).eqNullSafe(F.col("__newest"))
+    rows = df.join(newest, at_newest).select(*df.columns)
+    rest = [c for c in df.columns if c != key]
+    single = rows.groupBy(key).agg(F.max(F.struct(*rest)).alias("__row")).select(key, "__row.*")
+    return single.select(*df.columns).unionByName(df.where(F.col(key).isNull()))
 
-def latest_per_key(df: DataFrame, key: str, order: list[str]) -> DataFrame:
-    """One row per key: the greatest by ``order``. Combines before the shuffle,
-    so a key with many copies costs one row per task."""
-    rest = [c for c in df.columns if c not in (key, *order)]
-    newest = F.max(F.struct(*order, *rest)).alias("__newest")
-    return df.groupBy(key).agg(newest).select(key, "__newest.*").select(*df.columns)
+
+def newer_than_stored(batch: DataFrame, stored: DataFrame | None, key: str, moment: str) -> DataFrame:
+    """Batch rows whose key is not stored, or stored with an older ``moment``."""
+    if stored is None:
+        return batch
+    held = stored.groupBy(F.col(key).alias("__key")).agg(F.max(moment).alias("__held"))
+    joined = batch.join(held, F.col(key) == F.col("__key"), "left")
+    return joined.where(F.col("__key").isNull() | (F.col(moment) > F.col("__held"))).select(*batch.columns)
 
 
 def stamp_loaded_at(df: DataFrame, run_time: datetime) -> DataFrame:
@@ -115,7 +123,7 @@ def upsert_into(
         return snapshot.replace(batch, run_id)
     require_same_schema(target.schema, batch.schema)
     batch = durable(batch)  # read several times below; the increment is the small side
-    keys = small_keys(batch, key)
+    keys = distinct_keys(batch, key)
     if not snapshot.table.slice_column:
         return snapshot.replace(upsert(target, batch, key, keys), run_id)
     slice_of = snapshot.table.slice_column

@@ -198,8 +198,8 @@ def expected_line_total() -> Column:
     """quantity x unit_price x (1 - discount) to the cent, in decimal; in double
     where a value is too large for the decimal, so that no row escapes."""
     quantity, price, discount = F.col("quantity"), F.col("unit_price"), F.col("discount")
-    kept = F.lit(1).cast("decimal(1,0)") - discount.try_cast("decimal(8,4)")
-    exact = F.round(quantity.try_cast("decimal(10,0)") * price.try_cast("decimal(15,4)") * kept, 2)
+    kept = F.lit(1).cast("decimal(1,0)") - discount.try_cast("decimal(16,14)")
+    exact = F.round(quantity.try_cast("decimal(10,0)") * price.try_cast("decimal(16,8)") * kept, 2)
     return F.coalesce(exact.cast("double"), F.round(quantity * price * (F.lit(1.0) - discount), 2))
 
 

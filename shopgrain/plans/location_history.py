@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopgrain.functions import region
-from shopgrain.operators.history import next_versions
+from shopgrain.operators.history import next_versions, require_unique
 from shopgrain.plans.staging import with_currency
 from shopgrain.sources.versioned import VersionedTable
 
@@ -60,6 +60,7 @@ def run_snapshot(
     snapshot = table.snapshot()
     if run_id in snapshot.runs:
         return False
+    require_unique(locations, KEY)
     still_open = snapshot.read([OPEN])
     still_open = None if still_open is None else still_open.drop(SLICE)
     after = snap_locations(still_open, locations, exchange_rates, run_time, strategy)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from shopgrain.functions import money
 from shopgrain.operators.keyed import lookup
-from shopgrain.plans.staging import build_staging, typed_user_events
+from shopgrain.plans.staging import build_staging
 from shopgrain.sources.raw import RawTables
 
 
@@ -76,8 +76,7 @@ def fct_order_items(stg_order_items: DataFrame, stg_orders: DataFrame, stg_produ
 def fct_user_events(user_events: DataFrame, stg_products: DataFrame) -> DataFrame:
     """Events with their product; most events have none and keep NULLs.
 
-    The fact drops the Quebec flag, so it is best given the typed events: the
-    join with users, keyed by their unique id, would only cost a shuffle.
+    They come from the staged events, whose join with users decides how many rows there are.
     """
     named = stg_products.select("product_id", "product_name", "category")
     return lookup(user_events, named, "product_id", "product_id", spread_by="event_id").select(
@@ -103,5 +102,5 @@ def build_mart(raw: RawTables, staging: Mapping[str, DataFrame] | None = None) -
         "fct_order_items": fct_order_items(
             staging["stg_order_items"], staging["stg_orders"], staging["stg_products"]
         ),
-        "fct_user_events": fct_user_events(typed_user_events(raw.user_events), staging["stg_products"]),
+        "fct_user_events": fct_user_events(staging["stg_user_events"], staging["stg_products"]),
     }

@@ -326,14 +326,14 @@ def payment_breakdown(raw: RawTables) -> DataFrame:
         order_value_cents(raw)
         .where(F.col("payment_method").isNotNull())
         .groupBy("payment_method")
-        .agg(F.count("cents").alias("orders"), F.sum("cents").alias("cents"))
+        .agg(F.count("order_id").alias("orders"), F.count("cents").alias("valued"), F.sum("cents").alias("cents"))
     )
     revenue = money.from_cents(F.col("cents"))
     return per_method.select(
         "payment_method",
         "orders",
         revenue.alias("revenue"),
-        F.try_divide(revenue, F.col("orders").cast("double")).alias("avg_order"),
+        F.try_divide(revenue, F.col("valued").cast("double")).alias("avg_order"),
         money.share(F.col("cents"), _whole(F.col("cents"))).alias("share"),
     ).orderBy("payment_method")
 
@@ -357,21 +357,24 @@ def key_figures(raw: RawTables) -> DataFrame:
         {"orders": F.col("n"), "cancellation_rate_pct": money.share(F.col("cancelled"), F.col("n"))},
     )
     buyers = customer_values(raw).where(F.col("user_id").isNotNull()).agg(
-        F.count("*").alias("n"), F.count_if(F.col("order_count") >= 2).alias("repeat"), F.sum("cents").alias("cents")
+        F.count("*").alias("n"),
+        F.count("cents").alias("valued"),
+        F.count_if(F.col("order_count") >= 2).alias("repeat"),
+        F.sum("cents").alias("cents"),
     )
     buyers = _tall(
         buyers,
         {
             "purchasers": F.col("n"),
             "repeat_purchasers": F.col("repeat"),
-            "avg_customer_ltv": F.try_divide(money.from_cents(F.col("cents")), F.col("n").cast("double")),
+            "avg_customer_ltv": F.try_divide(money.from_cents(F.col("cents")), F.col("valued").cast("double")),
         },
     )
     values = order_values(raw).groupBy("order_id", "order_status").agg(
         money.units_to_cents(F.sum("units")).alias("cents")
     )
     values = values.agg(
-        F.count("*").alias("n"),
+        F.count("cents").alias("n"),
         F.sum("cents").alias("cents"),
         F.coalesce(F.sum(F.when(F.col("order_status") == "delivered", F.col("cents"))), F.lit(0)).alias("delivered"),
     )

@@ -38,7 +38,7 @@ def durable_root(spark: SparkSession) -> str:
         current = context.getCheckpointDir()
         if current:
             return current
-        if not context.master.startswith("local"):
+        if context.master != "local" and not context.master.startswith("local["):
             raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder every executor can reach")
         named = tempfile.mkdtemp(prefix="shopgrain-")
     if not context.getCheckpointDir():

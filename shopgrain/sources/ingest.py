@@ -30,7 +30,8 @@ def csv_entries(spark: SparkSession, folder: str) -> list[str]:
     root = folder.rstrip("/").split(":", 1)[-1].replace("///", "/")
     listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
     entry = F.split(F.substring_index("path", f"{root}/", -1), "/")[0]
-    return sorted(row[0] for row in listing.select(F.url_decode(entry)).distinct().collect())
+    is_csv = F.lower("path").rlike(r"\.csv(\.[a-z0-9]+)?$")
+    return sorted(row[0] for row in listing.where(is_csv).select(F.url_decode(entry)).distinct().collect())
 
 
 def ingest_folder(
@@ -60,5 +61,5 @@ def ingest_folder(
             df.write.mode("ignore").saveAsTable(table)
             report.append((name, "created", None))
         except (PySparkException, Py4JJavaError) as failure:
-            report.append((name, "failed", str(failure).strip()[:500]))
+            report.append((name, "failed", str(failure).strip()))
     return spark.createDataFrame(report, REPORT)

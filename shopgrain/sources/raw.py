@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Callable, Mapping
+from datetime import date
 from functools import partial
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.types import StructType
 
 from shopgrain import schemas
 
 SEED_FOLDER = Path(__file__).resolve().parent.parent / "seeds"
-_TIMESTAMP_FORMAT = "yyyy-MM-dd[ ]['T']HH:mm:ss[.SSSSSS]"
 
 
 class RawTables:
@@ -53,21 +56,31 @@ class RawTables:
 def read_csv(spark: SparkSession, path: str, schema: StructType, multi_line: bool = False) -> DataFrame:
     """CSV with a header and RFC-style doubled quotes, read with a fixed schema.
 
-    A value that does not fit its column fails the read, as a cast would. Set
-    ``multi_line`` only for files with line breaks inside quotes: such a file is
+    Columns are read as text and then cast: a whole-number column takes ``2.5`` and rounds
+    halves to even, a time column takes a date alone. A value that fits no cast fails the
+    query. Set ``multi_line`` only for files with line breaks inside quotes: such a file is
     read by one task.
     """
-    return (
-        spark.read.schema(schema)
+    text = T.StructType([T.StructField(field.name, T.StringType()) for field in schema])
+    lines = (
+        spark.read.schema(text)
         .option("header", True)
         .option("quote", '"')
         .option("escape", '"')
         .option("multiLine", multi_line)
         .option("enforceSchema", False)
-        .option("timestampNTZFormat", _TIMESTAMP_FORMAT)
         .option("mode", "FAILFAST")
         .csv(path)
     )
+    return lines.select(*[_from_text(F.col(field.name), field.dataType).alias(field.name) for field in schema])
+
+
+def _from_text(column: Column, kind: T.DataType) -> Column:
+    if isinstance(kind, T.StringType):
+        return column
+    if isinstance(kind, T.IntegralType):
+        return F.rint(F.trim(column).cast("double")).cast(kind)
+    return F.trim(column).cast(kind)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -96,6 +109,13 @@ def read_raw_csv(spark: SparkSession, folder: str, suffix: str = "") -> RawTable
 
 
 def exchange_rates(spark: SparkSession, path: str | None = None) -> DataFrame:
-    """The currency seed: one row per currency, so its size is bounded."""
-    path = path or (SEED_FOLDER / "exchange_rates.csv").as_uri()
-    return read_csv(spark, path, schemas.EXCHANGE_RATES)
+    """The currency seed, one row per currency. Without a path on shared storage the packaged
+    text becomes the frame, so no executor needs the package's folder."""
+    if path is not None:
+        return read_csv(spark, path, schemas.EXCHANGE_RATES)
+    with (SEED_FOLDER / "exchange_rates.csv").open(newline="") as file:
+        rows = [
+            (r["currency_code"], float(r["exchange_rate_to_usd"]), date.fromisoformat(r["rate_date"]), r["notes"] or None)
+            for r in csv.DictReader(file)
+        ]
+    return spark.createDataFrame(rows, schemas.EXCHANGE_RATES)

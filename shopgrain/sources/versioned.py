@@ -6,15 +6,14 @@ half-way leaves an uncommitted folder that the next run overwrites. A commit
 names the run that made it; repeating that run changes nothing.
 
 A table is a set of slices. With a small-domain ``slice_column`` such as a month,
-a commit replaces only the slices it wrote and the rest stay where they are.
-Without one, each commit is a slice of its own, so appending rewrites nothing.
-One writer at a time.
+a commit replaces only the slices it wrote, or adds a part to them, and the rest stay
+where they are. Without one, each commit is a slice of its own. Appending rewrites
+nothing. One writer at a time.
 """
 
 from __future__ import annotations
 
 import json
-import re
 from collections.abc import Iterable, Sequence
 
 from pyspark.errors import AnalysisException
@@ -30,6 +29,7 @@ _COMMIT = T.StructType(
         T.StructField("run_id", T.StringType(), False),
         T.StructField("slice", T.IntegerType(), False),
         T.StructField("filled", T.BooleanType(), False),
+        T.StructField("added", T.BooleanType(), True),
         T.StructField("table_schema", T.StringType(), False),
     ]
 )
@@ -43,9 +43,10 @@ class Snapshot:
         self.runs = {row.run_id for row in commits}
         self.version = max((row.version for row in commits), default=0)
         self.schema: T.StructType | None = None
-        self._current: dict[int, tuple[int, bool]] = {}  # slice -> (version, holds rows)
+        self._current: dict[int, list[int]] = {}  # slice -> versions that hold its rows
         for row in sorted(commits, key=lambda row: row.version):
-            self._current[row.slice] = (row.version, row.filled)
+            before = self._current.get(row.slice, []) if row.added else []
+            self._current[row.slice] = before + [row.version] * row.filled
             self.schema = T.StructType.fromJson(json.loads(row.table_schema))
 
     def read(self, slices: Iterable[int] | None = None) -> DataFrame | None:
@@ -55,8 +56,9 @@ class Snapshot:
         wanted = None if slices is None else set(slices)
         paths = [
             self.table.folder(version, number)
-            for number, (version, filled) in sorted(self._current.items())
-            if filled and (wanted is None or number in wanted)
+            for number, versions in sorted(self._current.items())
+            if wanted is None or number in wanted
+            for version in versions
         ]
         spark = self.table.spark
         if not paths:
@@ -68,11 +70,11 @@ class Snapshot:
 
     def read_newest_slice(self) -> DataFrame | None:
         """Only the slice with the highest number, such as the last month."""
-        return self.read([max((n for n, (_, filled) in self._current.items() if filled), default=NO_SLICE)])
+        return self.read([max((n for n, versions in self._current.items() if versions), default=NO_SLICE)])
 
     def replace(self, df: DataFrame, run_id: str) -> bool:
         """Make ``df`` the whole content. False when this run was done before."""
-        return self._commit(df, run_id, {number for number, (_, filled) in self._current.items() if filled})
+        return self._commit(df, run_id, {number for number, versions in self._current.items() if versions})
 
     def replace_slices(self, df: DataFrame, run_id: str, slices: Iterable[int]) -> bool:
         """Make ``df`` the content of ``slices`` (and of any other slice it holds)."""
@@ -81,20 +83,18 @@ class Snapshot:
         return self._commit(df, run_id, set(slices))
 
     def append(self, df: DataFrame, run_id: str) -> bool:
-        """Add ``df`` next to what is stored."""
-        if self.table.slice_column:
-            raise ValueError("a sliced table is written by replacing slices")
-        return self._commit(df, run_id, set())
+        """Add ``df`` next to what is stored, as one more part of each slice it holds."""
+        return self._commit(df, run_id, set(), added=True)
 
-    def _commit(self, df: DataFrame, run_id: str, dropped: set[int]) -> bool:
+    def _commit(self, df: DataFrame, run_id: str, dropped: set[int], added: bool = False) -> bool:
         if run_id in self.runs:
             return False
         version = self.version + 1
         filled = self.table.write(df, version)
         schema = df.schema.json()
-        rows = [(version, run_id, number, number in filled, schema) for number in sorted(dropped | filled)]
+        rows = [(version, run_id, number, number in filled, added, schema) for number in sorted(dropped | filled)]
         if not rows:  # an empty run still counts as done, and gives a new table its schema
-            rows = [(version, run_id, NO_SLICE, False, schema)]
+            rows = [(version, run_id, NO_SLICE, False, added, schema)]
         log = self.table.spark.createDataFrame(rows, _COMMIT).coalesce(1)
         log.write.mode("append").json(f"{self.table.path}/commits")
         return True
@@ -144,8 +144,8 @@ class VersionedTable:
             return {version}
         by_slice = df.hint("rebalance", F.col(self.slice_column))
         by_slice.write.mode("overwrite").partitionBy(self.slice_column).parquet(folder)
-        files = self.spark.read.schema(df.schema).parquet(folder).inputFiles()
-        return {int(number) for file in files for number in re.findall(rf"/{self.slice_column}=(-?\d+)/", file)}
+        written = self.spark.read.schema(df.schema).parquet(folder)
+        return {row[0] for row in written.select(self.slice_column).distinct().collect()}
 
 
 def month_number(column: str) -> F.Column:

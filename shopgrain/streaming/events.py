@@ -10,24 +10,30 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from shopgrain.plans.increments import EVENTS_KEY, add_user_events
-from shopgrain.sources.versioned import VersionedTable
+from shopgrain.operators.incremental import absent_from_target, append_into
+from shopgrain.plans.increments import EVENTS_KEY, SLICE, add_user_events, user_events_batch
+from shopgrain.session import durable
+from shopgrain.sources.versioned import VersionedTable, month_number
 
-SALTS = 16
 AVAILABLE_NOW = {"availableNow": True}  # or, for a stream that stays up, {"processingTime": "1 minute"}
 
 
 def file_stream(
     spark: SparkSession, path: str, schema: StructType, files_per_batch: int | None = None
 ) -> DataFrame:
-    """A stream over parquet files, oldest first. ``path`` is a folder or a glob;
-    a glob such as ``events.parquet*`` takes a single file as well as a folder of parts."""
+    """A stream over parquet files, oldest first. ``path`` is a folder or a glob; a glob
+    such as ``events.parque[t]`` takes exactly that name, be it a file or a folder of parts."""
     reader = spark.readStream.schema(schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.parquet(path)
 
 
+def months_of(batch: DataFrame) -> list[int]:
+    """The slices a stored micro-batch touches: months, few whatever its rows."""
+    return [row[0] for row in batch.select(SLICE).distinct().collect()]
+
+
 def stream_user_events(
     events: DataFrame,
     users: DataFrame,
@@ -36,17 +42,34 @@ def stream_user_events(
     checkpoint: str,
     run_name: str,
     trigger: Mapping[str, Any] = AVAILABLE_NOW,
+    admit: str = "absent",
 ) -> StreamingQuery:
     """Keep the incremental event table up to date from a stream of raw events.
 
-    Each micro-batch is one run of the batch model: events newer than the
-    table's newest (late ones are dropped) are joined with the static users and
-    locations. It is committed under its own id, so a batch that is replayed
-    after a failure changes nothing.
+    An event is taken if its id is not stored yet, however late it is; only the months of
+    the batch are looked at, and rows are appended, so nothing stored is written again.
+    The event's time is part of what it is: the same id with another month is another event.
+    Each micro-batch is committed under its own id, so a batch that is replayed after a
+    failure changes nothing. ``admit="newer"`` makes each micro-batch a run of the batch
+    model instead: only events after the table's newest one come in, so late ones are lost.
     """
+    if admit not in ("absent", "newer"):
+        raise ValueError(f"unknown admission {admit!r}")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        add_user_events(table, batch, users, locations, f"{run_name}-{batch_id}")
+        snapshot = table.snapshot()
+        run_id = f"{run_name}-{batch_id}"
+        if run_id in snapshot.runs:
+            return
+        if admit == "newer":
+            add_user_events(table, batch, users, locations, run_id)
+            return
+        once = batch.where(F.col(EVENTS_KEY).isNotNull()).dropDuplicates([EVENTS_KEY])
+        once = once.unionByName(batch.where(F.col(EVENTS_KEY).isNull()))  # a NULL id never matches
+        new = durable(once.withColumn(SLICE, month_number("event_timestamp")))
+        new = absent_from_target(new, snapshot.read(months_of(new)), EVENTS_KEY).drop(SLICE)
+        rows = user_events_batch(new, users, locations).withColumn(SLICE, month_number("event_timestamp"))
+        append_into(snapshot, rows, run_id)
 
     return (
         events.writeStream.foreachBatch(write)
@@ -56,13 +79,14 @@ def stream_user_events(
     )
 
 
-def deduplicated(events: DataFrame, lateness: str = "1 hour", salts: int = SALTS) -> DataFrame:
+def deduplicated(events: DataFrame, lateness: str = "1 hour", salts: int = 1) -> DataFrame:
     """One row per event_id among copies that arrive within ``lateness``.
 
-    Two steps: the first drops copies within (event_id, salt), so an event that
-    is sent over and over is spread over ``salts`` tasks and at most that many
-    copies reach the second. The salt only spreads work; which copy survives
-    may differ, and copies are equal. ``salts=1`` leaves the first step out.
+    With ``salts`` above one a first step drops copies within (event_id, salt), so an
+    event that is sent over and over is spread over that many tasks and at most that
+    many copies reach the second step. It costs a second state store, so it is off by
+    default. The salt only spreads work; which copy survives may differ, and copies
+    are equal.
 
     The watermark needs a zoned timestamp, so the event time is cast under the
     session zone (UTC) for the watermark and given back unchanged.

@@ -5,6 +5,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from shopgrain.operators import history, incremental
+from shopgrain.operators.history import RepeatedKey
 from shopgrain.plans import increments, location_history
 from shopgrain.sources.raw import RawTables
 from shopgrain.sources.versioned import VersionedTable, month_number
@@ -66,10 +67,10 @@ def test_upsert_replaces_and_repeats_harmlessly(frame):
 
 
 def test_latest_per_key(frame):
-    versions = orders(frame, ("1", at(1), at(1), "pending"), ("1", at(1), at(3), "delivered"), ("1", at(1), at(2), "shipped"), ("2", at(1), None, "x"))
-    out = incremental.latest_per_key(versions, "order_id", ["updated_at"])
+    versions = orders(frame, ("1", at(1), at(1), "pending"), ("1", at(1), at(3), "delivered"), ("1", at(1), at(2), "shipped"), ("2", at(1), None, "x"), (None, at(1), at(1), "n"), (None, at(1), at(1), "n"))
+    out = incremental.latest_per_key(versions, "order_id", "updated_at")
     assert out.columns == versions.columns
-    assert rows(out, "order_id", "order_status") == [("1", "delivered"), ("2", "x")]
+    assert rows(out, "order_id", "order_status") == [("1", "delivered"), ("2", "x"), (None, "n"), (None, "n")]
 
 
 def test_schema_guard_names_the_column(frame):
@@ -251,7 +252,9 @@ def test_stored_snapshot_runs_once_and_leaves_closed_versions_alone(spark, frame
     assert rows(stored) == rows(whole)
 
 
-def test_upsert_of_many_keys_is_not_forced_into_a_broadcast(spark):
-    batch = spark.range(50).select(F.col("id").cast("string").alias("k"))
-    few, many = (incremental.small_keys(batch, "k", limit)._jdf.queryExecution().analyzed().toString() for limit in (50, 49))
-    assert "strategy=broadcast" in few and "broadcast" not in many
+def test_a_snapshot_refuses_a_repeated_key(spark, frame, rates, folder):
+    table = location_history.history_table(spark, f"{folder}/history")
+    twice = places(frame, a="NY").unionByName(places(frame, a="TX"))
+    with pytest.raises(RepeatedKey, match="location_id"):
+        location_history.run_snapshot(table, twice, rates, at(1), "r1")
+    assert table.read() is None

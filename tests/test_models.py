@@ -49,6 +49,25 @@ def test_orders_without_items_keep_null_totals_and_sums_do_not_fan_out(frame):
     assert dict(out.dtypes)["total_items"] == "bigint"
 
 
+def test_totals_keep_tiny_and_large_amounts(frame):
+    orders = frame("orders", dict(order_id="tiny"), dict(order_id="large"))
+    items = frame("order_items", *[dict(order_id="tiny", line_total=0.00004)] * 1000, dict(order_id="large", line_total=2e15))
+    out = mart.fct_orders(staging.stg_orders(orders), staging.stg_order_items(items))
+    assert rows(out, "order_id", "total_amount") == [("large", 2e15), ("tiny", 0.04)]
+
+
+def test_events_follow_the_staged_rows_of_a_repeated_user(spark, frame, rates):
+    raw = RawTables(
+        spark,
+        **{name: frame(name) for name in ("products", "orders", "order_items", "locations")},
+        users=frame("users", dict(user_id="u"), dict(user_id="u")),
+        user_events=frame("user_events", dict(event_id="1", user_id="u")),
+        exchange_rates=rates,
+    )
+    staged = staging.build_staging(raw)
+    assert staged["stg_user_events"].count() == mart.build_mart(raw, staged)["fct_user_events"].count() == 2
+
+
 def test_events_of_unknown_users_are_not_quebec(spark, frame, rates):
     tables = raw(
         spark, frame, rates,

@@ -47,7 +47,7 @@ def test_line_totals(frame):
             frame,
             ("ok", 2, 10.0, 0.1, 18.0), ("cent", 2, 10.0, 0.1, 18.01), ("two", 2, 10.0, 0.1, 18.02),
             ("null", 2, 10.0, 0.1, None), ("below", 1, 33.33, 0.15, 28.31), ("huge", 3, 1e13, 0.0, 5.0),
-            ("half", 1, 1.005, 0.0, 1.0),
+            ("half", 1, 1.005, 0.0, 1.0), ("third", 1, 1000.0, 1 / 3, 666.67), ("fine", 5000, 0.12345, 0.0, 617.25),
         )
     )
     assert [r[0] for r in rows(found, "order_item_id")] == ["below", "huge", "two"]

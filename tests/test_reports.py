@@ -128,6 +128,15 @@ def test_payment_drops_unknown_methods(shop):
     assert rows(reports.order_value_median(raw)) == [(15.0, 4)]
 
 
+def test_orders_of_unknown_value_count_but_do_not_lower_means(shop):
+    raw = shop(("1", "u", month(1), "delivered", "card", [100.0]), ("2", "v", month(1), "delivered", "card", [None]))
+    method = reports.payment_breakdown(raw).first()
+    assert (method.orders, method.revenue, method.avg_order) == (2, 100.0, 100.0)
+    figures = {r.metric: r.value for r in reports.key_figures(raw).collect()}
+    assert figures["avg_order_value"] == reports.order_value_mean(raw).first()[0] == 100.0
+    assert figures["avg_customer_ltv"] == 100.0 and figures["purchasers"] == 2
+
+
 def test_histogram_closes_the_last_bin(shop):
     raw = shop(*[(str(i), "u", month(1), "x", "m", [v]) for i, v in enumerate([0.0, 40.0, 39.99, 1.0])])
     out = {r.bin: r.orders for r in reports.order_value_histogram(raw).collect()}

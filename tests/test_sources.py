@@ -31,6 +31,15 @@ def test_csv_keeps_microseconds_and_reads_foreign_times(frame, spark, folder):
     ]
 
 
+def test_fractions_and_dates_in_whole_number_and_time_columns(spark, folder):
+    path = Path(folder + ".csv")
+    path.write_text("order_item_id,order_id,product_id,quantity,unit_price,discount,line_total\n1,o,p,2.5,1,0,1\n2,o,p,3.5,1,0,1\n3,o,p,,1,0,1\n")
+    assert rows(raw.read_csv(spark, str(path), schemas.ORDER_ITEMS), "quantity") == [(2,), (4,), (None,)]
+    orders = Path(folder + "2.csv")
+    orders.write_text("order_id,user_id,order_date,order_status,payment_method,updated_at\n1,u,2024-01-02,x,y,\n")
+    assert rows(raw.read_csv(spark, str(orders), schemas.ORDERS), "order_date") == [(datetime(2024, 1, 2),)]
+
+
 def test_line_breaks_inside_quotes(frame, spark, folder):
     places = frame("locations", dict(location_id="1", address="first\nsecond"))
     raw.write_csv(frame("locations"), folder)
@@ -83,11 +92,15 @@ def test_ingest_report(spark, folder, tmp_path):
     landing.mkdir()
     (landing / "exchange_rates.csv").write_text("currency_code,exchange_rate_to_usd,rate_date,notes\nUSD,1.0,2024-01-01,a\n")
     (landing / "orders.csv").write_text("order_id\n1\n")  # lacks columns
+    (landing / "notes.txt").write_text("no table\n")
+    (landing / "users.csv").write_text("user_id,first_name,last_name,email,created_at,location_id\n1,a,b,c," + "x" * 900 + "END,l\n")
     (landing / "colours.csv").write_text('name,code\n"red, dark",007\n')
     spark.sql(f"CREATE DATABASE ingest_test LOCATION '{folder}'")
     try:
         first = {r.table_name: r.status for r in ingest_folder(spark, str(landing), "ingest_test").collect()}
-        assert first == {"exchange_rates": "created", "orders": "failed", "colours": "created"}
+        assert first == {"exchange_rates": "created", "orders": "failed", "colours": "created", "users": "failed"}
+        errors = {r.table_name: r.error for r in ingest_folder(spark, str(landing), "ingest_test").collect()}
+        assert "xEND" in errors["users"]  # the whole error, with the bad value
         again = {r.table_name: (r.status, r.error is None) for r in ingest_folder(spark, str(landing), "ingest_test").collect()}
         assert again["colours"] == ("exists", True) and again["orders"] == ("failed", False)
         assert rows(spark.table("ingest_test.colours")) == [("red, dark", "007")]

@@ -23,13 +23,13 @@ def events(frame, *given):
     return frame("user_events", *[dict(event_id=i, user_id=u, event_timestamp=t, event_type="page_view") for i, u, t in given])
 
 
-def test_event_stream_over_several_files(spark, frame, folder):
+def test_event_stream_with_the_mark_of_the_batch_model(spark, frame, folder):
     users, places = people(frame)
     table = increments.user_events_table(spark, f"{folder}/table")
 
     def run():
         source = file_stream(spark, f"{folder}/in", schemas.USER_EVENTS, files_per_batch=1)
-        stream_user_events(source, users, places, table, f"{folder}/checkpoint", "s").awaitTermination()
+        stream_user_events(source, users, places, table, f"{folder}/checkpoint", "s", admit="newer").awaitTermination()
         return rows(table.read(), "event_id", "is_quebec_event")
 
     events(frame, ("1", "q", at(1)), ("2", "n", at(2))).coalesce(1).write.mode("append").parquet(f"{folder}/in")
@@ -40,6 +40,34 @@ def test_event_stream_over_several_files(spark, frame, folder):
     assert run() == [("1", True), ("2", False), ("5", False)]
 
 
+@pytest.mark.parametrize("files_per_batch", [1, None])
+def test_event_stream_loses_no_late_event_or_tie(spark, frame, folder, files_per_batch):
+    users, places = people(frame)
+    table = increments.user_events_table(spark, f"{folder}/table")
+    files = [
+        [("1", "q", at(9)), ("2", "n", at(20))],
+        [("3", "q", at(20)), ("4", "q", at(1)), ("2", "n", at(20)), ("5", "ghost", at(28)), ("5", "ghost", at(28))],
+        [("6", "n", datetime(2023, 5, 1)), (None, "q", at(2)), (None, "q", at(2))],
+    ]
+    for given in files:
+        events(frame, *given).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    source = file_stream(spark, f"{folder}/in", schemas.USER_EVENTS, files_per_batch)
+    stream_user_events(source, users, places, table, f"{folder}/checkpoint", "s").awaitTermination()
+    found = rows(table.read(), "event_id", "is_quebec_event")
+    assert found == [("1", True), ("2", False), ("3", True), ("4", True), ("5", False), ("6", False), (None, True), (None, True)]
+
+
+def test_event_stream_writes_only_new_rows(spark, frame, folder):
+    users, places = people(frame)
+    table = increments.user_events_table(spark, f"{folder}/table")
+    for n in range(6):
+        events(frame, (str(n), "q", at(3, n))).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        source = file_stream(spark, f"{folder}/in", schemas.USER_EVENTS)
+        stream_user_events(source, users, places, table, f"{folder}/checkpoint", "s").awaitTermination()
+    stored = spark.read.option("recursiveFileLookup", True).parquet(f"{folder}/table/data")
+    assert stored.count() == table.read().count() == 6  # one month, six runs, no row written twice
+
+
 def test_a_replayed_batch_changes_nothing(spark, frame, folder):
     users, places = people(frame)
     table = increments.user_events_table(spark, f"{folder}/table")
@@ -89,6 +117,19 @@ def test_order_stream_keeps_the_newest_version(spark, frame, folder):
     assert run(("2", at(4), "delivered"), ("1", at(2), "stale")) == [("1", "shipped", "QC"), ("2", "delivered", "QC")]
 
 
+@pytest.mark.parametrize("files_per_batch", [1, None])
+def test_order_stream_does_not_depend_on_the_batches(spark, frame, folder, files_per_batch):
+    users, places = people(frame)
+    table = increments.orders_table(spark, f"{folder}/table")
+    files = [[("A", at(10), "shipped")], [("B", at(5), "pending"), ("C", at(6), "pending"), ("A", at(4), "stale")]]
+    for given in files:
+        batch = frame("orders", *[dict(order_id=i, user_id="q", order_date=at(1), updated_at=u, order_status=s) for i, u, s in given])
+        batch.coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    source = file_stream(spark, f"{folder}/in", schemas.ORDERS, files_per_batch)
+    stream_orders(source, users, places, table, f"{folder}/checkpoint", "s").awaitTermination()
+    assert rows(table.read(), "order_id", "order_status") == [("A", "shipped"), ("B", "pending"), ("C", "pending")]
+
+
 def test_a_glob_takes_a_file_or_a_folder(spark, frame, folder):
     events(frame, ("1", "q", at(1))).coalesce(1).write.parquet(f"{folder}/events.parquet")
     file = spark.read.parquet(f"{folder}/events.parquet").inputFiles()[0]
