@@ -19,7 +19,7 @@ from shopgrain.plans import increments, location_history
 from shopgrain.session import fresh_folder
 from shopgrain.sources import warehouse
 from shopgrain.sources.raw import RawTables
-from shopgrain.sources.versioned import VersionedTable
+from shopgrain.sources.versioned import month_number
 from shopgrain.streaming.events import deduplicated, file_stream, stream_user_events, write_stream
 from shopgrain.streaming.orders import stream_orders
 
@@ -119,10 +119,10 @@ add(
 def _rebuild_orders(raw: RawTables) -> DataFrame:
     """A full refresh after increments: the table is as after a first run."""
     spark = raw.spark
-    table = VersionedTable(spark, fresh_folder(spark, "orders"))
-    table.replace(increments.orders_batch(_early_orders(raw), raw.users, raw.locations), "first")
-    table.replace(increments.orders_batch(raw.orders, raw.users, raw.locations), "refresh")
-    return table.read()
+    table = increments.orders_table(spark, fresh_folder(spark, "orders"))
+    increments.run_orders(table, raw.replace(orders=_early_orders(raw)), "first")
+    increments.run_orders(table, raw, "refresh", full_refresh=True)
+    return table.read().drop(increments.SLICE)
 
 
 add("i8_full_refresh", _rebuild_orders, "SELECT * FROM orders_incr")
@@ -142,6 +142,23 @@ def _orders_model(raw: RawTables) -> DataFrame:
 add("m7_stg_orders_incr", _orders_model, _ORDERS_AFTER)
 
 
+def _guarded_orders(raw: RawTables) -> DataFrame:
+    """A batch that lost a column is refused and leaves no trace; the next good run arrives."""
+    table = increments.orders_table(raw.spark, fresh_folder(raw.spark, "orders"))
+    increments.run_orders(table, raw.replace(orders=_early_orders(raw)), "first")
+    batch = increments.orders_batch(raw.orders, raw.users, raw.locations)
+    drifted = batch.drop("payment_method").withColumn(increments.SLICE, month_number("order_date"))
+    try:
+        incremental.upsert_into(table, drifted, "order_id", "second")
+    except incremental.SchemaDrift:
+        increments.run_orders(table, raw, "second")
+        return table.read().drop(increments.SLICE)
+    raise AssertionError("a drifted batch has been stored")
+
+
+add("i4_guarded_increment", _guarded_orders, _ORDERS_AFTER)
+
+
 def _items_model(raw: RawTables) -> DataFrame:
     spark = raw.spark
     table = increments.order_items_table(spark, fresh_folder(spark, "items"))
@@ -285,3 +302,42 @@ def _streamed_orders(spark: SparkSession, folder: str) -> DataFrame:
 
 
 add_on_folder("t3_stream_orders", _streamed_orders, "SELECT * FROM orders_incr")
+
+
+FILES = 4  # micro-batches of the queries below
+
+
+def _shuffled_files(df: DataFrame, path: str, *keys: str) -> None:
+    """All rows in ``FILES`` files by a hash, so that times are spread over all of them."""
+    df.withColumn("__file", F.pmod(F.xxhash64(*keys), F.lit(FILES))).repartition(FILES, "__file").drop("__file").write.parquet(path)
+
+
+def _out_of_order_events(spark: SparkSession, folder: str) -> DataFrame:
+    """All events, each twice, over several micro-batches in no order of time."""
+    raw = warehouse.raw_tables(spark, folder)
+    work = fresh_folder(spark, "event-stream")
+    table = increments.user_events_table(spark, f"{work}/table")
+    _shuffled_files(raw.user_events.withColumn("__copy", F.explode(F.array(F.lit(0), F.lit(1)))), f"{work}/in", "event_id", "__copy")
+    files = file_stream(spark, f"{work}/in", raw.user_events.schema, files_per_batch=1)
+    stream_user_events(files, raw.users, raw.locations, table, f"{work}/checkpoint", "stream").awaitTermination()
+    return table.read().drop(increments.SLICE)
+
+
+add_on_folder("t1_stream_out_of_order", _out_of_order_events, _EVENTS_AFTER)
+
+
+def _out_of_order_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """Both versions of every order over several micro-batches, often the newer one first."""
+    raw = warehouse.raw_tables(spark, folder)
+    work = fresh_folder(spark, "order-stream")
+    table = increments.orders_table(spark, f"{work}/table")
+    placed = raw.orders.withColumns(
+        {"order_status": F.lit("pending"), "updated_at": F.col("order_date") - F.expr("INTERVAL 1 DAY")}
+    )
+    _shuffled_files(placed.unionByName(raw.orders), f"{work}/in", "order_id", "updated_at")
+    files = file_stream(spark, f"{work}/in", raw.orders.schema, files_per_batch=1)
+    stream_orders(files, raw.users, raw.locations, table, f"{work}/checkpoint", "stream").awaitTermination()
+    return table.read().drop(increments.SLICE)
+
+
+add_on_folder("t3_stream_out_of_order", _out_of_order_orders, "SELECT * FROM orders_incr")

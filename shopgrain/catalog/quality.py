@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from shopgrain.catalog.models import RUN_TIME
 from shopgrain.catalog.registry import add
+from shopgrain.catalog.relations import ITEMS_WITH_ORPHANS, with_orphans
 from shopgrain.operators import quality
 from shopgrain.plans import checks, staging
 from shopgrain.sources.raw import RawTables
@@ -26,14 +27,14 @@ add(
     "SELECT event_id, event_type FROM raw_user_events"
     " WHERE event_type NOT IN ('user_sign_up', 'page_view', 'add_to_cart')",
 )
-# The test tables have no orphans, so q4 and q9 check against a parent that lacks some rows.
 add(
     "q4_relationships",
     lambda raw: quality.orphan_rows(
-        raw.user_events, "user_id", raw.users.where(~F.col("email").endswith("8@example.com")), "user_id"
+        with_orphans(raw.user_events, "event_id", "user_id"), "user_id", raw.users, "user_id"
     ).select("event_id", "user_id"),
-    "SELECT event_id, user_id FROM raw_user_events WHERE user_id IS NOT NULL AND user_id NOT IN"
-    " (SELECT user_id FROM raw_users WHERE email NOT LIKE '%8@example.com')",
+    "SELECT event_id, user_id FROM (SELECT event_id, user_id FROM raw_user_events UNION ALL"
+    " SELECT 'gone-' || event_id, 'gone-' || user_id FROM raw_user_events) WHERE user_id IS NOT NULL"
+    " AND user_id NOT IN (SELECT user_id FROM raw_users)",
 )
 
 
@@ -83,9 +84,9 @@ add(
 )
 add(
     "q9_orphan_order_items",
-    lambda raw: checks.orphan_items(raw.order_items, raw.orders.where("payment_method <> 'paypal'")),
-    "SELECT order_item_id, order_id FROM raw_order_items i WHERE NOT EXISTS (SELECT 1 FROM raw_orders o"
-    " WHERE o.order_id = i.order_id AND o.payment_method <> 'paypal')",
+    lambda raw: checks.orphan_items(with_orphans(raw.order_items, "order_item_id", "order_id"), raw.orders),
+    f"SELECT order_item_id, order_id FROM ({ITEMS_WITH_ORPHANS}) i WHERE NOT EXISTS"
+    " (SELECT 1 FROM raw_orders o WHERE o.order_id = i.order_id)",
 )
 
 

@@ -98,20 +98,33 @@ add(
     "SELECT order_id, user_id FROM raw_orders o WHERE NOT EXISTS"
     " (SELECT 1 FROM raw_order_items i WHERE i.order_id = o.order_id)",
 )
-# The test tables have no orphans, so j11 and f8 check against a parent that lacks some rows.
+
+
+ITEMS_WITH_ORPHANS = (
+    "SELECT order_item_id, order_id FROM raw_order_items UNION ALL"
+    " SELECT 'gone-' || order_item_id, 'gone-' || order_id FROM raw_order_items"
+)
+
+
+def with_orphans(child: DataFrame, key: str, reference: str) -> DataFrame:
+    """The test tables have no orphans: every row comes once more under an unknown reference."""
+    lost = {c: F.concat(F.lit("gone-"), F.col(c)) for c in (key, reference)}
+    return child.unionByName(child.withColumns(lost))
+
+
 add(
     "j11_referential",
     lambda raw: quality.orphan_rows(
-        raw.order_items, "order_id", raw.orders.where("order_status <> 'pending_refund'"), "order_id"
+        with_orphans(raw.order_items, "order_item_id", "order_id"), "order_id", raw.orders, "order_id"
     ).select("order_item_id", "order_id"),
-    "SELECT order_item_id, order_id FROM raw_order_items WHERE order_id IS NOT NULL AND order_id NOT IN"
-    " (SELECT order_id FROM raw_orders WHERE order_status <> 'pending_refund')",
+    f"SELECT order_item_id, order_id FROM ({ITEMS_WITH_ORPHANS}) WHERE order_id IS NOT NULL AND order_id NOT IN"
+    " (SELECT order_id FROM raw_orders)",
 )
 add(
     "f8_not_exists",
-    lambda raw: orphan_items(raw.order_items, raw.orders.where("order_status <> 'cancelled'")),
-    "SELECT order_item_id, order_id FROM raw_order_items i WHERE NOT EXISTS (SELECT 1 FROM raw_orders o"
-    " WHERE o.order_id = i.order_id AND o.order_status <> 'cancelled')",
+    lambda raw: orphan_items(with_orphans(raw.order_items, "order_item_id", "order_id"), raw.orders),
+    f"SELECT order_item_id, order_id FROM ({ITEMS_WITH_ORPHANS}) i WHERE NOT EXISTS"
+    " (SELECT 1 FROM raw_orders o WHERE o.order_id = i.order_id)",
 )
 
 # -- aggregates -------------------------------------------------------------------------

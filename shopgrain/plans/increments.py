@@ -63,24 +63,36 @@ def user_events_table(spark, path: str) -> VersionedTable:
     return VersionedTable(spark, path, SLICE)
 
 
-def run_orders(table: VersionedTable, raw: RawTables, run_id: str) -> bool:
-    """One run of the orders increment. False when this run was done before."""
+def run_orders(table: VersionedTable, raw: RawTables, run_id: str, full_refresh: bool = False) -> bool:
+    """One run of the orders increment. False when this run was done before.
+
+    ``full_refresh`` makes the table anew from all source rows, here as in the other runs."""
     snapshot = table.snapshot()
     if run_id in snapshot.runs:
         return False
+    if full_refresh:
+        whole = orders_batch(raw.orders, raw.users, raw.locations)
+        return snapshot.replace(whole.withColumn(SLICE, month_number("order_date")), run_id)
     batch = orders_batch(raw.orders, raw.users, raw.locations, snapshot.read())
     return upsert_into(snapshot, batch.withColumn(SLICE, month_number("order_date")), ORDERS_KEY, run_id)
 
 
-def run_order_items(table: VersionedTable, raw: RawTables, run_id: str, run_time: datetime) -> bool:
+def run_order_items(
+    table: VersionedTable, raw: RawTables, run_id: str, run_time: datetime, full_refresh: bool = False
+) -> bool:
     """One run of the items increment: the keys are new, so it only appends."""
     snapshot = table.snapshot()
     if run_id in snapshot.runs:
         return False
+    if full_refresh:
+        return snapshot.replace(order_items_batch(raw.order_items, run_time), run_id)
     return append_into(snapshot, order_items_batch(raw.order_items, run_time, snapshot.read()), run_id)
 
 
-def run_user_events(table: VersionedTable, raw: RawTables, run_id: str) -> bool:
+def run_user_events(table: VersionedTable, raw: RawTables, run_id: str, full_refresh: bool = False) -> bool:
+    if full_refresh:
+        whole = user_events_batch(raw.user_events, raw.users, raw.locations)
+        return table.replace(whole.withColumn(SLICE, month_number("event_timestamp")), run_id)
     return add_user_events(table, raw.user_events, raw.users, raw.locations, run_id)
 
 
