@@ -74,18 +74,11 @@ def run_checks(
 ) -> DataFrame:
     """One row per check: layer, table_name, column_name, test, failures, status.
 
-    All row-wise checks of a table share one scan. All uniqueness and
-    referential checks of all tables share one shuffle. ``rules`` maps
-    (layer, table, rule name) to the frame of failing rows.
+    All checks of a table share one scan, and all checks of all tables one shuffle.
+    ``rules`` maps (layer, table, rule name) to the frame of failing rows.
     """
     numbered = list(enumerate(checks))
-    results = [
-        _row_check_counts(tables[source], [(i, c) for i, c in numbered if c.source == source and c.test in (NOT_NULL, ACCEPTED)])
-        for source in dict.fromkeys(c.source for c in checks if c.test in (NOT_NULL, ACCEPTED))
-    ]
-    key_checks = [(i, c) for i, c in numbered if c.test in (UNIQUE, RELATIONSHIP)]
-    if key_checks:
-        results.append(_key_check_counts(spark, tables, key_checks))
+    results = [_check_counts(spark, tables, numbered)] if numbered else []
     labels = [(i, c.layer, c.table, c.column, c.test) for i, c in numbered]
     for offset, ((layer, table, name), failing) in enumerate((rules or {}).items()):
         number = len(numbered) + offset
@@ -109,58 +102,62 @@ def select_layer(report: DataFrame, layer: str) -> DataFrame:
     return report.where(F.col("layer") == layer)
 
 
-def _row_check_counts(df: DataFrame, checks: Sequence[tuple[int, Check]]) -> DataFrame:
-    def failing(check: Check) -> str:
-        if check.test == NOT_NULL:
-            return f"`{check.column}` IS NULL"
-        return f"`{check.column}` NOT IN ({_literals(check.values)})"
+def _failing(check: Check) -> str:
+    if check.test == NOT_NULL:
+        return f"`{check.column}` IS NULL"
+    return f"`{check.column}` NOT IN ({_literals(check.values)})"
 
-    wide = df.selectExpr(*[f"count_if({failing(c)}) AS c{i}" for i, c in checks])
-    return wide.selectExpr(_stack([(str(i), f"c{i}") for i, _ in checks], "check_no, failures"))
 
-
-def _key_check_counts(
+def _check_counts(
     spark: SparkSession, tables: Mapping[tuple[str, str], DataFrame], checks: Sequence[tuple[int, Check]]
 ) -> DataFrame:
-    """Uniqueness and references of every key in one aggregation.
+    """Failures of every check in one aggregation; each table is scanned once.
 
     A key domain is an owning (layer, table, column). Slot 0 holds the owner's
     values, the other slots the columns that refer to it. Counting per
-    (domain, value, slot) answers all of them: an owner count above one is a
-    repeat, a referring count without an owner is a set of orphans. Each table
-    is scanned once for all its keys, and counts combine before the shuffle, so
-    a frequent value costs one row per task.
+    (domain, value, slot) answers uniqueness and references: an owner count
+    above one is a repeat, a referring count without an owner is a set of
+    orphans. A row that fails a row-wise check counts under domain -1, with the
+    check's number as value. Counts combine before the shuffle, so a frequent
+    value costs one row per task.
     """
     domains: dict[tuple[str, str, str], list[tuple[int, Check]]] = {}
+    rows: dict[tuple[str, str], list[tuple[str, str, str]]] = {}  # table -> (domain, slot, value)
     for number, check in checks:
+        if check.test in (NOT_NULL, ACCEPTED):
+            rows.setdefault(check.source, []).append(("-1", "0", f"IF({_failing(check)}, '{number}', NULL)"))
+            continue
         owner = check.parent if check.test == RELATIONSHIP else (*check.source, check.column)
         domains.setdefault(owner, []).append((number, check))
 
-    keys: dict[tuple[str, str], list[tuple[str, str, str]]] = {}  # table -> (domain, slot, value)
     answers = []
     for domain, (owner, members) in enumerate(domains.items()):
-        keys.setdefault(owner[:2], []).append((str(domain), "0", f"CAST(`{owner[2]}` AS STRING)"))
+        rows.setdefault(owner[:2], []).append((str(domain), "0", f"CAST(`{owner[2]}` AS STRING)"))
         answers += [(domain, 0, number) for number, c in members if c.test == UNIQUE]
         references = [(number, c) for number, c in members if c.test == RELATIONSHIP]
         for slot, (number, check) in enumerate(references, start=1):
-            keys.setdefault(check.source, []).append((str(domain), str(slot), f"CAST(`{check.column}` AS STRING)"))
+            rows.setdefault(check.source, []).append((str(domain), str(slot), f"CAST(`{check.column}` AS STRING)"))
             answers.append((domain, slot, number))
-    slots = range(1 + max(slot for _, slot, _ in answers))
+    slots = range(1 + max((slot for _, slot, _ in answers), default=0))
 
-    parts = [tables[source].selectExpr(_stack(rows, "domain, slot, value")) for source, rows in keys.items()]
+    parts = [tables[source].selectExpr(_stack(found, "domain, slot, value")) for source, found in rows.items()]
     per_value = (
         reduce(DataFrame.unionAll, parts)
         .where("value IS NOT NULL")
         .groupBy("domain", "value")
         .agg(*[F.expr(f"count_if(slot = {s}) AS n{s}") for s in slots])
     )
-    per_domain = per_value.groupBy("domain").agg(
-        F.expr("count_if(n0 > 1) AS s0"),
+    per_domain = per_value.groupBy("domain", F.expr("IF(domain = -1, CAST(value AS INT), NULL) AS row_check")).agg(
+        F.expr("IF(domain = -1, sum(n0), count_if(n0 > 1)) AS s0"),
         *[F.expr(f"sum(IF(n0 = 0, n{s}, 0)) AS s{s}") for s in slots[1:]],
     )
-    tall = per_domain.selectExpr("domain", _stack([(str(s), f"s{s}") for s in slots], "slot, failures"))
+    tall = per_domain.selectExpr("domain", "row_check", _stack([(str(s), f"s{s}") for s in slots], "slot, failures"))
+    # One row per declared key check: part of the program, so it cannot grow with the data.
     wanted = spark.createDataFrame(answers, "domain int, slot int, check_no int")
-    return tall.join(wanted, ["domain", "slot"]).select("check_no", "failures")
+    found = tall.join(wanted, ["domain", "slot"], "left").selectExpr(
+        "coalesce(check_no, IF(slot = 0, row_check, NULL)) AS check_no", "failures"
+    )
+    return found.where("check_no IS NOT NULL")
 
 
 def _stack(rows: Sequence[tuple[str, ...]], names: str) -> str:
