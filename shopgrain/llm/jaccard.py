@@ -9,20 +9,22 @@ that can link to a heavy one stand too. The boundary is the size with the least
 made against list entries visited, from the sizes of all sets and the mean list length.
 
 Candidates are found in two steps, so that a group of near copies never becomes all its
-pairs. First every member of a list is compared with one member only, the list's pivot, and
-the links give components. Then every pair of a list whose members are still in different
-components is a candidate, unless its number of shared keys shows that it can't link. What
-has been left out are pairs that are connected already. All candidates are checked exactly.
+pairs. First, in a few rounds, every member of a list is compared with one member only, the
+list's pivot of that round, and the links give components. Then every pair of a list whose
+members are still in different components is a candidate, unless the numbers of shared keys
+show that it can't link. What has been left out are pairs that are connected already. All
+candidates are checked exactly.
 
 Frequent shingles are known from a count over all documents. The threshold of the count
-follows the corpus, so that at most ``FREQUENT`` shingles can reach it; these go to the
-tasks, come last in the order, and have their lists split over salts.
+follows the corpus, so that at most ``FREQUENT`` shingles reach it; these go to the tasks,
+come last in the order, and have their lists split over salts.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -48,7 +50,9 @@ from shopgrain.llm.shingles import shingle_set
 #: Links need 100 * shared >= PERCENT * union.
 PERCENT = 80
 #: Most shingles that count as frequent, and the least count of one.
-FREQUENT, FREQUENT_LEAST = 1_000_000, 32
+FREQUENT, FREQUENT_LEAST = 300_000, 6
+#: Rounds in which members are compared with a pivot only.
+STAR_ROUNDS = 6
 #: Members of a frequent shingle's list that are dealt to one salt, about.
 SALT_ROWS = 1000
 #: Largest size for which pairs are weighed against lists.
@@ -116,8 +120,7 @@ def _count_shingles(docs: DataFrame, total: int) -> tuple[_Order, float]:
     """Document counts of all shingles in the lower half of the hashes, and from them the
     frequent ones and the mean count. A task sends each shingle of its documents once."""
     bits = max(0, (total // (2 * BUCKET)).bit_length())
-    least = max(FREQUENT_LEAST, -(-total // FREQUENT))
-    probe = _Order(bits, np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64), least)
+    probe = _Order(bits, np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64), 1)
     sent = "bucket int, codes binary, counts binary"
     arrow = arrow_schema(docs.sparkSession, sent)
 
@@ -158,7 +161,7 @@ def _count_shingles(docs: DataFrame, total: int) -> tuple[_Order, float]:
             counts += [np.frombuffer(x[1:], dtype=f"<u{x[0]}") for x in batch.column("counts").to_pylist()]
         distinct, place = np.unique(np.concatenate(codes), return_inverse=True)
         n = np.bincount(place, weights=np.concatenate(counts)).astype(np.int64)
-        often = n >= least
+        often = n >= FREQUENT_LEAST
         yield as_batch(
             {
                 "code": [-1, *(distinct[often].astype(np.int64) | (key[0] << 32)).tolist()],
@@ -169,7 +172,13 @@ def _count_shingles(docs: DataFrame, total: int) -> tuple[_Order, float]:
 
     rows = written(by_group_key(docs.select("text").mapInArrow(run, sent), ["bucket"], add, counted), "frequent")
     distinct = rows.where("code < 0").agg(F.sum("n")).first()[0] or 0
-    found = rows.where("code >= 0").toPandas().sort_values("code")  # at most FREQUENT rows: their counts sum to <= total
+    # The least power of two that at most FREQUENT shingles reach, from a histogram of powers.
+    power = F.floor(F.log2("n")).cast("int").alias("power")
+    by_power = {r["power"]: r["count"] for r in rows.where("code >= 0").groupBy(power).count().collect()}
+    least = next(
+        (max(FREQUENT_LEAST, 1 << p) for p in range(65) if sum(c for q, c in by_power.items() if q >= p) <= FREQUENT)
+    )
+    found = rows.where((F.col("code") >= 0) & (F.col("n") >= least)).toPandas().sort_values("code")
     order = _Order(bits, found["code"].to_numpy(dtype=np.uint64), found["n"].to_numpy(dtype=np.int64), least)
     return order, (total / 2) / distinct if distinct else 1.0
 
@@ -259,10 +268,16 @@ def _sets(docs: DataFrame, firsts: DataFrame, classes: DataFrame) -> DataFrame:
     return found.dropDuplicates(["class"])
 
 
-def _links(docs: DataFrame, firsts: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs (a, b) that link, by their whole sets."""
+def _links(docs: DataFrame, firsts: DataFrame, pairs: DataFrame, held: list[DataFrame]) -> DataFrame:
+    """The pairs (a, b) that link, by their whole sets. ``held`` has the sets read so far, and
+    gets those that are missing."""
     classes = pairs.select(F.col("a").alias("class")).unionAll(pairs.select(F.col("b").alias("class"))).distinct()
-    sets = written(_sets(docs, firsts, classes), "sets")
+    for sets in held:
+        classes = classes.join(sets.select("class"), "class", "left_anti")
+    missing = written(classes, "missing-sets")
+    if not missing.isEmpty():
+        held.append(written(_sets(docs, firsts, missing), "sets"))
+    sets = reduce(DataFrame.unionAll, held)
 
     def work(step) -> dict:
         a, b = [], []
@@ -280,50 +295,62 @@ def _links(docs: DataFrame, firsts: DataFrame, pairs: DataFrame) -> DataFrame:
     return written(map_steps(both.select("a", "b", "set_a", "set_b"), work, "a long, b long"), "links")
 
 
-def _star_pairs(lists: DataFrame) -> DataFrame:
-    """Every member of a list with the list's pivot, the member of the smallest random number;
-    the pivots of a split list with the pivot of them all."""
-    chance = F.xxhash64(F.lit("pivot"), "class")
+def _named(lists: DataFrame, nodes: DataFrame | None) -> DataFrame:
+    """The lists whose members are in more than one component, with the component of each."""
+    if nodes is None:
+        return lists.withColumn("component", F.col("class"))
+    plain = lists.drop("component")
+    named = plain.join(nodes, plain["class"] == nodes["node"], "left")
+    named = named.select(*plain.columns, F.coalesce("component", "class").alias("component"))
+    split = named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
+    return written(named.join(split.select("key"), "key"), "live-lists")
+
+
+def _star_pairs(lists: DataFrame, number: int) -> DataFrame:
+    """Every member of a list with the list's pivot, the member of the smallest random number of
+    this round; the pivots of a split list with the pivot of them all. Members of one component
+    need no look."""
+    chance = F.xxhash64(F.lit(f"pivot {number}"), "class")
+    member = ("class", "n", "component")
     first = Window.partitionBy("key", "salt").orderBy(chance, "class")
-    seen = lists.withColumn("pivot", F.first(F.struct("class", "n")).over(first))
-    near = seen.where("class != pivot.class").select(
-        F.col("class").alias("x"), F.col("n").alias("nx"), F.col("pivot.class").alias("y"), F.col("pivot.n").alias("ny")
-    )
-    pivots = lists.groupBy("key", "salt").agg(F.min(F.struct(chance.alias("c"), "class", "n")).alias("p"))
-    tops = pivots.groupBy("key").agg(F.min("p").alias("top"), F.count("*").alias("parts")).where("parts > 1")
-    far = pivots.join(tops, "key").where("p.class != top.class").select(
-        F.col("p.class").alias("x"), F.col("p.n").alias("nx"), F.col("top.class").alias("y"), F.col("top.n").alias("ny")
-    )
-    pairs = near.unionAll(far).where(_sizes_fit(F.col("nx"), F.col("ny")))
-    shared = pairs.groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-    shared = shared.agg(F.count("*").alias("c"), F.min(F.least("nx", "ny")).alias("n"))
+    seen = lists.withColumn("y", F.first(F.struct(*member)).over(first)).select(F.struct(*member).alias("x"), "y")
+    pivots = lists.groupBy("key", "salt").agg(F.min(F.struct(chance.alias("c"), *member)).alias("x"))
+    tops = pivots.groupBy("key").agg(F.min("x").alias("y"), F.count("*").alias("parts")).where("parts > 1")
+    far = pivots.join(tops, "key").select(*[F.struct(*[f"{side}.{m}" for m in member]).alias(side) for side in ("x", "y")])
+    pairs = seen.unionAll(far).where("x.component != y.component").where(_sizes_fit(F.col("x.n"), F.col("y.n")))
+    shared = pairs.groupBy(F.least("x.class", "y.class").alias("a"), F.greatest("x.class", "y.class").alias("b"))
+    shared = shared.agg(F.count("*").alias("c"), F.min(F.least("x.n", "y.n")).alias("n"))
     # Stars only have to connect what is clearly near; all other pairs are looked at later.
     return shared.where("c >= 1 + 0.04 * n").select("a", "b")
 
 
-def _other_pairs(lists: DataFrame, classes: DataFrame, nodes: DataFrame, boundary: int) -> DataFrame:
-    """Every pair of a list in different components that can link."""
-    named = lists.join(nodes, lists["class"] == nodes["node"], "left").select(
-        "key", "class", "n", F.coalesce("component", "class").alias("component")
+def _other_pairs(live: DataFrame, boundary: int) -> DataFrame:
+    """Every pair of a list in different components that can link.
+
+    The set whose cut ends first has all shared shingles up to there in both cuts, so it shares
+    as many as the pair has common lists, and at most those after its cut. A pair that needs
+    more common lists than one of the two is in at all is none."""
+    counted = live.where("key % 2 = 0").groupBy("class").agg(F.count("*").alias("m"))
+    live = written(live.join(counted, "class", "left").fillna(0, ["m"]), "counted-lists")
+    x, y = (
+        live.select("key", *[F.col(name).alias(f"{name}_{side}") for name in ("class", "n", "last", "m", "component")])
+        for side in ("a", "b")
     )
-    named = written(named, "named-lists")
-    split = named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    live = written(named.join(split.select("key"), "key"), "live-lists")
-    x = live.select("key", F.col("class").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
-    y = live.select("key", F.col("class").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
-    met = x.join(y, "key").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _sizes_fit(F.col("na"), F.col("nb")))
-    single = F.col("key") % 2 == 0
-    met = met.where(~single | (F.greatest("na", "nb") > boundary))
-    pairs = met.groupBy("a", "b", "na", "nb").agg(F.count("*").alias("c"))
-    # The set whose cut ends first has all shared shingles up to there in both cuts, so it shares
-    # c of them and at most those after its cut.
-    last = classes.select(F.col("class").alias("a"), F.col("last").alias("la"))
-    pairs = pairs.join(last, "a").join(last.select(F.col("a").alias("b"), F.col("la").alias("lb")), "b")
-    n = F.when(F.col("la") <= F.col("lb"), F.col("na")).otherwise(F.col("nb"))
-    most = F.col("c") + F.ceil(n * PERCENT / 100) - 1
-    needed = F.ceil((F.col("na") + F.col("nb")) * PERCENT / (100 + PERCENT))
-    light = F.greatest("na", "nb") <= boundary
-    return pairs.where(light | (most >= needed)).select("a", "b")
+    n_a, n_b = F.col("n_a"), F.col("n_b")
+    ends_first = F.when(F.col("last_a") <= F.col("last_b"), n_a).otherwise(n_b)
+    needed = F.ceil((n_a + n_b) * PERCENT / (100 + PERCENT)) - F.ceil(ends_first * PERCENT / 100) + 1
+    pair = F.col("key") % 2 != 0
+    heavy = (F.greatest(n_a, n_b) > boundary) & (F.least("m_a", "m_b") >= needed)
+    met = x.join(
+        y.withColumnRenamed("key", "key_b"),
+        (F.col("key") == F.col("key_b"))
+        & (F.col("class_a") < F.col("class_b"))
+        & (F.col("component_a") != F.col("component_b"))
+        & _sizes_fit(n_a, n_b)
+        & (pair | heavy),
+    )
+    pairs = met.groupBy(F.col("class_a").alias("a"), F.col("class_b").alias("b"), pair.alias("pair"), needed.alias("needed"))
+    return pairs.agg(F.count("*").alias("c")).where("pair or c >= needed").select("a", "b").distinct()
 
 
 def jaccard_components(docs: DataFrame, keep_digest: bool = False) -> DataFrame:
@@ -348,18 +375,47 @@ def jaccard_components(docs: DataFrame, keep_digest: bool = False) -> DataFrame:
     return found if keep_digest else found.drop("digest", "group")
 
 
+def _nearer(nodes: DataFrame | None, links: DataFrame) -> DataFrame:
+    """Labels after one more round: two steps of taking the smallest label among linked ones, so
+    a star becomes one. Nodes of one label are connected; the reverse holds only at the end."""
+    if nodes is not None:
+        for side in ("a", "b"):
+            old = nodes.select(F.col("node").alias(side), F.col("component").alias(f"old_{side}"))
+            links = links.join(old, side, "left").withColumn(side, F.coalesce(f"old_{side}", side)).drop(f"old_{side}")
+    both = links.unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a != b")
+    once = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("at"), F.least("a", "m").alias("m"))
+    twice = both.join(once, F.col("b") == F.col("at")).groupBy("a").agg(F.min("m").alias("m"))
+    twice = written(twice.select(F.col("a").alias("node"), F.least("a", "m").alias("component")), "labels")
+    if nodes is None:
+        return twice
+    moved = twice.select(F.col("node").alias("component"), F.col("component").alias("new"))
+    known = nodes.join(moved, "component", "left").select("node", F.coalesce("new", "component").alias("component"))
+    return written(known.unionAll(twice.join(nodes, "node", "left_anti")), "labels")
+
+
 def _join_components(docs: DataFrame, members: DataFrame, firsts: DataFrame, entries: DataFrame, boundary: int) -> DataFrame:
     alone = Window.partitionBy("key", "salt")
     lists = entries.withColumn("size", F.count("*").over(alone)).where("size > 1 or salt > 0").drop("size")
     lists = written(lists, "lists")
-    classes = lists.select("class", "last").distinct()
-
-    links = _links(docs, firsts.select("class", "doc_id"), written(_star_pairs(lists), "star-pairs"))
-    nodes = written(components(links), "components")
-    others = written(_other_pairs(lists, classes, nodes, boundary), "other-pairs")
-    more = _links(docs, firsts.select("class", "doc_id"), others)
-    joined = nodes.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(more)
-    nodes = written(components(joined), "components")
+    ids = firsts.select("class", "doc_id")
+    nodes, held, found, live = None, [], [], _named(lists, None)
+    for number in range(STAR_ROUNDS):
+        pairs = written(_star_pairs(live, number), "star-pairs")
+        if pairs.isEmpty():
+            break
+        links = _links(docs, ids, pairs, held)
+        if links.isEmpty():
+            break
+        found.append(links)
+        nodes = _nearer(nodes, links)
+        live = _named(live, nodes)
+    others = written(_other_pairs(live, boundary), "other-pairs")
+    if not others.isEmpty():
+        found.append(_links(docs, ids, others, held))
+    if found:
+        nodes = written(components(reduce(DataFrame.unionAll, found)), "components")
+    else:
+        nodes = docs.sparkSession.createDataFrame([], "node long, component long")
 
     named = firsts.join(nodes, firsts["class"] == nodes["node"], "left")
     named = named.select("class", "doc_id", F.coalesce("component", "class").alias("component"))
