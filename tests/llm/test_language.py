@@ -24,6 +24,17 @@ def test_the_smallest_encoding_wins(documents):
     assert model.languages[sizes.index(min(sizes))] == model.predict(text)[0] == "de"
 
 
+def test_long_clean_documents_are_accepted(documents):
+    dictionaries = language.fit(documents(*labelled(40)))
+    long = [(1000 + i, prose(lang, 700_000, 1000 + i), lang) for i, lang in enumerate(("en", "de"))]
+    assert all(len(text) > 3_000_000 for _, text, _ in long)
+    found = language.identify(documents(*long), dictionaries).collect()
+    assert {(r["doc_id"], r["lang_pred"], r["accepted"]) for r in found} == {(1000, "en", True), (1001, "de", True)}
+    short = language.Model(dictionaries).predict(prose("en", 2_000, 1000))[2]
+    assert all(r["margin"] > short / 4 for r in found)
+    assert language.keep_accepted(documents(*long), dictionaries).count() == 2
+
+
 def test_awkward_documents(documents, awkward):
     dictionaries = language.fit(documents(*labelled(40)))
     found = language.identify(awkward, dictionaries).collect()
