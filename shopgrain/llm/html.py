@@ -6,8 +6,10 @@ or role are never article text (menus, headers, footers, side bars, notices, adv
 forms, comments, scripts, styles) count as empty. A window slides over the lines, and
 the text lengths in it are summed. Where the sum surges above a threshold taken from the
 page's own distribution, text begins; where it dives to nothing, text ends. The text is
-kept from surge to dive. If the page marks its article (``article``, ``main``), lines
-outside it count as empty, and any text inside it is a surge.
+kept from surge to dive. A mark of the article (``article``, ``main``) is believed if its
+element holds the densest window and half of the text: then any text inside it is a surge,
+its lines weigh more, and lines after it need a surge of their own. Other marks (of a
+title, a meta line, a teaser) change nothing.
 """
 
 from __future__ import annotations
@@ -26,6 +28,8 @@ WINDOW = 3
 #: A surge is a window sum of this share of the page's densest window, at most SURGE_MOST characters.
 SURGE_SHARE = 0.1
 SURGE_MOST = 60
+#: Weight of the characters inside the believed mark; surges count in the same weight.
+MARKED = 4
 #: Share of a line's characters inside links from which it is a menu line.
 LINK_SHARE = 0.6
 
@@ -92,13 +96,13 @@ def _marked(attributes: str) -> tuple[bool, bool]:
 
 
 class _Lines:
-    """The lines of a page: their text, their characters in links and whether they lie
-    inside a marked article. Boilerplate leaves an empty line."""
+    """The lines of a page: their text, their characters in links and the number of the
+    outermost mark of an article they lie in (0: none). Boilerplate leaves an empty line."""
 
     def __init__(self) -> None:
         self.text: list[str] = []
         self.linked: list[int] = []
-        self.inside: list[bool] = []
+        self.mark: list[int] = []
         self._open: list[str] = []
         self._links = 0
         self._skipped = False
@@ -111,12 +115,12 @@ class _Lines:
         if link:
             self._links += len(piece)
 
-    def end(self, inside: bool) -> None:
+    def end(self, mark: int) -> None:
         text = " ".join(entities.unescape("".join(self._open)).split())
         if text or self._skipped:
             self.text.append(text)
             self.linked.append(self._links)
-            self.inside.append(inside)
+            self.mark.append(mark)
         self._open, self._links, self._skipped = [], 0, False
 
 
@@ -124,7 +128,7 @@ def page_lines(page: str) -> _Lines:
     """Strip the markup of a page. Tags that don't match are closed as a browser would."""
     lines = _Lines()
     stack: list[tuple[str, bool, bool]] = []  # name, boilerplate, article
-    bad = article = links = 0
+    bad = article = links = marks = 0
     at, end = 0, len(page)
 
     def close(depth: int) -> None:
@@ -151,7 +155,7 @@ def page_lines(page: str) -> _Lines:
         if name == "br":
             lines.add(" ", bad > 0, False)
         elif name in BLOCKS:
-            lines.end(article > 0)
+            lines.end(marks if article else 0)
         if found.group(1):
             names = [x[0] for x in stack]
             if name in names:
@@ -182,37 +186,58 @@ def page_lines(page: str) -> _Lines:
         good = (good and name in BLOCKS or name in ("article", "main")) and not boilerplate and bad == 0
         stack.append((name, boilerplate, good))
         bad += boilerplate
+        marks += good and article == 0
         article += good
         links += name == "a"
-    lines.end(article > 0)
+    lines.end(marks if article else 0)
     return lines
 
 
+def _sums(useful: np.ndarray) -> np.ndarray:
+    """The text in the window that begins at each line."""
+    count = len(useful)
+    padded = np.concatenate([[0], np.cumsum(useful)])
+    return padded[np.minimum(np.arange(count) + WINDOW, count)] - padded[:count]
+
+
+def _believed(useful: np.ndarray, mark: np.ndarray) -> int:
+    """The mark with most of the densest window and half of all text; 0 without one."""
+    densest = int(_sums(useful).argmax())
+    window = slice(densest, densest + WINDOW)
+    found = int(mark[window][useful[window].argmax()])
+    held = useful * (mark == found)
+    whole = 2 * held[window].sum() > useful[window].sum() and 2 * held.sum() >= useful.sum()
+    return found if whole else 0
+
+
 def main_text(page: str | None) -> str:
     """The article of a page; empty for null, for an empty page and for one without text."""
     if not page:
         return ""
     lines = page_lines(page)
     lengths = np.array([len(x) for x in lines.text], dtype=np.int64)
-    inside = np.array(lines.inside, dtype=bool) & (lengths > 0)
-    if inside.any():
-        useful, most = np.where(inside, lengths, 0), 1.0
-    else:
-        useful, most = np.where(np.array(lines.linked) > LINK_SHARE * lengths, 0, lengths), SURGE_MOST
+    mark = np.array(lines.mark, dtype=np.int64)
+    useful = np.where(np.array(lines.linked) > LINK_SHARE * lengths, 0, lengths)
+    if not useful.any():
+        useful = np.where(mark > 0, lengths, 0)
     if not useful.any():
         return ""
-    count = len(useful)
-    padded = np.concatenate([[0], np.cumsum(useful)])
-    sums = padded[np.minimum(np.arange(count) + WINDOW, count)] - padded[:count]
-    surge = min(most, SURGE_SHARE * sums.max())
+    believed = _believed(useful, mark)
+    inside = (mark == believed) & (believed > 0)
+    useful = np.where(inside, MARKED * lengths, useful)
+    sums = _sums(useful)
+    surge = min(SURGE_MOST * (MARKED if believed else 1), SURGE_SHARE * sums.max())
     kept: list[str] = []
+    count = len(useful)
     i = 0
     while i < count:
-        if useful[i] and sums[i] >= surge:
-            while i < count and sums[i] > 0:  # up to the dive: a whole window without text
+        if useful[i] and (inside[i] or sums[i] >= surge):
+            while True:  # up to the dive (a whole window without text) or the end of the mark
                 if useful[i]:
                     kept.append(lines.text[i])
                 i += 1
+                if i == count or not sums[i] or inside[i - 1] and not inside[i]:
+                    break
         else:
             i += 1
     return "\n".join(kept)

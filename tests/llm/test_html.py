@@ -33,6 +33,31 @@ def test_text_far_from_the_surge_is_left():
     assert main_text(page) == f"{LONG * 20}\nend"
 
 
+BODY = [f"{n}. {LONG}" for n in range(12)]
+UNMARKED = "<div>" + "".join(f"<p>{x}</p>" for x in BODY) + "</div>"
+
+
+@pytest.mark.parametrize(
+    "small, text",
+    [
+        ('<h1 class="entry-title">The title</h1>', "The title"),
+        ('<div class="post-meta">By A. Writer</div>', "By A. Writer"),
+        ("<article><h2>A teaser</h2><p>It is short.</p></article>", "A teaser\nIt is short."),
+        ('<div class="story-teaser"><p>One more story.</p></div>', "One more story."),
+    ],
+)
+def test_a_mark_on_a_small_part_doesnt_hide_the_body(small, text):
+    body = "\n".join(BODY)
+    assert main_text(small + UNMARKED) == f"{text}\n{body}"
+    assert body in main_text(UNMARKED + small)
+    assert body in main_text(small * 3 + UNMARKED + small * 3)
+
+
+def test_dense_text_outside_a_believed_mark_is_kept():
+    page = "<h1>Title</h1><article>" + UNMARKED * 2 + f"</article><div><p>{LONG * 4}</p></div>" + "<nav>m</nav>" * 4 + "<p>stray</p>"
+    assert main_text(page) == "\n".join(["Title", *BODY, *BODY, LONG * 4])
+
+
 def test_table(spark):
     rows = [(1, "u", "<p>a</p>", "k"), (1, "u", "<p>a</p>", "k"), (None, None, None, "k"), (2, "u", "<p>😀b</p>" * 3000, "k")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
