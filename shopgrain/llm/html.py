@@ -10,6 +10,10 @@ kept from surge to dive. A mark of the article (``article``, ``main``) is believ
 element holds the densest window and half of the text: then any text inside it is a surge,
 its lines weigh more, and lines after it need a surge of their own. Other marks (of a
 title, a meta line, a teaser) change nothing.
+
+Inside a marked article only a whole class or a role marks boilerplate: words inside ids
+(they are often made from headings) and compound names don't. Classes that also name parts
+of an article (``AMBIGUOUS``) leave it to the windows.
 """
 
 from __future__ import annotations
@@ -51,6 +55,11 @@ MARKS = frozenset(
     subscription signup login form search share sharing social related recommended recommendations trending widget
     pagination pager copyright legal disclaimer skip complementary contentinfo alert alertdialog dialog""".split()
 )
+#: Classes that mark boilerplate or a part of the article; inside an article density decides.
+AMBIGUOUS = frozenset(
+    """header notice notices widget trending skip discussion related recommended recommendations search legal copyright
+    disclaimer form share sharing social menu alert aside""".split()
+)
 ARTICLE_MARKS = frozenset(("article", "main", "content", "post", "story", "entry"))
 #: End tags that may be left out: an open element that a start tag closes.
 CLOSED_BY = {
@@ -64,6 +73,7 @@ CLOSED_BY = {
     "th": frozenset(("td", "th", "tr", "tbody", "tfoot")),
     "head": frozenset(("body",)),
 }
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 SCOPES = frozenset("article aside body div section table td th ul ol dl nav main form footer header blockquote".split())
 
 TOKEN = re.compile(
@@ -75,29 +85,37 @@ ATTRIBUTE = re.compile(r"""([^\s=>"'/]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]
 WORD = re.compile(r"[a-z]+")
 
 
-def _marked(attributes: str) -> tuple[bool, bool]:
-    """Whether class, id, role or hidden mark boilerplate, and whether they mark the article."""
+def _marked(attributes: str, within: bool, heading: bool) -> tuple[bool, bool, bool]:
+    """Whether class, id, role or hidden mark boilerplate, whether they mark the article and
+    whether they are ambiguous. ``within`` a marked article names count whole, and ids not
+    at all, as on a ``heading`` anywhere."""
     if not attributes or attributes.isspace():
-        return False, False
-    bad = good = False
+        return False, False, False
+    bad = good = doubtful = False
     for name, a, b, c in ATTRIBUTE.findall(attributes):
         name = name.lower()
         value = (a or b or c).lower()
         if name in ("class", "id", "role"):
             words = set(WORD.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", a or b or c).lower()))
             article = bool(words & ARTICLE_MARKS)
-            bad |= bool(words & MARKS - ({"header"} if article else set()))
+            if within:
+                whole = set(value.split()) & MARKS if name != "id" else set()
+                unsure = whole & AMBIGUOUS if name == "class" else set()
+                bad |= bool(whole - unsure)
+                doubtful |= bool(unsure)
+            elif name != "id" or not heading:
+                bad |= bool(words & MARKS - ({"header"} if article else set()))
             good |= article
         elif name == "hidden" or (name == "aria-hidden" and value == "true"):
             bad = True
         elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
             bad = True
-    return bad, good and not bad
+    return bad, good and not bad, doubtful and not bad
 
 
 class _Lines:
     """The lines of a page: their text, their characters in links and the number of the
-    outermost mark of an article they lie in (0: none). Boilerplate leaves an empty line."""
+    outermost mark of an article they lie in (0: none; negative: in doubt). Boilerplate leaves an empty line."""
 
     def __init__(self) -> None:
         self.text: list[str] = []
@@ -127,16 +145,17 @@ class _Lines:
 def page_lines(page: str) -> _Lines:
     """Strip the markup of a page. Tags that don't match are closed as a browser would."""
     lines = _Lines()
-    stack: list[tuple[str, bool, bool]] = []  # name, boilerplate, article
-    bad = article = links = marks = 0
+    stack: list[tuple[str, bool, bool, bool]] = []  # name, boilerplate, article, doubtful
+    bad = article = doubt = links = marks = 0
     at, end = 0, len(page)
 
     def close(depth: int) -> None:
-        nonlocal bad, article, links
+        nonlocal bad, article, doubt, links
         while len(stack) > depth:
-            name, was_bad, was_article = stack.pop()
+            name, was_bad, was_article, was_doubtful = stack.pop()
             bad -= was_bad
             article -= was_article
+            doubt -= was_doubtful
             links -= name == "a"
 
     while at < end:
@@ -155,7 +174,7 @@ def page_lines(page: str) -> _Lines:
         if name == "br":
             lines.add(" ", bad > 0, False)
         elif name in BLOCKS:
-            lines.end(marks if article else 0)
+            lines.end((-marks if doubt else marks) if article else 0)
         if found.group(1):
             names = [x[0] for x in stack]
             if name in names:
@@ -179,17 +198,19 @@ def page_lines(page: str) -> _Lines:
             continue
         if name in VOID or found.group(3).endswith("/") and name not in BLOCKS:
             continue
-        marked, good = _marked(found.group(3))
+        marked, good, doubtful = _marked(found.group(3), article > 0, name in HEADINGS)
         # A header or a heading inside the article belongs to it.
         boilerplate = name in BOILERPLATE or marked and name not in ("html", "body", "article", "main")
         boilerplate |= name == "header" and article == 0
         good = (good and name in BLOCKS or name in ("article", "main")) and not boilerplate and bad == 0
-        stack.append((name, boilerplate, good))
+        doubtful &= name in BLOCKS
+        stack.append((name, boilerplate, good, doubtful))
         bad += boilerplate
         marks += good and article == 0
         article += good
+        doubt += doubtful
         links += name == "a"
-    lines.end(marks if article else 0)
+    lines.end((-marks if doubt else marks) if article else 0)
     return lines
 
 
@@ -219,19 +240,20 @@ def main_text(page: str | None) -> str:
     mark = np.array(lines.mark, dtype=np.int64)
     useful = np.where(np.array(lines.linked) > LINK_SHARE * lengths, 0, lengths)
     if not useful.any():
-        useful = np.where(mark > 0, lengths, 0)
+        useful = np.where(mark != 0, lengths, 0)
     if not useful.any():
         return ""
-    believed = _believed(useful, mark)
+    believed = _believed(useful, np.abs(mark))
     inside = (mark == believed) & (believed > 0)
     useful = np.where(inside, MARKED * lengths, useful)
     sums = _sums(useful)
     surge = min(SURGE_MOST * (MARKED if believed else 1), SURGE_SHARE * sums.max())
+    surge = np.where((mark == -believed) & (believed > 0), surge / MARKED, surge)  # in doubt: no weight
     kept: list[str] = []
     count = len(useful)
     i = 0
     while i < count:
-        if useful[i] and (inside[i] or sums[i] >= surge):
+        if useful[i] and (inside[i] or sums[i] >= surge[i]):
             while True:  # up to the dive (a whole window without text) or the end of the mark
                 if useful[i]:
                     kept.append(lines.text[i])

@@ -58,6 +58,32 @@ def test_dense_text_outside_a_believed_mark_is_kept():
     assert main_text(page) == "\n".join(["Title", *BODY, *BODY, LONG * 4])
 
 
+@pytest.mark.parametrize(
+    "part, text",
+    [
+        (f'<section id="discussion"><h2>Discussion</h2><p>{LONG}</p></section>', f"Discussion\n{LONG}"),
+        (f'<h2 id="related-work">Related work</h2><p>{LONG}</p>', f"Related work\n{LONG}"),
+        (f'<section id="legal-framework"><p>{LONG}</p></section>', LONG),
+        (f'<h2 class="section-header">Methods</h2><p>{LONG}</p>', f"Methods\n{LONG}"),
+        (f'<h1 class="page-header">Title</h1><p>{LONG}</p>', f"Title\n{LONG}"),
+        (f'<div class="elementor-widget"><p>{LONG}</p></div>', LONG),
+        (f'<div class="widget legal"><p>{LONG}</p><p>{LONG * 3}</p></div>', f"{LONG}\n{LONG * 3}"),
+        (f'<div class="notice"><p>{LONG}</p></div>', LONG),
+        ('<div class="post comments"><p>no</p></div>', ""),
+        ('<div role="search"><p>no</p></div>', ""),
+        ('<div class="share"><a href="x">Share</a></div>', ""),
+    ],
+)
+@pytest.mark.parametrize("opening, closing", [("<article>", "</article>"), ('<div class="post-content">', "</div>")])
+def test_words_of_boilerplate_inside_an_article(opening, closing, part, text):
+    page = f"{opening}<p>{BODY[0]}</p>{part}{closing}"
+    assert main_text(page) == "\n".join(x for x in (BODY[0], text) if x)
+
+
+def test_ids_of_headings_mark_nothing():
+    assert main_text(f'<div><h2 id="related-work">Related work</h2><p>{LONG}</p></div>') == f"Related work\n{LONG}"
+
+
 def test_table(spark):
     rows = [(1, "u", "<p>a</p>", "k"), (1, "u", "<p>a</p>", "k"), (None, None, None, "k"), (2, "u", "<p>😀b</p>" * 3000, "k")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
