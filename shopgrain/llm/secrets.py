@@ -2,8 +2,10 @@
 
 Native expressions only. Spans are found with regular expressions: the text between
 matches and the matches themselves give their places in code points. Beyond those
-base spans, every candidate string (a long run of token characters) belongs to a
-character class; a window slides over it, and the Shannon entropy of each window comes
+base spans, every candidate string (a long run of token characters) with a letter and a
+digit belongs to a character class, and so does every long run of letters and digits
+between the signs of a candidate, as in ``key=value``, paths and prefixed tokens. A window
+slides over both, and the Shannon entropy of each window comes
 from symbol counts that are changed by the one character that leaves and the one that
 enters. Windows at or above the threshold of the class make an ``entropy`` span, unless
 the candidate is on the allow list. Base spans are never suppressed.
@@ -36,17 +38,20 @@ _SPAN = "array<struct<start:int,rank:int,end:int>>"
 
 @dataclass(frozen=True)
 class Entropy:
-    """Parameters of the entropy scan. ``classes``: name, pattern of a whole candidate
-    and least entropy in bits; the first pattern that fits gives the class, and a
-    candidate that fits none (plain words, numbers) is not scanned. ``allowed``:
-    patterns of whole candidates that are no secrets."""
+    """Parameters of the entropy scan. ``run``: what is scanned by itself inside a
+    candidate with signs. ``classes``: name, pattern of a whole candidate or run and least
+    entropy in bits; the first pattern that fits gives the class, and what fits none (only
+    letters or only digits, with or without signs) is not scanned. ``allowed``: patterns
+    of whole candidates that are no secrets, with the runs in them."""
 
     window: int = 20
     candidate: str = r"[A-Za-z0-9+/_=-]{20,}"
+    run: str = r"[A-Za-z0-9]{20,}"
     classes: tuple[tuple[str, str, float], ...] = (
         ("hex", r"^(?=.*[0-9])(?=.*[a-fA-F])[0-9a-fA-F]+$", 3.0),
         ("alnum", r"^(?=.*[0-9])(?=.*[a-zA-Z])(?:[0-9a-z]+|[0-9A-Z]+)$", 3.6),
         ("base64", r"^(?=.*[0-9])(?=.*[a-z])(?=.*[A-Z])[A-Za-z0-9+/_=-]+$", 3.8),
+        ("signed", r"^(?=.*[0-9])(?=.*[a-zA-Z])[A-Za-z0-9+/_=-]+$", 4.0),  # paths in one case reach 3.9
     )
     allowed: tuple[str, ...] = field(
         default=(
@@ -122,18 +127,34 @@ def _hot_windows(value: Column, least: Column, window: int) -> Column:
     )
 
 
+def _any(value: Column, patterns: tuple[str, ...]) -> Column:
+    found = F.lit(False)
+    for pattern in patterns:
+        found = found | value.rlike(pattern)
+    return found
+
+
+def _covers(x: Column, y: Column) -> Column:
+    return (x["start"] <= y["start"]) & (y["end"] <= x["end"])
+
+
 def _entropy_spans(text: Column, rules: Entropy) -> Column:
+    """Spans of the candidates and of the runs inside them; one inside another is left out."""
     located = _located(text, rules.candidate)
+    candidates = F.filter(located, lambda x: ~_any(x["value"], rules.allowed))
+    # A candidate that is one run is scanned once.
+    runs = F.filter(
+        _located(text, rules.run),
+        lambda r: F.exists(candidates, lambda x: _covers(x, r) & (F.length(x["value"]) > F.length(r["value"]))),
+    )
 
     def least(value: Column) -> Column:
         found = F.lit(None).cast("double")
         for _, pattern, bits in reversed(rules.classes):
             found = F.when(value.rlike(pattern), F.lit(bits)).otherwise(found)
-        for pattern in rules.allowed:
-            found = F.when(value.rlike(pattern), F.lit(None).cast("double")).otherwise(found)
         return found
 
-    suspects = F.filter(located, lambda x: least(x["value"]).isNotNull())
+    suspects = F.filter(F.concat(candidates, runs), lambda x: least(x["value"]).isNotNull())
     scanned = F.transform(
         suspects,
         lambda x: F.struct(
@@ -141,21 +162,23 @@ def _entropy_spans(text: Column, rules: Entropy) -> Column:
         ),
     )
     hot = F.filter(scanned, lambda x: x["hot"]["first"] >= 0)
-    return F.transform(
-        hot,
-        lambda x: F.struct(
-            (x["start"] + x["hot"]["first"]).alias("start"),
-            F.lit(KINDS.index("entropy")).alias("rank"),
-            (x["start"] + x["hot"]["last"]).alias("end"),
-        ),
-    ).cast(_SPAN)
+    return F.array_distinct(
+        F.transform(
+            hot,
+            lambda x: F.struct(
+                (x["start"] + x["hot"]["first"]).alias("start"),
+                F.lit(KINDS.index("entropy")).alias("rank"),
+                (x["start"] + x["hot"]["last"]).alias("end"),
+            ),
+        ).cast(_SPAN)
+    )
 
 
 def with_spans(df: DataFrame, text: Column, rules: Entropy | None = None) -> DataFrame:
     """Add ``_base`` and ``_spans``: sorted arrays of structs (start, rank of the kind, end).
 
     Base spans come from the three patterns; entropy spans are added where no base span
-    covers them."""
+    or larger entropy span covers them."""
     rules = rules or Entropy()
     whole = F.coalesce(text, F.lit(""))
     assign = F.filter(_located(whole, ASSIGN, 1), lambda x: F.length(x["value"]) >= ASSIGN_LEAST)
@@ -169,7 +192,8 @@ def with_spans(df: DataFrame, text: Column, rules: Entropy | None = None) -> Dat
     df = df.withColumn("_base", base).withColumn("_entropy", _entropy_spans(whole, rules))
     added = F.filter(
         F.col("_entropy"),
-        lambda x: ~F.exists(F.col("_base"), lambda b: (b["start"] <= x["start"]) & (x["end"] <= b["end"])),
+        lambda x: ~F.exists(F.col("_base"), lambda b: _covers(b, x))
+        & ~F.exists(F.col("_entropy"), lambda e: _covers(e, x) & (e != x)),
     )
     return df.withColumn("_spans", F.array_sort(F.concat(F.col("_base"), added))).drop("_entropy")
 

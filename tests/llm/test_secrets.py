@@ -49,6 +49,31 @@ def test_entropy_of_sliding_windows(spark):
     assert secrets.scan_secrets(docs).first()["spans"] == f"entropy:{4 + hot[0]}:{4 + hot[-1] + 20}"
 
 
+def test_one_case_beside_signs(spark):
+    lower, upper = "4q9hqlyjwzrjtt1zxp7kmv3u", "4Q9HQLYJWZRJTT1ZXP7KMV3U"
+    forms = [f"{p}{lower}" for p in ("", "sig=", "share/", "sk_live_", "xoxb-", "x/y=z/", "Key=")]
+    forms += [f"{p}{upper}" for p in ("KEY-", "key-", "SIG=A/B/")] + [f"{lower}/end", f"a-b_c/{lower}=="]
+    forms += ["KEY-DEADBEEF0123456789ABCDEF", "4q9hqlyjwz-rjtt1zxp7k_mv3u8w2n5d"]
+    docs = spark.createDataFrame([(i, f"see {x} here") for i, x in enumerate(forms)], "doc_id long, text string")
+    spans = {r["doc_id"]: r["spans"] for r in secrets.scan_secrets(docs).collect()}
+    for i, form in enumerate(forms):
+        found = [tuple(map(int, x.split(":")[1:])) for x in spans[i].split(",") if x]
+        assert found, form
+        for secret in (lower, upper):
+            if secret in form:
+                at = 4 + form.index(secret)
+                assert min(a for a, _ in found) <= at and max(b for _, b in found) >= at + len(secret), (form, found)
+        assert all(4 <= a < b <= 4 + len(form) for a, b in found)
+    hidden = {r["doc_id"]: r["text"] for r in secrets.mask_secrets(docs).collect()}
+    assert not any(lower in x or upper in x for x in hidden.values())
+
+
+def test_words_paths_and_numbers_beside_signs_are_spared(spark):
+    plain = ["articles/2021/the-long-way-home", "internationalization=localisation", "2024-01-15_12-30-45-000123", "1234567890-1234567890-1234567890"]
+    docs = spark.createDataFrame(list(enumerate(plain)), "doc_id long, text string")
+    assert {r["spans"] for r in secrets.scan_secrets(docs).collect()} == {""}
+
+
 def test_allow_list_spares_no_base_span(spark):
     uuid = "123e4567-e89b-12d3-a456-426614174000"
     docs = spark.createDataFrame([(1, uuid), (2, f"token={uuid}"), (3, "internationalization-and-localisation-2024")], "doc_id long, text string")
