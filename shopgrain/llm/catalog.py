@@ -7,10 +7,13 @@ from shopgrain.llm import (  # noqa: F401
     language,
     neighbours,
     packing,
+    quality,
     scoring,
     secrets,
     sharding,
     toxicity,
+    trie,
+    whitening,
 )
 from shopgrain.llm.registry import ORACLE, QUERIES
 
