@@ -19,7 +19,7 @@ from shopgrain.plans import increments, location_history
 from shopgrain.session import fresh_folder
 from shopgrain.sources import warehouse
 from shopgrain.sources.raw import RawTables
-from shopgrain.sources.versioned import month_number
+from shopgrain.sources.partitioned import RUN, SLICE, month_number
 from shopgrain.streaming.events import deduplicated, file_stream, stream_user_events, write_stream
 from shopgrain.streaming.orders import stream_orders
 
@@ -122,7 +122,7 @@ def _rebuild_orders(raw: RawTables) -> DataFrame:
     table = increments.orders_table(spark, fresh_folder(spark, "orders"))
     increments.run_orders(table, raw.replace(orders=_early_orders(raw)), "first")
     increments.run_orders(table, raw, "refresh", full_refresh=True)
-    return table.read().drop(increments.SLICE)
+    return table.read().drop(SLICE, RUN)
 
 
 add("i8_full_refresh", _rebuild_orders, "SELECT * FROM orders_incr")
@@ -136,7 +136,7 @@ def _orders_model(raw: RawTables) -> DataFrame:
     increments.run_orders(table, raw.replace(orders=_early_orders(raw)), "first")
     increments.run_orders(table, raw, "second")
     increments.run_orders(table, raw, "second")  # a repeated run changes nothing
-    return table.read().drop(increments.SLICE)
+    return table.read().drop(SLICE, RUN)
 
 
 add("m7_stg_orders_incr", _orders_model, _ORDERS_AFTER)
@@ -147,12 +147,12 @@ def _guarded_orders(raw: RawTables) -> DataFrame:
     table = increments.orders_table(raw.spark, fresh_folder(raw.spark, "orders"))
     increments.run_orders(table, raw.replace(orders=_early_orders(raw)), "first")
     batch = increments.orders_batch(raw.orders, raw.users, raw.locations)
-    drifted = batch.drop("payment_method").withColumn(increments.SLICE, month_number("order_date"))
+    drifted = batch.drop("payment_method").withColumn(SLICE, month_number("order_date"))
     try:
         incremental.upsert_into(table, drifted, "order_id", "second")
     except incremental.SchemaDrift:
         increments.run_orders(table, raw, "second")
-        return table.read().drop(increments.SLICE)
+        return table.read().drop(SLICE, RUN)
     raise AssertionError("a drifted batch has been stored")
 
 
@@ -164,7 +164,8 @@ def _items_model(raw: RawTables) -> DataFrame:
     table = increments.order_items_table(spark, fresh_folder(spark, "items"))
     increments.run_order_items(table, raw.replace(order_items=_delivered_first(raw)), "first", RUN_TIME)
     increments.run_order_items(table, raw, "second", SECOND_RUN)
-    return table.read()
+    increments.run_order_items(table, raw, "second", SECOND_RUN)  # a repeated run writes the same
+    return table.read().drop(RUN)
 
 
 add(
@@ -182,7 +183,7 @@ def _events_model(raw: RawTables) -> DataFrame:
     early = raw.user_events.where(_before("event_timestamp", EVENTS_CUT))
     increments.run_user_events(table, raw.replace(user_events=early), "first")
     increments.run_user_events(table, raw, "second")
-    return table.read().drop(increments.SLICE)
+    return table.read().drop(SLICE, RUN)
 
 
 add("m9_stg_user_events_incr", _events_model, _EVENTS_AFTER)
@@ -269,7 +270,7 @@ def _streamed_events(spark: SparkSession, folder: str) -> DataFrame:
         _event_stream(spark, folder), raw.users, raw.locations, table, f"{work}/checkpoint", "stream"
     )
     query.awaitTermination()
-    return table.read().drop(increments.SLICE)
+    return table.read().drop(SLICE, RUN)
 
 
 add_on_folder("t1_stream_user_events", _streamed_events, _EVENTS_AFTER)
@@ -290,7 +291,7 @@ def _streamed_orders(spark: SparkSession, folder: str) -> DataFrame:
     """Each order arrives as placed and as last updated; the newest version stays."""
     raw = warehouse.raw_tables(spark, folder)
     work = fresh_folder(spark, "order-stream")
-    table = increments.orders_table(spark, f"{work}/table")
+    table = increments.order_versions_table(spark, f"{work}/table")
     files = file_stream(spark, f"{folder}/orders.parque[t]", warehouse.file_schema("orders"))
     updated = warehouse.orders(files)
     placed = updated.withColumns({"order_status": F.lit("pending"), "updated_at": F.col("order_date") - F.expr("INTERVAL 1 DAY")})
@@ -298,7 +299,7 @@ def _streamed_orders(spark: SparkSession, folder: str) -> DataFrame:
         placed.unionByName(updated), raw.users, raw.locations, table, f"{work}/checkpoint", "stream"
     )
     query.awaitTermination()
-    return table.read().drop(increments.SLICE)
+    return increments.current_orders(table)
 
 
 add_on_folder("t3_stream_orders", _streamed_orders, "SELECT * FROM orders_incr")
@@ -320,7 +321,7 @@ def _out_of_order_events(spark: SparkSession, folder: str) -> DataFrame:
     _shuffled_files(raw.user_events.withColumn("__copy", F.explode(F.array(F.lit(0), F.lit(1)))), f"{work}/in", "event_id", "__copy")
     files = file_stream(spark, f"{work}/in", raw.user_events.schema, files_per_batch=1)
     stream_user_events(files, raw.users, raw.locations, table, f"{work}/checkpoint", "stream").awaitTermination()
-    return table.read().drop(increments.SLICE)
+    return table.read().drop(SLICE, RUN)
 
 
 add_on_folder("t1_stream_out_of_order", _out_of_order_events, _EVENTS_AFTER)
@@ -330,14 +331,14 @@ def _out_of_order_orders(spark: SparkSession, folder: str) -> DataFrame:
     """Both versions of every order over several micro-batches, often the newer one first."""
     raw = warehouse.raw_tables(spark, folder)
     work = fresh_folder(spark, "order-stream")
-    table = increments.orders_table(spark, f"{work}/table")
+    table = increments.order_versions_table(spark, f"{work}/table")
     placed = raw.orders.withColumns(
         {"order_status": F.lit("pending"), "updated_at": F.col("order_date") - F.expr("INTERVAL 1 DAY")}
     )
     _shuffled_files(placed.unionByName(raw.orders), f"{work}/in", "order_id", "updated_at")
     files = file_stream(spark, f"{work}/in", raw.orders.schema, files_per_batch=1)
     stream_orders(files, raw.users, raw.locations, table, f"{work}/checkpoint", "stream").awaitTermination()
-    return table.read().drop(increments.SLICE)
+    return increments.current_orders(table)
 
 
 add_on_folder("t3_stream_out_of_order", _out_of_order_orders, "SELECT * FROM orders_incr")

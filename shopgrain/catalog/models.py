@@ -125,8 +125,8 @@ def _full_refresh(raw: RawTables) -> DataFrame:
     spark = raw.spark
     path = fresh_folder(spark, "fct-orders")
     pending = mart.fct_orders(staging.stg_orders(raw.orders), staging.stg_order_items(raw.order_items))
-    refresh_table(spark, pending.where("order_status = 'pending'"), path, "first")
-    return refresh_table(spark, pending, path, "second")
+    refresh_table(spark, pending.where("order_status = 'pending'"), path)
+    return refresh_table(spark, pending, path)
 
 
 add("s6_full_refresh", _full_refresh, "SELECT * FROM fct_orders")

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shopgrain.session import durable
-from shopgrain.sources.versioned import Snapshot, VersionedTable
+from shopgrain.session import written
+from shopgrain.sources.partitioned import PartitionedTable
 
 DRIFT = T.StructType(
     [
@@ -65,14 +65,18 @@ def latest_per_key(df: DataFrame, key: str, moment: str) -> DataFrame:
     """One row per key: the one of the newest ``moment``. A NULL key never matches, so all
     its rows pass.
 
-    The newest moment per key is a hash aggregate that combines before the shuffle; only
-    rows at that moment go on, and of equal ones the greatest by all columns stays."""
+    The newest moment per key and the rows that have it are hash aggregates that combine
+    before the shuffle. A key with one such row is done; of several the greatest by all
+    columns stays, and only these rows are compared as a whole."""
     newest = df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("__key")).agg(F.max(moment).alias("__newest"))
     at_newest = (F.col(key) == F.col("__key")) & F.col(moment).eqNullSafe(F.col("__newest"))
     rows = df.join(newest, at_newest).select(*df.columns)
+    tied = rows.groupBy(F.col(key).alias("__tied")).agg(F.count("*").alias("__n")).where("__n > 1").drop("__n")
+    single = rows.join(tied, F.col(key) == F.col("__tied"), "left_anti")
     rest = [c for c in df.columns if c != key]
-    single = rows.groupBy(key).agg(F.max(F.struct(*rest)).alias("__row")).select(key, "__row.*")
-    return single.select(*df.columns).unionByName(df.where(F.col(key).isNull()))
+    several = rows.join(tied, F.col(key) == F.col("__tied"), "left_semi")
+    greatest = several.groupBy(key).agg(F.max(F.struct(*rest)).alias("__row")).select(key, "__row.*")
+    return single.unionByName(greatest.select(*df.columns)).unionByName(df.where(F.col(key).isNull()))
 
 
 def newer_than_stored(batch: DataFrame, stored: DataFrame | None, key: str, moment: str) -> DataFrame:
@@ -105,42 +109,46 @@ def require_same_schema(expected: T.StructType, actual: T.StructType) -> None:
         raise SchemaDrift("; ".join(f"{c}: {kind} (expected {e}, got {a})" for c, kind, e, a in drift))
 
 
+class MovedKey(ValueError):
+    """A key of the batch is stored in another slice, so an upsert by slice would leave it twice."""
+
+
+def moved_keys(table: PartitionedTable, batch: DataFrame, key: str) -> DataFrame:
+    """Keys of the batch that the table holds in another slice only: a scan of all stored keys."""
+    slice_of = table.by[0]
+    held = table.read().select(F.col(key).alias("__held"), F.col(slice_of).alias("__slice"))
+    pairs = batch.select(key, slice_of).join(held, F.col(key) == F.col("__held"))
+    return pairs.where(F.col(slice_of) != F.col("__slice")).select(key).distinct()
+
+
 def upsert_into(
-    table: VersionedTable | Snapshot, batch: DataFrame, key: str, run_id: str, slices_may_move: bool = True
+    table: PartitionedTable, batch: DataFrame, key: str, run_id: str, refuse_moved: bool = False
 ) -> bool:
-    """Upsert a batch into a stored table, rewriting only the slices it touches.
+    """Upsert a batch into a table by slice. False when this run was done before.
 
-    Touched are the slices of the batch itself and, as a key may have moved,
-    the slices where the target holds those keys. ``slices_may_move=False``
-    says that a key never changes its slice, which saves that lookup. Returns
-    False when this run was committed before.
+    Only the slices of the batch are read and written. So a key's slice must be part of what
+    it is, as an order's month is; ``refuse_moved`` looks through all stored keys for ones
+    that moved and raises ``MovedKey`` (a full refresh then puts them right).
     """
-    snapshot = table.snapshot() if isinstance(table, VersionedTable) else table
-    if run_id in snapshot.runs:
+    if table.ran(run_id):
         return False
-    target = snapshot.read()
-    if target is None:
-        return snapshot.replace(batch, run_id)
-    require_same_schema(target.schema, batch.schema)
-    batch = durable(batch)  # read several times below; the increment is the small side
-    keys = distinct_keys(batch, key)
-    if not snapshot.table.slice_column:
-        return snapshot.replace(upsert(target, batch, key, keys), run_id)
-    slice_of = snapshot.table.slice_column
-    touched = batch.select(slice_of)
-    if slices_may_move:
-        held = target.select(key, slice_of).join(keys, key, "left_semi")
-        touched = touched.unionAll(held.select(slice_of))
-    # Slices are months: few, whatever the number of rows.
-    numbers = [row[0] for row in touched.distinct().collect()]
-    if not numbers:
-        return snapshot.replace_slices(batch, run_id, [])
-    return snapshot.replace_slices(upsert(snapshot.read(numbers), batch, key, keys), run_id, numbers)
-
-
-def append_into(table: VersionedTable | Snapshot, batch: DataFrame, run_id: str) -> bool:
-    """Append rows; nothing stored is rewritten. False when this run was done before."""
-    snapshot = table.snapshot() if isinstance(table, VersionedTable) else table
-    if snapshot.schema is not None:
-        require_same_schema(snapshot.schema, batch.schema)
-    return snapshot.append(batch, run_id)
+    schema = table.schema()
+    if schema is None:
+        table.refresh(batch)
+    else:
+        require_same_schema(schema, batch.schema)
+        table.finish_replacing()
+        batch = written(batch, "batch")  # read several times below; the increment is the small side
+        if refuse_moved:
+            found = [row[0] for row in moved_keys(table, batch, key).limit(5).collect()]
+            if found:
+                raise MovedKey(f"{key} is stored in another slice, for example {found}")
+        stored = table.read(slices_of(batch, table.by[0]))
+        table.replace(upsert(stored, batch, key, distinct_keys(batch, key)))
+    table.finished(run_id)
+    return True
+
+
+def slices_of(batch: DataFrame, column: str) -> list[int]:
+    """The slices a stored batch touches: months, few whatever its rows."""
+    return [row[0] for row in batch.select(column).distinct().collect()]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -10,16 +11,20 @@ from pyspark.sql import functions as F
 from shopgrain.functions import region
 from shopgrain.operators.incremental import (
     absent_from_target,
-    append_into,
+    latest_per_key,
     newer_than_target,
+    require_same_schema,
+    slices_of,
     stamp_loaded_at,
+    upsert,
     upsert_into,
 )
 from shopgrain.plans.staging import flag_quebec_events, stg_order_items, user_places
+from shopgrain.session import written
 from shopgrain.sources.raw import RawTables
-from shopgrain.sources.versioned import VersionedTable, month_number
+from shopgrain.sources.bucketed import BucketedTable
+from shopgrain.sources.partitioned import RUN, SLICE, PartitionedTable, month_number
 
-SLICE = "slice_month"
 ORDERS_KEY, ITEMS_KEY, EVENTS_KEY = "order_id", "order_item_id", "event_id"
 
 
@@ -51,61 +56,108 @@ def user_events_batch(
     return flag_quebec_events(new.select(*columns), users, locations)
 
 
-def orders_table(spark, path: str) -> VersionedTable:
-    return VersionedTable(spark, path, SLICE)
+def orders_table(spark, path: str) -> PartitionedTable:
+    """By the month of the order, with the newest update noted beside it."""
+    return PartitionedTable(spark, path, [SLICE], mark="updated_at")
 
 
-def order_items_table(spark, path: str) -> VersionedTable:
-    return VersionedTable(spark, path)
+def order_items_table(spark, path: str) -> BucketedTable:
+    """Bucketed by the item's key, so that stored keys aren't shuffled to find what is new."""
+    return BucketedTable(spark, path, ITEMS_KEY)
 
 
-def user_events_table(spark, path: str) -> VersionedTable:
-    return VersionedTable(spark, path, SLICE)
+def user_events_table(spark, path: str) -> PartitionedTable:
+    """By month and by the run that added the rows, so runs append and can be repeated."""
+    return PartitionedTable(spark, path, [SLICE, RUN], mark="event_timestamp")
 
 
-def run_orders(table: VersionedTable, raw: RawTables, run_id: str, full_refresh: bool = False) -> bool:
+def order_versions_table(spark, path: str) -> PartitionedTable:
+    """Every version of an order that a stream has let through, by month and micro-batch."""
+    return PartitionedTable(spark, path, [SLICE, RUN])
+
+
+def current_orders(versions: PartitionedTable, slices: Collection[int] | None = None) -> DataFrame | None:
+    """The newest version of each order. One that came again keeps the region of its first load."""
+    rows = versions.read(slices)
+    if rows is None:
+        return None
+    region_of = "fulfillment_region_type"
+    order = [c for c in rows.columns if c not in (region_of, RUN)]
+    once = rows.where(F.col(ORDERS_KEY).isNotNull()).groupBy(*order).agg(F.min_by(region_of, RUN).alias(region_of))
+    loose = rows.where(F.col(ORDERS_KEY).isNull()).select(*once.columns)
+    return latest_per_key(once, ORDERS_KEY, "updated_at").unionByName(loose).drop(SLICE)
+
+
+def run_orders(
+    table: PartitionedTable, raw: RawTables, run_id: str, full_refresh: bool = False, refuse_moved: bool = False
+) -> bool:
     """One run of the orders increment. False when this run was done before.
 
+    The newest stored update comes from the table's note, and only the months of the batch are read.
     ``full_refresh`` makes the table anew from all source rows, here as in the other runs."""
-    snapshot = table.snapshot()
-    if run_id in snapshot.runs:
+    if table.ran(run_id):
         return False
+    batch = orders_batch(raw.orders, raw.users, raw.locations, None if full_refresh else table.newest(run_id))
+    batch = batch.withColumn(SLICE, month_number("order_date"))
     if full_refresh:
-        whole = orders_batch(raw.orders, raw.users, raw.locations)
-        return snapshot.replace(whole.withColumn(SLICE, month_number("order_date")), run_id)
-    batch = orders_batch(raw.orders, raw.users, raw.locations, snapshot.read())
-    return upsert_into(snapshot, batch.withColumn(SLICE, month_number("order_date")), ORDERS_KEY, run_id)
+        table.refresh(batch)
+        table.finished(run_id)
+        return True
+    return upsert_into(table, batch, ORDERS_KEY, run_id, refuse_moved)
 
 
 def run_order_items(
-    table: VersionedTable, raw: RawTables, run_id: str, run_time: datetime, full_refresh: bool = False
-) -> bool:
-    """One run of the items increment: the keys are new, so it only appends."""
-    snapshot = table.snapshot()
-    if run_id in snapshot.runs:
-        return False
+    table: BucketedTable, raw: RawTables, run_id: str, run_time: datetime, full_refresh: bool = False
+) -> None:
+    """One run of the items increment: the keys are new, so it only appends. A run that is
+    repeated works out its own partition again, from what the other runs hold."""
     if full_refresh:
-        return snapshot.replace(order_items_batch(raw.order_items, run_time), run_id)
-    return append_into(snapshot, order_items_batch(raw.order_items, run_time, snapshot.read()), run_id)
+        return table.refresh(order_items_batch(raw.order_items, run_time), run_id)
+    stored = table.read()
+    if stored is not None:
+        stored = stored.where(F.col(RUN) != run_id)
+    batch = order_items_batch(raw.order_items, run_time, stored)
+    if table.schema() is not None:
+        require_same_schema(table.schema(), batch.schema)
+    table.append(batch, run_id)
 
 
-def run_user_events(table: VersionedTable, raw: RawTables, run_id: str, full_refresh: bool = False) -> bool:
+def run_user_events(table: PartitionedTable, raw: RawTables, run_id: str, full_refresh: bool = False) -> bool:
     if full_refresh:
         whole = user_events_batch(raw.user_events, raw.users, raw.locations)
-        return table.replace(whole.withColumn(SLICE, month_number("event_timestamp")), run_id)
+        table.refresh(whole.withColumns({SLICE: month_number("event_timestamp"), RUN: F.lit(run_id)}))
+        table.finished(run_id)
+        return True
     return add_user_events(table, raw.user_events, raw.users, raw.locations, run_id)
 
 
 def add_user_events(
-    table: VersionedTable, user_events: DataFrame, users: DataFrame, locations: DataFrame, run_id: str
+    table: PartitionedTable, user_events: DataFrame, users: DataFrame, locations: DataFrame, run_id: str
 ) -> bool:
-    """One run of the events increment. The slices are event months, so the
-    newest event is in the last slice, and only that one is searched."""
-    snapshot = table.snapshot()
-    if run_id in snapshot.runs:
+    """One run of the events increment: events after the newest mark are appended.
+
+    An event whose id is stored in a month of the batch replaces that row, in the partition
+    where it is; this is rare, and only then anything stored is written again."""
+    if table.ran(run_id):
         return False
-    batch = user_events_batch(user_events, users, locations, snapshot.read_newest_slice())
-    return upsert_into(snapshot, batch.withColumn(SLICE, month_number("event_timestamp")), EVENTS_KEY, run_id)
+    table.finish_replacing()
+    batch = user_events_batch(user_events, users, locations, table.newest(run_id))
+    batch = batch.withColumn(SLICE, month_number("event_timestamp"))
+    schema = table.schema()
+    if schema is not None:
+        require_same_schema(schema, batch.withColumn(RUN, F.lit(run_id)).schema)
+        batch = written(batch, "batch")
+        stored = table.read(slices_of(batch, SLICE)).where(F.col(RUN) != run_id)
+        keys = batch.select(EVENTS_KEY, SLICE).distinct()
+        hit = written(stored.join(keys, [EVENTS_KEY, SLICE], "left_semi").select(EVENTS_KEY, SLICE, RUN).distinct(), "hit")
+        if not hit.isEmpty():
+            renewed = batch.join(hit, [EVENTS_KEY, SLICE]).select(*schema.fieldNames())
+            parts = stored.join(hit.select(SLICE, RUN).distinct(), [SLICE, RUN], "left_semi").select(*schema.fieldNames())
+            table.replace(upsert(parts, renewed, EVENTS_KEY))
+            batch = batch.join(hit, [EVENTS_KEY, SLICE], "left_anti").select(*batch.columns)
+    table.append(batch, run_id)
+    table.finished(run_id)
+    return True
 
 
 def build_increments(raw: RawTables, run_time: datetime) -> dict[str, DataFrame]:

@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from shopgrain.functions import region
 from shopgrain.operators.history import next_versions, require_unique
 from shopgrain.plans.staging import with_currency
-from shopgrain.sources.versioned import VersionedTable
+from shopgrain.sources.partitioned import PartitionedTable
 
 KEY, MOMENT = "location_id", "snapshot_timestamp"
-SLICE, OPEN = "slice_closed", 0
+SLICE, OPEN = "closed_by", "open"
 
 
 def location_snapshot(locations: DataFrame, exchange_rates: DataFrame, run_time: datetime) -> DataFrame:
@@ -42,14 +42,14 @@ def snap_locations(
     return next_versions(history, location_snapshot(locations, exchange_rates, run_time), KEY, MOMENT, strategy)
 
 
-def history_table(spark: SparkSession, path: str) -> VersionedTable:
-    """Open versions share one slice; the versions a run closes get a slice of
+def history_table(spark: SparkSession, path: str) -> PartitionedTable:
+    """Open versions share one partition; the versions a run closes get one of
     their own, which no later run reads or rewrites."""
-    return VersionedTable(spark, path, SLICE)
+    return PartitionedTable(spark, path, [SLICE])
 
 
 def run_snapshot(
-    table: VersionedTable,
+    table: PartitionedTable,
     locations: DataFrame,
     exchange_rates: DataFrame,
     run_time: datetime,
@@ -57,18 +57,25 @@ def run_snapshot(
     strategy: str = "timestamp",
 ) -> bool:
     """One snapshot run. False when this run was done before."""
-    snapshot = table.snapshot()
-    if run_id in snapshot.runs:
+    if table.ran(run_id):
         return False
     require_unique(locations, KEY)
-    still_open = snapshot.read([OPEN])
-    still_open = None if still_open is None else still_open.drop(SLICE)
-    after = snap_locations(still_open, locations, exchange_rates, run_time, strategy)
-    closed_here = OPEN + snapshot.version + 1
-    sliced = after.withColumn(SLICE, F.when(F.col("is_current"), OPEN).otherwise(closed_here))
-    return snapshot.replace_slices(sliced, run_id, [OPEN])
-
-
-def read_history(table: VersionedTable) -> DataFrame | None:
+    schema = table.schema()
+    if schema is None:
+        first = snap_locations(None, locations, exchange_rates, run_time, strategy)
+        table.refresh(first.withColumn(SLICE, F.lit(OPEN)))
+    else:
+        table.finish_replacing()
+        # What this run has closed before it died is open again to it.
+        own = F.lit(f"run {run_id}")
+        reopened = table.read([OPEN]).drop(SLICE)
+        after = snap_locations(reopened, locations, exchange_rates, run_time, strategy)
+        sliced = after.withColumn(SLICE, F.when(F.col("is_current"), OPEN).otherwise(own))
+        table.replace(sliced)
+    table.finished(run_id)
+    return True
+
+
+def read_history(table: PartitionedTable) -> DataFrame | None:
     history = table.read()
     return None if history is None else history.drop(SLICE)

@@ -56,3 +56,12 @@ def durable(df: DataFrame) -> DataFrame:
     re-run a non-deterministic partitioning with another outcome."""
     durable_root(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder: the same as ``durable``, but columnar, so
+    that what reads it reads the columns it needs."""
+    spark = df.sparkSession
+    folder = fresh_folder(spark, label)
+    df.write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)

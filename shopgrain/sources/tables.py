@@ -5,8 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-
-from shopgrain.sources.versioned import VersionedTable
+from pyspark.sql import functions as F
 
 
 def create_views(models: Mapping[str, DataFrame]) -> None:
@@ -15,15 +14,14 @@ def create_views(models: Mapping[str, DataFrame]) -> None:
         df.createOrReplaceTempView(name)
 
 
-def refresh_table(
-    spark: SparkSession, df: DataFrame, path: str, run_id: str, slice_column: str | None = None
-) -> DataFrame:
-    """Full refresh: write the whole result as a new version and make it current.
+def refresh_table(spark: SparkSession, df: DataFrame, path: str, slice_column: str | None = None) -> DataFrame:
+    """Full refresh: ``df``, which mustn't read the table, becomes its whole content.
 
-    The old version stays readable until the new one is complete, so a lost
-    job leaves the table as it was. With a slice column the files are laid out
-    by it, and a filter on it skips the others.
-    """
-    table = VersionedTable(spark, path, slice_column)
-    table.replace(df, run_id)
-    return table.read()
+    With a slice column the files are laid out by it, and a filter on it skips the others. A
+    refresh that died is run again; nothing of the old content is needed for it."""
+    schema = df.schema
+    if slice_column:
+        df = df.hint("rebalance", F.col(slice_column))
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    (writer.partitionBy(slice_column) if slice_column else writer).parquet(path)
+    return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())

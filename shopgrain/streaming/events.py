@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from shopgrain.operators.incremental import absent_from_target, append_into
-from shopgrain.plans.increments import EVENTS_KEY, SLICE, add_user_events, user_events_batch
-from shopgrain.session import durable
-from shopgrain.sources.versioned import VersionedTable, month_number
+from shopgrain.operators.incremental import absent_from_target, require_same_schema, slices_of
+from shopgrain.plans.increments import EVENTS_KEY, add_user_events, user_events_batch
+from shopgrain.session import written
+from shopgrain.sources.partitioned import RUN, SLICE, PartitionedTable, month_number
 
 AVAILABLE_NOW = {"availableNow": True}  # or, for a stream that stays up, {"processingTime": "1 minute"}
 
@@ -29,16 +29,16 @@ def file_stream(
     return reader.parquet(path)
 
 
-def months_of(batch: DataFrame) -> list[int]:
-    """The slices a stored micro-batch touches: months, few whatever its rows."""
-    return [row[0] for row in batch.select(SLICE).distinct().collect()]
+def run_of(run_name: str, batch_id: int) -> str:
+    """The run a micro-batch is stored under; in order of the batches."""
+    return f"{run_name}-{batch_id:012d}"
 
 
 def stream_user_events(
     events: DataFrame,
     users: DataFrame,
     locations: DataFrame,
-    table: VersionedTable,
+    table: PartitionedTable,
     checkpoint: str,
     run_name: str,
     trigger: Mapping[str, Any] = AVAILABLE_NOW,
@@ -49,27 +49,29 @@ def stream_user_events(
     An event is taken if its id is not stored yet, however late it is; only the months of
     the batch are looked at, and rows are appended, so nothing stored is written again.
     The event's time is part of what it is: the same id with another month is another event.
-    Each micro-batch is committed under its own id, so a batch that is replayed after a
-    failure changes nothing. ``admit="newer"`` makes each micro-batch a run of the batch
+    Each micro-batch has partitions of its own, so one that is replayed after a failure
+    overwrites what it has added, and no list of batches is kept. ``admit="newer"`` makes each micro-batch a run of the batch
     model instead: only events after the table's newest one come in, so late ones are lost.
     """
     if admit not in ("absent", "newer"):
         raise ValueError(f"unknown admission {admit!r}")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        snapshot = table.snapshot()
-        run_id = f"{run_name}-{batch_id}"
-        if run_id in snapshot.runs:
-            return
+        run_id = run_of(run_name, batch_id)
         if admit == "newer":
             add_user_events(table, batch, users, locations, run_id)
             return
         once = batch.where(F.col(EVENTS_KEY).isNotNull()).dropDuplicates([EVENTS_KEY])
         once = once.unionByName(batch.where(F.col(EVENTS_KEY).isNull()))  # a NULL id never matches
-        new = durable(once.withColumn(SLICE, month_number("event_timestamp")))
-        new = absent_from_target(new, snapshot.read(months_of(new)), EVENTS_KEY).drop(SLICE)
+        new = written(once.withColumn(SLICE, month_number("event_timestamp")), "micro-batch")
+        stored = table.read(slices_of(new, SLICE))
+        if stored is not None:
+            stored = stored.where(F.col(RUN) != run_id)
+        new = absent_from_target(new, stored, EVENTS_KEY).drop(SLICE)
         rows = user_events_batch(new, users, locations).withColumn(SLICE, month_number("event_timestamp"))
-        append_into(snapshot, rows, run_id)
+        if stored is not None:
+            require_same_schema(table.schema(), rows.withColumn(RUN, F.lit(run_id)).schema)
+        table.append(rows, run_id)
 
     return (
         events.writeStream.foreachBatch(write)

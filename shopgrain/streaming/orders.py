@@ -6,44 +6,52 @@ from collections.abc import Mapping
 from typing import Any
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from shopgrain.operators.incremental import latest_per_key, newer_than_stored, upsert_into
-from shopgrain.plans.increments import ORDERS_KEY, SLICE, orders_batch
-from shopgrain.session import durable
-from shopgrain.sources.versioned import VersionedTable, month_number
-from shopgrain.streaming.events import AVAILABLE_NOW, months_of
+from shopgrain.plans.increments import ORDERS_KEY, orders_batch
+from shopgrain.sources.partitioned import SLICE, PartitionedTable, month_number
+from shopgrain.streaming.events import AVAILABLE_NOW, run_of
+
+
+def newest_versions(changes: DataFrame) -> DataFrame:
+    """A stream of the newest version of each order that a micro-batch touched.
+
+    The state store holds one version an order. Of versions with the same update the greatest
+    by all columns is the newest, so the outcome doesn't depend on the batches. Orders without
+    a key match nothing and pass as they are."""
+    names = changes.columns
+    rest = [c for c in names if c not in (ORDERS_KEY, "updated_at")]
+    keyed = changes.where(F.col(ORDERS_KEY).isNotNull()).groupBy(ORDERS_KEY)
+    newest = keyed.agg(F.max(F.struct("updated_at", *rest)).alias("__newest")).select(ORDERS_KEY, "__newest.*")
+    return newest.select(*names).unionByName(changes.where(F.col(ORDERS_KEY).isNull()))
 
 
 def stream_orders(
     changes: DataFrame,
     users: DataFrame,
     locations: DataFrame,
-    table: VersionedTable,
+    versions: PartitionedTable,
     checkpoint: str,
     run_name: str,
     trigger: Mapping[str, Any] = AVAILABLE_NOW,
 ) -> StreamingQuery:
     """Apply a stream of order versions: the newest version per order wins.
 
-    Within a micro-batch the newest version is picked by a combining aggregate. It is
-    taken if the order is not stored yet or stored with an older update; there is no
-    mark over all orders, so the outcome doesn't depend on how files fall into batches.
-    An order's date never changes, so only the months of the batch are read and written.
+    A micro-batch appends the orders it touched, each in its newest version, and reads nothing
+    that is stored: what an order was before is in the state store. What it writes is in
+    proportion to the batch, and a batch that is replayed overwrites its own partitions.
+    ``current_orders`` reads the newest version of each order back.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        snapshot = table.snapshot()
-        run_id = f"{run_name}-{batch_id}"
-        if run_id in snapshot.runs:
-            return
-        new = durable(latest_per_key(batch, ORDERS_KEY, "updated_at").withColumn(SLICE, month_number("order_date")))
-        new = newer_than_stored(new, snapshot.read(months_of(new)), ORDERS_KEY, "updated_at")
-        rows = orders_batch(new, users, locations).withColumn(SLICE, month_number("order_date"))
-        upsert_into(snapshot, rows, ORDERS_KEY, run_id, slices_may_move=False)
+        rows = orders_batch(batch, users, locations).withColumn(SLICE, month_number("order_date"))
+        versions.append(rows, run_of(run_name, batch_id))
 
     return (
-        changes.writeStream.foreachBatch(write)
+        newest_versions(changes)
+        .writeStream.outputMode("update")
+        .foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
         .start()

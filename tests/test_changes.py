@@ -1,4 +1,5 @@
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 from conftest import rows
@@ -8,7 +9,8 @@ from shopgrain.operators import history, incremental
 from shopgrain.operators.history import RepeatedKey
 from shopgrain.plans import increments, location_history
 from shopgrain.sources.raw import RawTables
-from shopgrain.sources.versioned import VersionedTable, month_number
+from shopgrain.sources.bucketed import BucketedTable
+from shopgrain.sources.partitioned import RUN, SLICE, PartitionedTable, month_number
 
 
 def at(day, month=1):
@@ -89,54 +91,125 @@ def test_schema_guard_names_the_column(frame):
 # -- stored tables ------------------------------------------------------------------------
 
 
-def test_versions_and_repeated_runs(spark, folder):
-    table = VersionedTable(spark, folder)
-    assert table.read() is None
-    assert table.replace(spark.range(3), "a") and not table.replace(spark.range(99), "a")
-    assert table.append(spark.range(10, 12), "b")
-    assert rows(table.read()) == [(0,), (1,), (10,), (11,), (2,)]
-    assert table.replace(table.read().where("id >= 10"), "c")  # reads itself while it is replaced
-    assert rows(table.read()) == [(10,), (11,)]
-    assert table.replace(spark.range(0), "d") and table.read().count() == 0
-    assert table.append(spark.range(1), "e") and rows(table.read()) == [(0,)]
+def sliced(frame, *given):
+    return orders(frame, *given).withColumn(SLICE, month_number("order_date"))
 
 
-def test_an_uncommitted_version_is_invisible_and_overwritten(spark, folder):
-    table = VersionedTable(spark, folder)
-    table.replace(spark.range(2), "a")
-    table.write(spark.range(100, 105), 2)  # a run that died before its commit
-    assert rows(table.read()) == [(0,), (1,)]
-    table.append(spark.range(7, 8), "b")
-    assert rows(table.read()) == [(0,), (1,), (7,)]
+def spoil(folder, *parts):
+    """Make files unreadable, so that whoever reads them fails."""
+    spoiled = [f for part in parts for f in Path(folder).glob(f"data/{part}/**/*.parquet")]
+    assert spoiled
+    for file in spoiled:
+        file.write_bytes(b"not parquet")
+        file.with_name(f".{file.name}.crc").unlink(missing_ok=True)
 
 
-def test_only_touched_slices_are_rewritten(spark, frame, folder):
+def test_only_the_months_of_a_batch_are_read_and_written(spark, frame, folder):
     table = increments.orders_table(spark, folder)
-
-    def batch(*given):
-        return orders(frame, *given).withColumn(increments.SLICE, month_number("order_date"))
-
-    first = batch(("1", at(1, 1), at(1), "a"), ("2", at(1, 2), at(1), "a"), ("3", at(1, 3), at(1), "a"))
-    incremental.upsert_into(table, first, "order_id", "first")
-    files = set(table.read().inputFiles())
-    second = batch(("2", at(1, 4), at(2), "moved"), ("5", at(1, 4), at(2), "new"))
+    first = sliced(frame, ("1", at(1, 1), at(1), "a"), ("2", at(1, 2), at(1), "a"), ("3", at(1, 2), at(1), "a"))
+    assert incremental.upsert_into(table, first, "order_id", "first")
+    kept = {f: f.read_bytes() for f in Path(folder).glob(f"data/{SLICE}=202402/*")}
+    spoil(folder, f"{SLICE}=202401")
+    second = sliced(frame, ("2", at(1, 2), at(2), "changed"), ("5", at(1, 4), at(2), "new"))
     assert incremental.upsert_into(table, second, "order_id", "second")
     assert not incremental.upsert_into(table, second, "order_id", "second")
-    assert rows(table.read(), "order_id", "order_status") == [("1", "a"), ("2", "moved"), ("3", "a"), ("5", "new")]
-    after = set(table.read().inputFiles())
-    assert {f for f in files if "=202401" in f or "=202403" in f} <= after  # untouched months stay
-    assert not any("=202402" in f for f in after)  # the month the moved key left is empty
+    assert rows(table.read([202402, 202404]), "order_id", "order_status") == [("2", "changed"), ("3", "a"), ("5", "new")]
+    assert not any(f.exists() for f in kept)
     with pytest.raises(incremental.SchemaDrift):
         incremental.upsert_into(table, second.drop("user_id"), "order_id", "third")
     assert incremental.upsert_into(table, second.limit(0), "order_id", "nothing")
-    assert table.read().count() == 4
+    assert table.read([202402, 202404]).count() == 3
+
+
+def test_a_moved_key_is_refused_on_request(spark, frame, folder):
+    table = increments.orders_table(spark, folder)
+    incremental.upsert_into(table, sliced(frame, ("1", at(1, 1), at(1), "a"), ("2", at(1, 1), at(1), "a")), "order_id", "first")
+    moved = sliced(frame, ("1", at(1, 2), at(2), "moved"), ("2", at(1, 1), at(2), "stays"))
+    assert rows(incremental.moved_keys(table, moved, "order_id")) == [("1",)]
+    with pytest.raises(incremental.MovedKey, match="'1'"):
+        incremental.upsert_into(table, moved, "order_id", "second", refuse_moved=True)
+    assert rows(table.read(), "order_id", "order_status") == [("1", "a"), ("2", "a")]
 
 
 def test_null_dates_have_a_slice(spark, frame, folder):
     table = increments.orders_table(spark, folder)
-    with_null = orders(frame, ("1", None, at(1), "a"), ("2", at(1), at(1), "a"))
-    incremental.upsert_into(table, with_null.withColumn(increments.SLICE, month_number("order_date")), "order_id", "r")
-    assert rows(table.read(), "order_id", increments.SLICE) == [("1", -1), ("2", 202401)]
+    incremental.upsert_into(table, sliced(frame, ("1", None, at(1), "a"), ("2", at(1), at(1), "a")), "order_id", "r")
+    assert rows(table.read(), "order_id", SLICE) == [("1", -1), ("2", 202401)]
+
+
+def test_a_run_that_died_while_months_were_moved_in_is_finished(spark, frame, folder, monkeypatch):
+    table = increments.orders_table(spark, folder)
+    incremental.upsert_into(table, sliced(frame, ("1", at(1), at(1), "a"), ("2", at(1), at(1), "a")), "order_id", "first")
+    write = PartitionedTable._write
+
+    def dies(self, df, *args):
+        spoil(folder, f"{SLICE}=202401")  # the old month is gone, the new one is not there yet
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(PartitionedTable, "_write", dies)
+    batch = sliced(frame, ("2", at(1), at(2), "b"))
+    with pytest.raises(RuntimeError):
+        incremental.upsert_into(table, batch, "order_id", "second")
+    monkeypatch.setattr(PartitionedTable, "_write", write)
+    again = increments.orders_table(spark, folder)
+    assert incremental.upsert_into(again, batch, "order_id", "second")
+    assert rows(again.read(), "order_id", "order_status") == [("1", "a"), ("2", "b")]
+
+
+def test_appending_again_overwrites_the_own_partitions_only(spark, frame, folder):
+    table = increments.user_events_table(spark, folder)
+    assert table.read() is None and table.newest("a") is None
+    batch = frame("user_events", dict(event_id="1", event_timestamp=at(3)), dict(event_id="2", event_timestamp=at(1, 2)))
+    batch = batch.withColumn(SLICE, month_number("event_timestamp"))
+    for run in ("2024-01-01", "2024-01-01", "b/c d"):  # a name that looks like a date stays a name
+        table.append(batch, run)
+    assert rows(table.read(), "event_id", RUN) == [("1", "2024-01-01"), ("1", "b/c d"), ("2", "2024-01-01"), ("2", "b/c d")]
+    assert rows(table.newest("x")) == [(at(1, 2),)]
+    table.append(batch.where("event_id = '1'").withColumn("event_timestamp", F.lit(at(9)).cast("timestamp_ntz")), "d")
+    assert rows(table.newest("x")) == [(at(1, 2),)] and rows(table.newest("y")) == [(at(1, 2),)]
+
+
+def test_the_newest_time_of_an_empty_table_is_null(spark, frame, folder):
+    table = increments.orders_table(spark, folder)
+    incremental.upsert_into(table, sliced(frame), "order_id", "first")
+    assert table.read().count() == 0 and rows(table.newest("second")) == [(None,)]
+
+
+# -- bucketed items ------------------------------------------------------------------------
+
+
+def test_stored_keys_are_not_shuffled(spark, folder):
+    table = BucketedTable(spark, folder, "id", 8)
+    numbers = spark.range(1000).select(F.col("id").cast("string").alias("id"), F.lit(1).alias("v"))
+    for run in ("a", "b", "b"):
+        table.append(numbers, run)
+    assert table.read().count() == 2000
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        source = spark.range(500, 3000).select(F.col("id").cast("string").alias("id"))
+        new = incremental.absent_from_target(source, table.read(), "id")
+        plan = new._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert new.count() == 2000
+    assert "SelectedBucketsCount: 8 out of 8" in plan and plan.count("Exchange hashpartitioning") == 1
+    assert plan.index("Exchange hashpartitioning") < plan.index("FileScan parquet")  # the source's side
+
+
+def test_a_bucketed_table_is_found_again_by_another_session(spark, folder):
+    numbers = spark.range(100).select(F.col("id").cast("string").alias("id"))
+    table = BucketedTable(spark, folder, "id", 4)
+    assert table.read() is None
+    table.append(numbers, "a")
+    table.append(numbers, "b")
+    spark.sql(f"DROP TABLE {table.name}")  # what a new session's catalogue knows
+    again = BucketedTable(spark, folder, "id", 99)
+    assert again.read().count() == 200 and again._buckets() == 4
+    again.refresh(numbers.limit(3), "c")
+    assert rows(again.read(), RUN) == [("c",)] * 3
+    again.append(numbers, "d")
+    assert again.read().count() == 103
 
 
 # -- incremental models: first run, rerun, late row, changed row ------------------------------
@@ -173,13 +246,28 @@ def test_items_model_appends_new_keys_only(spark, frame, rates, folder):
     table = increments.order_items_table(spark, folder)
     items = frame("order_items", dict(order_item_id="1", quantity=1), dict(order_item_id=None, quantity=7))
     increments.run_order_items(table, raw(spark, frame, rates, order_items=items), "r1", at(1))
-    files = set(table.read().inputFiles())
+    files = {f: f.read_bytes() for f in Path(folder).glob("data/run=r1/*.parquet")}
     changed = frame("order_items", dict(order_item_id="1", quantity=9), dict(order_item_id="2", quantity=2), dict(order_item_id=None, quantity=7))
-    increments.run_order_items(table, raw(spark, frame, rates, order_items=changed), "r2", at(2))
+    for _ in range(2):  # a repeated run writes the same rows again
+        increments.run_order_items(table, raw(spark, frame, rates, order_items=changed), "r2", at(2))
     assert rows(table.read(), "order_item_id", "quantity", "loaded_at") == [
         ("1", 1, at(1)), ("2", 2, at(2)), (None, 7, at(1)), (None, 7, at(2)),
     ]
-    assert files < set(table.read().inputFiles())
+    assert files == {f: f.read_bytes() for f in Path(folder).glob("data/run=r1/*.parquet")}
+
+
+def test_events_model_replaces_an_id_of_the_same_month_where_it_is(spark, frame, rates, folder):
+    def given(*events):
+        found = frame("user_events", *[dict(event_id=i, event_timestamp=t, event_type=k) for i, t, k in events])
+        return raw(spark, frame, rates, user_events=found)
+
+    table = increments.user_events_table(spark, folder)
+    increments.run_user_events(table, given(("1", at(1), "a"), ("2", at(2), "a"), ("old", at(1, 1), "a")), "r1")
+    again = given(("1", at(5), "b"), ("3", at(6), "b"), ("late", at(2), "b"))
+    assert increments.run_user_events(table, again, "r2") and not increments.run_user_events(table, again, "r2")
+    assert rows(table.read(), "event_id", "event_type", RUN) == [("1", "b", "r1"), ("2", "a", "r1"), ("3", "b", "r2"), ("old", "a", "r1")]
+    increments.run_user_events(table, again, "r3", full_refresh=True)
+    assert rows(table.read(), "event_id", RUN) == [("1", "r3"), ("3", "r3"), ("late", "r3")]
 
 
 # -- history ---------------------------------------------------------------------------------------
@@ -238,12 +326,11 @@ def test_unknown_strategy(frame, rates):
 def test_stored_snapshot_runs_once_and_leaves_closed_versions_alone(spark, frame, rates, folder):
     table = location_history.history_table(spark, folder)
     assert location_history.read_history(table) is None
-    closed = set()
+    closed = {}
     for run, day in (("r1", 1), ("r2", 2), ("r2", 3), ("r3", 3)):
         location_history.run_snapshot(table, places(frame, a="NY"), rates, at(day), run)
-        files = set(table.read().inputFiles())
-        assert closed <= files
-        closed = {f for f in files if f"{location_history.SLICE}=0" not in f}
+        assert closed.items() <= {f: f.read_bytes() for f in Path(folder).glob("data/*/*.parquet")}.items()
+        closed = {f: f.read_bytes() for f in Path(folder).glob(f"data/{location_history.SLICE}=run*/*.parquet")}
     stored = location_history.read_history(table)
     assert rows(stored, "valid_from", "valid_to") == [(at(1), at(2)), (at(2), at(3)), (at(3), None)]
     whole = None

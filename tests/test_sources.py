@@ -111,8 +111,8 @@ def test_ingest_report(spark, folder, tmp_path):
 def test_views_and_full_refresh(spark, folder):
     create_views({"some_numbers": spark.range(4)})
     assert spark.sql("SELECT sum(id) FROM some_numbers").first()[0] == 6
-    refresh_table(spark, spark.range(4), folder, "a")
-    assert rows(refresh_table(spark, spark.range(2), folder, "b")) == [(0,), (1,)]
+    refresh_table(spark, spark.range(4), folder)
+    assert rows(refresh_table(spark, spark.range(2), folder)) == [(0,), (1,)]
 
 
 def test_durable_root_is_the_one_the_session_names(spark):

@@ -1,7 +1,9 @@
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 from shopgrain import schemas
 from shopgrain.plans import increments
 from shopgrain.streaming.events import deduplicated, file_stream, stream_user_events, write_stream
@@ -66,6 +68,8 @@ def test_event_stream_writes_only_new_rows(spark, frame, folder):
         stream_user_events(source, users, places, table, f"{folder}/checkpoint", "s").awaitTermination()
     stored = spark.read.option("recursiveFileLookup", True).parquet(f"{folder}/table/data")
     assert stored.count() == table.read().count() == 6  # one month, six runs, no row written twice
+    notes = [f.name for f in Path(f"{folder}/table/notes").iterdir()]
+    assert sorted(notes) == ["newest", "schema"]  # nothing a run, so nothing to read through
 
 
 def test_a_replayed_batch_changes_nothing(spark, frame, folder):
@@ -102,14 +106,14 @@ def test_a_much_repeated_event_comes_out_once(spark, frame, folder):
 
 def test_order_stream_keeps_the_newest_version(spark, frame, folder):
     users, places = people(frame)
-    table = increments.orders_table(spark, f"{folder}/table")
+    table = increments.order_versions_table(spark, f"{folder}/table")
 
     def run(*given):
         batch = frame("orders", *[dict(order_id=i, user_id="q", order_date=at(1), updated_at=u, order_status=s) for i, u, s in given])
         batch.coalesce(1).write.mode("append").parquet(f"{folder}/in")
         source = file_stream(spark, f"{folder}/in", schemas.ORDERS)
         stream_orders(source, users, places, table, f"{folder}/checkpoint", "s").awaitTermination()
-        return rows(table.read(), "order_id", "order_status", "fulfillment_region_type")
+        return rows(increments.current_orders(table), "order_id", "order_status", "fulfillment_region_type")
 
     assert run(("1", at(1), "pending"), ("1", at(3), "shipped"), ("2", at(2), "pending")) == [
         ("1", "shipped", "QC"), ("2", "pending", "QC"),
@@ -120,14 +124,56 @@ def test_order_stream_keeps_the_newest_version(spark, frame, folder):
 @pytest.mark.parametrize("files_per_batch", [1, None])
 def test_order_stream_does_not_depend_on_the_batches(spark, frame, folder, files_per_batch):
     users, places = people(frame)
-    table = increments.orders_table(spark, f"{folder}/table")
+    table = increments.order_versions_table(spark, f"{folder}/table")
     files = [[("A", at(10), "shipped")], [("B", at(5), "pending"), ("C", at(6), "pending"), ("A", at(4), "stale")]]
     for given in files:
         batch = frame("orders", *[dict(order_id=i, user_id="q", order_date=at(1), updated_at=u, order_status=s) for i, u, s in given])
         batch.coalesce(1).write.mode("append").parquet(f"{folder}/in")
     source = file_stream(spark, f"{folder}/in", schemas.ORDERS, files_per_batch)
     stream_orders(source, users, places, table, f"{folder}/checkpoint", "s").awaitTermination()
-    assert rows(table.read(), "order_id", "order_status") == [("A", "shipped"), ("B", "pending"), ("C", "pending")]
+    assert rows(increments.current_orders(table), "order_id", "order_status") == [("A", "shipped"), ("B", "pending"), ("C", "pending")]
+
+
+def test_order_stream_passes_orders_without_a_key_and_settles_ties(spark, frame, folder):
+    users, places = people(frame)
+    table = increments.order_versions_table(spark, f"{folder}/table")
+    for given in ([("1", at(2), "b"), (None, at(1), "n"), (None, at(1), "n")], [("1", at(2), "c"), (None, at(1), "m")], [("1", at(2), "a")]):
+        batch = frame("orders", *[dict(order_id=i, order_date=at(1), updated_at=u, order_status=s) for i, u, s in given])
+        batch.coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    source = file_stream(spark, f"{folder}/in", schemas.ORDERS, 1)
+    stream_orders(source, users, places, table, f"{folder}/checkpoint", "s").awaitTermination()
+    assert rows(increments.current_orders(table), "order_id", "order_status") == [("1", "c"), (None, "m"), (None, "n"), (None, "n")]
+
+
+def test_order_stream_writes_in_proportion_to_the_batch_and_reads_nothing(spark, frame, folder):
+    """One large batch, then 20 small ones that all touch the same month."""
+    users, places = people(frame)
+    table = increments.order_versions_table(spark, f"{folder}/table")
+    base = spark.range(20_000).selectExpr("cast(id AS string) AS order_id", "'q' AS user_id")
+    whole = base.withColumns({"order_date": F.lit(at(1)), "order_status": F.lit("pending"), "payment_method": F.lit("x"), "updated_at": F.lit(at(1))})
+    whole.select(*[F.col(f.name).cast(f.dataType) for f in schemas.ORDERS]).coalesce(1).write.parquet(f"{folder}/in")
+    for n in range(20):
+        batch = frame("orders", *[dict(order_id=str(n * 10 + i), user_id="q", order_date=at(1), updated_at=at(2), order_status="shipped") for i in range(10)])
+        batch.coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    source = file_stream(spark, f"{folder}/in", schemas.ORDERS, 1)
+    stream_orders(source, users, places, table, f"{folder}/checkpoint", "s").awaitTermination()
+    size = {}
+    for file in Path(f"{folder}/table/data").rglob("*.parquet"):
+        size[file.parent.name] = size.get(file.parent.name, 0) + file.stat().st_size
+    first, *small = [size[run] for run in sorted(size)]
+    assert len(small) == 20 and max(small) < first / 10 and max(small) < 1.2 * min(small)
+    found = increments.current_orders(table, [202401]).groupBy("order_status").count()
+    assert rows(found) == [("pending", 19_800), ("shipped", 200)]
+
+
+def test_a_replayed_order_batch_changes_nothing(spark, frame, folder):
+    users, places = people(frame)
+    table = increments.order_versions_table(spark, f"{folder}/table")
+    frame("orders", dict(order_id="1", user_id="q", order_date=at(1), updated_at=at(2))).write.parquet(f"{folder}/in")
+    for attempt in ("a", "b"):
+        source = file_stream(spark, f"{folder}/in", schemas.ORDERS)
+        stream_orders(source, users, places, table, f"{folder}/checkpoint-{attempt}", "s").awaitTermination()
+    assert table.read().count() == increments.current_orders(table).count() == 1
 
 
 def test_a_glob_takes_a_file_or_a_folder(spark, frame, folder):
