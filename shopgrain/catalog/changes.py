@@ -168,13 +168,12 @@ def _items_model(raw: RawTables) -> DataFrame:
     return table.read().drop(RUN)
 
 
-add(
-    "m8_stg_order_items_incr",
-    _items_model,
+_ITEMS_AFTER = (
     "SELECT i.*, CASE WHEN o.order_id IS NULL THEN TIMESTAMP '2024-07-01 12:00:00'"
     " ELSE TIMESTAMP '2024-06-01 12:00:00' END AS loaded_at FROM raw_order_items i LEFT JOIN"
-    " (SELECT order_id FROM raw_orders WHERE order_status = 'delivered') o ON i.order_id = o.order_id",
+    " (SELECT order_id FROM raw_orders WHERE order_status = 'delivered') o ON i.order_id = o.order_id"
 )
+add("m8_stg_order_items_incr", _items_model, _ITEMS_AFTER)
 
 
 def _events_model(raw: RawTables) -> DataFrame:
@@ -189,6 +188,18 @@ def _events_model(raw: RawTables) -> DataFrame:
 add("m9_stg_user_events_incr", _events_model, _EVENTS_AFTER)
 
 
+def stored_models(raw: RawTables) -> dict[str, DataFrame]:
+    """The stored tables of the three incremental models, each after its two runs."""
+    return {"stg_orders_incr": _orders_model(raw), "stg_order_items_incr": _items_model(raw), "stg_user_events_incr": _events_model(raw)}
+
+
+STORED_SQL = {
+    "stg_orders_incr": _ORDERS_AFTER,
+    "stg_order_items_incr": _ITEMS_AFTER,
+    "stg_user_events_incr": _EVENTS_AFTER,
+}
+
+
 # -- history ---------------------------------------------------------------------------------
 
 

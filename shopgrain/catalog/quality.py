@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from shopgrain.catalog import changes
 from shopgrain.catalog.models import RUN_TIME
 from shopgrain.catalog.registry import add
 from shopgrain.catalog.relations import ITEMS_WITH_ORPHANS, with_orphans
@@ -91,59 +92,129 @@ add(
 
 
 # -- suite -------------------------------------------------------------------------------
-
-_FRAGMENT_OF = {
-    **{t: f"raw_{t}" for t in ("users", "locations", "products", "orders", "order_items", "user_events")},
-    "stg_orders_incr": "orders_incr",
-    "stg_order_items_incr": "(SELECT *, TIMESTAMP '2024-06-01 12:00:00' AS loaded_at FROM raw_order_items)",
-    "stg_user_events_incr": "stg_user_events",
-}
-
-
-def _failure_count(check: quality.Check) -> str:
-    table = _FRAGMENT_OF.get(check.table, check.table)
-    column = check.column
-    if check.test == quality.NOT_NULL:
-        return f"SELECT count(*) FROM {table} WHERE {column} IS NULL"
-    if check.test == quality.UNIQUE:
-        return f"SELECT count(*) FROM (SELECT {column} FROM {table} WHERE {column} IS NOT NULL GROUP BY 1 HAVING count(*) > 1)"
-    if check.test == quality.ACCEPTED:
-        listed = ", ".join(f"'{v}'" for v in check.values)
-        return f"SELECT count(*) FROM {table} WHERE {column} NOT IN ({listed})"
-    _, parent, parent_column = check.parent
-    parent = _FRAGMENT_OF.get(parent, parent)
-    return (
-        f"SELECT count(*) FROM {table} c WHERE c.{column} IS NOT NULL AND NOT EXISTS"
-        f" (SELECT 1 FROM {parent} p WHERE p.{parent_column} = c.{column})"
-    )
-
-
-def _suite_sql(layer: str | None = None) -> str:
-    rows = [
-        f"SELECT '{c.layer}' AS layer, '{c.table}' AS table_name, '{c.column}' AS column_name, '{c.test}' AS test,"
-        f" ({_failure_count(c)}) AS failures"
-        for c in checks.CHECKS
-    ]
-    rules = [
-        ("staging", "stg_locations", "quebec_language_requirements", "SELECT 0"),
-        ("staging", "stg_locations", "quebec_transparent_pricing", "SELECT 0"),
-        ("source", "order_items", "line_total_integrity", f"SELECT count(*) FROM ({_TOTAL})"),
-        (
-            "source", "order_items", "no_negative_financials",
-            "SELECT count(*) FROM raw_order_items WHERE quantity <= 0 OR unit_price <= 0 OR discount < 0"
-            " OR discount >= 1 OR line_total < 0",
-        ),
-        (
-            "source", "order_items", "no_orphan_order_items",
-            "SELECT count(*) FROM raw_order_items i WHERE NOT EXISTS"
-            " (SELECT 1 FROM raw_orders o WHERE o.order_id = i.order_id)",
-        ),
-    ]
-    rows += [f"SELECT '{a}', '{b}', '{c}', 'rule', ({sql})" for a, b, c, sql in rules]
-    where = f" WHERE layer = '{layer}'" if layer else ""
+# The comparison states the published checks again, on its own and by table, so that one that
+# the library's list lacks, or has beside them, turns the comparison red.
+
+_INCR_ITEMS = "(SELECT *, TIMESTAMP '2024-06-01 12:00:00' AS loaded_at FROM raw_order_items)"
+_STATUSES = "'pending', 'shipped', 'delivered', 'cancelled', 'pending_refund'"
+_METHODS, _EVENTS = "'credit card', 'paypal', 'bank transfer'", "'user_sign_up', 'page_view', 'add_to_cart'"
+
+# Fixed values: (layer, table) -> columns that are not null, unique, within values, and referring.
+_PUBLISHED = {
+    ("source", "users"): (
+        "user_id first_name last_name email created_at location_id", "user_id email", {},
+        {"location_id": ("source", "locations", "location_id")},
+    ),
+    ("source", "locations"): (
+        "location_id country_code country_full_name city state address zip_code", "location_id",
+        {"country_code": "'US', 'CA'"}, {},
+    ),
+    ("source", "products"): (
+        "id name category price stock", "id", {"category": "'Living Room', 'Bedroom', 'Kitchen'"}, {},
+    ),
+    ("source", "orders"): (
+        "order_id user_id order_date order_status payment_method updated_at", "order_id",
+        {"order_status": _STATUSES, "payment_method": _METHODS}, {"user_id": ("source", "users", "user_id")},
+    ),
+    ("source", "order_items"): (
+        "order_item_id order_id product_id quantity unit_price discount line_total", "order_item_id", {},
+        {"order_id": ("source", "orders", "order_id"), "product_id": ("source", "products", "id")},
+    ),
+    ("source", "user_events"): (
+        "event_id user_id event_type event_timestamp page_url", "event_id", {"event_type": _EVENTS},
+        {"user_id": ("source", "users", "user_id"), "product_id": ("source", "products", "id")},
+    ),
+    ("staging", "stg_users"): (
+        "user_id first_name last_name email created_at location_id is_duplicate_email", "user_id", {},
+        {"location_id": ("staging", "stg_locations", "location_id")},
+    ),
+    ("staging", "stg_locations"): (
+        "location_id country_code country_full_name city state zip_code address currency_code exchange_rate_to_usd"
+        " is_excluded_supply_chain is_quebec_compliant_required marketing_language_requirement", "location_id",
+        {"country_code": "'US', 'CA'", "currency_code": "'USD', 'CAD'", "marketing_language_requirement": "'EN', 'EN,FR'"}, {},
+    ),
+    ("staging", "stg_orders"): (
+        "order_id user_id order_date order_status payment_method updated_at", "order_id",
+        {"order_status": _STATUSES, "payment_method": _METHODS}, {"user_id": ("staging", "stg_users", "user_id")},
+    ),
+    ("staging", "stg_order_items"): (
+        "order_item_id order_id product_id quantity unit_price discount line_total", "order_item_id", {},
+        {"order_id": ("staging", "stg_orders", "order_id"), "product_id": ("staging", "stg_products", "product_id")},
+    ),
+    ("staging", "stg_products"): ("product_id product_name category price stock", "product_id", {}, {}),
+    ("staging", "stg_user_events"): (
+        "event_id user_id event_type event_timestamp page_url is_quebec_event", "event_id", {"event_type": _EVENTS},
+        {"user_id": ("staging", "stg_users", "user_id"), "product_id": ("staging", "stg_products", "product_id")},
+    ),
+    ("staging_incremental", "stg_orders_incr"): (
+        "order_id user_id order_date order_status payment_method updated_at fulfillment_region_type", "order_id",
+        {"order_status": _STATUSES, "payment_method": _METHODS, "fulfillment_region_type": "'QC', 'EXCLUDED', 'STANDARD'"},
+        {"user_id": ("staging", "stg_users", "user_id")},
+    ),
+    ("staging_incremental", "stg_order_items_incr"): (
+        "order_item_id order_id product_id quantity unit_price discount line_total loaded_at", "order_item_id", {},
+        {"order_id": ("staging_incremental", "stg_orders_incr", "order_id"), "product_id": ("staging", "stg_products", "product_id")},
+    ),
+    ("staging_incremental", "stg_user_events_incr"): (
+        "event_id user_id event_type event_timestamp page_url is_quebec_event", "event_id", {"event_type": _EVENTS},
+        {"user_id": ("staging", "stg_users", "user_id"), "product_id": ("staging", "stg_products", "product_id")},
+    ),
+}
+_RULES = (
+    (
+        "staging", "stg_locations", "quebec_language_requirements",
+        "SELECT count(*) FROM stg_locations WHERE is_quebec_compliant_required AND (quebec_compliance_notes IS NULL OR"
+        " lower(quebec_compliance_notes) NOT LIKE '%french%' OR lower(quebec_compliance_notes) NOT LIKE '%bill 101%')",
+    ),
+    (
+        "staging", "stg_locations", "quebec_transparent_pricing",
+        "SELECT count(*) FROM stg_locations WHERE is_quebec_compliant_required AND (currency_code <> 'CAD'"
+        " OR exchange_rate_to_usd IS NULL OR exchange_rate_to_usd <= 0)",
+    ),
+    ("source", "order_items", "line_total_integrity", f"SELECT count(*) FROM ({_TOTAL})"),
+    (
+        "source", "order_items", "no_negative_financials",
+        "SELECT count(*) FROM raw_order_items WHERE quantity <= 0 OR unit_price <= 0 OR discount < 0"
+        " OR discount >= 1 OR line_total < 0",
+    ),
+    (
+        "source", "order_items", "no_orphan_order_items",
+        "SELECT count(*) FROM raw_order_items i WHERE NOT EXISTS"
+        " (SELECT 1 FROM raw_orders o WHERE o.order_id = i.order_id)",
+    ),
+)
+
+
+def _suite_sql(tables: tuple[str, ...] | None = None, layer: str | None = None, stored: dict[str, str] | None = None) -> str:
+    """The report of the published checks: all, of some tables or of a layer. ``stored`` has SQL
+    for tables that aren't as after a first run."""
+    sql_of = {
+        "stg_orders_incr": "orders_incr", "stg_order_items_incr": _INCR_ITEMS, "stg_user_events_incr": "stg_user_events",
+        **{table: f"raw_{table}" for of, table in _PUBLISHED if of == "source"}, **(stored or {}),
+    }
+    rows = []
+
+    def add_row(of: str, table: str, column: str, test: str, failures: str) -> None:
+        if layer in (None, of) and (tables is None or table in tables):
+            rows.append(f"SELECT '{of}' AS layer, '{table}' AS table_name, '{column}' AS column_name, '{test}' AS test, ({failures}) AS failures")
+
+    for (of, table), (required, unique, accepted, refers) in _PUBLISHED.items():
+        source = sql_of.get(table, table)
+        for column in required.split():
+            add_row(of, table, column, "not_null", f"SELECT count(*) FROM {source} WHERE {column} IS NULL")
+        for column in unique.split():
+            repeated = f"SELECT {column} FROM {source} WHERE {column} IS NOT NULL GROUP BY 1 HAVING count(*) > 1"
+            add_row(of, table, column, "unique", f"SELECT count(*) FROM ({repeated})")
+        for column, values in accepted.items():
+            add_row(of, table, column, "accepted_values", f"SELECT count(*) FROM {source} WHERE {column} NOT IN ({values})")
+        for column, (_, parent, key) in refers.items():
+            held = f"SELECT 1 FROM {sql_of.get(parent, parent)} p WHERE p.{key} = c.{column}"
+            add_row(of, table, column, "relationships", f"SELECT count(*) FROM {source} c WHERE c.{column} IS NOT NULL AND NOT EXISTS ({held})")
+    for of, table, name, failures in _RULES:
+        add_row(of, table, name, "rule", failures)
     return (
         "SELECT layer, table_name, column_name, test, CAST(failures AS BIGINT) AS failures,"
-        " CASE WHEN failures = 0 THEN 'pass' ELSE 'fail' END AS status FROM (" + " UNION ALL ".join(rows) + ")" + where
+        " CASE WHEN failures = 0 THEN 'pass' ELSE 'fail' END AS status FROM (" + " UNION ALL ".join(rows) + ")"
     )
 
 
@@ -151,5 +222,28 @@ add("q10_check_suite", lambda raw: checks.run_suite(raw.spark, raw, RUN_TIME), _
 add(
     "q11_staging_checks",
     lambda raw: checks.run_suite(raw.spark, raw, RUN_TIME, layer=checks.STAGING),
-    _suite_sql(checks.STAGING),
+    _suite_sql(layer=checks.STAGING),
+)
+add(
+    "q11_checks_by_tag",
+    lambda raw: checks.run_suite(raw.spark, raw, RUN_TIME, select="tag:fact"),
+    _suite_sql(("stg_orders_incr", "stg_order_items_incr", "stg_user_events_incr")),
+)
+add(
+    "q11_checks_downstream",
+    lambda raw: checks.run_suite(raw.spark, raw, RUN_TIME, select="stg_users+"),
+    _suite_sql(("stg_users", "stg_user_events", "stg_user_events_incr")),
+)
+
+
+def _stored_checks(raw: RawTables):
+    """The checks of the incremental layer on its stored tables, after two runs of each model."""
+    stored = changes.stored_models(raw)
+    return checks.run_suite(raw.spark, raw, RUN_TIME, {(checks.INCREMENTAL, n): df for n, df in stored.items()}, checks.INCREMENTAL)
+
+
+add(
+    "q10_stored_increments",
+    _stored_checks,
+    _suite_sql(layer=checks.INCREMENTAL, stored={n: f"({sql})" for n, sql in changes.STORED_SQL.items()}),
 )

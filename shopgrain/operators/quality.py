@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -17,11 +17,15 @@ NOT_NULL, UNIQUE, ACCEPTED, RELATIONSHIP, RULE = (
     "relationships",
     "rule",
 )
+KEY_TESTS = (UNIQUE, RELATIONSHIP)
 
 
 @dataclass(frozen=True)
 class Check:
-    """One declared check. ``parent`` is (layer, table, column) of a referential check."""
+    """One declared check. ``parent`` is (layer, table, column) of a referential check.
+
+    A rule's ``column`` is its name. It has a ``predicate`` that a failing row meets, or, with
+    ``key`` and ``parent``, fails rows whose key is NULL or absent from the parent."""
 
     layer: str
     table: str
@@ -29,6 +33,8 @@ class Check:
     test: str
     values: tuple[str, ...] = ()
     parent: tuple[str, str, str] | None = None
+    predicate: Callable[[], Column] | None = None
+    key: str | None = None
 
     @property
     def source(self) -> tuple[str, str]:
@@ -67,26 +73,19 @@ def orphan_rows(child: DataFrame, column: str, parent: DataFrame, parent_column:
 
 
 def run_checks(
-    spark: SparkSession,
-    tables: Mapping[tuple[str, str], DataFrame],
-    checks: Sequence[Check],
-    rules: Mapping[tuple[str, str, str], DataFrame] | None = None,
+    spark: SparkSession, tables: Mapping[tuple[str, str], DataFrame], checks: Sequence[Check]
 ) -> DataFrame:
     """One row per check: layer, table_name, column_name, test, failures, status.
 
-    All checks of a table share one scan, and all checks of all tables one shuffle.
-    ``rules`` maps (layer, table, rule name) to the frame of failing rows.
-    """
+    Every table is scanned once, for its row checks, its rules and its keys, and all
+    tables share one shuffle."""
     numbered = list(enumerate(checks))
-    results = [_check_counts(spark, tables, numbered)] if numbered else []
-    labels = [(i, c.layer, c.table, c.column, c.test) for i, c in numbered]
-    for offset, ((layer, table, name), failing) in enumerate((rules or {}).items()):
-        number = len(numbered) + offset
-        labels.append((number, layer, table, name, RULE))
-        results.append(failing.agg(F.count("*").alias("failures")).select(F.lit(number).alias("check_no"), "failures"))
-    counts = reduce(DataFrame.unionAll, results)
+    counts = _check_counts(spark, tables, numbered)
     # One row per declared check: the list is part of the program, so it cannot grow with the data.
-    names = spark.createDataFrame(labels, "check_no int, layer string, table_name string, column_name string, test string")
+    names = spark.createDataFrame(
+        [(i, c.layer, c.table, c.column, c.test) for i, c in numbered],
+        "check_no int, layer string, table_name string, column_name string, test string",
+    )
     failures = F.coalesce("failures", F.lit(0).cast("bigint"))
     return names.join(counts, "check_no", "left").select(
         "layer",
@@ -102,10 +101,20 @@ def select_layer(report: DataFrame, layer: str) -> DataFrame:
     return report.where(F.col("layer") == layer)
 
 
-def _failing(check: Check) -> str:
+def _failing(check: Check) -> str | None:
+    """What a row fails a check by, in SQL, for checks that look at a row alone; a predicate is
+    looked up in a column of its own."""
     if check.test == NOT_NULL:
         return f"`{check.column}` IS NULL"
-    return f"`{check.column}` NOT IN ({_literals(check.values)})"
+    if check.test == ACCEPTED:
+        return f"`{check.column}` NOT IN ({_literals(check.values)})"
+    if check.predicate is not None:
+        return f"`__rule {check.column}`"
+    return f"`{check.key}` IS NULL" if check.key else None
+
+
+def _literals(values: Sequence[str]) -> str:
+    return ", ".join("'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'" for value in values)
 
 
 def _check_counts(
@@ -117,53 +126,70 @@ def _check_counts(
     values, the other slots the columns that refer to it. Counting per
     (domain, value, slot) answers uniqueness and references: an owner count
     above one is a repeat, a referring count without an owner is a set of
-    orphans. A row that fails a row-wise check counts under domain -1, with the
-    check's number as value. Counts combine before the shuffle, so a frequent
-    value costs one row per task.
-    """
-    domains: dict[tuple[str, str, str], list[tuple[int, Check]]] = {}
-    rows: dict[tuple[str, str], list[tuple[str, str, str]]] = {}  # table -> (domain, slot, value)
-    for number, check in checks:
-        if check.test in (NOT_NULL, ACCEPTED):
-            rows.setdefault(check.source, []).append(("-1", "0", f"IF({_failing(check)}, '{number}', NULL)"))
-            continue
-        owner = check.parent if check.test == RELATIONSHIP else (*check.source, check.column)
-        domains.setdefault(owner, []).append((number, check))
+    orphans. Counts combine before the shuffle, so a frequent value costs one row per task.
 
+    A row that fails row checks counts once, under domain -1, with the numbers of these checks
+    as value; a row that passes adds nothing. Metrics observed beside the scan would cost no
+    more, but count rows again when a lost executor's tasks are repeated.
+    """
+    domains: dict[tuple[str, str, str], int] = {}
+    slots: dict[tuple, int] = {}  # (domain, source, column) -> slot; 0 is the owner's
+    emitted: dict[tuple[str, str], list[str]] = {}  # table -> domain, slot, value
+    row_checks: dict[tuple[str, str], list[tuple[str, int]]] = {}
+    rules: dict[tuple[str, str], dict[str, Column]] = {}
     answers = []
-    for domain, (owner, members) in enumerate(domains.items()):
-        rows.setdefault(owner[:2], []).append((str(domain), "0", f"CAST(`{owner[2]}` AS STRING)"))
-        answers += [(domain, 0, number) for number, c in members if c.test == UNIQUE]
-        references = [(number, c) for number, c in members if c.test == RELATIONSHIP]
-        for slot, (number, check) in enumerate(references, start=1):
-            rows.setdefault(check.source, []).append((str(domain), str(slot), f"CAST(`{check.column}` AS STRING)"))
-            answers.append((domain, slot, number))
-    slots = range(1 + max((slot for _, slot, _ in answers), default=0))
 
-    parts = [tables[source].selectExpr(_stack(found, "domain, slot, value")) for source, found in rows.items()]
+    def emit(source: tuple[str, str], column: str, domain: int, slot: int) -> None:
+        emitted.setdefault(source, []).append(f"{domain}, {slot}, CAST(`{column}` AS STRING)")
+
+    for number, check in checks:
+        failing = _failing(check)
+        if failing is not None:
+            row_checks.setdefault(check.source, []).append((failing, number))
+        if check.predicate is not None:
+            rules.setdefault(check.source, {})[f"__rule {check.column}"] = check.predicate()
+        if check.test in KEY_TESTS or check.key:
+            owner = check.parent or (*check.source, check.column)
+            if owner not in domains:
+                domains[owner] = len(domains)
+                emit(owner[:2], owner[2], domains[owner], 0)
+            domain, slot = domains[owner], 0
+            if check.parent:
+                column = check.key or check.column
+                place = (domain, check.source, column)
+                if place not in slots:
+                    slots[place] = 1 + sum(known[0] == domain for known in slots)
+                    emit(check.source, column, domain, slots[place])
+                slot = slots[place]
+            answers.append((domain, slot, number))
+    for source, found in row_checks.items():
+        some = " OR ".join(failing for failing, _ in found)
+        listed = ", ".join(f"IF({failing}, '{number}', NULL)" for failing, number in found)
+        emitted.setdefault(source, []).append(f"-1, 0, IF({some}, concat_ws(',', {listed}), NULL)")
+
+    counted = range(1 + max((slot for _, slot, _ in answers), default=0))
+    parts = [
+        tables[source].withColumns(rules.get(source, {})).selectExpr(f"stack({len(entries)}, {', '.join(entries)}) AS (domain, slot, value)")
+        for source, entries in emitted.items()
+    ]
     per_value = (
         reduce(DataFrame.unionAll, parts)
         .where("value IS NOT NULL")
         .groupBy("domain", "value")
-        .agg(*[F.expr(f"count_if(slot = {s}) AS n{s}") for s in slots])
+        .agg(*[F.expr(f"count_if(slot = {s}) AS n{s}") for s in counted])
     )
-    per_domain = per_value.groupBy("domain", F.expr("IF(domain = -1, CAST(value AS INT), NULL) AS row_check")).agg(
+    per_domain = per_value.groupBy("domain", F.expr("IF(domain = -1, value, NULL) AS failed")).agg(
         F.expr("IF(domain = -1, sum(n0), count_if(n0 > 1)) AS s0"),
-        *[F.expr(f"sum(IF(n0 = 0, n{s}, 0)) AS s{s}") for s in slots[1:]],
+        *[F.expr(f"sum(IF(n0 = 0, n{s}, 0)) AS s{s}") for s in counted[1:]],
     )
-    tall = per_domain.selectExpr("domain", "row_check", _stack([(str(s), f"s{s}") for s in slots], "slot, failures"))
-    # One row per declared key check: part of the program, so it cannot grow with the data.
-    wanted = spark.createDataFrame(answers, "domain int, slot int, check_no int")
-    found = tall.join(wanted, ["domain", "slot"], "left").selectExpr(
-        "coalesce(check_no, IF(slot = 0, row_check, NULL)) AS check_no", "failures"
-    )
-    return found.where("check_no IS NOT NULL")
-
-
-def _stack(rows: Sequence[tuple[str, ...]], names: str) -> str:
-    """SQL that turns one row into ``rows``, each a tuple of expressions."""
-    return f"stack({len(rows)}, {', '.join(', '.join(row) for row in rows)}) AS ({names})"
-
-
-def _literals(values: Sequence[str]) -> str:
-    return ", ".join("'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'" for value in values)
+    # From here on, rows are declared key checks and sets of row checks that failed together.
+    per_slot = ", ".join(f"{s}, s{s}" for s in counted)
+    tall = per_domain.selectExpr("domain", "failed", f"stack({len(counted)}, {per_slot}) AS (slot, failures)")
+    known: dict[str, list[int]] = {}
+    for domain, slot, number in answers:
+        known.setdefault(f"{domain} {slot}", []).append(number)
+    places = ", ".join(f"'{place}', array({', '.join(map(str, numbers))})" for place, numbers in known.items())
+    asked = f"try_element_at(map({places}), concat_ws(' ', domain, slot))" if known else "CAST(NULL AS array<int>)"
+    failed = "IF(slot = 0, CAST(split(failed, ',') AS array<int>), NULL)"
+    numbered = tall.selectExpr(f"explode(IF(domain = -1, {failed}, {asked})) AS check_no", "failures")
+    return numbered.groupBy("check_no").agg(F.sum("failures").alias("failures"))

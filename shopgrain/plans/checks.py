@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopgrain import schemas
-from shopgrain.operators.quality import ACCEPTED, NOT_NULL, RELATIONSHIP, UNIQUE, Check, run_checks
+from shopgrain.operators.quality import ACCEPTED, NOT_NULL, RELATIONSHIP, RULE, UNIQUE, Check, run_checks
+from shopgrain.plans import selection
 from shopgrain.plans.increments import build_increments
 from shopgrain.plans.staging import build_staging
 from shopgrain.sources.raw import RawTables
@@ -176,20 +177,28 @@ CHECKS: tuple[Check, ...] = (
 # -- business rules: each returns the failing rows ---------------------------------
 
 
-def quebec_language_gaps(stg_locations: DataFrame) -> DataFrame:
-    """Quebec places whose notes do not mention both French and Bill 101."""
+def misses_quebec_language() -> Column:
+    """A Quebec place whose notes do not mention both French and Bill 101."""
     notes = F.lower("quebec_compliance_notes")
     complete = notes.contains("french") & notes.contains("bill 101")
-    return stg_locations.where("is_quebec_compliant_required").where(~F.coalesce(complete, F.lit(False))).select(
+    return F.col("is_quebec_compliant_required") & ~F.coalesce(complete, F.lit(False))
+
+
+def quebec_language_gaps(stg_locations: DataFrame) -> DataFrame:
+    return stg_locations.where(misses_quebec_language()).select(
         "location_id", "country_code", "state", "quebec_compliance_notes"
     )
 
 
-def quebec_pricing_gaps(stg_locations: DataFrame) -> DataFrame:
-    """Quebec places not priced in CAD at a positive rate."""
+def misses_quebec_pricing() -> Column:
+    """A Quebec place that is not priced in CAD at a positive rate."""
     rate = F.col("exchange_rate_to_usd")
     wrong = (F.col("currency_code") != "CAD") | rate.isNull() | (rate <= 0)
-    return stg_locations.where(F.col("is_quebec_compliant_required") & wrong).select(
+    return F.col("is_quebec_compliant_required") & wrong
+
+
+def quebec_pricing_gaps(stg_locations: DataFrame) -> DataFrame:
+    return stg_locations.where(misses_quebec_pricing()).select(
         "location_id", "country_code", "state", "currency_code", "exchange_rate_to_usd"
     )
 
@@ -203,29 +212,38 @@ def expected_line_total() -> Column:
     return F.coalesce(exact.cast("double"), F.round(quantity * price * (F.lit(1.0) - discount), 2))
 
 
+def line_total_variance() -> Column:
+    """Rounded to 1/10000, so that exactly one cent never lands above the tolerance."""
+    return F.round(F.abs(F.col("line_total") - expected_line_total()), 4)
+
+
+def misses_line_total() -> Column:
+    return line_total_variance() > 0.01
+
+
 def line_total_gaps(order_items: DataFrame) -> DataFrame:
     """Items whose total is more than a cent off the formula."""
     checked = order_items.select(
         "order_item_id", "order_id", "quantity", "unit_price", "discount", "line_total",
-        expected_line_total().alias("expected_line_total"),
+        expected_line_total().alias("expected_line_total"), line_total_variance().alias("variance"),
     )
-    difference = F.abs(F.col("line_total") - F.col("expected_line_total"))
-    # Rounded to 1/10000, so that exactly one cent never lands above the tolerance.
-    variance = F.round(difference, 4)
-    return checked.withColumn("variance", variance).where(F.col("variance") > 0.01)
+    return checked.where(F.col("variance") > 0.01)
 
 
-def financial_bound_gaps(order_items: DataFrame) -> DataFrame:
-    """Items with an impossible quantity, price, discount or total; NULLs pass."""
+def breaks_financial_bounds() -> Column:
+    """An impossible quantity, price, discount or total; NULLs pass."""
     discount = F.col("discount")
-    wrong = (
+    return (
         (F.col("quantity") <= 0)
         | (F.col("unit_price") <= 0)
         | (discount < 0)
         | (discount >= 1)
         | (F.col("line_total") < 0)
     )
-    return order_items.where(wrong).select(
+
+
+def financial_bound_gaps(order_items: DataFrame) -> DataFrame:
+    return order_items.where(breaks_financial_bounds()).select(
         "order_item_id", "order_id", "quantity", "unit_price", "discount", "line_total"
     )
 
@@ -237,20 +255,13 @@ def orphan_items(order_items: DataFrame, orders: DataFrame) -> DataFrame:
     return items.join(orders.select("order_id"), "order_id", "left_anti").select("order_item_id", "order_id")
 
 
-def business_rules(
-    raw: RawTables, stg_locations: DataFrame | None, layer: str | None = None
-) -> dict[tuple[str, str, str], DataFrame]:
-    """Failing rows by (layer, table, rule)."""
-    rules = {}
-    if layer in (None, STAGING):
-        rules[STAGING, "stg_locations", "quebec_language_requirements"] = quebec_language_gaps(stg_locations)
-        rules[STAGING, "stg_locations", "quebec_transparent_pricing"] = quebec_pricing_gaps(stg_locations)
-    if layer in (None, SOURCE):
-        items = raw.order_items
-        rules[SOURCE, "order_items", "line_total_integrity"] = line_total_gaps(items)
-        rules[SOURCE, "order_items", "no_negative_financials"] = financial_bound_gaps(items)
-        rules[SOURCE, "order_items", "no_orphan_order_items"] = orphan_items(items, raw.orders)
-    return rules
+RULES: tuple[Check, ...] = (
+    Check(STAGING, "stg_locations", "quebec_language_requirements", RULE, predicate=misses_quebec_language),
+    Check(STAGING, "stg_locations", "quebec_transparent_pricing", RULE, predicate=misses_quebec_pricing),
+    Check(SOURCE, "order_items", "line_total_integrity", RULE, predicate=misses_line_total),
+    Check(SOURCE, "order_items", "no_negative_financials", RULE, predicate=breaks_financial_bounds),
+    Check(SOURCE, "order_items", "no_orphan_order_items", RULE, key="order_id", parent=(SOURCE, "orders", "order_id")),
+)
 
 
 def layer_tables(
@@ -273,14 +284,19 @@ def run_suite(
     run_time: datetime,
     tables: Mapping[tuple[str, str], DataFrame] | None = None,
     layer: str | None = None,
+    select: str | None = None,
 ) -> DataFrame:
-    """The report of all 153 checks, or of those of one layer; only these are run.
+    """The report of all 153 checks, or of those of one layer, or of the models that ``select``
+    picks (``selection.pick``: by name, layer or tag, with ancestors or descendants); only
+    these are run.
 
     ``tables`` replaces frames by (layer, name), for example the incremental
     models by their stored tables.
     """
-    checks = [c for c in CHECKS if layer in (None, c.layer)]
+    checks = [c for c in (*CHECKS, *RULES) if layer in (None, c.layer)]
+    if select is not None:
+        picked = selection.pick(select)
+        checks = [c for c in checks if c.table in picked]
     needed = {c.layer for c in checks} | {c.parent[0] for c in checks if c.parent}
     found = {**layer_tables(raw, run_time, needed), **(tables or {})}
-    rules = business_rules(raw, found.get((STAGING, "stg_locations")), layer)
-    return run_checks(spark, found, checks, rules)
+    return run_checks(spark, found, checks)
