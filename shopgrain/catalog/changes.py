@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from shopgrain.catalog.models import RUN_TIME
 from shopgrain.catalog.registry import add, add_on_folder
 from shopgrain.operators import incremental
-from shopgrain.operators.history import as_of
+from shopgrain.operators.history import as_of, as_of_join
 from shopgrain.plans import increments, location_history
 from shopgrain.session import fresh_folder
 from shopgrain.sources import warehouse
@@ -262,6 +262,30 @@ add(
 )
 
 
+FIRST_SEEN, SEEN_AGAIN = datetime(1993, 6, 1), datetime(1997, 3, 15, 12)  # within the orders' dates
+
+
+def _orders_with_place_then(raw: RawTables) -> DataFrame:
+    """Every order with the place that was valid for its buyer at the time of the order."""
+    first = location_history.snap_locations(None, raw.locations, raw.exchange_rates, FIRST_SEEN)
+    history = location_history.snap_locations(first, _moved(raw), raw.exchange_rates, SEEN_AGAIN, "check")
+    buyers = raw.users.select("user_id", "location_id")
+    placed = raw.orders.select("order_id", "user_id", "order_date").join(buyers, "user_id", "left")
+    return as_of_join(
+        placed, history, "location_id", "order_date", ["state", "city", "is_excluded_supply_chain", "valid_from"], "order_id"
+    )
+
+
+add(
+    "i6_orders_with_place_then",
+    _orders_with_place_then,
+    "WITH history AS (" + _history_sql("check").replace(_FIRST, "TIMESTAMP '1993-06-01'").replace(_SECOND, "TIMESTAMP '1997-03-15 12:00:00'")
+    + ") SELECT o.order_id, o.user_id, o.order_date, u.location_id, h.state, h.city, h.is_excluded_supply_chain, h.valid_from"
+    " FROM raw_orders o LEFT JOIN raw_users u ON o.user_id = u.user_id LEFT JOIN history h ON h.location_id = u.location_id"
+    " AND h.valid_from <= o.order_date AND (h.valid_to IS NULL OR o.order_date < h.valid_to)",
+)
+
+
 # -- streams ------------------------------------------------------------------------------------
 
 

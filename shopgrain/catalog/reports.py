@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from shopgrain.catalog.registry import add
 from shopgrain.catalog.relations import _MEANS, _SEGMENTS
 from shopgrain.plans import behaviour, consumers, reports
+from shopgrain.sources.raw import RawTables
 
 _CENTS = "CAST(CAST({0} * 100 AS BIGINT) AS DOUBLE)"
 
@@ -134,6 +137,37 @@ add(
     "SELECT c.user_id, c.order_count, CAST(c.amount AS DOUBLE) AS ltv, f.marketing_language_requirement"
     " FROM customers c LEFT JOIN user_flags f ON c.user_id = f.user_id WHERE c.order_count <= 8",
 )
+
+
+def _with_single_buyers(raw: RawTables) -> RawTables:
+    """Every buyer of the test data orders more than once, so each user with an id that ends in 1
+    has a twin beside them who made just the user's smallest order."""
+    own = F.col("user_id").endswith("1")
+    first = raw.orders.where(own).groupBy("user_id").agg(F.min("order_id").alias("order_id"))
+    orders = raw.orders.join(first, ["user_id", "order_id"], "left_semi").select(*raw.orders.columns)
+    items = raw.order_items.join(first.select("order_id"), "order_id", "left_semi").select(*raw.order_items.columns)
+    users = raw.users.where(own)
+
+    def twin(df, *names):
+        return df.withColumns({c: F.concat(F.lit("twin-"), F.col(c)) for c in names})
+
+    return raw.replace(
+        users=raw.users.unionByName(twin(users, "user_id")),
+        orders=raw.orders.unionByName(twin(orders, "user_id", "order_id")),
+        order_items=raw.order_items.unionByName(twin(items, "order_item_id", "order_id")),
+    )
+
+
+add(
+    "c5_single_purchase_audience",
+    lambda raw: consumers.reengagement_audience(_with_single_buyers(raw)),
+    "WITH firsts AS (SELECT user_id, min(order_id) AS order_id FROM raw_orders WHERE user_id LIKE '%1' GROUP BY 1)"
+    " SELECT 'twin-' || d.user_id AS user_id, CAST(1 AS BIGINT) AS order_count, CAST(v.amount AS DOUBLE) AS ltv,"
+    " f.marketing_language_requirement FROM firsts d JOIN order_values v ON v.order_id = d.order_id"
+    " LEFT JOIN user_flags f ON d.user_id = f.user_id UNION ALL"
+    " SELECT c.user_id, c.order_count, CAST(c.amount AS DOUBLE), f.marketing_language_requirement"
+    " FROM customers c LEFT JOIN user_flags f ON c.user_id = f.user_id WHERE c.order_count = 1",
+)
 add(
     "c6_subject_access_extract",
     consumers.subject_access_extract,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 VALIDITY = ("valid_from", "valid_to", "is_current")
@@ -100,3 +100,36 @@ def as_of(history: DataFrame, moment: datetime) -> DataFrame:
     return history.where(
         (F.col("valid_from") <= at) & (F.col("valid_to").isNull() | (at < F.col("valid_to")))
     )
+
+
+def as_of_join(
+    facts: DataFrame, history: DataFrame, key: str, moment: str, columns: Sequence[str], spread_by: str, parts: int = 16
+) -> DataFrame:
+    """``facts`` with ``columns`` of the version of ``key`` that was valid at the fact's ``moment``.
+
+    A sorted merge: versions and facts of a key stand in one order of time, and the last version
+    is carried forward to the facts after it. No pair of a fact and a version is made, so many
+    versions cost no more than their rows. The facts of a key are dealt to ``parts`` parts by
+    ``spread_by``, each with all of the key's versions, so that a key of very many facts is shared
+    among tasks. A fact before the first version, in a gap, or without a key or moment has NULLs;
+    of versions that begin together the one that ends last counts.
+    """
+    part = F.pmod(F.xxhash64(spread_by), F.lit(parts)).cast("int")
+    version = F.struct(*columns, "valid_to")
+    none = F.lit(None).cast(history.select(version.alias("v")).schema["v"].dataType)
+    names = facts.columns
+    given = facts.select(
+        F.col(key).alias("__key"), part.alias("__part"), F.col(moment).alias("__at"), F.lit(1).alias("__fact"),
+        none.alias("__version"), F.struct(*names).alias("__row"),
+    )
+    known = history.where(F.col(key).isNotNull()).select(
+        F.col(key).alias("__key"), F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("__part"),
+        F.col("valid_from").alias("__at"), F.lit(0).alias("__fact"), version.alias("__version"),
+        F.lit(None).cast(given.schema["__row"].dataType).alias("__row"),
+    )
+    ends = F.coalesce(F.col("__version.valid_to"), F.lit(datetime.max).cast("timestamp_ntz"))
+    order = Window.partitionBy("__key", "__part").orderBy("__at", "__fact", ends)
+    carried = F.last("__version", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    merged = known.unionByName(given).withColumn("__version", carried).where("__fact = 1")
+    valid = F.col("__version.valid_to").isNull() | (F.col("__at") < F.col("__version.valid_to"))
+    return merged.select("__row.*", *[F.when(valid & F.col("__at").isNotNull(), F.col(f"__version.{c}")).alias(c) for c in columns])

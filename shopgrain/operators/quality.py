@@ -113,6 +113,10 @@ def _failing(check: Check) -> str | None:
     return f"`{check.key}` IS NULL" if check.key else None
 
 
+def _entry(domain: int, slot: int, value: str) -> str:
+    return f"named_struct('domain', {domain}, 'slot', {slot}, 'value', {value})"
+
+
 def _literals(values: Sequence[str]) -> str:
     return ", ".join("'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'" for value in values)
 
@@ -140,7 +144,7 @@ def _check_counts(
     answers = []
 
     def emit(source: tuple[str, str], column: str, domain: int, slot: int) -> None:
-        emitted.setdefault(source, []).append(f"{domain}, {slot}, CAST(`{column}` AS STRING)")
+        emitted.setdefault(source, []).append(_entry(domain, slot, f"CAST(`{column}` AS STRING)"))
 
     for number, check in checks:
         failing = _failing(check)
@@ -165,11 +169,11 @@ def _check_counts(
     for source, found in row_checks.items():
         some = " OR ".join(failing for failing, _ in found)
         listed = ", ".join(f"IF({failing}, '{number}', NULL)" for failing, number in found)
-        emitted.setdefault(source, []).append(f"-1, 0, IF({some}, concat_ws(',', {listed}), NULL)")
+        emitted.setdefault(source, []).append(_entry(-1, 0, f"IF({some}, concat_ws(',', {listed}), NULL)"))
 
     counted = range(1 + max((slot for _, slot, _ in answers), default=0))
     parts = [
-        tables[source].withColumns(rules.get(source, {})).selectExpr(f"stack({len(entries)}, {', '.join(entries)}) AS (domain, slot, value)")
+        tables[source].withColumns(rules.get(source, {})).selectExpr(f"inline(array({', '.join(entries)}))")
         for source, entries in emitted.items()
     ]
     per_value = (

@@ -1,4 +1,4 @@
-"""Running totals, positions and exact medians over one global order.
+"""Running totals, positions, exact medians and histograms over one global order.
 
 A window without a partition would move every row into one task. Instead the
 rows are range-partitioned by the order, each slice is summed on its own, and
@@ -8,11 +8,14 @@ the slice totals (one row per shuffle partition) become starting offsets.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shopgrain.session import durable
+from shopgrain.session import durable, written
+
+RANGES = 16_384  # ranges that a round of the median counts
 
 
 def running_totals(
@@ -53,32 +56,53 @@ def running_totals(
     )
 
 
-def middle_values(ranked: DataFrame, value: str) -> DataFrame:
-    """One row from value frequencies with running totals of ``n``: ``median`` (the
-    mean of the middle two) and the total of every measure under its own name."""
-    lower = F.floor((F.col("n_total") + 1) / 2)
-    upper = F.floor((F.col("n_total") + 2) / 2)
-    before = F.col("n_running") - F.col("n")
-
-    def holds(rank: Column) -> Column:
-        return (before < rank) & (rank <= F.col("n_running"))
-
-    totals = [c for c in ranked.columns if c.endswith("_total") and c != "rows_total"]
-    return ranked.where(holds(lower) | holds(upper)).agg(
-        ((F.min(value) + F.max(value)).cast("double") / F.lit(2.0)).alias("median"),
-        *[F.max(c).alias(c.removesuffix("_total")) for c in totals],
-    )
+def values_at(values: DataFrame, column: str, ranks: Sequence[int], low: int, high: int, ranges: int = RANGES) -> dict[int, int]:
+    """The whole numbers at some places (from 1) of the order of ``column``, without sorting it.
+
+    ``low`` and ``high`` bound the values. Each round counts the rows of equal ranges between
+    the bounds and goes on in the range that holds the place, until it is one value wide. A
+    round scans the column once per different range that is still open (as many as ``ranks``
+    at most) and brings back one count a range."""
+    number = F.col(column).cast("decimal(38,0)")
+    found: dict[int, int] = {}
+    open_ranges = {(low, high, 0): list(ranks)}  # (bounds, rows before) -> places inside
+    while open_ranges:
+        narrower: dict[tuple[int, int, int], list[int]] = {}
+        for (start, end, before), places in open_ranges.items():
+            if start == end:
+                found.update(dict.fromkeys(places, start))
+                continue
+            width = (end - start) // ranges + 1
+            first, last, step = (F.lit(Decimal(x)).cast("decimal(38,0)") for x in (start, end, width))
+            part = F.call_function("div", number - first, step)
+            counted = values.where(number.between(first, last)).groupBy(part.alias("part")).count().collect()
+            so_far, left = before, sorted(places)
+            for row in sorted(counted, key=lambda row: row["part"]):
+                inside = [place for place in left if place <= so_far + row["count"]]
+                if inside:
+                    bottom = start + int(row["part"]) * width
+                    narrower[bottom, min(bottom + width - 1, end), so_far] = inside
+                    left = left[len(inside) :]
+                so_far += row["count"]
+        open_ranges = narrower
+    return found
+
+
+def middle_of(values: DataFrame, column: str, n: int, low: int, high: int) -> float:
+    """The exact median of ``n`` whole numbers between ``low`` and ``high``: the mean of the middle two."""
+    ranks = sorted({(n + 1) // 2, (n + 2) // 2})
+    found = values_at(values, column, ranks, low, high)
+    return (found[ranks[0]] + found[ranks[-1]]) / 2
 
 
 def median(df: DataFrame, column: str) -> DataFrame:
     """One row: exact ``median`` and count ``n`` of the non-NULL values of an integer column.
 
-    Works on the value frequencies, so a value held by many rows is one row
-    here, and no task sees more than its slice of the distinct values.
-    """
-    known = df.where(F.col(column).isNotNull())
-    frequencies = known.groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n"))
-    return middle_values(running_totals(frequencies, [F.col("value")], ["n"]), "value")
+    The column is written once and then only counted; nothing is shuffled but counts."""
+    values = written(df.where(F.col(column).isNotNull()).select(column), "median")
+    n, low, high = values.agg(F.count("*"), F.min(column), F.max(column)).first()
+    middle = middle_of(values, column, n, int(low), int(high)) if n else None
+    return df.sparkSession.range(1).select(F.lit(middle).cast("double").alias("median"), F.lit(n).cast("bigint").alias("n"))
 
 
 def histogram(df: DataFrame, column: str, bins: int = 40, half_unit: int = 50) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from shopgrain.functions import money, region
 from shopgrain.operators import ranked
+from shopgrain.session import written
 from shopgrain.sources.raw import RawTables
 
 TARGET_SHARE = 80.0  # percent of revenue the Pareto cut looks for
@@ -293,23 +294,18 @@ def order_value_mean(raw: RawTables) -> DataFrame:
 
 
 def order_value_statistics(raw: RawTables) -> DataFrame:
-    """One row: number, mean and exact median of order values.
-
-    Mean and median come from one value-frequency table.
-    """
-    frequencies = (
-        order_value_cents(raw)
-        .where(F.col("cents").isNotNull())
-        .groupBy("cents")
-        .agg(F.count("*").alias("n"))
-        .withColumn("weighted", F.col("cents") * F.col("n"))
-    )
-    rows = ranked.running_totals(frequencies, [F.col("cents")], ["n", "weighted"])
-    middle = ranked.middle_values(rows, "cents")
-    return middle.select(
-        F.col("n").alias("orders"),
-        (F.col("median") / 100.0).alias("median_order_value"),
-        (money.from_cents(F.col("weighted")) / F.col("n").cast("double")).alias("mean_order_value"),
+    """One row: number, mean and exact median of order values, from one column that is written once."""
+    cents = written(order_value_cents(raw).where(F.col("cents").isNotNull()).select("cents"), "order-values")
+    found = cents.agg(
+        F.count("*").alias("orders"), F.sum("cents").alias("total"), F.min("cents").alias("low"), F.max("cents").alias("high")
+    ).first()
+    n = found["orders"]
+    middle = ranked.middle_of(cents, "cents", n, int(found["low"]), int(found["high"])) if n else None
+    orders = F.lit(n).cast("bigint")
+    return raw.spark.range(1).select(
+        orders.alias("orders"),
+        (F.lit(middle).cast("double") / 100.0).alias("median_order_value"),
+        F.try_divide(money.from_cents(F.lit(found["total"]).cast("decimal(38,0)")), orders.cast("double")).alias("mean_order_value"),
     )
 
 

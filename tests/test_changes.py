@@ -345,3 +345,25 @@ def test_a_snapshot_refuses_a_repeated_key(spark, frame, rates, folder):
     with pytest.raises(RepeatedKey, match="location_id"):
         location_history.run_snapshot(table, twice, rates, at(1), "r1")
     assert table.read() is None
+
+
+def test_facts_get_the_version_of_their_time(spark):
+    versions = [("a", "one", at(2), at(4)), ("a", "two", at(4), at(6)), ("a", "three", at(8), None), ("b", "only", at(1), None), (None, "x", at(1), None)]
+    history_ = spark.createDataFrame(versions, "place string, city string, valid_from timestamp_ntz, valid_to timestamp_ntz")
+    times = {1: None, 2: "one", 3: "one", 4: "two", 5: "two", 6: None, 7: None, 8: "three", 20: "three"}
+    facts = [(f"a{d}", "a", at(d)) for d in times] + [("b1", "b", at(1)), ("null", None, at(3)), ("gone", "c", at(3)), ("when", "a", None)]
+    facts += [(f"hot{i}", "a", at(3)) for i in range(500)]
+    df = spark.createDataFrame(facts, "id string, place string, at timestamp_ntz")
+    found = {r["id"]: r["city"] for r in history.as_of_join(df, history_, "place", "at", ["city", "valid_from"], "id").collect()}
+    assert found == {f"a{d}": c for d, c in times.items()} | {"b1": "only", "null": None, "gone": None, "when": None} | {f"hot{i}": "one" for i in range(500)}
+
+
+def test_as_of_join_spreads_a_busy_key_and_makes_no_pairs(spark):
+    history_ = spark.range(50).selectExpr("'a' AS place", "cast(id AS string) AS city", "timestampadd(DAY, id, TIMESTAMP_NTZ'2024-01-01') AS valid_from", "timestampadd(DAY, id + 1, TIMESTAMP_NTZ'2024-01-01') AS valid_to")
+    facts = spark.range(4000).selectExpr("id", "'a' AS place", "timestampadd(DAY, id % 50, TIMESTAMP_NTZ'2024-01-01 12:00:00') AS at")
+    found = history.as_of_join(facts, history_, "place", "at", ["city"], "id")
+    assert found.where("city = cast(id % 50 AS string)").count() == found.count() == 4000
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Window" in plan
+    parts = facts.selectExpr("pmod(xxhash64(id), 16) AS part").groupBy("part").count()
+    assert parts.count() == 16 and parts.agg(F.max("count")).first()[0] < 400

@@ -1,11 +1,13 @@
 from datetime import datetime
 
+import pytest
+
 from conftest import rows
 from pyspark.sql import functions as F
 
 from shopgrain.operators import quality
 from shopgrain.operators.quality import Check
-from shopgrain.plans import checks
+from shopgrain.plans import checks, selection
 from shopgrain.plans.staging import stg_locations
 from shopgrain.sources.raw import RawTables
 from shopgrain.sources.warehouse import raw_tables
@@ -127,3 +129,34 @@ def test_stored_tables_can_be_checked_instead(spark, frame):
     found = {(r.column_name, r.test): r.failures for r in report.where("table_name = 'stg_orders_incr'").collect()}
     assert found["fulfillment_region_type", "accepted_values"] == 1 and found["user_id", "not_null"] == 1
     assert quality.select_layer(report, checks.SOURCE).count() == 0
+
+
+def test_models_are_picked_by_name_layer_tag_and_place_in_the_graph():
+    assert selection.pick("stg_orders") == {"stg_orders"}
+    assert selection.pick("tag:high-volume") == {"stg_user_events_incr"}
+    assert len(selection.pick("tag:fact staging")) == 9
+    assert selection.pick("stg_users+") == {"stg_users", "stg_user_events", "stg_user_events_incr", "dim_users", "fct_user_events"}
+    assert selection.pick("+fct_orders") == {"fct_orders", "stg_orders", "stg_order_items", "orders", "order_items"}
+    assert selection.pick("+stg_orders+") == {"orders", "stg_orders", "fct_orders", "fct_order_items"}
+    assert selection.pick("locations+,tag:incremental") == {"stg_orders_incr", "stg_user_events_incr"}
+    assert selection.descendants("exchange_rates") >= {"stg_locations", "snap_locations", "fct_user_events"}
+    for wrong in ("stg_nothing", "tag:none"):
+        with pytest.raises(ValueError, match="picks no model"):
+            selection.pick(wrong)
+    assert {c.table for c in (*checks.CHECKS, *checks.RULES)} <= set(selection.MODELS)
+
+
+def test_rules_count_their_failing_rows_in_the_fused_run(spark, frame, rates):
+    raw = raw_tables(spark, SMALL)
+    bad = items(frame, ("total", 2, 10.0, 0.1, 99.0), ("price", 1, -1.0, 0.0, -1.0), ("fine", 1, 1.0, 0.0, 1.0), ("nulls", None, None, None, None))
+    report = checks.run_suite(spark, raw.replace(order_items=bad), datetime(2024, 1, 1), layer=checks.SOURCE)
+    found = {r["column_name"]: r["failures"] for r in report.where("test = 'rule'").collect()}
+    assert found == {"line_total_integrity": 1, "no_negative_financials": 1, "no_orphan_order_items": 4}
+    picked = checks.run_suite(spark, raw, datetime(2024, 1, 1), select="tag:high-volume")
+    assert picked.count() == 10 and {r["table_name"] for r in picked.collect()} == {"stg_user_events_incr"}
+
+
+def test_the_suite_scans_each_table_once(spark):
+    report = checks.run_suite(spark, raw_tables(spark, SMALL), datetime(2024, 1, 1), layer=checks.SOURCE)
+    plan = report._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate inline") == 6

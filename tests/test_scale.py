@@ -1,6 +1,7 @@
 """Operators that must not gather a large group in one task, against plain windows."""
 
 import random
+from decimal import Decimal
 import re
 
 import numpy as np
@@ -78,6 +79,22 @@ def test_median_equals_numpy(spark, values):
     assert (found.median, found.n) == (float(np.median(values)), len(values))
 
 
+def test_places_are_found_by_narrowing_ranges(spark):
+    rng = random.Random(4)
+    values = [rng.randint(-(10**12), 10**12) for _ in range(300)] + [7] * 50
+    df = spark.createDataFrame([(v,) for v in values], "x bigint").repartition(3)
+    ranks = [1, 2, 100, 175, 176, 349, 350]
+    found = ranked.values_at(df, "x", ranks, min(values), max(values), ranges=10)
+    assert found == {r: sorted(values)[r - 1] for r in ranks}
+
+
+def test_the_median_of_nothing_and_of_wide_decimals(spark):
+    empty = ranked.median(spark.createDataFrame([(None,)], "x bigint"), "x").first()
+    assert (empty.median, empty.n) == (None, 0)
+    wide = spark.createDataFrame([(Decimal(10**30),), (Decimal(-(10**30)),), (Decimal(3),)], "x decimal(38,0)")
+    assert ranked.median(wide, "x").first().median == 3.0
+
+
 @pytest.mark.parametrize("values", [[0, 100], list(range(0, 401, 7)), [5, 5, 5], [0, 10, 20, 390, 400, 400], [-50, 0, 3]])
 def test_histogram_equals_numpy(spark, values):
     df = spark.createDataFrame([(v,) for v in values] + [(None,)], "x bigint")
