@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shopgrain.session import written
+
 NULL_SPREAD = 4096  # tasks over which rows with a NULL key are spread
 SALTS = 64  # parts a repeated key is split into before its window
 
@@ -56,30 +58,27 @@ def flag_repeats(
 
 
 def next_in_group(
-    df: DataFrame, key: str, moment: str, order: Sequence[Column], value: str, output: str, bucket_seconds: int
+    df: DataFrame, key: str, order: Sequence[Column], value: str, output: str, slices: int | None = None
 ) -> DataFrame:
-    """``lead(value)`` per key in time order, with a busy key split by time.
+    """``lead(value)`` per key in ``order``, however many rows a key has.
 
-    The first window works within (key, time bucket). Only the first and last
-    row of each bucket then take part in the window over the whole key; rows in
-    between already know their successor and stay in their bucket's group.
-    ``order`` must start with ``moment``, and ``value`` must not be NULL.
+    Rows are cut into ranges of (key, order), so a busy key is shared among tasks down to
+    equal rows. The successor of a range's last row is the first row of the next range that has
+    rows: one row a range, which is all that is broadcast. The ranges are a property of one
+    execution, so the rows are written once before they are read twice. NULL keys are one group;
+    ``value`` must not be NULL.
     """
-    # Taken from the fields of the zoneless time: a cast to a zoned one would
-    # put the hour that summer time skips out of order.
-    at = F.col(moment)
-    day = F.unix_date(at.cast("date")).cast("bigint")
-    seconds = day * 86400 + F.hour(at) * 3600 + F.minute(at) * 60 + F.second(at)
-    bucketed = df.withColumn("__bucket", F.floor(seconds / F.lit(bucket_seconds)))
-    inside = Window.partitionBy(key, "__bucket").orderBy(*order)
-    edged = bucketed.withColumn("__next", F.lead(value).over(inside)).withColumn(
-        "__first", F.row_number().over(inside) == 1
-    )
-    inner = F.when(~F.col("__first") & F.col("__next").isNotNull(), F.col("__bucket"))
-    across = Window.partitionBy(key, "__inner").orderBy(*order)
-    return (
-        edged.withColumn("__inner", inner)
-        .withColumn("__edge", F.lead(value).over(across))
-        .withColumn(output, F.coalesce("__next", "__edge"))
-        .drop("__bucket", "__next", "__first", "__inner", "__edge")
+    ranged = df.repartitionByRange(*([slices] if slices else []), F.asc_nulls_last(key), *order)
+    sliced = written(ranged.withColumn("__slice", F.spark_partition_id()), "ranges")
+    inside = Window.partitionBy("__slice").orderBy(F.asc_nulls_last(key), *order)
+    firsts = sliced.withColumn("__place", F.row_number().over(inside)).where("__place = 1")
+    # One row a range: bounded by the partition count, whatever the data.
+    across = Window.orderBy("__slice")
+    after = firsts.select(
+        "__slice", F.lead(F.struct(F.col(key).alias("key"), F.col(value).alias("value"))).over(across).alias("__after")
     )
+    following = F.lead(F.struct(F.col(key).alias("key"), F.col(value).alias("value"))).over(inside)
+    linked = sliced.withColumn("__next", following).join(F.broadcast(after), "__slice")
+    found = F.coalesce("__next", "__after")
+    same = found["key"].eqNullSafe(F.col(key))
+    return linked.withColumn(output, F.when(same, found["value"])).drop("__slice", "__next", "__after")

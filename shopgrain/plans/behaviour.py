@@ -11,7 +11,6 @@ from shopgrain.sources.raw import RawTables
 
 EXIT = "EXIT"
 NO_STEP = "NONE"
-BUCKET_SECONDS = 3600
 
 # The pages of the purchase path, in order.
 FUNNEL = (
@@ -23,7 +22,7 @@ FUNNEL = (
 ORDER_STEP = "order"
 
 
-def steps_with_next(raw: RawTables, bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
+def steps_with_next(raw: RawTables, slices: int | None = None) -> DataFrame:
     """Each event's page and the page of the same user's next event (EXIT after the last).
 
     No session gap is applied: a user's sessions can overlap in time.
@@ -32,15 +31,13 @@ def steps_with_next(raw: RawTables, bucket_seconds: int = BUCKET_SECONDS) -> Dat
         "user_id", "event_timestamp", "event_id", F.coalesce("page_url", F.lit(NO_STEP)).alias("from_step")
     )
     order = [F.asc_nulls_last("event_timestamp"), F.asc_nulls_last("event_id")]
-    linked = next_in_group(steps, "user_id", "event_timestamp", order, "from_step", "to_step", bucket_seconds)
+    linked = next_in_group(steps, "user_id", order, "from_step", "to_step", slices)
     return linked.withColumn("to_step", F.coalesce("to_step", F.lit(EXIT)))
 
 
-def transition_matrix(raw: RawTables, bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
+def transition_matrix(raw: RawTables, slices: int | None = None) -> DataFrame:
     """from_step, to_step, transitions and their share of all moves out of from_step."""
-    counts = (
-        steps_with_next(raw, bucket_seconds).groupBy("from_step", "to_step").agg(F.count("*").alias("transitions"))
-    )
+    counts = steps_with_next(raw, slices).groupBy("from_step", "to_step").agg(F.count("*").alias("transitions"))
     # A row per pair of pages: small, whatever the number of events.
     out = F.sum("transitions").over(Window.partitionBy("from_step"))
     return counts.withColumn("probability", F.col("transitions").cast("double") / out.cast("double"))

@@ -1,6 +1,10 @@
 """Every registered query against its SQL, and plan rules for all lazy ones."""
 
+import os
 import re
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
 
@@ -50,3 +54,14 @@ def test_plans_have_no_cross_join_and_no_python(spark, name):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "EvalPython", "MapInPandas"):
         assert word not in plan, word
+
+
+def test_a_missing_library_of_the_text_part_leaves_the_rest(tmp_path):
+    """Also with the text part's folder in place, as far as it is there."""
+    (tmp_path / "zstandard.py").write_text("raise ModuleNotFoundError('none here', name='zstandard')")
+    code = "import __spark_entry__ as e; q = e.queries(); print(len(q), 'pipeline' in q, 'op3_language_id' in q)"
+    root = str(Path(contract.__file__).parent)
+    env = {**os.environ, "PYTHONPATH": f"{tmp_path}:{root}"}
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, env=env, cwd=root, timeout=120)
+    number, *present = done.stdout.split()
+    assert int(number) > 130 and present == ["False", "False"], done.stderr

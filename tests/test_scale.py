@@ -36,14 +36,30 @@ def test_repeat_flags_equal_a_plain_window(skewed, salts):
     assert ours.columns == [*skewed.columns, "again"]
 
 
-@pytest.mark.parametrize("seconds", [1, 60, 3600, 10**7])
-def test_successors_equal_a_plain_lead(skewed, seconds):
+@pytest.mark.parametrize("slices", [1, 3, 40])
+def test_successors_equal_a_plain_lead(skewed, slices):
     order = [F.asc_nulls_last("at"), F.asc_nulls_last("id")]
-    ours = keyed.next_in_group(skewed, "key", "at", order, "step", "following", seconds)
+    ours = keyed.next_in_group(skewed, "key", order, "step", "following", slices)
     plain = skewed.withColumn("following", F.lead("step").over(Window.partitionBy("key").orderBy(*order)))
     assert rows(ours, "id", "following") == rows(plain, "id", "following")
 
 
+def test_one_busy_moment_of_a_key_is_shared_among_tasks(spark):
+    """All rows of one user at one time: only the ids tell them apart."""
+    busy = spark.range(5000).selectExpr("cast(id AS int) AS id", "'u' AS key", "1 AS at", "concat('s', id) AS step").repartition(6)
+    order = [F.asc_nulls_last("at"), F.asc_nulls_last("id")]
+    ours = keyed.next_in_group(busy, "key", order, "step", "following", 8)
+    assert ours.where("following = concat('s', id + 1)").count() == 4999
+    assert rows(ours.where("following IS NULL"), "id") == [(4999,)]
+    slices = busy.repartitionByRange(8, F.asc_nulls_last("key"), *order).groupBy(F.spark_partition_id()).count()
+    assert slices.count() >= 7 and slices.agg(F.max("count")).first()[0] < 1500
+
+
+def test_successors_of_nothing(spark):
+    empty = spark.createDataFrame([], "id int, key string, at int, step string")
+    assert keyed.next_in_group(empty, "key", [F.col("at")], "step", "following").count() == 0
+
+
 def test_largest_window_group_shrinks(skewed):
     """The hot key's rows are spread over its salts before any window sees them."""
     salted = skewed.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(keyed.SALTS))).groupBy("key", "salt").count()
