@@ -17,6 +17,7 @@ alone, over its whole text.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -33,7 +34,13 @@ ACCESS = r"AKIA[A-Z0-9]{14,}"  # runs of 18 or more; a shorter run holds no long
 HEX = r"[0-9a-f]{16,}"
 
 MASK = "[SECRET]"
-_SPAN = "array<struct<start:int,rank:int,end:int>>"
+_PLACE = "struct<start:int,rank:int,end:int>"
+_MATCH = "struct<start:int,end:int,value:string>"
+_SPAN = f"array<{_PLACE}>"
+#: Items that are extended one by one before they are joined as a block.
+BLOCK = 128
+#: Bits of a symbol's count, and counts in a number.
+BITS, DIGITS = 5, 12
 
 
 @dataclass(frozen=True)
@@ -56,33 +63,60 @@ class Entropy:
     allowed: tuple[str, ...] = field(
         default=(
             r"^[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",  # UUID
-            r"^[A-Za-z]+(?:[-_/][A-Za-z]+)*[-_/]?[0-9]{0,4}$",  # words, paths and names with a number
+            # Words, paths and names with a number; possessive, so that no path is too long to match.
+            r"^[A-Za-z]++(?:[-_/][A-Za-z]++)*+[-_/]?[0-9]{0,4}$",
             r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[-_T0-9]*$",  # dates
         )
     )
 
 
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once, however often ``use`` refers to it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _running(items: Column, zero: Column, step: Callable, emit: Callable, kind: str) -> Column:
+    """``emit(state before, x)`` for each item in order, with the state that ``step`` carries on.
+
+    Arrays are extended within blocks, and blocks are joined at the end, so that many items don't
+    copy the whole result for each of them."""
+    blocks = F.transform(
+        F.sequence(F.lit(0), F.greatest(F.size(items) - 1, F.lit(0)), F.lit(BLOCK)), lambda at: F.slice(items, at + 1, BLOCK)
+    )
+    nothing = F.array().cast(f"array<{kind}>")
+
+    def inner(state: Column, x: Column) -> Column:
+        before = state["state"]
+        return F.struct(step(before, x).alias("state"), F.array_append(state["out"], emit(before, x)).alias("out"))
+
+    def outer(state: Column, block: Column) -> Column:
+        done = F.aggregate(block, F.struct(state["state"].alias("state"), nothing.alias("out")), inner)
+        return _bound(done, lambda d: F.struct(d["state"].alias("state"), F.array_append(state["out"], d["out"]).alias("out")))
+
+    start = F.struct(zero.alias("state"), F.array().cast(f"array<array<{kind}>>").alias("out"))
+    return F.flatten(F.aggregate(blocks, start, outer, lambda state: state["out"]))
+
+
 def _located(text: Column, pattern: str, group: int = 0) -> Column:
     """All matches as structs (start, end, value): places of the whole match, text of the group."""
     whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     value = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else whole
-    between = F.split(text, pattern, -1)
     lengths = F.arrays_zip(
-        F.transform(F.slice(between, 1, F.size(whole)), F.length).alias("gap"),
+        # The last piece is what follows the last match; it has no match beside it.
+        F.transform(F.split(text, pattern, -1), F.length).alias("gap"),
         F.transform(whole, F.length).alias("own"),
         value.alias("value"),
     )
-    nothing = F.array().cast("array<struct<start:int,end:int,value:string>>")
-    start = F.struct(F.lit(0).alias("at"), nothing.alias("found"))
 
-    def step(state: Column, x: Column) -> Column:
-        begin = state["at"] + x["gap"]
-        end = begin + x["own"]
-        span = F.struct(begin.alias("start"), end.alias("end"), x["value"].alias("value"))
-        return F.struct(end.alias("at"), F.array_append(state["found"], span).alias("found"))
+    def emit(at: Column, x: Column) -> Column:
+        begin = at + x["gap"]
+        return F.struct(begin.alias("start"), (begin + x["own"]).alias("end"), x["value"].alias("value"))
 
-    found = F.aggregate(lengths, start, step, lambda state: state["found"])
-    return F.when(text.rlike(pattern), found).otherwise(nothing)
+    def located(pieces: Column) -> Column:
+        matched = F.slice(pieces, F.lit(1), F.greatest(F.size(pieces) - 1, F.lit(0)))
+        return _bound(matched, lambda m: _running(m, F.lit(0), lambda at, x: at + x["gap"] + x["own"], emit, _MATCH))
+
+    return F.when(text.rlike(pattern), _bound(lengths, located)).otherwise(F.array().cast(f"array<{_MATCH}>"))
 
 
 def _spans(located: Column, kind: str) -> Column:
@@ -94,37 +128,68 @@ def _spans(located: Column, kind: str) -> Column:
 
 def _hot_windows(value: Column, least: Column, window: int) -> Column:
     """Struct (first, last): where the first window with enough entropy begins and the
-    last one ends, from 0; first is -1 without such a window."""
-    chars = F.split(value, "")
+    last one ends, from 0; first is -1 without such a window.
+
+    A symbol's count in the window is a digit of ``BITS`` bits in one of a few numbers. A step
+    takes one from the digit of the symbol that leaves and adds one to that of the one that enters."""
+    if window >= 1 << BITS:
+        raise ValueError(f"a window has at most {(1 << BITS) - 1} characters")
     weight = F.array(*[F.lit(c * math.log2(c) if c else 0.0) for c in range(window + 1)])  # c * log2(c)
+    ones = F.array(*[F.lit(1 << (BITS * i)).cast("long") for i in range(DIGITS)])
+
+    def digit(code: Column) -> Column:
+        place = (code % DIGITS).cast("int")
+        return F.struct(
+            F.floor(code / DIGITS).cast("int").alias("word"), (place * BITS).alias("shift"), F.get(ones, place).alias("one")
+        )
+
+    def count(counts: Column, of: Column) -> Column:
+        shifted = F.call_function("shiftrightunsigned", F.get(counts, of["word"]), of["shift"])
+        return shifted.bitwiseAND(F.lit((1 << BITS) - 1).cast("long")).cast("int")
+
+    def added(counts: Column, of: Column, sign: int) -> Column:
+        return F.transform(counts, lambda c, j: F.when(j == of["word"], c + sign * of["one"]).otherwise(c))
+
     state = F.struct(
-        F.array_repeat(F.lit(0), 128).alias("counts"),
+        F.array_repeat(F.lit(0).cast("long"), -(-128 // DIGITS)).alias("counts"),
         F.lit(0.0).alias("sum"),
+        F.lit(0).alias("at"),
         F.lit(-1).alias("first"),
         F.lit(-1).alias("last"),
     )
 
-    def step(s: Column, i: Column) -> Column:
-        enter = F.ascii(F.get(chars, i))
-        leave = F.when(i >= window, F.ascii(F.get(chars, i - window))).otherwise(F.lit(-1))
-        gone = F.coalesce(F.get(s["counts"], leave), F.lit(0))
-        left = s["sum"] + F.when(leave >= 0, F.get(weight, gone - 1) - F.get(weight, gone)).otherwise(F.lit(0.0))
-        there = F.get(s["counts"], enter) - F.when(leave == enter, 1).otherwise(0)
-        total = left + F.get(weight, there + 1) - F.get(weight, there)
-        counts = F.transform(
-            s["counts"], lambda c, j: c + F.when(j == enter, 1).otherwise(0) - F.when(j == leave, 1).otherwise(0)
-        )
-        hot = (i >= window - 1) & (F.lit(math.log2(window)) - total / window >= least)
-        return F.struct(
-            counts.alias("counts"),
-            total.alias("sum"),
-            F.when(hot & (s["first"] < 0), i - (window - 1)).otherwise(s["first"]).alias("first"),
-            F.when(hot, i + 1).otherwise(s["last"]).alias("last"),
+    def step(s: Column, x: Column) -> Column:
+        out, into = x["leave"], x["enter"]
+
+        def entered(left: Column) -> Column:
+            there = count(left["counts"], into)
+            total = left["sum"] + F.get(weight, there + 1) - F.get(weight, there)
+            return _bound(total, lambda t: moved(left, t))
+
+        def moved(left: Column, total: Column) -> Column:
+            i = s["at"]
+            hot = (i >= window - 1) & (F.lit(math.log2(window)) - total / window >= least)
+            return F.struct(
+                added(left["counts"], into, 1).alias("counts"),
+                total.alias("sum"),
+                (i + 1).alias("at"),
+                F.when(hot & (s["first"] < 0), i - (window - 1)).otherwise(s["first"]).alias("first"),
+                F.when(hot, i + 1).otherwise(s["last"]).alias("last"),
+            )
+
+        gone = count(s["counts"], out)
+        without = F.struct(
+            added(s["counts"], out, -1).alias("counts"), (s["sum"] + F.get(weight, gone - 1) - F.get(weight, gone)).alias("sum")
         )
+        same = F.struct(s["counts"].alias("counts"), s["sum"].alias("sum"))
+        return _bound(F.when(out.isNull(), same).otherwise(without), entered)
 
-    return F.aggregate(
-        F.sequence(F.lit(0), F.length(value) - 1), state, step, lambda s: F.struct(s["first"], s["last"])
-    )
+    def scan(codes: Column) -> Column:
+        leaving = F.concat(F.array_repeat(F.get(codes, F.lit(-1)), window), codes)
+        pairs = F.arrays_zip(codes.alias("enter"), F.slice(leaving, F.lit(1), F.size(codes)).alias("leave"))
+        return F.aggregate(pairs, state, step, lambda s: F.struct(s["first"], s["last"]))
+
+    return _bound(F.transform(F.split(value, ""), lambda c: digit(F.ascii(c))), scan)
 
 
 def _any(value: Column, patterns: tuple[str, ...]) -> Column:
@@ -134,19 +199,8 @@ def _any(value: Column, patterns: tuple[str, ...]) -> Column:
     return found
 
 
-def _covers(x: Column, y: Column) -> Column:
-    return (x["start"] <= y["start"]) & (y["end"] <= x["end"])
-
-
 def _entropy_spans(text: Column, rules: Entropy) -> Column:
-    """Spans of the candidates and of the runs inside them; one inside another is left out."""
-    located = _located(text, rules.candidate)
-    candidates = F.filter(located, lambda x: ~_any(x["value"], rules.allowed))
-    # A candidate that is one run is scanned once.
-    runs = F.filter(
-        _located(text, rules.run),
-        lambda r: F.exists(candidates, lambda x: _covers(x, r) & (F.length(x["value"]) > F.length(r["value"]))),
-    )
+    """Spans of the candidates and of the runs between signs inside them."""
 
     def least(value: Column) -> Column:
         found = F.lit(None).cast("double")
@@ -154,24 +208,61 @@ def _entropy_spans(text: Column, rules: Entropy) -> Column:
             found = F.when(value.rlike(pattern), F.lit(bits)).otherwise(found)
         return found
 
-    suspects = F.filter(F.concat(candidates, runs), lambda x: least(x["value"]).isNotNull())
+    def with_least(x: Column) -> Column:
+        return F.struct(x["start"].alias("start"), x["value"].alias("value"), least(x["value"]).alias("least"))
+
+    def inside(candidates: Column) -> Column:
+        """The runs that are part of a candidate; one that is a whole candidate is scanned as such."""
+        both = F.concat(
+            F.transform(candidates, lambda x: F.struct(x["start"], F.lit(0).alias("rank"), x["end"], x["value"])),
+            F.transform(_located(text, rules.run), lambda x: F.struct(x["start"], F.lit(1).alias("rank"), x["end"], x["value"])),
+        ).cast("array<struct<start:int,rank:int,end:int,value:string>>")
+        last = F.struct(F.lit(-1).alias("start"), F.lit(-1).alias("end"))
+
+        def step(state: Column, x: Column) -> Column:
+            return F.when(x["rank"] == 0, F.struct(x["start"].alias("start"), x["end"].alias("end"))).otherwise(state)
+
+        def emit(state: Column, x: Column) -> Column:
+            part = (x["rank"] == 1) & (x["end"] <= state["end"]) & (x["end"] - x["start"] < state["end"] - state["start"])
+            return F.struct(x["start"].alias("start"), x["end"].alias("end"), F.when(part, x["value"]).alias("value"))
+
+        found = _bound(F.array_sort(both), lambda items: _running(items, last, step, emit, _MATCH))
+        return F.concat(candidates, F.filter(found, lambda x: x["value"].isNotNull()))
+
+    candidates = F.filter(_located(text, rules.candidate), lambda x: ~_any(x["value"], rules.allowed))
+    suspects = F.filter(F.transform(_bound(candidates, inside), with_least), lambda x: x["least"].isNotNull())
     scanned = F.transform(
         suspects,
-        lambda x: F.struct(
-            x["start"].alias("start"), _hot_windows(x["value"], least(x["value"]), rules.window).alias("hot")
-        ),
+        lambda x: F.struct(x["start"].alias("start"), _hot_windows(x["value"], x["least"], rules.window).alias("hot")),
     )
     hot = F.filter(scanned, lambda x: x["hot"]["first"] >= 0)
-    return F.array_distinct(
-        F.transform(
-            hot,
-            lambda x: F.struct(
-                (x["start"] + x["hot"]["first"]).alias("start"),
-                F.lit(KINDS.index("entropy")).alias("rank"),
-                (x["start"] + x["hot"]["last"]).alias("end"),
-            ),
-        ).cast(_SPAN)
+    spans = F.transform(
+        hot,
+        lambda x: F.struct(
+            (x["start"] + x["hot"]["first"]).alias("start"),
+            F.lit(KINDS.index("entropy")).alias("rank"),
+            (x["start"] + x["hot"]["last"]).alias("end"),
+        ),
     )
+    return F.when(text.rlike(rules.candidate), F.array_distinct(spans.cast(_SPAN))).otherwise(F.array().cast(_SPAN))
+
+
+def _uncovered(base: Column, entropy: Column) -> Column:
+    """The entropy spans that no base span and no other entropy span covers: with spans in order
+    of their starts, and longer ones first, those that end after all before them."""
+
+    def ordered(spans: Column) -> Column:
+        return F.transform(spans, lambda x: F.struct(x["start"].alias("start"), (-x["end"]).alias("end"), x["rank"].alias("rank")))
+
+    both = F.array_sort(F.concat(ordered(base), ordered(entropy)))
+    rank = KINDS.index("entropy")
+
+    def emit(most: Column, x: Column) -> Column:
+        kept = (x["rank"] == rank) & (-x["end"] > most)
+        return F.struct(x["start"].alias("start"), F.when(kept, x["rank"]).otherwise(-1).alias("rank"), (-x["end"]).alias("end"))
+
+    found = _bound(both, lambda items: _running(items, F.lit(-1), lambda most, x: F.greatest(most, -x["end"]), emit, _PLACE))
+    return F.filter(found, lambda x: x["rank"] == rank)
 
 
 def with_spans(df: DataFrame, text: Column, rules: Entropy | None = None) -> DataFrame:
@@ -190,11 +281,7 @@ def with_spans(df: DataFrame, text: Column, rules: Entropy | None = None) -> Dat
         )
     )
     df = df.withColumn("_base", base).withColumn("_entropy", _entropy_spans(whole, rules))
-    added = F.filter(
-        F.col("_entropy"),
-        lambda x: ~F.exists(F.col("_base"), lambda b: _covers(b, x))
-        & ~F.exists(F.col("_entropy"), lambda e: _covers(e, x) & (e != x)),
-    )
+    added = F.when(F.size("_entropy") > 0, _uncovered(F.col("_base"), F.col("_entropy"))).otherwise(F.array().cast(_SPAN))
     return df.withColumn("_spans", F.array_sort(F.concat(F.col("_base"), added))).drop("_entropy")
 
 
@@ -225,18 +312,14 @@ def scan_secrets(docs: DataFrame, rules: Entropy | None = None) -> DataFrame:
 
 def masked(text: Column, spans: Column, mask: str = MASK) -> Column:
     """The text with every span replaced; overlapping spans become one mask."""
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
-    def step(state: Column, x: Column) -> Column:
-        gap = F.substring(text, state["at"] + 1, x["start"] - state["at"])
-        fresh = x["start"] >= state["at"]
-        return F.struct(
-            F.greatest(state["at"], x["end"]).alias("at"),
-            F.when(fresh, F.concat(state["out"], gap, F.lit(mask))).otherwise(state["out"]).alias("out"),
-        )
+    def emit(at: Column, x: Column) -> Column:
+        gap = F.substring(text, at + 1, x["start"] - at)
+        return F.when(x["start"] >= at, F.concat(gap, F.lit(mask))).otherwise(F.lit(""))
 
-    rest = lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text)))
-    return F.when(F.size(spans) > 0, F.aggregate(spans, start, step, rest)).otherwise(text)
+    pieces = _running(spans, F.lit(0), lambda at, x: F.greatest(at, x["end"]), emit, "string")
+    rest = F.substring(text, F.array_max(F.transform(spans, lambda x: x["end"])) + 1, F.length(text))
+    return F.when(F.size(spans) > 0, F.concat(F.array_join(pieces, ""), rest)).otherwise(text)
 
 
 def mask_secrets(docs: DataFrame, rules: Entropy | None = None) -> DataFrame:

@@ -1,11 +1,14 @@
 import hashlib
 import math
+import random
 import re
+import time
 from collections import Counter
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from llm.conftest import AWKWARD
+from pyspark.sql import functions as F
 
 from shopgrain.llm import secrets
 
@@ -98,3 +101,45 @@ def test_awkward_documents(awkward):
 def test_no_python_in_the_plan(awkward):
     plan = secrets.scan_secrets(awkward)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow|Exchange", plan)
+
+
+def entropy_spans(text, window=20):
+    """Brute force over one long candidate in mixed case: the hot windows, first to last."""
+    counts, total, hot = Counter(), 0.0, []
+    cost = [0.0] + [c * math.log2(c) for c in range(1, window + 1)]
+    for i, c in enumerate(text):
+        if i >= window:
+            out = text[i - window]
+            total += cost[counts[out] - 1] - cost[counts[out]]
+            counts[out] -= 1
+        total += cost[counts[c] + 1] - cost[counts[c]]
+        counts[c] += 1
+        if i >= window - 1 and math.log2(window) - total / window >= 3.8:
+            hot.append(i - window + 1)
+    return f"entropy:{hot[0]}:{hot[-1] + window}"
+
+
+def test_very_long_candidates_and_many_spans(spark):
+    rng = random.Random(5)
+    signs = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    picture = "".join(rng.choice(signs) for _ in range(300_000))
+    hexes = [f"{rng.getrandbits(80):020x}" for _ in range(20_000)]
+    path = "ab/" * 100_000
+    texts = [picture, " ".join(hexes), path + "1", path + "x1y2", "Ab1/" * 20_000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    began = time.time()
+    found = {r["doc_id"]: r for r in secrets.scan_secrets(docs).collect()}
+    hidden = {r["doc_id"]: r["text"] for r in secrets.mask_secrets(docs).collect()}
+    assert time.time() - began < 150
+    assert [x for x in found[0]["spans"].split(",") if x.startswith("entropy")] == [entropy_spans(picture)]
+    assert found[1]["n_hex"] == 20_000 and "entropy" not in found[1]["spans"]
+    assert hidden[1] == " ".join(["[SECRET]"] * 20_000)
+    assert found[2]["spans"] == "" and hidden[2] == texts[2] and found[4]["spans"] == ""
+
+
+def test_one_span_in_another_and_side_by_side(spark):
+    rows = [(1, [(0, 0, 30), (40, 2, 60)], [(5, 3, 25), (0, 3, 30), (20, 3, 35), (40, 3, 61), (70, 3, 90), (72, 3, 88), (70, 3, 80)])]
+    spans = "array<struct<start:int,rank:int,end:int>>"
+    df = spark.createDataFrame(rows, f"id int, base {spans}, entropy {spans}")
+    found = df.select(secrets._uncovered(F.col("base"), F.col("entropy")).alias("x")).first()["x"]
+    assert [(r["start"], r["end"]) for r in found] == [(20, 35), (40, 61), (70, 90)]
