@@ -12,8 +12,8 @@ from pyspark.sql.types import StructType
 
 from shopgrain.session import fresh_folder
 
-#: Rows that one small step of a Python task holds at a time.
-STEP_ROWS = 512
+#: Rows that one small step of a Python task holds at a time, and bytes unless one row has more.
+STEP_ROWS, STEP_BYTES = 512, 4 << 20
 
 
 def pick(df: DataFrame, *names: str) -> DataFrame:
@@ -65,7 +65,16 @@ def steps(batches: Iterable[pa.RecordBatch], rows: int = STEP_ROWS) -> Iterator[
     """Record batches cut into small slices, so that long texts don't pile up."""
     for batch in batches:
         for start in range(0, batch.num_rows, rows):
-            yield batch.slice(start, rows)
+            yield from _halves(batch.slice(start, rows))
+
+
+def _halves(step: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    if step.num_rows < 2 or step.nbytes <= STEP_BYTES:
+        yield step
+    else:
+        middle = step.num_rows // 2
+        yield from _halves(step.slice(0, middle))
+        yield from _halves(step.slice(middle))
 
 
 def map_steps(df: DataFrame, work: Callable[[pa.RecordBatch], dict], schema: str | StructType) -> DataFrame:

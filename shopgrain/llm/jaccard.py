@@ -9,8 +9,9 @@ that can link to a heavy one stand too. The boundary is the size with the least
 made against list entries visited, from the sizes of all sets and the mean list length.
 
 Candidates are found in two steps, so that a group of near copies never becomes all its
-pairs. First, in a few rounds, every member of a list is compared with one member only, the
-list's pivot of that round, and the links give components. Then every pair of a list whose
+pairs. First, in a few rounds, every member of a list is compared with the list's pivots of
+that round only, and the links give components. Pivots are by turns the members with most
+shared keys, which most near copies link to, and random ones. Then every pair of a list whose
 members are still in different components is a candidate, unless the numbers of shared keys
 show that it can't link. What has been left out are pairs that are connected already. All
 candidates are checked exactly.
@@ -57,8 +58,8 @@ STAR_ROUNDS = 6
 SALT_ROWS = 1000
 #: Largest size for which pairs are weighed against lists.
 LIGHT_MOST = 64
-#: Shingles in a bucket of the count, about.
-BUCKET = 2_000_000
+#: Most shingles in a bucket of the count, about, and shingles that a task gathers before it sends.
+BUCKET, SENT = 500_000, 1_000_000
 _HALF = np.uint64(1 << 59)
 _HASH = np.uint64((1 << 60) - 1)
 
@@ -72,21 +73,6 @@ def _class_of(found: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(found.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
-def _members(docs: DataFrame) -> DataFrame:
-    """doc_id, digest of the text, size of the set and class (a 64-bit digest of the set; null when empty)."""
-
-    def work(step) -> dict:
-        sets = [shingle_set(text) for text in step.column("text").to_pylist()]
-        return {
-            "doc_id": step.column("doc_id"),
-            "digest": step.column("digest"),
-            "n": [len(x) for x in sets],
-            "class": [_class_of(x) if len(x) else None for x in sets],
-        }
-
-    return map_steps(docs.withColumn("digest", _digest(F.col("text"))), work, "doc_id long, digest long, n long, class long")
-
-
 class _Order:
     """The global order of shingles: 60 bits of the hash below a level. Level 0: counted and
     not frequent; 1: not counted (the upper half of the hashes); from 2: frequent, by count."""
@@ -116,51 +102,73 @@ class _Order:
         return order[by].astype(np.int64), count[by]
 
 
-def _count_shingles(docs: DataFrame, total: int) -> tuple[_Order, float]:
-    """Document counts of all shingles in the lower half of the hashes, and from them the
-    frequent ones and the mean count. A task sends each shingle of its documents once."""
-    bits = max(0, (total // (2 * BUCKET)).bit_length())
+def _read_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame, int]:
+    """One pass over the texts gives the members (doc_id, digest of the text, size of the set and
+    class, a 64-bit digest of the set, null when empty), and the counts of shingles in the lower
+    half of the hashes by bucket: each task sends a shingle once for ``SENT`` that it read. The
+    third result is the number of bits that tell a bucket."""
+    chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
+    bits = max(0, (chars // (8 * BUCKET)).bit_length())
     probe = _Order(bits, np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64), 1)
-    sent = "bucket int, codes binary, counts binary"
-    arrow = arrow_schema(docs.sparkSession, sent)
+    read = "doc_id long, digest long, n long, class long, bucket int, codes binary, counts binary"
+    arrow = arrow_schema(docs.sparkSession, read)
+
+    def rows(columns: dict) -> pa.RecordBatch:
+        size = len(next(iter(columns.values())))
+        return as_batch({f.name: columns.get(f.name, [None] * size) for f in arrow}, arrow)
 
     def send(parts: list[np.ndarray]) -> pa.RecordBatch:
         codes, counts = np.unique(np.concatenate(parts), return_counts=True)
         bucket = (codes >> np.uint64(32)).astype(np.int64)
         firsts = np.flatnonzero(np.diff(bucket, prepend=-1))
         cuts = list(zip(firsts.tolist(), [*firsts[1:].tolist(), len(codes)]))
-        return as_batch(
+        return rows(
             {
                 "bucket": bucket[firsts].astype(np.int32),
                 "codes": [codes[a:b].astype("<u4").tobytes() for a, b in cuts],
                 "counts": [_narrow(counts[a:b]) for a, b in cuts],
-            },
-            arrow,
+            }
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, size = [], 0
-        for step in steps(batches, 64):
+        for step in steps(batches):
+            found = {"n": [], "class": []}
             for text in step.column("text").to_pylist():
-                hashes = shingle_set(text) >> np.uint64(4)
+                own = shingle_set(text)
+                found["n"].append(len(own))
+                found["class"].append(_class_of(own) if len(own) else None)
+                hashes = own >> np.uint64(4)
                 parts.append(probe.code(hashes[hashes < _HALF]))
                 size += len(parts[-1])
-            if size >= BUCKET:
-                yield send(parts)
-                parts, size = [], 0
-        if parts:
+                if size >= SENT:
+                    yield send(parts)
+                    parts, size = [], 0
+            yield rows({"doc_id": step.column("doc_id"), "digest": step.column("digest"), **found})
+        if size:
             yield send(parts)
 
+    found = docs.withColumn("digest", _digest(F.col("text"))).mapInArrow(run, read)
+    found = written(found, "members")
+    members = found.where("bucket is null").select("doc_id", "digest", "n", "class")
+    return members, found.where("bucket is not null").select("bucket", "codes", "counts"), bits
+
+
+def _frequent(counted_codes: DataFrame, bits: int, total: int) -> tuple[_Order, float]:
+    """The frequent shingles and the mean count, from the counts that the tasks sent."""
     counted = "code long, n long"
-    answer = arrow_schema(docs.sparkSession, counted)
+    answer = arrow_schema(counted_codes.sparkSession, counted)
 
     def add(key, batches) -> Iterator[pa.RecordBatch]:
         codes, counts = [], []
         for batch in batches:
             codes += [np.frombuffer(x, dtype="<u4") for x in batch.column("codes").to_pylist()]
-            counts += [np.frombuffer(x[1:], dtype=f"<u{x[0]}") for x in batch.column("counts").to_pylist()]
-        distinct, place = np.unique(np.concatenate(codes), return_inverse=True)
-        n = np.bincount(place, weights=np.concatenate(counts)).astype(np.int64)
+            counts += [np.frombuffer(x[1:], dtype=f"<u{x[0]}").astype(np.int64) for x in batch.column("counts").to_pylist()]
+        codes, counts = np.concatenate(codes), np.concatenate(counts)
+        by = np.argsort(codes)
+        codes = codes[by]
+        firsts = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]]))
+        distinct, n = codes[firsts], np.add.reduceat(counts[by], firsts)
         often = n >= FREQUENT_LEAST
         yield as_batch(
             {
@@ -170,7 +178,7 @@ def _count_shingles(docs: DataFrame, total: int) -> tuple[_Order, float]:
             answer,
         )
 
-    rows = written(by_group_key(docs.select("text").mapInArrow(run, sent), ["bucket"], add, counted), "frequent")
+    rows = written(by_group_key(counted_codes, ["bucket"], add, counted), "frequent")
     distinct = rows.where("code < 0").agg(F.sum("n")).first()[0] or 0
     # The least power of two that at most FREQUENT shingles reach, from a histogram of powers.
     power = F.floor(F.log2("n")).cast("int").alias("power")
@@ -306,20 +314,47 @@ def _named(lists: DataFrame, nodes: DataFrame | None) -> DataFrame:
     return written(named.join(split.select("key"), "key"), "live-lists")
 
 
+def _with_share(lists: DataFrame, boundary: int) -> DataFrame:
+    """The lists with the share of its keys that a member has in common with any other. A text
+    with few changes of its own has the highest; in a group of near copies most link to it."""
+    n = F.col("n")
+    cut = n - F.ceil(n * PERCENT / 100) + 1
+    single = F.when((n > boundary) | (n >= overlap_least(boundary + 1)), cut).otherwise(0)
+    pairs = F.when(n <= boundary, cut * (cut + 1) / 2).otherwise(0)
+    shares = lists.groupBy("class").agg((F.count("*") / F.first(single + pairs)).cast("float").alias("share"))
+    return lists.join(shares, "class")
+
+
 def _star_pairs(lists: DataFrame, number: int) -> DataFrame:
-    """Every member of a list with the list's pivot, the member of the smallest random number of
-    this round; the pivots of a split list with the pivot of them all. Members of one component
-    need no look."""
+    """Every member of a list with the list's pivots of this round, twice as many as in the round
+    before: by turns those with the highest share and those of the smallest random numbers. A
+    list of few members for so many pivots is left out: all its pairs are looked at later. The
+    first pivots of a split list are compared with the first of them all. Members of one
+    component need no look."""
+    most = 1 << number
     chance = F.xxhash64(F.lit(f"pivot {number}"), "class")
+    rank = F.struct((-F.col("share") if number % 2 == 0 else F.lit(0.0)).alias("by"), chance.alias("chance"), F.col("class").alias("id"))
     member = ("class", "n", "component")
-    first = Window.partitionBy("key", "salt").orderBy(chance, "class")
-    seen = lists.withColumn("y", F.first(F.struct(*member)).over(first)).select(F.struct(*member).alias("x"), "y")
-    pivots = lists.groupBy("key", "salt").agg(F.min(F.struct(chance.alias("c"), *member)).alias("x"))
-    tops = pivots.groupBy("key").agg(F.min("x").alias("y"), F.count("*").alias("parts")).where("parts > 1")
-    far = pivots.join(tops, "key").select(*[F.struct(*[f"{side}.{m}" for m in member]).alias(side) for side in ("x", "y")])
-    pairs = seen.unionAll(far).where("x.component != y.component").where(_sizes_fit(F.col("x.n"), F.col("y.n")))
-    shared = pairs.groupBy(F.least("x.class", "y.class").alias("a"), F.greatest("x.class", "y.class").alias("b"))
-    shared = shared.agg(F.count("*").alias("c"), F.min(F.least("x.n", "y.n")).alias("n"))
+    part = Window.partitionBy("key", "salt")
+    ranked = lists.withColumn("rank", rank).withColumn("place", F.row_number().over(part.orderBy("rank")))
+    ranked = ranked.withColumn("size", F.count("*").over(part))
+    if number:
+        ranked = ranked.where(F.col("size") > 4 * most)
+    pivots = F.collect_list(F.when(F.col("place") <= most, F.struct(*member, "place"))).over(part)
+
+    def differs(y: Column) -> Column:
+        return (y["place"] < F.col("place")) & (y["component"] != F.col("component")) & _sizes_fit(y["n"], F.col("n"))
+
+    useful = F.explode(F.filter("pivots", differs)).alias("y")
+    seen = ranked.withColumn("pivots", pivots).select(F.struct(*member).alias("x"), useful)
+    firsts = lists.withColumn("rank", rank).groupBy("key", "salt").agg(F.min(F.struct("rank", *member)).alias("x"))
+    tops = firsts.groupBy("key").agg(F.min("x").alias("y"), F.count("*").alias("parts")).where("parts > 1")
+    far = firsts.join(tops, "key").select(*[F.struct(*[f"{side}.{m}" for m in member]).alias(side) for side in ("x", "y")])
+    far = far.where("x.component != y.component").where(_sizes_fit(F.col("x.n"), F.col("y.n")))
+    sides = [F.col(f"{side}.{m}").alias(f"{m}_{side}") for side in ("x", "y") for m in ("class", "n")]
+    pairs = seen.select(*sides).unionAll(far.select(*sides))
+    shared = pairs.groupBy(F.least("class_x", "class_y").alias("a"), F.greatest("class_x", "class_y").alias("b"))
+    shared = shared.agg(F.count("*").alias("c"), F.min(F.least("n_x", "n_y")).alias("n"))
     # Stars only have to connect what is clearly near; all other pairs are looked at later.
     return shared.where("c >= 1 + 0.04 * n").select("a", "b")
 
@@ -362,10 +397,10 @@ def jaccard_components(docs: DataFrame, keep_digest: bool = False) -> DataFrame:
     rows; extra columns are not read. ``keep_digest`` adds the digest of the text and ``group``,
     a number of the component that is never null but for an empty set."""
     docs = pick(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
-    members = written(_members(docs), "members")
+    members, counted, bits = _read_sets(docs)
     total = members.agg(F.sum("n")).first()[0] or 0
     firsts = written(members.where("n > 0").groupBy("class").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n")), "classes")
-    order, mean_list = _count_shingles(docs, total)
+    order, mean_list = _frequent(counted, bits, total)
     sizes = {r["n"]: r["count"] for r in firsts.where(f"n between 4 and {2 * LIGHT_MOST}").groupBy("n").count().collect()}
     boundary = light_boundary(sizes, mean_list)
 
@@ -396,7 +431,7 @@ def _nearer(nodes: DataFrame | None, links: DataFrame) -> DataFrame:
 def _join_components(docs: DataFrame, members: DataFrame, firsts: DataFrame, entries: DataFrame, boundary: int) -> DataFrame:
     alone = Window.partitionBy("key", "salt")
     lists = entries.withColumn("size", F.count("*").over(alone)).where("size > 1 or salt > 0").drop("size")
-    lists = written(lists, "lists")
+    lists = written(_with_share(written(lists, "lists"), boundary), "shared-lists")
     ids = firsts.select("class", "doc_id")
     nodes, held, found, live = None, [], [], _named(lists, None)
     for number in range(STAR_ROUNDS):
