@@ -1,3 +1,5 @@
+import time
+
 import pytest
 
 from shopgrain.llm.html import extract_text, main_text
@@ -68,7 +70,7 @@ def test_dense_text_outside_a_believed_mark_is_kept():
         (f'<h1 class="page-header">Title</h1><p>{LONG}</p>', f"Title\n{LONG}"),
         (f'<div class="elementor-widget"><p>{LONG}</p></div>', LONG),
         (f'<div class="widget legal"><p>{LONG}</p><p>{LONG * 3}</p></div>', f"{LONG}\n{LONG * 3}"),
-        (f'<div class="notice"><p>{LONG}</p></div>', LONG),
+        (f'<div class="notice"><p>{LONG}</p></div>', ""),
         ('<div class="post comments"><p>no</p></div>', ""),
         ('<div role="search"><p>no</p></div>', ""),
         ('<div class="share"><a href="x">Share</a></div>', ""),
@@ -84,6 +86,57 @@ def test_ids_of_headings_mark_nothing():
     assert main_text(f'<div><h2 id="related-work">Related work</h2><p>{LONG}</p></div>') == f"Related work\n{LONG}"
 
 
+PROSE = "<p>" + "</p><p>".join(BODY) + "</p>"
+
+
+@pytest.mark.parametrize("name", ["with-sidebar", "layout sidebar-right", "social-science", "content sidebar-left", "no-footer", "hasSidebar"])
+def test_a_layout_name_around_the_page_loses_nothing(name):
+    body = "\n".join(BODY)
+    assert main_text(f'<div class="{name}">{PROSE}</div>') == body
+    page = f'<nav>m</nav><div class="{name}">{PROSE}<div class="sidebar"><p>{LONG}</p></div></div><div class="site-footer"><p>{LONG}</p></div>'
+    assert main_text(page) == body
+    assert main_text(f'<div class="{name}"><article>{PROSE}</article><div id="comments">{PROSE * 3}</div></div>') == body
+
+
+@pytest.mark.parametrize(
+    "named",
+    [
+        'id="comments"', 'class="comments-section"', 'class="comment-list"', 'class="cookie-banner"', 'class="newsletter-signup"',
+        'class="ad-slot"', 'class="site-footer"', 'id="sidebar"', 'class="notice"', 'class="related"', 'class="relatedPosts"', 'id="post-comments"',
+    ],
+)
+@pytest.mark.parametrize("element", ["div", "section"])
+@pytest.mark.parametrize("opening, closing", [("<article>", "</article>"), ("<main>", "</main>"), ('<div class="content">', "</div>"), ("<div>", "</div>")])
+def test_boilerplate_told_by_its_name_goes_even_if_it_is_dense(named, element, opening, closing):
+    part = f"<{element} {named}><h3>More</h3><p>{LONG}</p><p>{LONG * 3}</p></{element}>"
+    body = "\n".join(BODY)
+    assert main_text(f"{opening}{PROSE}{part}{closing}") == body
+    assert main_text(f"{opening}{part}{PROSE}{closing}") == body
+    assert main_text(f"{part}{opening}{PROSE}{closing}{part}") == body
+
+
+def test_more_comments_than_article():
+    assert main_text(f'<article><p>{LONG}</p></article><div class="comment-list">{PROSE * 20}</div>') == LONG
+    assert main_text(f'<div><p>{LONG}</p><section class="comments">{PROSE * 20}</section></div>') == LONG
+
+
+@pytest.mark.parametrize(
+    "page, chars",
+    [
+        ("<article><p>x</p>" + "<b><i>t</b>" * 60_000 + "</article>", 60_001),
+        ("<div>" + "<b>t" * 60_000 + "<p>x</p>" * 20_000 + "</div>", None),
+        ("<p>" + "<b>" * 60_000 + "</p></i>" * 60_000 + "end", None),
+        ("<div class='comments'>" * 20_000 + "<p>x</p>", None),
+        ("<p>" + "long text " * 500_000 + "</p>", 4_999_999),
+    ],
+)
+def test_very_long_pages_take_time_in_proportion(page, chars):
+    started = time.monotonic()
+    found = main_text(page)
+    assert time.monotonic() - started < 20
+    assert chars is None or len(found.replace("\n", "")) == chars
+
+
 def test_table(spark):
     rows = [(1, "u", "<p>a</p>", "k"), (1, "u", "<p>a</p>", "k"), (None, None, None, "k"), (2, "u", "<p>😀b</p>" * 3000, "k")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
