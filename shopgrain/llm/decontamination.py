@@ -32,8 +32,8 @@ RADIUS = 40
 SIMILARITY = 0.8
 #: Characters of benchmark text that go to the tasks at a time.
 SLICE_CHARS = 20_000_000
-#: Windows of one size that are fingerprinted at a time.
-WINDOWS = 4096
+#: Windows of one size that are fingerprinted at a time, and pairs of a window and an item that are looked at at a time.
+WINDOWS, PAIRS = 4096, 2_000_000
 
 
 def fingerprints(shingles: np.ndarray, size: int, starts: np.ndarray) -> np.ndarray:
@@ -73,13 +73,19 @@ class _Class:
 
     def within(self, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Pairs (window, item) within the radius, and their distances."""
-        found = np.zeros((len(prints), len(self.ids)), dtype=bool)
-        for b in range(BLOCKS):
-            found |= self.near[b][prints[:, b]]
-        window, item = np.nonzero(found)
-        distance = self.ones[prints[window] ^ self.prints[item]].sum(axis=1, dtype=np.int32)
-        close = distance <= RADIUS
-        return window[close], item[close], distance[close]
+        kept = []
+        for start in range(0, len(prints), max(1, PAIRS // len(self.ids))):
+            some = prints[start : start + max(1, PAIRS // len(self.ids))]
+            found = np.zeros((len(some), len(self.ids)), dtype=bool)
+            for b in range(BLOCKS):
+                found |= self.near[b][some[:, b]]
+            window, item = np.nonzero(found)
+            distance = np.zeros(len(window), dtype=np.int32)
+            for b in range(BITS // 8):
+                distance += self.ones[some[window, b] ^ self.prints[item, b]]
+            close = distance <= RADIUS
+            kept.append((start + window[close], item[close], distance[close]))
+        return tuple(np.concatenate(x) for x in zip(*kept))
 
 
 class Benchmark:
@@ -127,7 +133,8 @@ class Benchmark:
             if not len(marks.get(own.width, ())):
                 continue
             size = min(own.size, n) - own.width + 1  # shingles of a window; a shorter text is one window
-            starts = _starts(marks[own.width], size, len(shingles[own.width]))
+            needed = SIMILARITY * (size + own.size - own.width + 1) / (1 + SIMILARITY)
+            starts = _starts(marks[own.width], size, len(shingles[own.width]), needed)
             for part in _runs(starts):
                 prints = fingerprints(shingles[own.width], size, part)
                 for w, i, distance in zip(*own.within(prints)):
@@ -144,13 +151,13 @@ class Benchmark:
         ]
 
 
-def _starts(marks: np.ndarray, size: int, total: int) -> np.ndarray:
-    """First shingles of the windows that hold a mark."""
-    low, high = np.maximum(0, marks - size + 1), np.minimum(marks, total - size)
-    edge = np.zeros(total + 1, dtype=np.int32)
-    np.add.at(edge, low, 1)
-    np.add.at(edge, high + 1, -1)
-    return np.flatnonzero(np.cumsum(edge)[:total] > 0)
+def _starts(marks: np.ndarray, size: int, total: int, needed: float) -> np.ndarray:
+    """First shingles of the windows that hold at least ``needed`` marks. A similar window shares
+    that many shingles with its item, and each of them is marked."""
+    held = np.zeros(total + 1, dtype=np.int64)
+    held[marks + 1] = 1
+    np.cumsum(held, out=held)
+    return np.flatnonzero(held[size:] - held[:-size] >= needed - 1e-9)
 
 
 def _runs(starts: np.ndarray):

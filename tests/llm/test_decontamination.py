@@ -1,4 +1,6 @@
 import random
+import time
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -85,6 +87,24 @@ def test_fingerprints_of_windows_are_those_of_their_shingles():
         assert (bits == one).all()
 
 
+def test_many_items_of_one_length_in_bounded_memory():
+    """20,000 items of 40 words: what a text costs follows its hits, and no table of all windows with all items is made."""
+    rng = random.Random(8)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    items = [(i, " ".join(rng.choices(vocabulary, k=40))) for i in range(20_000)]
+    bench = d.Benchmark(items)
+    clean = " ".join(rng.choices(vocabulary, k=100_000))
+    leaky = " ".join(f"{clean[i * 400 : i * 400 + 400]} {items[i * 90][1]} {items[i * 90 + 1][1]}" for i in range(100))
+    tracemalloc.start()
+    started = time.monotonic()
+    assert bench.find(clean) == []
+    found = bench.find(leaky)
+    seconds, peak = time.monotonic() - started, tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert {x[0] for x in found} == {i * 90 + k for i in range(100) for k in (0, 1)}
+    assert peak < 200 << 20 and seconds < 60
+
+
 def test_awkward_documents(spark, awkward):
     items = [(1, "one"), (2, prose("en", 400, 6))]
     benchmark = spark.createDataFrame(items, "item_id long, text string")
