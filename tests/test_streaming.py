@@ -4,7 +4,8 @@ from pathlib import Path
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
-from shopgrain import schemas
+from shopgrain import schemas, session
+from shopgrain.catalog import changes
 from shopgrain.plans import increments
 from shopgrain.streaming.events import deduplicated, file_stream, stream_user_events, write_stream
 from shopgrain.streaming.orders import stream_orders
@@ -184,3 +185,50 @@ def test_a_glob_takes_a_file_or_a_folder(spark, frame, folder):
         assert source.isStreaming
         write_stream(source, f"{folder}/out{n}", f"{folder}/checkpoint{n}").awaitTermination()
         assert spark.read.parquet(f"{folder}/out{n}").count() == 1
+
+
+def test_files_of_a_stream_hold_no_more_rows_as_the_table_grows(spark, folder, monkeypatch):
+    monkeypatch.setattr(changes, "TASK_ROWS", 100)
+    given = spark.range(2000).withColumn("copy", F.lit(1))
+    stream = changes._shuffled_files(given, f"{folder}/in", 2000, "id")
+    held = spark.read.parquet(f"{folder}/in").groupBy(F.input_file_name()).count()
+    assert held.agg(F.max("count")).first()[0] < 200
+    batches = []
+    query = stream.writeStream.foreachBatch(lambda batch, _: batches.append(batch.count()))
+    query.option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    assert len(batches) <= changes.BATCHES and sum(batches) == 2000 and max(batches) < 1000
+
+
+def test_order_stream_takes_as_many_partitions_as_asked_for(spark, frame, folder, monkeypatch):
+    monkeypatch.setattr(session, "TASK_ROWS", 2)
+    users, places = people(frame)
+    given = [dict(order_id=str(n % 20), user_id="q", order_date=at(1), updated_at=at(1, n // 20), order_status=f"s{n // 20}") for n in range(40)]
+    frame("orders", *given).coalesce(1).write.parquet(f"{folder}/in")
+    table = increments.order_versions_table(spark, f"{folder}/table")
+    source = file_stream(spark, f"{folder}/in", schemas.ORDERS)
+    before = spark.conf.get(session.PARTITIONS_CONF)
+    partitions = session.partitions_for(spark, len(given))
+    stream_orders(source, users, places, table, f"{folder}/checkpoint", "s", partitions=partitions).awaitTermination()
+    assert spark.conf.get(session.PARTITIONS_CONF) == before
+    assert len([p for p in Path(f"{folder}/checkpoint/state/0").iterdir() if p.name.isdigit()]) == partitions == 20
+    current = increments.current_orders(table)
+    assert rows(current.groupBy("order_status").count()) == [("s1", 20)]
+    plan = current._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan and "ENSURE_REQUIREMENTS" not in plan  # one shuffle, of a number that grows
+
+
+def test_event_stream_compares_rows_in_partitions_that_grow(spark, frame, folder, monkeypatch):
+    monkeypatch.setattr(session, "TASK_ROWS", 2)
+    users, places = people(frame)
+    found = []
+    inner = increments.user_events_batch
+    monkeypatch.setattr(
+        "shopgrain.streaming.events.user_events_batch",
+        lambda new, *others: found.append(int(new.sparkSession.conf.get(session.PARTITIONS_CONF))) or inner(new, *others),
+    )
+    events(frame, *[(str(n % 15), "q", at(2)) for n in range(30)]).coalesce(1).write.parquet(f"{folder}/in")
+    table = increments.user_events_table(spark, f"{folder}/table")
+    stream_user_events(
+        file_stream(spark, f"{folder}/in", schemas.USER_EVENTS), users, places, table, f"{folder}/checkpoint", "s"
+    ).awaitTermination()
+    assert found == [15] and table.read().count() == 15
