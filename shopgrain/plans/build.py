@@ -37,7 +37,7 @@ def build(raw: RawTables, folder: str, run_id: str, run_time: datetime) -> dict[
         "stg_user_events_incr": increments.user_events_table(spark, f"{folder}/stg_user_events_incr"),
     }
     increments.run_orders(stored["stg_orders_incr"], raw, run_id)
-    increments.run_order_items(stored["stg_order_items_incr"], raw, run_id, run_time)
+    increments.run_order_items(stored["stg_order_items_incr"], raw, run_id, run_time, rows=raw.order_items.count())
     increments.run_user_events(stored["stg_user_events_incr"], raw, run_id)
     tables = {name: table.read().drop(RUN) for name, table in stored.items()}
 

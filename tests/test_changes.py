@@ -5,6 +5,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from shopgrain import session
 from shopgrain.operators import history, incremental
 from shopgrain.operators.history import RepeatedKey
 from shopgrain.plans import increments, location_history
@@ -367,3 +368,17 @@ def test_as_of_join_spreads_a_busy_key_and_makes_no_pairs(spark):
     assert "Join" not in plan and "Window" in plan
     parts = facts.selectExpr("pmod(xxhash64(id), 16) AS part").groupBy("part").count()
     assert parts.count() == 16 and parts.agg(F.max("count")).first()[0] < 400
+
+
+def test_buckets_of_the_items_grow_with_the_rows(spark, frame, folder, monkeypatch):
+    monkeypatch.setattr(session, "TASK_ROWS", 10)
+    before = spark.conf.get(session.PARTITIONS_CONF)
+    items = frame("order_items", *[dict(order_item_id=str(i), order_id="o", quantity=1) for i in range(100)])
+    raw = RawTables(spark, **{**{name: frame(name) for name in RawTables.NAMES}, "order_items": items.where("order_item_id < 40")})
+    table = increments.order_items_table(spark, folder)
+    increments.run_order_items(table, raw, "first", datetime(2024, 1, 1), rows=100)
+    for _ in range(2):
+        increments.run_order_items(table, raw.replace(order_items=items), "second", datetime(2024, 1, 2), rows=100)
+    assert table._buckets() == 10 and spark.conf.get(session.PARTITIONS_CONF) == before
+    assert rows(table.read().groupBy("loaded_at").count(), "count") == [(40,), (60,)]
+    assert all(name.endswith(".zstd.parquet") for name in table.read().inputFiles())
