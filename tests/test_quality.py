@@ -5,6 +5,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from shopgrain import session
 from shopgrain.operators import quality
 from shopgrain.operators.quality import Check
 from shopgrain.plans import checks, selection
@@ -160,3 +161,16 @@ def test_the_suite_scans_each_table_once(spark):
     report = checks.run_suite(spark, raw_tables(spark, SMALL), datetime(2024, 1, 1), layer=checks.SOURCE)
     plan = report._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Generate inline") == 6
+
+
+def test_partitions_of_the_checks_grow_with_the_rows(spark, frame, monkeypatch):
+    monkeypatch.setattr(session, "TASK_ROWS", 10)
+    before = {name: spark.conf.get(name) for name in (session.PARTITIONS_CONF, session.SPLIT_CONF)}
+    seen, inner = [], quality._check_counts
+    monkeypatch.setattr(
+        quality, "_check_counts", lambda spark, *rest: seen.append([spark.conf.get(n) for n in before]) or inner(spark, *rest)
+    )
+    users = frame("users", *[dict(user_id=str(i % 90)) for i in range(100)])
+    report = quality.run_checks(spark, {("s", "users"): users}, [Check("s", "users", "user_id", quality.UNIQUE)], rows=100)
+    assert seen == [["10", session.SPLIT]] and {name: spark.conf.get(name) for name in before} == before
+    assert rows(report, "failures") == [(10,)]
