@@ -166,11 +166,10 @@ def test_the_suite_scans_each_table_once(spark):
 def test_partitions_of_the_checks_grow_with_the_rows(spark, frame, monkeypatch):
     monkeypatch.setattr(session, "TASK_ROWS", 10)
     before = {name: spark.conf.get(name) for name in (session.PARTITIONS_CONF, session.SPLIT_CONF)}
-    seen, inner = [], quality._check_counts
-    monkeypatch.setattr(
-        quality, "_check_counts", lambda spark, *rest: seen.append([spark.conf.get(n) for n in before]) or inner(spark, *rest)
-    )
+    seen, inner = [], quality.written
+    monkeypatch.setattr(quality, "written", lambda df, label: seen.append([spark.conf.get(n) for n in before]) or inner(df, label))
     users = frame("users", *[dict(user_id=str(i % 90)) for i in range(100)])
-    report = quality.run_checks(spark, {("s", "users"): users}, [Check("s", "users", "user_id", quality.UNIQUE)], rows=100)
+    report = quality.run_checks(spark, {("s", "users"): users}, [Check("s", "users", "user_id", quality.UNIQUE)])
+    report = quality.kept_report(report, 100)
     assert seen == [["10", session.SPLIT]] and {name: spark.conf.get(name) for name in before} == before
     assert rows(report, "failures") == [(10,)]
