@@ -12,9 +12,13 @@ Candidates are found in two steps, so that a group of near copies never becomes
 pairs. First, in a few rounds, every member of a list is compared with the list's pivots of
 that round only, and the links give components. Pivots are by turns the members with most
 shared keys, which most near copies link to, and random ones. Then every pair of a list whose
-members are still in different components is a candidate, unless the numbers of shared keys
-show that it can't link. What has been left out are pairs that are connected already. All
-candidates are checked exactly.
+members are still in different components is a candidate, unless the numbers of shared keys or
+the sketches show that it can't link. What has been left out are pairs that are connected
+already. All candidates are checked exactly.
+
+A sketch tells for each of ``SKETCH`` bits whether an odd number of a set's shingles falls on it.
+Shingles that two sets share cancel out, so sketches differ in at most as many bits as the sets
+differ in shingles, and a pair whose sketches differ in more than a link allows is none.
 
 Frequent shingles are known from a count over all documents. The threshold of the count
 follows the corpus, so that at most ``FREQUENT`` shingles reach it; these go to the tasks,
@@ -54,8 +58,13 @@ PERCENT = 80
 FREQUENT, FREQUENT_LEAST = 300_000, 6
 #: Rounds in which members are compared with a pivot only.
 STAR_ROUNDS = 6
+#: Members for each pivot up to which a list counts as one of few members, after the first round.
+FEW = 4
 #: Members of a frequent shingle's list that are dealt to one salt, about.
 SALT_ROWS = 1000
+#: Bits of a set's sketch, kept as so many longs.
+SKETCH = 512
+SKETCH_LONGS = [f"s{i}" for i in range(SKETCH // 64)]
 #: Largest size for which pairs are weighed against lists.
 LIGHT_MOST = 64
 #: Most shingles in a bucket of the count, about, and shingles that a task gathers before it sends.
@@ -73,6 +82,12 @@ def _class_of(found: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(found.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
+def _sketch_of(found: np.ndarray) -> np.ndarray:
+    """The parities of the numbers of shingles that fall on each bit, as longs."""
+    odd = np.bincount(((found >> np.uint64(4)) % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 class _Order:
     """The global order of shingles: 60 bits of the hash below a level. Level 0: counted and
     not frequent; 1: not counted (the upper half of the hashes); from 2: frequent, by count."""
@@ -103,14 +118,15 @@ class _Order:
 
 
 def _read_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame, int]:
-    """One pass over the texts gives the members (doc_id, digest of the text, size of the set and
-    class, a 64-bit digest of the set, null when empty), and the counts of shingles in the lower
+    """One pass over the texts gives the members (doc_id, digest of the text, size of the set,
+    class, a 64-bit digest of the set, null when empty, and the longs of its sketch), and the counts of shingles in the lower
     half of the hashes by bucket: each task sends a shingle once for ``SENT`` that it read. The
     third result is the number of bits that tell a bucket."""
     chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
     bits = max(0, (chars // (8 * BUCKET)).bit_length())
     probe = _Order(bits, np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64), 1)
-    read = "doc_id long, digest long, n long, class long, bucket int, codes binary, counts binary"
+    longs = ", ".join(f"{name} long" for name in SKETCH_LONGS)
+    read = f"doc_id long, digest long, n long, class long, {longs}, bucket int, codes binary, counts binary"
     arrow = arrow_schema(docs.sparkSession, read)
 
     def rows(columns: dict) -> pa.RecordBatch:
@@ -133,9 +149,10 @@ def _read_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame, int]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, size = [], 0
         for step in steps(batches):
-            found = {"n": [], "class": []}
-            for text in step.column("text").to_pylist():
+            found, sketches = {"n": [], "class": []}, np.zeros((step.num_rows, len(SKETCH_LONGS)), dtype=np.int64)
+            for at, text in enumerate(step.column("text").to_pylist()):
                 own = shingle_set(text)
+                sketches[at] = _sketch_of(own)
                 found["n"].append(len(own))
                 found["class"].append(_class_of(own) if len(own) else None)
                 hashes = own >> np.uint64(4)
@@ -144,13 +161,14 @@ def _read_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame, int]:
                 if size >= SENT:
                     yield send(parts)
                     parts, size = [], 0
+            found |= {name: sketches[:, i] for i, name in enumerate(SKETCH_LONGS)}
             yield rows({"doc_id": step.column("doc_id"), "digest": step.column("digest"), **found})
         if size:
             yield send(parts)
 
     found = docs.withColumn("digest", _digest(F.col("text"))).mapInArrow(run, read)
     found = written(found, "members")
-    members = found.where("bucket is null").select("doc_id", "digest", "n", "class")
+    members = found.where("bucket is null").select("doc_id", "digest", "n", "class", *SKETCH_LONGS)
     return members, found.where("bucket is not null").select("bucket", "codes", "counts"), bits
 
 
@@ -337,9 +355,8 @@ def _star_pairs(lists: DataFrame, number: int) -> DataFrame:
     member = ("class", "n", "component")
     part = Window.partitionBy("key", "salt")
     ranked = lists.withColumn("rank", rank).withColumn("place", F.row_number().over(part.orderBy("rank")))
-    ranked = ranked.withColumn("size", F.count("*").over(part))
     if number:
-        ranked = ranked.where(F.col("size") > 4 * most)
+        ranked = ranked.where(F.col("size") > FEW * most)
     pivots = F.collect_list(F.when(F.col("place") <= most, F.struct(*member, "place"))).over(part)
 
     def differs(y: Column) -> Column:
@@ -347,7 +364,7 @@ def _star_pairs(lists: DataFrame, number: int) -> DataFrame:
 
     useful = F.explode(F.filter("pivots", differs)).alias("y")
     seen = ranked.withColumn("pivots", pivots).select(F.struct(*member).alias("x"), useful)
-    firsts = lists.withColumn("rank", rank).groupBy("key", "salt").agg(F.min(F.struct("rank", *member)).alias("x"))
+    firsts = lists.where("salt > 0").withColumn("rank", rank).groupBy("key", "salt").agg(F.min(F.struct("rank", *member)).alias("x"))
     tops = firsts.groupBy("key").agg(F.min("x").alias("y"), F.count("*").alias("parts")).where("parts > 1")
     far = firsts.join(tops, "key").select(*[F.struct(*[f"{side}.{m}" for m in member]).alias(side) for side in ("x", "y")])
     far = far.where("x.component != y.component").where(_sizes_fit(F.col("x.n"), F.col("y.n")))
@@ -359,16 +376,20 @@ def _star_pairs(lists: DataFrame, number: int) -> DataFrame:
     return shared.where("c >= 1 + 0.04 * n").select("a", "b")
 
 
-def _other_pairs(live: DataFrame, boundary: int) -> DataFrame:
-    """Every pair of a list in different components that can link.
+def _meetings(live: DataFrame, sketches: DataFrame, boundary: int) -> DataFrame:
+    """Every pair of a list in different components that can link, once a list, with the number of
+    common lists that it needs.
 
     The set whose cut ends first has all shared shingles up to there in both cuts, so it shares
     as many as the pair has common lists, and at most those after its cut. A pair that needs
-    more common lists than one of the two is in at all is none."""
+    more common lists than one of the two is in at all is none. Two sets that link differ in at
+    most ``(100 - PERCENT) / (100 + PERCENT)`` of the sum of their sizes, and so do their sketches."""
     counted = live.where("key % 2 = 0").groupBy("class").agg(F.count("*").alias("m"))
-    live = written(live.join(counted, "class", "left").fillna(0, ["m"]), "counted-lists")
+    live = live.join(counted, "class", "left").fillna(0, ["m"]).join(sketches, "class")
+    live = written(live, "counted-lists")
+    member = ("class", "n", "last", "m", "component")
     x, y = (
-        live.select("key", *[F.col(name).alias(f"{name}_{side}") for name in ("class", "n", "last", "m", "component")])
+        live.select("key", *[F.col(name).alias(f"{name}_{side}") for name in (*member, *SKETCH_LONGS)])
         for side in ("a", "b")
     )
     n_a, n_b = F.col("n_a"), F.col("n_b")
@@ -376,16 +397,24 @@ def _other_pairs(live: DataFrame, boundary: int) -> DataFrame:
     needed = F.ceil((n_a + n_b) * PERCENT / (100 + PERCENT)) - F.ceil(ends_first * PERCENT / 100) + 1
     pair = F.col("key") % 2 != 0
     heavy = (F.greatest(n_a, n_b) > boundary) & (F.least("m_a", "m_b") >= needed)
+    differ = reduce(Column.__add__, [F.bit_count(F.col(f"{s}_a").bitwiseXOR(F.col(f"{s}_b"))) for s in SKETCH_LONGS])
+    near = (100 + PERCENT) * differ <= (100 - PERCENT) * (n_a + n_b)
     met = x.join(
         y.withColumnRenamed("key", "key_b"),
         (F.col("key") == F.col("key_b"))
         & (F.col("class_a") < F.col("class_b"))
         & (F.col("component_a") != F.col("component_b"))
         & _sizes_fit(n_a, n_b)
-        & (pair | heavy),
+        & (pair | heavy)
+        & near,
     )
-    pairs = met.groupBy(F.col("class_a").alias("a"), F.col("class_b").alias("b"), pair.alias("pair"), needed.alias("needed"))
-    return pairs.agg(F.count("*").alias("c")).where("pair or c >= needed").select("a", "b").distinct()
+    return met.select(F.col("class_a").alias("a"), F.col("class_b").alias("b"), pair.alias("pair"), needed.alias("needed"))
+
+
+def _other_pairs(live: DataFrame, sketches: DataFrame, boundary: int) -> DataFrame:
+    """The pairs of the lists that have as many common lists as they need."""
+    pairs = _meetings(live, sketches, boundary).groupBy("a", "b", "pair", "needed").agg(F.count("*").alias("c"))
+    return pairs.where("pair or c >= needed").select("a", "b").distinct()
 
 
 def jaccard_components(docs: DataFrame, keep_digest: bool = False) -> DataFrame:
@@ -399,7 +428,9 @@ def jaccard_components(docs: DataFrame, keep_digest: bool = False) -> DataFrame:
     docs = pick(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
     members, counted, bits = _read_sets(docs)
     total = members.agg(F.sum("n")).first()[0] or 0
-    firsts = written(members.where("n > 0").groupBy("class").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n")), "classes")
+    members, sized = members.drop(*SKETCH_LONGS), members.where("n > 0")
+    firsts = sized.groupBy("class").agg(F.min("doc_id").alias("doc_id"), *[F.first(x).alias(x) for x in ("n", *SKETCH_LONGS)])
+    firsts = written(firsts, "classes")
     order, mean_list = _frequent(counted, bits, total)
     sizes = {r["n"]: r["count"] for r in firsts.where(f"n between 4 and {2 * LIGHT_MOST}").groupBy("n").count().collect()}
     boundary = light_boundary(sizes, mean_list)
@@ -430,7 +461,7 @@ def _nearer(nodes: DataFrame | None, links: DataFrame) -> DataFrame:
 
 def _join_components(docs: DataFrame, members: DataFrame, firsts: DataFrame, entries: DataFrame, boundary: int) -> DataFrame:
     alone = Window.partitionBy("key", "salt")
-    lists = entries.withColumn("size", F.count("*").over(alone)).where("size > 1 or salt > 0").drop("size")
+    lists = entries.withColumn("size", F.count("*").over(alone)).where("size > 1 or salt > 0")
     lists = written(_with_share(written(lists, "lists"), boundary), "shared-lists")
     ids = firsts.select("class", "doc_id")
     nodes, held, found, live = None, [], [], _named(lists, None)
@@ -443,8 +474,10 @@ def _join_components(docs: DataFrame, members: DataFrame, firsts: DataFrame, ent
             break
         found.append(links)
         nodes = _nearer(nodes, links)
-        live = _named(live, nodes)
-    others = written(_other_pairs(live, boundary), "other-pairs")
+        # Lists of few members wait for the look at all pairs, and aren't dealt once more a round.
+        live = _named(live.where((F.col("size") > FEW << (number + 1)) | (F.col("salt") > 0)), nodes)
+    others = _other_pairs(_named(lists, nodes), firsts.select("class", *SKETCH_LONGS), boundary)
+    others = written(others, "other-pairs")
     if not others.isEmpty():
         found.append(_links(docs, ids, others, held))
     if found:

@@ -65,6 +65,37 @@ def test_split_lists_and_every_boundary(documents, monkeypatch):
         check(documents, texts)
 
 
+def test_pairs_of_a_list_that_cannot_link_are_not_joined(documents, monkeypatch):
+    """Texts that share a fifth of their shingles, all of them rare, meet in lists and differ too much to link."""
+    common = prose("de", 40, 1)
+    texts = [f"{prose('en', 150, 100 + i)} {common}" for i in range(5)] + [changed(prose("en", 150, 7), i, i) for i in range(3)]
+    seen, lists = [], []
+    meetings = jaccard._meetings
+
+    def spied(live, sketches, boundary):
+        found = meetings(live, sketches, boundary)
+        lists.append(live.count())
+        seen.append(found.count())
+        return found
+
+    monkeypatch.setattr(jaccard, "_meetings", spied)
+    monkeypatch.setattr(jaccard, "STAR_ROUNDS", 0)
+    monkeypatch.setattr(jaccard, "FREQUENT_LEAST", 100)
+    check(documents, texts)
+    only = len(seen)
+    check(documents, texts[:5])
+    assert lists[only] > 0 and seen[only] == 0
+
+
+def test_sketches_of_linked_sets_differ_in_no_more_than_a_link_allows():
+    for edits in range(8):
+        for n in (6, 30, 150, 1000):
+            base = prose("en", n, n)
+            one, two = (jaccard.shingle_set(t) for t in (base, changed(base, edits, edits)))
+            differ = sum(bin(int(x) & (2**64 - 1)).count("1") for x in jaccard._sketch_of(one) ^ jaccard._sketch_of(two))
+            assert differ <= len(set(one.tolist()) ^ set(two.tolist()))
+
+
 def test_the_boundary_has_the_least_cost():
     assert jaccard.light_boundary({5: 1000}, 1.0) >= 5  # three pairs against two lists of two
     assert jaccard.light_boundary({60: 1000}, 1.0) < 60  # 91 pairs against 13 lists
