@@ -298,12 +298,14 @@ def _links(docs: DataFrame, firsts: DataFrame, pairs: DataFrame, held: list[Data
     """The pairs (a, b) that link, by their whole sets. ``held`` has the sets read so far, and
     gets those that are missing."""
     classes = pairs.select(F.col("a").alias("class")).unionAll(pairs.select(F.col("b").alias("class"))).distinct()
+    missing = classes = written(classes, "pair-classes")
     for sets in held:
-        classes = classes.join(sets.select("class"), "class", "left_anti")
-    missing = written(classes, "missing-sets")
+        missing = missing.join(sets.select("class"), "class", "left_anti")
+    missing = written(missing, "missing-sets")
     if not missing.isEmpty():
         held.append(written(_sets(docs, firsts, missing), "sets"))
-    sets = reduce(DataFrame.unionAll, held)
+    # Sets are the widest rows here; those that no pair asks for stay where they are.
+    sets = reduce(DataFrame.unionAll, held).join(bounded_broadcast(classes), "class", "left_semi")
 
     def work(step) -> dict:
         a, b = [], []
@@ -339,8 +341,8 @@ def _with_share(lists: DataFrame, boundary: int) -> DataFrame:
     cut = n - F.ceil(n * PERCENT / 100) + 1
     single = F.when((n > boundary) | (n >= overlap_least(boundary + 1)), cut).otherwise(0)
     pairs = F.when(n <= boundary, cut * (cut + 1) / 2).otherwise(0)
-    shares = lists.groupBy("class").agg((F.count("*") / F.first(single + pairs)).cast("float").alias("share"))
-    return lists.join(shares, "class")
+    own = F.count("*").over(Window.partitionBy("class"))
+    return lists.withColumn("share", (own / (single + pairs)).cast("float"))
 
 
 def _star_pairs(lists: DataFrame, number: int) -> DataFrame:

@@ -224,7 +224,7 @@ def tokenized(docs: DataFrame, capacity: int = CAPACITY, tokenizer_path: str | N
         own = encoder(tokenizer_path or public_tokenizers.path(TOKENIZER))
         task = TaskContext.get().partitionId()
         seen: dict[int, int] = defaultdict(int)
-        for step in steps(batches):
+        for step in steps(batches, encoders=True):
             rows = []
             for doc_id, data in zip(step.column("doc_id").to_pylist(), own.encode(step.column("text").to_pylist())):
                 data += end

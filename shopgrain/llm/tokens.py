@@ -9,11 +9,14 @@ are met again are taken over, and the older one before it goes.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import struct
 import sys
 
 import numpy as np
+import pyarrow as pa
 
 REMEMBERED = 300_000
 #: Pieces that are encoded in one run.
@@ -120,7 +123,28 @@ class Encoder:
         return [self._text(pieces) for pieces in split]
 
 
+KEPT = "_shopgrain_encoders"
+
+
 def encoder(path: str) -> Encoder:
     """The encoder of this process; Python workers serve many tasks and keep it."""
-    kept = sys.__dict__.setdefault("_shopgrain_encoders", {})
-    return kept.get(path) or kept.setdefault(path, Encoder(path))
+    kept = sys.__dict__.setdefault(KEPT, {})
+    if path not in kept:
+        kept[path] = Encoder(path)
+        _give_back()  # what reading the vocabulary took
+    return kept[path]
+
+
+def drop_encoders() -> None:
+    """For tasks that need none: Python workers serve later stages too, which need the memory."""
+    if sys.__dict__.pop(KEPT, None):
+        _give_back()
+
+
+def _give_back() -> None:
+    """Give freed memory back to the system, for the allocators keep most of an encoder's."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)

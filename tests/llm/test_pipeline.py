@@ -1,13 +1,16 @@
 import re
+import sys
 
 import corpus_pipeline
+import public_tokenizers
+import pyarrow as pa
 from llm.conftest import prose
 from llm.test_decontamination import brute as leaks
 from llm.test_jaccard import brute as groups
 from llm.test_jaccard import changed
 
-from shopgrain.llm import language, packing
-from shopgrain.llm.common import written
+from shopgrain.llm import language, packing, tokens
+from shopgrain.llm.common import HANDED, steps, written
 
 
 def test_every_stage_against_brute_force(spark, folder):
@@ -46,6 +49,28 @@ def test_every_stage_against_brute_force(spark, folder):
     assert sorted((r["doc_id"], r["ids_crc32"]) for r in last) == sorted((r["doc_id"], r["ids_crc32"]) for r in direct)
 
 
+def test_a_written_table_hands_small_batches_to_python_tasks(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"rows": [batch.num_rows]}, schema=pa.schema([("rows", pa.int64())]))
+
+    before = {name: spark.conf.get(name) for name in HANDED}
+    found = written(spark.range(0, 5000, 1, 1).mapInArrow(sizes, "rows long"), "batches")
+    assert found.groupBy().sum("rows").first()[0] == 5000
+    assert found.groupBy().max("rows").first()[0] <= 1024
+    assert {name: spark.conf.get(name) for name in HANDED} == before
+
+
+def test_tasks_of_other_stages_drop_the_encoders_that_packing_left():
+    path = public_tokenizers.path(packing.TOKENIZER)
+    batch = pa.RecordBatch.from_pydict({"text": ["one"]})
+    kept = tokens.encoder(path)
+    assert len(list(steps([batch], encoders=True))) == 1
+    assert tokens.encoder(path) is kept
+    assert len(list(steps([batch]))) == 1
+    assert tokens.KEPT not in sys.__dict__
+
+
 def test_empty_documents(spark, folder):
     schema = "doc_id long, text string, lang string, source string, n_chars long"
     spark.createDataFrame([], schema).write.parquet(f"{folder}/documents.parquet")
