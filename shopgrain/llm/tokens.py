@@ -131,19 +131,19 @@ def encoder(path: str) -> Encoder:
     kept = sys.__dict__.setdefault(KEPT, {})
     if path not in kept:
         kept[path] = Encoder(path)
-        _give_back()  # what reading the vocabulary took
+        give_back()  # what reading the vocabulary took
     return kept[path]
 
 
 def drop_encoders() -> None:
     """For tasks that need none: Python workers serve later stages too, which need the memory."""
     if sys.__dict__.pop(KEPT, None):
-        _give_back()
+        gc.collect()
+        give_back()
 
 
-def _give_back() -> None:
-    """Give freed memory back to the system, for the allocators keep most of an encoder's."""
-    gc.collect()
+def give_back() -> None:
+    """Give freed memory back to the system, for the allocators keep most of it."""
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
     if trim is not None:
