@@ -38,6 +38,11 @@ def _latin(text: str) -> bool:
     return True
 
 
+def _byte_chars(word: str) -> str:
+    """A word as a byte-level vocabulary writes it."""
+    return word.encode().decode("latin-1").translate(BYTE_CHARS)
+
+
 class Encoder:
     """Texts to ids (little-endian unsigned 32-bit bytes)."""
 
@@ -47,6 +52,8 @@ class Encoder:
 
         self._tokenizer = Tokenizer.from_file(path)
         self._model = self._tokenizer.model
+        most = self._tokenizer.get_vocab_size(with_added_tokens=True)
+        self._four = [struct.pack("<I", n) for n in range(most)]  # what each id is written as
         # Words go straight to the merges if this gives the same ids as the whole tokenizer.
         probes = ["the", "international", "zqxjkvb", "über", "ñandúção", "déjàvuß", "a", "ÿ"]
         self._direct = all(
@@ -59,14 +66,13 @@ class Encoder:
         self._older: dict[str, bytes] = {}
 
     def _word_ids(self, word: str) -> list[int]:
-        if not word.isascii():
-            word = word.encode().decode("latin-1").translate(BYTE_CHARS)
-        return [token.id for token in self._model.tokenize(word)]
+        return [token.id for token in self._model.tokenize(word if word.isascii() else _byte_chars(word))]
 
     def _learn(self, pieces: list[str]) -> None:
         """Ids of new pieces. A word with a comma or full stop behind it has the ids of the word
         in lower case and of the sign, for the pre-tokenizer splits letters from signs."""
         known, older = self._known, self._older
+        tokenize, four = self._model.tokenize, self._four
         others, joined = [], []
         for piece in pieces:
             if piece in older:
@@ -79,8 +85,11 @@ class Encoder:
                 continue
             word = word.lower()
             if word not in known:
-                ids = self._word_ids(word)
-                known[word] = struct.pack(f"<{len(ids)}I", *ids)
+                if word in older:
+                    known[word] = older[word]
+                else:
+                    plain = word if word.isascii() else _byte_chars(word)
+                    known[word] = b"".join([four[token.id] for token in tokenize(plain)])
             if word != piece:
                 joined.append((piece, word, sign if sign in SIGNS else ""))
         others += [sign for sign in SIGNS if sign not in known]
@@ -94,7 +103,7 @@ class Encoder:
     def _text(self, pieces: list[str]) -> bytes:
         known = self._known
         try:
-            return b"".join([known[piece] for piece in pieces])
+            return b"".join(map(known.__getitem__, pieces))
         except KeyError:
             if len(pieces) > REMEMBERED // 4:  # a text of very many pieces, part by part
                 middle = len(pieces) // 2
@@ -114,12 +123,16 @@ class Encoder:
         return text.replace("\n", " ").split(" ")
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        """The ids of every text; null is empty. New pieces of all texts are learned at once."""
+        """The ids of every text; null is empty. New pieces of all texts are learned at once, also
+        when the memory is full; only texts of very many different pieces go one by one."""
         split = [self._pieces(text) for text in texts]
-        known = self._known
-        new = list(dict.fromkeys(piece for pieces in split for piece in set(pieces).difference(known)))
-        if new and len(known) + 2 * len(new) <= REMEMBERED:
-            self._learn(new)
+        wanted = set().union(*split)
+        new = wanted.difference(self._known)
+        if new and len(self._known) + 2 * len(new) > REMEMBERED >= 2 * len(wanted):
+            self._known, self._older = {"": b""}, self._known
+            new = wanted.difference(self._known)
+        if new and len(self._known) + 2 * len(new) <= REMEMBERED:
+            self._learn(list(new))
         return [self._text(pieces) for pieces in split]
 
 

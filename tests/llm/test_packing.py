@@ -23,6 +23,18 @@ def plain():
 ODD = ["a  b\t c\x1cd", "<|endoftext|> x y<|STARTOFTEXT|>z", "Don't THE'S it's 'll", "é café ́x", "İstanbul ß ẞ ΟΔΟΣ", "12 3.14,  a.b,c ,. ..", "a　b c\u0085", "", "😀😀 👍🏽", "THE,.", "x,", " ", "\r\nA\r"]
 
 
+def test_new_pieces_of_a_step_are_learned_at_once_when_the_memory_is_full(plain, monkeypatch):
+    monkeypatch.setattr(tokens, "REMEMBERED", 400)
+    learned = []
+    monkeypatch.setattr(tokens.Encoder, "_learn", lambda self, new, f=tokens.Encoder._learn: (learned.append(len(new)), f(self, new))[1])
+    own = tokens.Encoder(PATH)
+    for turn in range(4):
+        texts = [f"word{turn}x{i} über{turn}, {turn * 40 + i} same." for i in range(40)]
+        ids = [plain.encode(text, add_special_tokens=False).ids for text in texts]
+        assert own.encode(texts) == [np.array(x, dtype="<u4").tobytes() for x in ids]
+    assert len(learned) == 4
+
+
 def test_remembered_pieces_give_the_tokenizers_ids(plain, monkeypatch):
     monkeypatch.setattr(tokens, "REMEMBERED", 120)
     own = tokens.Encoder(PATH)
