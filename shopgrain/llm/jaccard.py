@@ -65,6 +65,8 @@ SALT_ROWS = 1000
 #: Bits of a set's sketch, kept as so many longs.
 SKETCH = 512
 SKETCH_LONGS = [f"s{i}" for i in range(SKETCH // 64)]
+#: Shingles in all sets read so far up to which these go to the tasks whole, and pairs of one such task.
+SETS_SENT, PAIRS_TASK = 2_000_000, 20_000
 #: Largest size for which pairs are weighed against lists.
 LIGHT_MOST = 64
 #: Most shingles in a bucket of the count, about, and shingles that a task gathers before it sends.
@@ -287,16 +289,17 @@ def _sets(docs: DataFrame, firsts: DataFrame, classes: DataFrame) -> DataFrame:
 
     def work(step) -> dict:
         sets = [x for x in (shingle_set(text) for text in step.column("text").to_pylist()) if len(x)]
-        return {"class": [_class_of(x) for x in sets], "set": [x.tobytes() for x in sets]}
+        return {"class": [_class_of(x) for x in sets], "n": list(map(len, sets)), "set": [x.tobytes() for x in sets]}
 
     # A repeated or null id brings other texts too; they are dropped here, and copies once more.
-    found = map_steps(rows, work, "class long, set binary").join(wanted.select("class"), "class", "left_semi")
+    found = map_steps(rows, work, "class long, n int, set binary").join(wanted.select("class"), "class", "left_semi")
     return found.dropDuplicates(["class"])
 
 
 def _links(docs: DataFrame, firsts: DataFrame, pairs: DataFrame, held: list[DataFrame]) -> DataFrame:
     """The pairs (a, b) that link, by their whole sets. ``held`` has the sets read so far, and
-    gets those that are missing."""
+    gets those that are missing. While these are few, they go to the tasks and no pair is dealt
+    by its sets; else pairs and sets are shuffled."""
     classes = pairs.select(F.col("a").alias("class")).unionAll(pairs.select(F.col("b").alias("class"))).distinct()
     missing = classes = written(classes, "pair-classes")
     for sets in held:
@@ -304,8 +307,11 @@ def _links(docs: DataFrame, firsts: DataFrame, pairs: DataFrame, held: list[Data
     missing = written(missing, "missing-sets")
     if not missing.isEmpty():
         held.append(written(_sets(docs, firsts, missing), "sets"))
-    # Sets are the widest rows here; those that no pair asks for stay where they are.
-    sets = reduce(DataFrame.unionAll, held).join(bounded_broadcast(classes), "class", "left_semi")
+    sets = reduce(DataFrame.unionAll, held)
+    if (sets.agg(F.sum("n")).first()[0] or 0) <= SETS_SENT:
+        sets, pairs = F.broadcast(sets), pairs.repartition(max(1, -(-pairs.count() // PAIRS_TASK)))
+    else:  # sets are the widest rows here; those that no pair asks for stay where they are
+        sets = sets.join(bounded_broadcast(classes), "class", "left_semi")
 
     def work(step) -> dict:
         a, b = [], []
@@ -318,8 +324,9 @@ def _links(docs: DataFrame, firsts: DataFrame, pairs: DataFrame, held: list[Data
                 b.append(y)
         return {"a": a, "b": b}
 
-    both = pairs.join(sets.select(F.col("class").alias("a"), F.col("set").alias("set_a")), "a")
-    both = both.join(sets.select(F.col("class").alias("b"), F.col("set").alias("set_b")), "b")
+    both = pairs
+    for side in ("a", "b"):
+        both = both.join(sets.select(F.col("class").alias(side), F.col("set").alias(f"set_{side}")), side)
     return written(map_steps(both.select("a", "b", "set_a", "set_b"), work, "a long, b long"), "links")
 
 

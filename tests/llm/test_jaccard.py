@@ -87,6 +87,30 @@ def test_pairs_of_a_list_that_cannot_link_are_not_joined(documents, monkeypatch)
     assert lists[only] > 0 and seen[only] == 0
 
 
+def test_few_sets_go_to_the_pairs_and_many_are_shuffled(spark, documents, monkeypatch):
+    texts = [changed(prose("en", 60, i), n, 7 * i + n) for i in range(4) for n in range(5)]
+    seen = []
+
+    def spied(df, work, schema, f=jaccard.map_steps):
+        if schema == "a long, b long":
+            seen.append(df._jdf.queryExecution().executedPlan().toString())
+        return f(df, work, schema)
+
+    monkeypatch.setattr(jaccard, "map_steps", spied)
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "-1")
+    try:
+        check(documents, texts)
+        assert seen and all("BroadcastHashJoin [a#" in plan and "SortMergeJoin" not in plan for plan in seen)
+        seen.clear()
+        monkeypatch.setattr(jaccard, "SETS_SENT", -1)
+        check(documents, texts)
+        assert seen and all("SortMergeJoin [a#" in plan for plan in seen)
+    finally:
+        spark.conf.set(limit, before)
+
+
 def test_sketches_of_linked_sets_differ_in_no_more_than_a_link_allows():
     for edits in range(8):
         for n in (6, 30, 150, 1000):
