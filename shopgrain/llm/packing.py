@@ -35,6 +35,8 @@ from shopgrain.llm.tokens import encoder
 CAPACITY = 4096
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
+#: Rows and bytes of text that are encoded at once: cut into pieces they take many times their bytes.
+ENCODED_ROWS, ENCODED_BYTES = 64, 512 << 10
 #: Length classes: a sequence is so many units long.
 UNITS = 512
 #: Solutions of the program and pricing steps of each; the rate of the weights.
@@ -224,7 +226,7 @@ def tokenized(docs: DataFrame, capacity: int = CAPACITY, tokenizer_path: str | N
         own = encoder(tokenizer_path or public_tokenizers.path(TOKENIZER))
         task = TaskContext.get().partitionId()
         seen: dict[int, int] = defaultdict(int)
-        for step in steps(batches, encoders=True):
+        for step in steps(batches, ENCODED_ROWS, encoders=True, most=ENCODED_BYTES):
             rows = []
             for doc_id, data in zip(step.column("doc_id").to_pylist(), own.encode(step.column("text").to_pylist())):
                 data += end
@@ -250,9 +252,11 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, tokenizer_path: str | None =
     histogram = {int(r["length"]): r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     rows = places(plan_sequences(histogram, capacity))
     # One row for each slot of each group: bounded by the number of lengths, not by the pieces.
-    layout = spark.createDataFrame(
-        rows, "length long, first long, after long, sequence long, offset long"
-    )
+    # It goes as an Arrow table: a list of rows would need Python workers of another kind, which
+    # stay beside those of the tasks for a minute.
+    columns = arrow_schema(spark, "length long, first long, after long, sequence long, offset long")
+    arrays = [pa.array([row[i] for row in rows], type=field.type) for i, field in enumerate(columns)]
+    layout = spark.createDataFrame(pa.Table.from_arrays(arrays, schema=columns))
     before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
     ranked = pieces.join(starts, ["length", "task"]).withColumn("rank", F.col("rank") + F.col("before"))

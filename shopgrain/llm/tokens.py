@@ -14,11 +14,12 @@ import gc
 import os
 import struct
 import sys
+import time
 
 import numpy as np
 import pyarrow as pa
 
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 #: Pieces that are encoded in one run.
 BATCH = 20_000
 SIGNS = ",."
@@ -155,6 +156,19 @@ def drop_encoders() -> None:
         give_back()
 
 
+TIDIED, TIDY_SECONDS = "_shopgrain_tidied", 2.0
+
+
+def tidy() -> None:
+    """What an earlier task of this process left is freed and given back. Its functions refer to
+    each other and keep what they hold until a full collection, which Python seldom makes; one
+    in a few seconds is enough, as short tasks leave little."""
+    if time.monotonic() - sys.__dict__.get(TIDIED, 0.0) >= TIDY_SECONDS:
+        gc.collect()
+        give_back()
+        sys.__dict__[TIDIED] = time.monotonic()
+
+
 def give_back() -> None:
     """Give freed memory back to the system, for the allocators keep most of it."""
     pa.default_memory_pool().release_unused()

@@ -4,6 +4,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -106,3 +107,11 @@ def test_pieces_and_places(documents, awkward, plain):
     assert n <= 1.05 * sum(len(plain.encode(t, add_special_tokens=False).ids) + 1 for _, t in texts) / 64 + 2
     check(awkward, AWKWARD, plain, 4096)
     assert packing.pack(awkward.limit(0)).collect() == []
+
+
+def test_the_layout_needs_no_python_workers_of_its_own(spark, documents, monkeypatch):
+    docs = documents((1, prose("en", 20, 1)), (2, None))
+    given_, make = [], type(spark).createDataFrame
+    monkeypatch.setattr(type(spark), "createDataFrame", lambda self, data, *rest: (given_.append(type(data)), make(self, data, *rest))[1])
+    assert packing.pack(docs).count() == 2
+    assert given_ == [pa.Table]

@@ -1,5 +1,7 @@
+import gc
 import re
 import sys
+import weakref
 
 import corpus_pipeline
 import public_tokenizers
@@ -71,6 +73,29 @@ def test_tasks_of_other_stages_drop_the_encoders_that_packing_left():
     assert tokens.KEPT not in sys.__dict__
 
 
+def test_a_task_frees_what_earlier_tasks_left(monkeypatch):
+    class Held:
+        pass
+
+    held = Held()
+    held.itself = held  # as functions sent to a task refer to each other
+    left = weakref.ref(held)
+    gc.disable()
+    try:
+        del held
+        monkeypatch.setitem(sys.__dict__, tokens.TIDIED, 0.0)
+        assert len(list(steps([pa.RecordBatch.from_pydict({"text": ["one"]})], encoders=True))) == 1
+        assert left() is None
+    finally:
+        gc.enable()
+
+
+def test_steps_hold_no_more_bytes_than_asked():
+    batch = pa.RecordBatch.from_pydict({"text": ["x" * 1000] * 300})
+    sizes = [step.num_rows for step in steps([batch], 64, most=20_000)]
+    assert sum(sizes) == 300 and max(sizes) <= 20
+
+
 def test_empty_documents(spark, folder):
     schema = "doc_id long, text string, lang string, source string, n_chars long"
     spark.createDataFrame([], schema).write.parquet(f"{folder}/documents.parquet")
