@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from shopgrain import schemas, session
 from shopgrain.catalog import changes
 from shopgrain.plans import increments
+from shopgrain.sources.partitioned import SLICE
 from shopgrain.streaming.events import deduplicated, file_stream, stream_user_events, write_stream
 from shopgrain.streaming.orders import stream_orders
 
@@ -232,3 +233,79 @@ def test_event_stream_compares_rows_in_partitions_that_grow(spark, frame, folder
         file_stream(spark, f"{folder}/in", schemas.USER_EVENTS), users, places, table, f"{folder}/checkpoint", "s"
     ).awaitTermination()
     assert found == [15] and table.read().count() == 15
+
+
+def order_stream(spark, frame, folder, *files, partitions=None):
+    """A stream of these files, a micro-batch each; further files go on from the checkpoint."""
+    users, places = people(frame)
+    table = increments.order_versions_table(spark, f"{folder}/table")
+    for given in files:
+        batch = frame("orders", *[dict(order_id=i, user_id="q", order_date=at(1), updated_at=u, order_status=s) for i, u, s in given])
+        batch.coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    source = file_stream(spark, f"{folder}/in", schemas.ORDERS, 1)
+    stream_orders(source, users, places, table, f"{folder}/checkpoint", "s", partitions=partitions).awaitTermination()
+    return rows(increments.current_orders(table), "order_id", "order_status")
+
+
+def state_files(folder):
+    return {p.suffix for p in Path(f"{folder}/checkpoint/state").rglob("[0-9]*.*")}
+
+
+NEWER_FIRST = [("A", at(10), "shipped"), ("B", at(2), "pending")], [("A", at(4), "stale"), ("B", at(3), "shipped")]
+
+
+def test_order_stream_keeps_its_state_on_disk(spark, frame, folder):
+    before = {name: spark.conf.get(name, None) for name in (*session.DISK_STORE, session.FREE_CONF)}
+    assert spark.conf.get(session.STORE_CONF) == session.DEFAULT_STORE
+    assert order_stream(spark, frame, folder, *NEWER_FIRST) == [("A", "shipped"), ("B", "shipped")]
+    assert ".zip" in state_files(folder) and ".delta" not in state_files(folder)  # .delta: all of it in the heap
+    assert {name: spark.conf.get(name, None) for name in before} == before
+
+
+def test_order_stream_goes_on_from_a_state_in_the_heap(spark, frame, folder, monkeypatch):
+    with monkeypatch.context() as patch:
+        patch.setattr(session, "DISK_STORE", {})
+        order_stream(spark, frame, folder, NEWER_FIRST[0])
+        assert ".delta" in state_files(folder)
+    assert order_stream(spark, frame, folder, NEWER_FIRST[1]) == [("A", "shipped"), ("B", "shipped")]
+    assert ".zip" not in state_files(folder)
+
+
+def test_state_on_disk_leaves_what_the_session_asks_for(spark):
+    bound = "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB"
+    with session.setting(spark, bound, "77"):
+        with session.state_on_disk(spark):
+            assert spark.conf.get(bound) == "77" and "RocksDB" in spark.conf.get(session.STORE_CONF)
+        assert spark.conf.get(bound) == "77"
+    assert spark.conf.get(bound, None) is None
+    with session.setting(spark, session.STORE_CONF, "of.its.Own"), session.state_on_disk(spark):
+        assert spark.conf.get(session.STORE_CONF) == "of.its.Own" and spark.conf.get(bound, None) is None
+
+
+def test_order_stream_writes_few_files_a_month(spark, frame, folder):
+    users, places = people(frame)
+    given = [dict(order_id=str(n), user_id=f"u{n}", order_date=datetime(2024, 1 + n % 3, 1), updated_at=at(5)) for n in range(60)]
+    frame("orders", *given).coalesce(1).write.parquet(f"{folder}/in")
+    table = increments.order_versions_table(spark, f"{folder}/table")
+    source = file_stream(spark, f"{folder}/in", schemas.ORDERS)
+    stream_orders(source, users, places, table, f"{folder}/checkpoint", "s", partitions=8).awaitTermination()
+    assert len(list(Path(f"{folder}/table/data").rglob("*.parquet"))) == 3  # not one a month and task
+    assert increments.current_orders(table).count() == 60
+
+
+def test_current_orders_sorts_once_and_keeps_the_first_region(spark, folder):
+    table = increments.order_versions_table(spark, f"{folder}/table")
+    columns = f"order_id string, user_id string, order_date timestamp_ntz, order_status string, payment_method string, updated_at timestamp_ntz, fulfillment_region_type string, {SLICE} int"
+
+    def load(run, *given):
+        made = [(i, "q", at(1), s, None, u, r, 202401) for i, s, u, r in given]
+        table.append(spark.createDataFrame(made, columns), run)
+
+    load("s-2", ("1", "x", at(3), "later"), ("2", "x", at(3), "new"), ("3", "x", at(1), "known"), (None, "x", at(1), "n"))
+    load("s-1", ("1", "x", at(3), "first"), ("2", "z", at(2), "old"), ("3", "x", None, "none"), (None, "x", at(1), "n"))
+    load("s-3", ("1", "a", at(3), "tie"), ("4", None, at(1), None), ("4", None, at(1), None))
+    current = increments.current_orders(table)
+    assert rows(current, "order_id", "order_status", "fulfillment_region_type") == [
+        ("1", "x", "first"), ("2", "x", "new"), ("3", "x", "known"), ("4", None, None), (None, "x", "n"), (None, "x", "n"),
+    ]
+    assert SLICE not in current.columns and "SortAggregate" not in current._jdf.queryExecution().executedPlan().toString()
